@@ -67,7 +67,7 @@ class MoveCounts:
     """
 
     table: str
-    rows_before: int
+    rows_before: int | None  # None: not measured (empty key set, nothing read)
     rows_in_main: int
     rows_copied: int
     rows_deleted: int

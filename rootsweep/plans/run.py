@@ -38,7 +38,6 @@ from ..operators.validate import (
     check_counts,
     check_schema,
 )
-from ..sources import fs
 from ..sources.tables import TableStore, Version
 from .manifest import Manifest, Move
 
@@ -72,13 +71,6 @@ class _MoveError(Exception):
         self.table, self.cause = table, cause
 
 
-def _count(spark: SparkSession, path: str) -> int:
-    """Row count of a written Parquet folder (footer metadata), 0 if absent."""
-    if not fs.exists(spark, path):
-        return 0
-    return spark.read.parquet(path).count()
-
-
 class Archiver:
     """Runs archival over ``input_root`` into ``output_root`` with a manifest.
 
@@ -110,33 +102,72 @@ class Archiver:
         self.hooks = hooks or Hooks()
 
     # ---- stage 3: key sets ----------------------------------------------------
+    def _levels(self) -> list[list]:
+        """Key sets grouped by depth: each level depends only on earlier ones,
+        so the sets of one level are built as concurrent Spark jobs."""
+        depth: dict[str, int] = {}
+        for ks in self.manifest.keysets:
+            depth[ks.name] = 0 if ks.parent is None else depth[ks.parent] + 1
+        levels: list[list] = [[] for _ in range(max(depth.values()) + 1)]
+        for ks in self.manifest.keysets:
+            levels[depth[ks.name]].append(ks)
+        return levels
+
+    def build_key(self, run_id: int, ks, read: Callable[[str], DataFrame], known: dict[str, Keys],
+                  csv: str | None) -> Keys:
+        """Derive one key set, write it once (deduplicated, with multiplicity),
+        and assert the key while writing: row count and violations are observed
+        on the write itself, so no second job runs unless something is wrong."""
+        plan = derive(self.manifest, ks, read, known, csv, self.collation, self.clients, self.max_rows)
+        path = self.store.keys_dir(run_id, ks.name)
+        bad_cond = (F.col("__rs_n") > 1) | F.col("id").isNull()
+        obs = Observation(f"keys_{ks.name}_{run_id}")
+        (dedup_for_write(plan)
+         .observe(obs, F.count(F.lit(1)).alias("rows"), F.count_if(bad_cond).alias("bad"))
+         .write.mode("errorifexists").parquet(path))
+        written = self.spark.read.parquet(path)
+        rows, bad = int(obs.get["rows"]), int(obs.get["bad"])
+        if bad:
+            # confirm on the written files (metrics of a re-run stage can repeat)
+            sample = written.filter(bad_cond).select("id", "__rs_n").limit(3).collect()
+            if sample:
+                raise KeyViolation(ks.name, [(r["id"], r["__rs_n"]) for r in sample])
+            rows = written.count()
+        return Keys(ks.name, written.drop("__rs_n"), rows=rows, distinct=True)
+
     def build_keys(self, run_id: int, read: Callable[[str], DataFrame], csv: str | None) -> dict[str, Keys]:
         known: dict[str, Keys] = {}
-        for ks in self.manifest.keysets:
-            plan = derive(self.manifest, ks, read, known, csv, self.collation,
-                          self.clients, self.max_rows)
-            path = self.store.keys_dir(run_id, ks.name)
-            dedup_for_write(plan).write.mode("errorifexists").parquet(path)
-            written = self.spark.read.parquet(path)
-            bad = (written.filter((F.col("__rs_n") > 1) | F.col("id").isNull())
-                   .select("id", "__rs_n").limit(3).collect())
-            if bad:
-                raise KeyViolation(ks.name, [(r["id"], r["__rs_n"]) for r in bad])
-            df = written.drop("__rs_n")
-            known[ks.name] = Keys(ks.name, df, rows=written.count(), distinct=True)
+        for level in self._levels():
+            if len(level) == 1 or self.parallelism == 1:
+                for ks in level:
+                    known[ks.name] = self.build_key(run_id, ks, read, known, csv)
+                continue
+            with ThreadPoolExecutor(min(self.parallelism, len(level)),
+                                    thread_name_prefix="rootsweep-keys") as pool:
+                futures = {ks.name: pool.submit(self.build_key, run_id, ks, read, dict(known), csv)
+                           for ks in level}
+                errors = []
+                for name, fut in futures.items():  # manifest order
+                    try:
+                        known[name] = fut.result()
+                    except BaseException as exc:
+                        errors.append(exc)
+                if errors:
+                    raise errors[0]
         return known
 
     # ---- stage 4/5: one move ----------------------------------------------------
-    def move(self, run_id: int, mv: Move, v: Version, keys: Keys) -> MoveCounts:
+    def move(self, run_id: int, mv: Move, v: Version, keys: Keys,
+             published: dict[str, list[int]]) -> MoveCounts:
         spark = self.spark
         if self.hooks.before_move:
             self.hooks.before_move(mv.table)
         if keys.rows == 0:
-            return MoveCounts(mv.table, -1, 0, 0, 0)
-        check_schema(mv.table, v.schema, self.store.archive_schema(mv.table))
+            return MoveCounts(mv.table, None, 0, 0, 0)
+        check_schema(mv.table, v.schema, self.store.archive_schema(mv.table, published))
 
         source = self.store.read_version(v)
-        rows_before = source.count()  # footers only on Parquet
+        rows_before = source.count()  # Parquet footers, independent of the split
         cols = list(v.schema.names)
         obs = Observation(f"split_{mv.table}_{run_id}")
         aggs = [F.count(F.lit(1)).alias("n"), F.count_if(F.col("archived")).alias("hits")]
@@ -144,12 +175,14 @@ class Archiver:
             aggs += fingerprint_aggs(cols, prefix="src_")
         split = flag(source, mv.column, keys, self.max_rows).observe(obs, *aggs)
         out = self.store.table_dir(mv.table, run_id)
-        split.write.mode("errorifexists").partitionBy("archived").parquet(out)
-
-        moved_path = self.store.part_dir(mv.table, run_id, True)
-        kept_path = self.store.part_dir(mv.table, run_id, False)
-        copied = _count(spark, moved_path)
-        retained = _count(spark, kept_path)
+        split.write.mode("errorifexists").partitionBy("archived").parquet(out)  # see _writers()
+
+        # Read back what was written: both parts in one job over the run folder.
+        # (partition discovery may type the folder value as string or boolean)
+        written = {str(r["part"]).lower() == "true": int(r["n"]) for r in
+                   spark.read.parquet(out).groupBy(F.col("archived").cast("string").alias("part"))
+                   .agg(F.count(F.lit(1)).alias("n")).collect()}
+        copied, retained = written.get(True, 0), written.get(False, 0)
         m = obs.get
         in_main = int(m["hits"])
         if in_main != copied or int(m["n"]) != rows_before:
@@ -162,16 +195,15 @@ class Archiver:
         check_counts(counts)
 
         if self.verify == "content" and copied > 0:
-            parts = [spark.read.parquet(p) for p in (moved_path, kept_path) if fs.exists(spark, p)]
-            union = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-            got = union.agg(*fingerprint_aggs(cols)).first()
+            got = spark.read.parquet(out).drop("archived").agg(*fingerprint_aggs(cols)).first()
             src = (int(m["src_rows"]), m["src_fingerprint"])
             if (int(got["rows"]), got["fingerprint"]) != src:
                 raise FingerprintMismatch(mv.table, src, (got["rows"], got["fingerprint"]))
 
         if mv.pk and copied > 0:
-            existing = self.store.archive(mv.table)
+            existing = self.store.archive(mv.table, published)
             if existing is not None:
+                moved_path = self.store.part_dir(mv.table, run_id, True)
                 new = Keys("new", spark.read.parquet(moved_path).select(F.col(mv.pk).alias("id")),
                            rows=copied)
                 hit = semi(existing.select(F.col(mv.pk).alias("id")), "id", new, self.max_rows)
@@ -181,18 +213,27 @@ class Archiver:
         return counts
 
     # ---- the run ---------------------------------------------------------------
+    def _writers(self) -> None:
+        """A split writes two partition values per task. With concurrent output
+        writers Spark keeps both files open instead of sorting every task's rows
+        by ``archived`` first (a sort that spills on large partitions). Only set
+        when the session leaves it at its default (0)."""
+        if self.spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0") == "0":
+            self.spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "2")
+
     def run(self, csv: str | None) -> RunResult:
-        self.audit.ensure()
+        self._writers()
         run_id, started = self.audit.open_run(csv)
         stage = "Temp ID Set Creation"
         result = RunResult(run_id, "RUNNING")
         try:
-            versions = self.store.snapshot(self.manifest.tables())
+            published = self.store.published()
+            versions = self.store.snapshot(self.manifest.tables(), published)
             read = self.store.reader(versions)
             keys = self.build_keys(run_id, read, csv)
             result.keys = {k: v.rows for k, v in keys.items()}
             stage = "moves"
-            result.counts = self._moves(run_id, versions, keys)
+            result.counts = self._moves(run_id, versions, keys, published)
             stage = "Finalizing"
             self.audit.write_log(run_id, result.log_lines(self.log_empty))
             self.audit.close_run(run_id, csv, started, "SUCCESS")
@@ -208,7 +249,8 @@ class Archiver:
                     raise cause from None
                 raise
 
-    def _moves(self, run_id: int, versions: dict[str, Version], keys: dict[str, Keys]) -> list[MoveCounts]:
+    def _moves(self, run_id: int, versions: dict[str, Version], keys: dict[str, Keys],
+               published: dict[str, list[int]]) -> list[MoveCounts]:
         moves = list(self.manifest.moves)
         first_error: list[_MoveError] = []
         lock = threading.Lock()
@@ -218,7 +260,7 @@ class Archiver:
                 if first_error:
                     return None  # stop scheduling new moves after a failure
             try:
-                return self.move(run_id, mv, versions[mv.table], keys[mv.keyset])
+                return self.move(run_id, mv, versions[mv.table], keys[mv.keyset], published)
             except BaseException as exc:
                 err = _MoveError(mv.table, exc)
                 with lock:

@@ -101,10 +101,10 @@ class TableStore:
             return Version(table, (kept,), schema, last)
         return Version(table, (), schema, last)  # every row moved
 
-    def snapshot(self, tables: list[str]) -> dict[str, Version]:
+    def snapshot(self, tables: list[str], published: dict[str, list[int]] | None = None) -> dict[str, Version]:
         """Pin one version per table for a whole run (closure and split read the
         same data, unlike key sets built before the reference's transaction)."""
-        pub = self.published()
+        pub = published if published is not None else self.published()
         return {t: self.version(t, pub) for t in tables}
 
     def read_version(self, v: Version) -> DataFrame:
@@ -115,17 +115,17 @@ class TableStore:
     def main(self, table: str) -> DataFrame:
         return self.read_version(self.version(table))
 
-    def archive(self, table: str) -> DataFrame | None:
+    def archive(self, table: str, published: dict[str, list[int]] | None = None) -> DataFrame | None:
         """Every archived row of ``table`` with its ``run_id``; None if never archived."""
-        runs = self.published().get(table, [])
+        runs = (published if published is not None else self.published()).get(table, [])
         if not runs:
             return None
         base = fs.join(self.output_root, "tables", table)
         paths = [self.part_dir(table, r, True) for r in runs]
         return self.spark.read.option("basePath", base).parquet(*paths).drop("archived")
 
-    def archive_schema(self, table: str) -> StructType | None:
-        runs = self.published().get(table, [])
+    def archive_schema(self, table: str, published: dict[str, list[int]] | None = None) -> StructType | None:
+        runs = (published if published is not None else self.published()).get(table, [])
         if not runs:
             return None
         return self.spark.read.parquet(self.part_dir(table, runs[-1], True)).schema

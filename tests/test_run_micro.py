@@ -190,7 +190,7 @@ def test_m16_archive_collision(spark, micro, scratch):
     spark.read.parquet(restored).write.parquet(f"{inp2}/project")
     # point a fresh run at the same output (archive) but the restored input
     arch = Archiver(spark, MICRO, inp2, out)
-    arch.store.snapshot = lambda tables: {t: arch.store.version(t, {}) for t in tables}
+    arch.store.snapshot = lambda tables, published=None: {t: arch.store.version(t, {}) for t in tables}
     with pytest.raises(Exception, match="already holds"):
         arch.run("A")
     assert v.run_id == 1
@@ -205,7 +205,7 @@ def test_m17_schema_differs(spark, micro, scratch):
         s.main(t).write.parquet(f"{inp2}/{t}")
     s.main("code_map").select("code_id", "id").write.parquet(f"{inp2}/code_map")  # swapped
     arch = Archiver(spark, MICRO, inp2, out)
-    arch.store.snapshot = lambda tables: {t: arch.store.version(t, {}) for t in tables}
+    arch.store.snapshot = lambda tables, published=None: {t: arch.store.version(t, {}) for t in tables}
     with pytest.raises(Exception, match="differs from its archive"):
         arch.run("B")
     runs = {r["run_id"]: r for r in s.audit.runs().collect()}
