@@ -9,6 +9,7 @@ under a root and how deep, to check that a manifest covers all of them.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .manifest import Edge
 
@@ -41,3 +42,15 @@ def fk_reach(spark: SparkSession, edges: DataFrame, root: str, max_depth: int |
         SELECT table_name, max(depth) AS depth FROM reach GROUP BY table_name
         """,
         root=root, edges=edges, bound=bound)
+
+
+def coverage(spark: SparkSession, edges: DataFrame, root: str, moved: list[str],
+             max_depth: int | None = None) -> DataFrame:
+    """Tables under ``root`` with their depth and whether the manifest moves
+    them: ``(table_name, depth, moved)``. A row with ``moved = false`` is a
+    table a run would leave behind with dangling keys."""
+    listed = spark.createDataFrame([(t,) for t in moved], "table_name string")
+    flagged = listed.select("table_name", F.lit(True).alias("moved"))
+    return (fk_reach(spark, edges, root, max_depth)
+            .join(F.broadcast(flagged), "table_name", "left")
+            .select("table_name", "depth", F.coalesce(F.col("moved"), F.lit(False)).alias("moved")))

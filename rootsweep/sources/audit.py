@@ -119,11 +119,24 @@ class Audit:
         self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
 
     def open_run(self, project_list: str | None) -> tuple[int, datetime]:
-        run_id = self._next(self.run_path, RUN_SCHEMA, "run_id")
-        started = _now()
-        self._append([(run_id, project_list if project_list is not None else "", started,
-                       None, "RUNNING", None)], RUN_SCHEMA, self.run_path)
-        return run_id, started
+        """Allocate ``max + 1`` and append the RUNNING row. Runs still RUNNING at
+        this point were abandoned (driver lost mid-run; one writer per output
+        root) and are recorded FAILED first: their files were never published,
+        so nothing else needs undoing. One small read serves both."""
+        runs = self.runs_raw()
+        info = runs.agg(
+            F.max("run_id").alias("top"),
+            F.collect_list(F.when(F.col("status") == "RUNNING",
+                                  F.struct("run_id", "project_list", "started_at"))).alias("stale"),
+        ).first()
+        now = _now()
+        rows = [(r["run_id"], r["project_list"], r["started_at"], now, "FAILED",
+                 "abandoned: the run ended without a final state") for r in (info["stale"] or [])]
+        run_id = int(info["top"] or 0) + 1
+        rows.append((run_id, project_list if project_list is not None else "", now, None,
+                     "RUNNING", None))
+        self._append(rows, RUN_SCHEMA, self.run_path)
+        return run_id, now
 
     def close_run(self, run_id: int, project_list: str | None, started: datetime,
                   status: str, error_message: str | None = None) -> None:

@@ -266,3 +266,13 @@ def test_key_sets_are_kept_as_evidence(spark, micro, scratch):
     got = spark.read.parquet(s.keys_dir(r.run_id, "documents")).select("id")
     assert ids(got) == {1000, 1001}
     assert got.filter(F.col("id").isNull()).count() == 0
+
+
+def test_abandoned_run_is_failed_by_the_next(spark, micro, scratch):
+    inp, out = micro(), f"{scratch}/out"
+    s = store(spark, inp, out)
+    rid, _ = s.audit.open_run("A")  # a driver that died right after opening
+    run(spark, inp, out, "A")
+    runs = {r["run_id"]: r for r in s.audit.runs().collect()}
+    assert runs[rid]["status"] == "FAILED" and "abandoned" in runs[rid]["error_message"]
+    assert runs[rid + 1]["status"] == "SUCCESS"
