@@ -223,11 +223,17 @@ class Archiver:
 
     def run(self, csv: str | None) -> RunResult:
         self._writers()
-        run_id, started = self.audit.open_run(csv)
+        # Three small independent reads of the audit trail, overlapped: open the
+        # run, resolve published versions, reserve log ids (one writer per root).
+        with ThreadPoolExecutor(3, thread_name_prefix="rootsweep-open") as pool:
+            f_open = pool.submit(self.audit.open_run, csv)
+            f_pub = pool.submit(self.store.published)
+            f_log = pool.submit(self.audit.next_log_id)
+            run_id, started = f_open.result()
         stage = "Temp ID Set Creation"
         result = RunResult(run_id, "RUNNING")
         try:
-            published = self.store.published()
+            published, first_log_id = f_pub.result(), f_log.result()
             versions = self.store.snapshot(self.manifest.tables(), published)
             read = self.store.reader(versions)
             keys = self.build_keys(run_id, read, csv)
@@ -235,7 +241,7 @@ class Archiver:
             stage = "moves"
             result.counts = self._moves(run_id, versions, keys, published)
             stage = "Finalizing"
-            self.audit.write_log(run_id, result.log_lines(self.log_empty))
+            self.audit.write_log(run_id, result.log_lines(self.log_empty), first_log_id)
             self.audit.close_run(run_id, csv, started, "SUCCESS")
             result.status = "SUCCESS"
             return result

@@ -21,6 +21,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("ROOTSWEEP_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # moves run as concurrent jobs; FAIR lets a small table's move finish
+        # while a large one is still writing
+        .config("spark.scheduler.mode", "FAIR")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -146,10 +146,15 @@ class Audit:
                        _now(), status, error_message)], RUN_SCHEMA, self.run_path)
 
     # ---- A10: log lines, one write per run -----------------------------------
-    def write_log(self, run_id: int, lines: list[dict]) -> None:
+    def next_log_id(self) -> int:
+        return self._next(self.log_path, LOG_SCHEMA, "id")
+
+    def write_log(self, run_id: int, lines: list[dict], first_id: int | None = None) -> None:
+        """All log lines of a run in one write; ids from ``first_id`` (read
+        earlier by the single writer) or ``max + 1``."""
         if not lines:
             return
-        first = self._next(self.log_path, LOG_SCHEMA, "id")
+        first = first_id if first_id is not None else self.next_log_id()
         now = _now()
         rows = []
         for i, ln in enumerate(lines):

@@ -23,6 +23,7 @@ plan can issue it instead; on plain Parquet a touched table is rewritten.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -105,7 +106,12 @@ class TableStore:
         """Pin one version per table for a whole run (closure and split read the
         same data, unlike key sets built before the reference's transaction)."""
         pub = published if published is not None else self.published()
-        return {t: self.version(t, pub) for t in tables}
+        if len(tables) <= 1:
+            return {t: self.version(t, pub) for t in tables}
+        # footer reads of independent tables, overlapped
+        with ThreadPoolExecutor(min(8, len(tables)), thread_name_prefix="rootsweep-snap") as pool:
+            futures = {t: pool.submit(self.version, t, pub) for t in tables}
+            return {t: f.result() for t, f in futures.items()}
 
     def read_version(self, v: Version) -> DataFrame:
         if v.empty:
