@@ -194,5 +194,21 @@ def oracle_sql() -> dict[str, str]:
     q["fk_edges"] = _fk_edges_sql()
     q["fk_reach"] = _fk_reach_sql()
     q["list_tables"] = _counts_sql(_TABLES)
-    # "fingerprint" has no oracle: Spark's xxhash64 has no DuckDB twin (rows-only).
+    q["fingerprint"] = _with() + _fingerprint_sql()
     return q
+
+
+def _fingerprint_sql() -> str:
+    """Content preserved by each split, judged with DuckDB's own row hash: the
+    order-free hash sums of archived + retained must equal the source's (the
+    Spark side uses xxhash64; only the verdict and the row count are compared)."""
+    parts = []
+    for t, col, ks in _MOVES:
+        a, r = _archived(t, col, ks), _retained(t, col, ks, "r")
+        parts.append(
+            f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS rows, "
+            f"((SELECT count(*) FROM {t}) = (SELECT count(*) FROM ({a})) + (SELECT count(*) FROM ({r})) "
+            f"AND (SELECT sum(hash(x)::HUGEINT) FROM {t} x) = "
+            f"coalesce((SELECT sum(hash(x)::HUGEINT) FROM ({a}) x), 0) "
+            f"+ coalesce((SELECT sum(hash(x)::HUGEINT) FROM ({r}) x), 0)) AS equal")
+    return "\nUNION ALL ".join(parts)

@@ -30,8 +30,8 @@ def test_query_matches_oracle(spark, con, name):
     assert r["ok"] is not False, r
 
 
-def test_every_query_but_fingerprint_has_an_oracle():
-    assert set(queries()) - set(oracle_sql()) == {"fingerprint"}
+def test_every_query_has_an_oracle():
+    assert set(queries()) == set(oracle_sql())
 
 
 def test_entry_flagship(spark):
