@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.expr import fingerprint_aggs
 from ..operators.closure import close_lazy, key_violations
 from ..operators.joins import Keys, anti, flag, semi
-from ..operators.report import dry_run_by_root, dry_run_counts, exclusive_parents, shared_parents
+from ..operators.report import dry_run_by_root, dry_run_counts, shared_parents
 from ..operators.select import unmatched_names
 from ..sources import fs
 from ..sources.tables import TableStore
@@ -198,11 +198,6 @@ def _exclusive(csv):
     return q
 
 
-def exclusive_clients_report(spark, d):
-    c = Ctx(spark, d, csv=CSV2)
-    return exclusive_parents(TPCH, TPCH.keyset("clients"), c.table, c.keys["projects"])
-
-
 def unmatched(spark, d):
     return unmatched_names(Ctx(spark, d).table("nation"), "n_name", CSV_UNMATCHED)
 

@@ -37,6 +37,7 @@ from ..operators.validate import (
     MoveCounts,
     check_counts,
     check_schema,
+    collisions,
 )
 from ..sources.tables import TableStore, Version
 from .manifest import Manifest, Move
@@ -201,15 +202,12 @@ class Archiver:
                 raise FingerprintMismatch(mv.table, src, (got["rows"], got["fingerprint"]))
 
         if mv.pk and copied > 0:
-            existing = self.store.archive(mv.table, published)
-            if existing is not None:
-                moved_path = self.store.part_dir(mv.table, run_id, True)
-                new = Keys("new", spark.read.parquet(moved_path).select(F.col(mv.pk).alias("id")),
-                           rows=copied)
-                hit = semi(existing.select(F.col(mv.pk).alias("id")), "id", new, self.max_rows)
-                sample = [r["id"] for r in hit.limit(3).collect()]
-                if sample:
-                    raise ArchiveCollision(mv.table, sample)
+            moved = spark.read.parquet(self.store.part_dir(mv.table, run_id, True))
+            hit = collisions(moved, mv.pk, self.store.archive(mv.table, published), copied,
+                             self.max_rows)
+            sample = [r["id"] for r in hit.limit(3).collect()] if hit is not None else []
+            if sample:
+                raise ArchiveCollision(mv.table, sample)
         return counts
 
     # ---- the run ---------------------------------------------------------------

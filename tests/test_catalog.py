@@ -48,3 +48,17 @@ def test_manifest_coverage(spark):
     partial = {r["table_name"]: r["moved"] for r in
                coverage(spark, edges_frame(spark, TPCH.edges()), "nation", ["nation"]).collect()}
     assert partial["lineitem"] is False and partial["nation"] is True
+
+
+def test_exclusive_parents_report_equals_exclusive_key_set(spark):
+    from rootsweep.operators.closure import close_lazy
+    from rootsweep.operators.report import exclusive_parents
+    from rootsweep.sources.tables import TableStore
+
+    store = TableStore(spark, SF001)
+    csv2 = "NATION_1,NATION_3,NATION_8,NATION_13,NATION_18,NATION_23"
+    keys = close_lazy(TPCH, store.read_input, csv2)
+    rep = {r["id"] for r in exclusive_parents(TPCH, TPCH.keyset("clients"), store.read_input,
+                                              keys["projects"]).collect()}
+    excl = close_lazy(TPCH, store.read_input, csv2, up_mode="exclusive")
+    assert rep == {r["id"] for r in excl["clients"].df.collect()} == {3}
