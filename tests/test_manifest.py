@@ -90,3 +90,20 @@ def test_fk_reach_self_reference_ends_at_bound(spark):
                                 Edge("task", "emp_id", "emp", "id")])
     reach = {r["table_name"]: r["depth"] for r in fk_reach(spark, edges, "emp", max_depth=5).collect()}
     assert reach == {"emp": 5, "task": 5}
+
+
+def test_docs_family_run_moves_whole_texts(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from conftest import SF001
+
+    out = f"{scratch}/docs"
+    r = archive(spark, DOCS, "src0,src7", SF001, out, verify="content")
+    assert r.status == "SUCCESS"
+    s = TableStore(spark, SF001, out)
+    src = spark.read.parquet(f"{SF001}/documents.parquet")
+    chosen = src.filter(F.col("source").isin("src0", "src7"))
+    moved = s.archive("documents").drop("run_id")
+    assert moved.exceptAll(chosen).count() == 0 and chosen.exceptAll(moved).count() == 0
+    assert s.main("documents").count() + moved.count() == src.count()
+    assert {x["table_name"] for x in s.audit.log().collect()} == {"labels", "documents"}
