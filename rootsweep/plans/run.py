@@ -23,6 +23,7 @@ import threading
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -83,13 +84,15 @@ class Archiver:
       * ``verify``: ``"counts"`` (the gate) or ``"content"`` (gate + fingerprint
         of source vs. archived + retained, one extra read of the written data);
       * ``parallelism``: moves in flight at once (independent Spark jobs);
-      * ``max_broadcast_rows``: key sets up to this many rows are broadcast.
+      * ``max_broadcast_rows``: key sets up to this many rows are broadcast;
+      * ``stale_after``: a RUNNING run older than this counts as abandoned.
     """
 
     def __init__(self, spark: SparkSession, manifest: Manifest, input_root: str, output_root: str,
                  *, collation: str | None = None, clients: str = "any", log_empty: bool = False,
                  verify: str = "counts", parallelism: int = 4,
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, hooks: Hooks | None = None):
+                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, hooks: Hooks | None = None,
+                 stale_after: timedelta = timedelta(hours=6)):
         manifest.check()
         if verify not in ("counts", "content"):
             raise ValueError("verify must be 'counts' or 'content'")
@@ -101,6 +104,7 @@ class Archiver:
         self.verify, self.parallelism = verify, max(1, parallelism)
         self.max_rows = max_broadcast_rows
         self.hooks = hooks or Hooks()
+        self.stale_after = stale_after
 
     # ---- stage 3: key sets ----------------------------------------------------
     def _levels(self) -> list[list]:
@@ -224,7 +228,7 @@ class Archiver:
         # Three small independent reads of the audit trail, overlapped: open the
         # run, resolve published versions, reserve log ids (one writer per root).
         with ThreadPoolExecutor(3, thread_name_prefix="rootsweep-open") as pool:
-            f_open = pool.submit(self.audit.open_run, csv)
+            f_open = pool.submit(self.audit.open_run, csv, self.stale_after)
             f_pub = pool.submit(self.store.published)
             f_log = pool.submit(self.audit.next_log_id)
             run_id, started = f_open.result()

@@ -14,7 +14,7 @@ Ids come from ``max + 1`` on the driver: one writer per output root.
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,6 +62,10 @@ RUN_STATUSES = ("RUNNING", "SUCCESS", "FAILED")
 LOG_STATUSES = ("PENDING", "COPIED", "VALIDATED", "DELETED", "FAILED", "SUCCESS")
 
 
+class ConcurrentRun(RuntimeError):
+    """Another run on the same output root has not finished."""
+
+
 def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
@@ -118,20 +122,27 @@ class Audit:
     def _append(self, rows: list[tuple], schema: StructType, path: str) -> None:
         self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
 
-    def open_run(self, project_list: str | None) -> tuple[int, datetime]:
-        """Allocate ``max + 1`` and append the RUNNING row. Runs still RUNNING at
-        this point were abandoned (driver lost mid-run; one writer per output
-        root) and are recorded FAILED first: their files were never published,
-        so nothing else needs undoing. One small read serves both."""
-        runs = self.runs_raw()
-        info = runs.agg(
+    def open_run(self, project_list: str | None,
+                 stale_after: timedelta = timedelta(hours=6)) -> tuple[int, datetime]:
+        """Allocate ``max + 1`` and append the RUNNING row.
+
+        One writer per output root: a run still RUNNING that started less than
+        ``stale_after`` ago blocks the new one (``ConcurrentRun``); an older one
+        was abandoned (driver lost mid-run) and is recorded FAILED first. Its
+        files were never published, so nothing else needs undoing. One small
+        read serves both checks and the id."""
+        info = self.runs_raw().agg(
             F.max("run_id").alias("top"),
             F.collect_list(F.when(F.col("status") == "RUNNING",
-                                  F.struct("run_id", "project_list", "started_at"))).alias("stale"),
+                                  F.struct("run_id", "project_list", "started_at"))).alias("open"),
         ).first()
         now = _now()
+        live = [r for r in (info["open"] or []) if now - r["started_at"] < stale_after]
+        if live:
+            raise ConcurrentRun(f"run {live[0]['run_id']} started at {live[0]['started_at']} is "
+                                "still RUNNING; one writer per output root")
         rows = [(r["run_id"], r["project_list"], r["started_at"], now, "FAILED",
-                 "abandoned: the run ended without a final state") for r in (info["stale"] or [])]
+                 "abandoned: the run ended without a final state") for r in (info["open"] or [])]
         run_id = int(info["top"] or 0) + 1
         rows.append((run_id, project_list if project_list is not None else "", now, None,
                      "RUNNING", None))

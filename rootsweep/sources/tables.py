@@ -93,6 +93,8 @@ class TableStore:
         runs = (published if published is not None else self.published()).get(table, [])
         if not runs:
             path = self.input_path(table)
+            if not fs.exists(self.spark, path):
+                raise FileNotFoundError(f"input table {table!r} not found at {path}")
             return Version(table, (path,), self.spark.read.parquet(path).schema, None)
         last = runs[-1]
         kept = self.part_dir(table, last, False)

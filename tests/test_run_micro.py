@@ -272,7 +272,23 @@ def test_abandoned_run_is_failed_by_the_next(spark, micro, scratch):
     inp, out = micro(), f"{scratch}/out"
     s = store(spark, inp, out)
     rid, _ = s.audit.open_run("A")  # a driver that died right after opening
-    run(spark, inp, out, "A")
+    from datetime import timedelta
+
+    from rootsweep.sources.audit import ConcurrentRun
+    with pytest.raises(ConcurrentRun):  # recent: treated as a live writer
+        run(spark, inp, out, "A")
+    run(spark, inp, out, "A", stale_after=timedelta(0))
     runs = {r["run_id"]: r for r in s.audit.runs().collect()}
     assert runs[rid]["status"] == "FAILED" and "abandoned" in runs[rid]["error_message"]
     assert runs[rid + 1]["status"] == "SUCCESS"
+
+
+def test_missing_input_table_names_it(spark, micro, scratch):
+    from conftest import base_rows, write_tables
+    rows = base_rows()
+    rows.pop("code_map")
+    inp = write_tables(spark, f"{scratch}/partial", rows)
+    with pytest.raises(FileNotFoundError, match="code_map"):
+        run(spark, inp, f"{scratch}/out", "A")
+    (row,) = store(spark, inp, f"{scratch}/out").audit.runs().collect()
+    assert row["status"] == "FAILED" and "code_map" in row["error_message"]
