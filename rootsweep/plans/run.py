@@ -33,6 +33,7 @@ from ..operators.closure import dedup_for_write, derive
 from ..operators.joins import DEFAULT_MAX_BROADCAST_ROWS, Keys, flag, semi
 from ..operators.validate import (
     ArchiveCollision,
+    CountMismatch,
     FingerprintMismatch,
     KeyViolation,
     MoveCounts,
@@ -40,10 +41,17 @@ from ..operators.validate import (
     check_schema,
     collisions,
 )
+from ..sources import fs
 from ..sources.tables import TableStore, Version
 from .manifest import Manifest, Move
 
 
+# Shuffle sizing for joins that cannot broadcast: ~256 MB of Parquet input per
+# initial partition, at most 65,536 partitions (AQE coalesces small shuffles).
+SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 65_536
+
+
 @dataclass
 class Hooks:
     """Test seams: ``before_move(table)`` may raise (failure injection);
@@ -85,14 +93,18 @@ class Archiver:
         of source vs. archived + retained, one extra read of the written data);
       * ``parallelism``: moves in flight at once (independent Spark jobs);
       * ``max_broadcast_rows``: key sets up to this many rows are broadcast;
-      * ``stale_after``: a RUNNING run older than this counts as abandoned.
+      * ``stale_after``: a RUNNING run older than this counts as abandoned;
+      * ``target_file_bytes``, ``compact_min_files``: an archived part written as
+        at least ``compact_min_files`` files averaging under half the target is
+        compacted to about ``bytes / target_file_bytes`` files before publishing.
     """
 
     def __init__(self, spark: SparkSession, manifest: Manifest, input_root: str, output_root: str,
                  *, collation: str | None = None, clients: str = "any", log_empty: bool = False,
                  verify: str = "counts", parallelism: int = 4,
                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, hooks: Hooks | None = None,
-                 stale_after: timedelta = timedelta(hours=6)):
+                 stale_after: timedelta = timedelta(hours=6),
+                 target_file_bytes: int = 128 * 1024 * 1024, compact_min_files: int = 64):
         manifest.check()
         if verify not in ("counts", "content"):
             raise ValueError("verify must be 'counts' or 'content'")
@@ -105,6 +117,7 @@ class Archiver:
         self.max_rows = max_broadcast_rows
         self.hooks = hooks or Hooks()
         self.stale_after = stale_after
+        self.target_file_bytes, self.compact_min_files = target_file_bytes, compact_min_files
 
     # ---- stage 3: key sets ----------------------------------------------------
     def _levels(self) -> list[list]:
@@ -199,8 +212,15 @@ class Archiver:
             counts = self.hooks.counts(counts)
         check_counts(counts)
 
+        if copied > 0:
+            self._compact_archived(mv.table, run_id, copied)
+
         if self.verify == "content" and copied > 0:
-            got = spark.read.parquet(out).drop("archived").agg(*fingerprint_aggs(cols)).first()
+            parts = [spark.read.parquet(self.store.part_dir(mv.table, run_id, True))]
+            if retained:
+                parts.append(spark.read.parquet(self.store.part_dir(mv.table, run_id, False)))
+            both = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+            got = both.agg(*fingerprint_aggs(cols)).first()
             src = (int(m["src_rows"]), m["src_fingerprint"])
             if (int(got["rows"]), got["fingerprint"]) != src:
                 raise FingerprintMismatch(mv.table, src, (got["rows"], got["fingerprint"]))
@@ -214,7 +234,41 @@ class Archiver:
                 raise ArchiveCollision(mv.table, sample)
         return counts
 
+    def _compact_archived(self, table: str, run_id: int, copied: int) -> None:
+        """Sparse hits leave one small archived file per split task (hundreds of
+        thousands on a large table). Rewrite the archived part into files of
+        about ``target_file_bytes`` before the run is published; the cost is a
+        read of the archived rows only. ``coalesce`` merges tasks without a
+        shuffle; the row count is observed on the write and must not change."""
+        src = self.store.split_part_dir(table, run_id, True)
+        n_files, n_bytes = fs.files(self.spark, src)
+        if n_files < self.compact_min_files or n_bytes >= n_files * self.target_file_bytes // 2:
+            return
+        target = max(1, -(-n_bytes // self.target_file_bytes))
+        (self.spark.read.parquet(src).coalesce(target)
+         .write.mode("errorifexists").parquet(self.store.compact_dir(table, run_id)))
+        written = self.spark.read.parquet(self.store.compact_dir(table, run_id)).count()
+        if written != copied:
+            raise CountMismatch(table, written, copied, "archived part changed while compacting")
+
     # ---- the run ---------------------------------------------------------------
+    def _size_shuffles(self, versions: dict[str, Version]) -> None:
+        """A join that cannot broadcast shuffles its table; with AQE the shuffle
+        starts at ``initialPartitionNum`` partitions and is coalesced down, never
+        split up (except skew). Raise that start to about one partition per
+        ``SHUFFLE_PARTITION_BYTES`` of the largest input (file sizes, metadata
+        only), capped; never lower a cluster's own setting."""
+        conf = self.spark.conf
+        if conf.get("spark.sql.adaptive.enabled", "true").lower() != "true":
+            return
+        largest = max((sum(fs.total_bytes(self.spark, p) for p in v.paths)
+                       for v in versions.values()), default=0)
+        need = min(MAX_SHUFFLE_PARTITIONS, -(-largest // SHUFFLE_PARTITION_BYTES))
+        key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+        current = conf.get(key, None) or conf.get("spark.sql.shuffle.partitions", "200")
+        if need > int(current):
+            conf.set(key, str(need))
+
     def _writers(self) -> None:
         """A split writes two partition values per task. With concurrent output
         writers Spark keeps both files open instead of sorting every task's rows
@@ -237,6 +291,7 @@ class Archiver:
         try:
             published, first_log_id = f_pub.result(), f_log.result()
             versions = self.store.snapshot(self.manifest.tables(), published)
+            self._size_shuffles(versions)
             read = self.store.reader(versions)
             keys = self.build_keys(run_id, read, csv)
             result.keys = {k: v.rows for k, v in keys.items()}

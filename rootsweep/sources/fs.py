@@ -30,3 +30,25 @@ def children(spark: SparkSession, path: str) -> list[str]:
 def join(*parts: str) -> str:
     head, *rest = parts
     return "/".join([head.rstrip("/"), *[r.strip("/") for r in rest]])
+
+
+def files(spark: SparkSession, path: str, suffix: str = ".parquet") -> tuple[int, int]:
+    """(number of data files, total bytes) directly under ``path``; (0, 0) if absent."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return 0, 0
+    n = size = 0
+    for st in fs.listStatus(p):
+        name = str(st.getPath().getName())
+        if st.isFile() and name.endswith(suffix) and not name.startswith(("_", ".")):
+            n += 1
+            size += int(st.getLen())
+    return n, size
+
+
+def total_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes under ``path`` (recursive, metadata only); 0 if absent."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return 0
+    return int(fs.getContentSummary(p).getLength())

@@ -5,6 +5,7 @@ Layout under ``output_root``::
     keys/run_id=<r>/<key set>/                  materialised key sets (evidence)
     tables/<t>/run_id=<r>/archived=true/         rows archived by run r
     tables/<t>/run_id=<r>/archived=false/        the table's next main version
+    tables/<t>/compacted/run_id=<r>/             archived part rewritten into fewer files
     audit/...                                    see ``sources.audit``
 
 One split write fills both ``archived`` folders. Only runs whose latest state
@@ -68,8 +69,20 @@ class TableStore:
         return fs.join(self.output_root, "tables", table, f"run_id={run_id}")
 
     def part_dir(self, table: str, run_id: int, archived: bool) -> str:
+        """Folder of one part of a run's split. The archived part may have been
+        compacted before the run was published; then the compacted copy is it."""
+        if archived:
+            compact = self.compact_dir(table, run_id)
+            if fs.exists(self.spark, compact):
+                return compact
+        return self.split_part_dir(table, run_id, archived)
+
+    def split_part_dir(self, table: str, run_id: int, archived: bool) -> str:
         return fs.join(self.table_dir(table, run_id), f"archived={'true' if archived else 'false'}")
 
+    def compact_dir(self, table: str, run_id: int) -> str:
+        return fs.join(self.output_root, "tables", table, "compacted", f"run_id={run_id}")
+
     def keys_dir(self, run_id: int, keyset: str) -> str:
         return fs.join(self.output_root, "keys", f"run_id={run_id}", keyset)
 
@@ -128,9 +141,18 @@ class TableStore:
         runs = (published if published is not None else self.published()).get(table, [])
         if not runs:
             return None
+        # Two path-list reads (plain split parts, compacted parts); partition
+        # discovery supplies run_id, so the plan stays two scans for any number of runs.
         base = fs.join(self.output_root, "tables", table)
-        paths = [self.part_dir(table, r, True) for r in runs]
-        return self.spark.read.option("basePath", base).parquet(*paths).drop("archived")
+        compacted = {r for r in runs if fs.exists(self.spark, self.compact_dir(table, r))}
+        reads = []
+        plain = [self.split_part_dir(table, r, True) for r in runs if r not in compacted]
+        if plain:
+            reads.append(self.spark.read.option("basePath", base).parquet(*plain).drop("archived"))
+        if compacted:
+            reads.append(self.spark.read.option("basePath", fs.join(base, "compacted"))
+                         .parquet(*[self.compact_dir(table, r) for r in sorted(compacted)]))
+        return reads[0] if len(reads) == 1 else reads[0].unionByName(reads[1])
 
     def archive_schema(self, table: str, published: dict[str, list[int]] | None = None) -> StructType | None:
         runs = (published if published is not None else self.published()).get(table, [])
