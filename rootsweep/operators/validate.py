@@ -97,6 +97,17 @@ def check_schema(table: str, main: StructType, archive: StructType | None) -> No
         raise SchemaMismatch(table, main, archive)
 
 
+def assert_counts(counts: DataFrame) -> DataFrame:
+    """The gate inside a query: ``counts`` with columns ``table_name``,
+    ``rows_copied``, ``rows_deleted``; evaluating the result raises
+    ``Count mismatch`` on the executors for the first bad row."""
+    bad = F.col("rows_copied") != F.col("rows_deleted")
+    return counts.withColumn("gate", F.when(bad, F.raise_error(F.concat(
+        F.lit("Count mismatch: "), F.col("table_name"), F.lit(" copied "),
+        F.col("rows_copied").cast("string"), F.lit(", deleted "),
+        F.col("rows_deleted").cast("string")))).otherwise(F.lit(None)).isNull())
+
+
 def fingerprint(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """One row ``(rows, fingerprint)``: row count and order-free content hash."""
     return df.agg(*fingerprint_aggs(cols or df.columns))

@@ -42,6 +42,7 @@ from ..operators.validate import (
     collisions,
 )
 from ..sources import fs
+from ..sources.catalog import session_info
 from ..sources.tables import TableStore, Version
 from .manifest import Manifest, Move
 
@@ -94,6 +95,8 @@ class Archiver:
       * ``parallelism``: moves in flight at once (independent Spark jobs);
       * ``max_broadcast_rows``: key sets up to this many rows are broadcast;
       * ``stale_after``: a RUNNING run older than this counts as abandoned;
+      * ``stamp_session``: write ``database=..; user=..`` of the session into each
+        log line's ``note``;
       * ``target_file_bytes``, ``compact_min_files``: an archived part written as
         at least ``compact_min_files`` files averaging under half the target is
         compacted to about ``bytes / target_file_bytes`` files before publishing.
@@ -104,7 +107,8 @@ class Archiver:
                  verify: str = "counts", parallelism: int = 4,
                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, hooks: Hooks | None = None,
                  stale_after: timedelta = timedelta(hours=6),
-                 target_file_bytes: int = 128 * 1024 * 1024, compact_min_files: int = 64):
+                 target_file_bytes: int = 128 * 1024 * 1024, compact_min_files: int = 64,
+                 stamp_session: bool = False):
         manifest.check()
         if verify not in ("counts", "content"):
             raise ValueError("verify must be 'counts' or 'content'")
@@ -118,6 +122,7 @@ class Archiver:
         self.hooks = hooks or Hooks()
         self.stale_after = stale_after
         self.target_file_bytes, self.compact_min_files = target_file_bytes, compact_min_files
+        self.stamp_session = stamp_session
 
     # ---- stage 3: key sets ----------------------------------------------------
     def _levels(self) -> list[list]:
@@ -298,7 +303,12 @@ class Archiver:
             stage = "moves"
             result.counts = self._moves(run_id, versions, keys, published)
             stage = "Finalizing"
-            self.audit.write_log(run_id, result.log_lines(self.log_empty), first_log_id)
+            lines = result.log_lines(self.log_empty)
+            if self.stamp_session and lines:
+                info = session_info(self.spark).first()
+                note = f"database={info['current_database']}; user={info['current_user']}"
+                lines = [{**ln, "note": note} for ln in lines]
+            self.audit.write_log(run_id, lines, first_log_id)
             self.audit.close_run(run_id, csv, started, "SUCCESS")
             result.status = "SUCCESS"
             return result

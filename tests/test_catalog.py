@@ -62,3 +62,26 @@ def test_exclusive_parents_report_equals_exclusive_key_set(spark):
                                               keys["projects"]).collect()}
     excl = close_lazy(TPCH, store.read_input, csv2, up_mode="exclusive")
     assert rep == {r["id"] for r in excl["clients"].df.collect()} == {3}
+
+
+def test_in_query_gate_raises_on_mismatch(spark):
+    import pytest
+
+    from rootsweep.operators.validate import assert_counts
+
+    ok = spark.createDataFrame([("a", 3, 3)], "table_name string, rows_copied long, rows_deleted long")
+    assert [r["gate"] for r in assert_counts(ok).collect()] == [True]
+    bad = spark.createDataFrame([("b", 3, 4)], "table_name string, rows_copied long, rows_deleted long")
+    with pytest.raises(Exception, match="Count mismatch: b copied 3, deleted 4"):
+        assert_counts(bad).collect()
+
+
+def test_session_stamped_in_note(spark, scratch):
+    from conftest import MICRO, base_rows, write_tables
+
+    from rootsweep import TableStore, archive
+
+    inp = write_tables(spark, f"{scratch}/in", base_rows())
+    archive(spark, MICRO, "A", inp, f"{scratch}/out", stamp_session=True)
+    notes = {r["note"] for r in TableStore(spark, inp, f"{scratch}/out").audit.log().collect()}
+    assert len(notes) == 1 and notes.pop().startswith("database=default; user=")
