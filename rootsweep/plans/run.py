@@ -158,25 +158,31 @@ class Archiver:
             rows = written.count()
         return Keys(ks.name, written.drop("__rs_n"), rows=rows, distinct=True)
 
-    def build_keys(self, run_id: int, read: Callable[[str], DataFrame], csv: str | None) -> dict[str, Keys]:
-        known: dict[str, Keys] = {}
+    def build_keys(self, run_id: int, read: Callable[[str], DataFrame], csv: str | None,
+                   known: dict[str, Keys] | None = None,
+                   on_level: Callable[[set[str]], None] | None = None) -> dict[str, Keys]:
+        """All key sets, level by level (sets of one level concurrently);
+        ``on_level(names)`` is called as soon as a level is written."""
+        known = {} if known is None else known
         for level in self._levels():
             if len(level) == 1 or self.parallelism == 1:
                 for ks in level:
                     known[ks.name] = self.build_key(run_id, ks, read, known, csv)
-                continue
-            with ThreadPoolExecutor(min(self.parallelism, len(level)),
-                                    thread_name_prefix="rootsweep-keys") as pool:
-                futures = {ks.name: pool.submit(self.build_key, run_id, ks, read, dict(known), csv)
-                           for ks in level}
-                errors = []
-                for name, fut in futures.items():  # manifest order
-                    try:
-                        known[name] = fut.result()
-                    except BaseException as exc:
-                        errors.append(exc)
-                if errors:
-                    raise errors[0]
+            else:
+                with ThreadPoolExecutor(min(self.parallelism, len(level)),
+                                        thread_name_prefix="rootsweep-keys") as pool:
+                    futures = {ks.name: pool.submit(self.build_key, run_id, ks, read, dict(known), csv)
+                               for ks in level}
+                    errors = []
+                    for name, fut in futures.items():  # manifest order
+                        try:
+                            known[name] = fut.result()
+                        except BaseException as exc:
+                            errors.append(exc)
+                    if errors:
+                        raise errors[0]
+            if on_level:
+                on_level({ks.name for ks in level})
         return known
 
     # ---- stage 4/5: one move ----------------------------------------------------
@@ -297,11 +303,8 @@ class Archiver:
             published, first_log_id = f_pub.result(), f_log.result()
             versions = self.store.snapshot(self.manifest.tables(), published)
             self._size_shuffles(versions)
-            read = self.store.reader(versions)
-            keys = self.build_keys(run_id, read, csv)
+            keys, result.counts = self._keys_and_moves(run_id, versions, csv, published)
             result.keys = {k: v.rows for k, v in keys.items()}
-            stage = "moves"
-            result.counts = self._moves(run_id, versions, keys, published)
             stage = "Finalizing"
             lines = result.log_lines(self.log_empty)
             if self.stamp_session and lines:
@@ -322,40 +325,64 @@ class Archiver:
                     raise cause from None
                 raise
 
-    def _moves(self, run_id: int, versions: dict[str, Version], keys: dict[str, Keys],
-               published: dict[str, list[int]]) -> list[MoveCounts]:
+    def _keys_and_moves(self, run_id: int, versions: dict[str, Version], csv: str | None,
+                        published: dict[str, list[int]]) -> tuple[dict[str, Keys], list[MoveCounts]]:
+        """Key sets, then moves. In parallel mode a table's move starts as soon
+        as its own key set is written (moves only read the pinned snapshot and
+        write run-scoped folders, so the selection cannot be disturbed); deeper
+        key sets keep building meanwhile. Serial mode keeps the strict order."""
+        read = self.store.reader(versions)
         moves = list(self.manifest.moves)
-        first_error: list[_MoveError] = []
+        keys: dict[str, Keys] = {}
+        errors: list[_MoveError] = []
+        stop = threading.Event()
         lock = threading.Lock()
 
         def one(mv: Move) -> MoveCounts | None:
-            with lock:
-                if first_error:
-                    return None  # stop scheduling new moves after a failure
+            if stop.is_set():
+                return None  # a step already failed: start nothing new
             try:
                 return self.move(run_id, mv, versions[mv.table], keys[mv.keyset], published)
             except BaseException as exc:
                 err = _MoveError(mv.table, exc)
                 with lock:
-                    first_error.append(err)
+                    errors.append(err)
+                stop.set()
                 raise err
 
+        out: list[MoveCounts | None] = []
         if self.parallelism == 1:
-            out = [one(mv) for mv in moves]
+            self.build_keys(run_id, read, csv, keys)
+            for mv in moves:
+                try:
+                    out.append(one(mv))
+                except _MoveError:
+                    break
         else:
+            futures = {}
             with ThreadPoolExecutor(self.parallelism, thread_name_prefix="rootsweep-move") as pool:
-                futures = [pool.submit(one, mv) for mv in moves]
-                out = []
-                for f in futures:
-                    try:
-                        out.append(f.result())
-                    except _MoveError:
-                        out.append(None)
-        if first_error:
+                def release(names: set[str]) -> None:
+                    if stop.is_set():
+                        raise errors[0]  # abandon the remaining key sets
+                    for mv in moves:
+                        if mv.keyset in names:
+                            futures[mv.table] = pool.submit(one, mv)
+
+                try:
+                    self.build_keys(run_id, read, csv, keys, on_level=release)
+                except BaseException:
+                    stop.set()
+                    raise  # leaving the block first waits for moves in flight
+            for mv in moves:
+                try:
+                    out.append(futures[mv.table].result())
+                except _MoveError:
+                    out.append(None)
+        if errors:
             # report the failing step that comes first in manifest order
             order = {mv.table: i for i, mv in enumerate(moves)}
-            raise min(first_error, key=lambda e: order[e.table])
-        return [c for c in out if c is not None]
+            raise min(errors, key=lambda e: order[e.table])
+        return keys, [c for c in out if c is not None]
 
 
 def archive(spark: SparkSession, manifest: Manifest, csv: str | None, input_root: str,
