@@ -85,3 +85,21 @@ def test_session_stamped_in_note(spark, scratch):
     archive(spark, MICRO, "A", inp, f"{scratch}/out", stamp_session=True)
     notes = {r["note"] for r in TableStore(spark, inp, f"{scratch}/out").audit.log().collect()}
     assert len(notes) == 1 and notes.pop().startswith("database=default; user=")
+
+
+def test_command_line(spark, scratch, capsys):
+    import json
+
+    from rootsweep.__main__ import main
+
+    out = f"{scratch}/cli"
+    assert main(["archive", "--csv", "NATION_1,NATION_7", "--input", SF001, "--output", out],
+                spark=spark) == 0
+    res = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert res["status"] == "SUCCESS" and res["moved"]["lineitem"] == 319
+    assert main(["dry-run", "--csv", "NATION_1,NATION_7", "--input", SF001, "--output", out],
+                spark=spark) == 0
+    assert main(["runs", "--output", out], spark=spark) == 0
+    assert main(["reach", "--root", "nation"], spark=spark) == 0
+    assert main(["purge", "--output", out, "--runs", "1"], spark=spark) == 0
+    assert Audit(spark, out).runs().count() == 0
