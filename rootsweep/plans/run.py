@@ -196,7 +196,6 @@ class Archiver:
         check_schema(mv.table, v.schema, self.store.archive_schema(mv.table, published))
 
         source = self.store.read_version(v)
-        rows_before = source.count()  # Parquet footers, independent of the split
         cols = list(v.schema.names)
         obs = Observation(f"split_{mv.table}_{run_id}")
         aggs = [F.count(F.lit(1)).alias("n"), F.count_if(F.col("archived")).alias("hits")]
@@ -204,7 +203,12 @@ class Archiver:
             aggs += fingerprint_aggs(cols, prefix="src_")
         split = flag(source, mv.column, keys, self.max_rows).observe(obs, *aggs)
         out = self.store.table_dir(mv.table, run_id)
-        split.write.mode("errorifexists").partitionBy("archived").parquet(out)  # see _writers()
+        with ThreadPoolExecutor(1, thread_name_prefix="rootsweep-count") as side:
+            # the source's row count (Parquet footers, independent of the split)
+            # runs as its own small job while the split is written
+            before = side.submit(source.count)
+            split.write.mode("errorifexists").partitionBy("archived").parquet(out)  # see _writers()
+            rows_before = before.result()
 
         # Read back what was written: both parts in one job over the run folder.
         # (partition discovery may type the folder value as string or boolean)
