@@ -276,8 +276,8 @@ class Archiver:
         conf = self.spark.conf
         if conf.get("spark.sql.adaptive.enabled", "true").lower() != "true":
             return
-        largest = max((sum(fs.total_bytes(self.spark, p) for p in v.paths)
-                       for v in versions.values()), default=0)
+        sizes = fs.total_bytes(self.spark, [p for v in versions.values() for p in v.paths])
+        largest = max((sum(sizes[p] for p in v.paths) for v in versions.values()), default=0)
         need = min(MAX_SHUFFLE_PARTITIONS, -(-largest // SHUFFLE_PARTITION_BYTES))
         key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
         current = conf.get(key, None) or conf.get("spark.sql.shuffle.partitions", "200")

@@ -86,9 +86,8 @@ class Audit:
                 self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
 
     def _read(self, path: str, schema: StructType) -> DataFrame:
-        if not fs.exists(self.spark, path):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path)
+        df = fs.try_parquet(self.spark, path, schema)
+        return df if df is not None else self.spark.createDataFrame([], schema)
 
     # ---- raw records (used for version resolution) -------------------------
     def runs_raw(self) -> DataFrame:

@@ -1,54 +1,87 @@
-"""Path helpers over the Hadoop FileSystem of the session (local, HDFS, S3A...).
+"""Path helpers through the public DataFrame API.
 
-Only metadata calls (exists, list); data always goes through DataFrame readers
-and writers, never through the driver."""
+Listings use the ``binaryFile`` source with its ``content`` column pruned, so
+only file metadata (path, length) is read; they work on any Hadoop-compatible
+store and under Spark Connect. Large folders are never probed here: input
+tables and main versions are opened by reading them (one listing, reused)."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import re
+from functools import reduce
 
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-def _fs_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+def missing(exc: AnalysisException) -> bool:
+    return (exc.getCondition() or "") == "PATH_NOT_FOUND"
+
+
+def listing(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame | None:
+    """``(path, length)`` of the data files under ``path`` (hidden ``_``/``.``
+    files excluded), or None if the path does not exist."""
+    reader = spark.read.format("binaryFile")
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    try:
+        return reader.load(path).select("path", "length")
+    except AnalysisException as exc:
+        if missing(exc):
+            return None
+        raise
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs_path(spark, path)
-    return bool(fs.exists(p))
+    """For small folders (audit tables, key sets, archived parts)."""
+    return listing(spark, path) is not None
+
+
+def try_parquet(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+    """``spark.read.parquet(path)``, or None if the path does not exist."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    try:
+        return reader.parquet(path)
+    except AnalysisException as exc:
+        if missing(exc):
+            return None
+        raise
+
+
+def files(spark: SparkSession, path: str, suffix: str = ".parquet") -> tuple[int, int]:
+    """(number of data files, total bytes) under ``path``; (0, 0) if absent."""
+    lst = listing(spark, path)
+    if lst is None:
+        return 0, 0
+    row = lst.filter(F.col("path").endswith(suffix)).agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("b")).first()
+    return int(row["n"]), int(row["b"])
+
+
+def total_bytes(spark: SparkSession, paths: list[str]) -> dict[str, int]:
+    """Bytes under each of ``paths`` (recursive): the listings are unioned, so
+    one small aggregation job serves all of them."""
+    found = [(p, lst) for p in paths if (lst := listing(spark, p, recursive=True)) is not None]
+    out = {p: 0 for p in paths}
+    if found:
+        tagged = [lst.select(F.lit(p).alias("root"), "length") for p, lst in found]
+        u = reduce(DataFrame.unionByName, tagged)
+        for r in u.groupBy("root").agg(F.sum("length").alias("b")).collect():
+            out[r["root"]] = int(r["b"] or 0)
+    return out
 
 
 def children(spark: SparkSession, path: str) -> list[str]:
-    """Names (not paths) of the entries directly under ``path``; [] if absent."""
-    fs, p = _fs_path(spark, path)
-    if not fs.exists(p):
+    """Names directly under ``path`` that hold data files; [] if absent."""
+    lst = listing(spark, path, recursive=True)
+    if lst is None:
         return []
-    return sorted(str(st.getPath().getName()) for st in fs.listStatus(p))
+    base = re.escape(path.rstrip("/").split("/")[-1])
+    names = lst.select(F.regexp_extract("path", f"/{base}/([^/]+)", 1).alias("n")).distinct()
+    return sorted(r["n"] for r in names.collect() if r["n"])
 
 
 def join(*parts: str) -> str:
     head, *rest = parts
     return "/".join([head.rstrip("/"), *[r.strip("/") for r in rest]])
-
-
-def files(spark: SparkSession, path: str, suffix: str = ".parquet") -> tuple[int, int]:
-    """(number of data files, total bytes) directly under ``path``; (0, 0) if absent."""
-    fs, p = _fs_path(spark, path)
-    if not fs.exists(p):
-        return 0, 0
-    n = size = 0
-    for st in fs.listStatus(p):
-        name = str(st.getPath().getName())
-        if st.isFile() and name.endswith(suffix) and not name.startswith(("_", ".")):
-            n += 1
-            size += int(st.getLen())
-    return n, size
-
-
-def total_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes under ``path`` (recursive, metadata only); 0 if absent."""
-    fs, p = _fs_path(spark, path)
-    if not fs.exists(p):
-        return 0
-    return int(fs.getContentSummary(p).getLength())

@@ -25,7 +25,7 @@ plan can issue it instead; on plain Parquet a touched table is rewritten.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,12 +37,14 @@ from .audit import Audit
 
 @dataclass(frozen=True)
 class Version:
-    """One pinned version of a main table: where to read it and its schema."""
+    """One pinned version of a main table: where to read it and its schema
+    (``frame`` keeps the opened DataFrame, so its file listing is reused)."""
 
     table: str
     paths: tuple[str, ...]
     schema: StructType
     run_id: int | None  # None = the input table
+    frame: DataFrame | None = field(default=None, compare=False, repr=False)
 
     @property
     def empty(self) -> bool:
@@ -57,12 +59,24 @@ class TableStore:
         self.audit = Audit(spark, output_root) if output_root else None
 
     # ---- input tables ------------------------------------------------------
-    def input_path(self, table: str) -> str:
+    def _open_input(self, table: str) -> tuple[str, DataFrame | None]:
+        """``<root>/<t>.parquet`` (a file or folder), else ``<root>/<t>/``;
+        opened by reading, so a large folder is listed once."""
         single = fs.join(self.input_root, f"{table}.parquet")
-        return single if fs.exists(self.spark, single) else fs.join(self.input_root, table)
+        df = fs.try_parquet(self.spark, single)
+        if df is not None:
+            return single, df
+        folder = fs.join(self.input_root, table)
+        return folder, fs.try_parquet(self.spark, folder)
+
+    def input_path(self, table: str) -> str:
+        return self._open_input(table)[0]
 
     def read_input(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.input_path(table))
+        path, df = self._open_input(table)
+        if df is None:
+            raise FileNotFoundError(f"input table {table!r} not found at {path}")
+        return df
 
     # ---- folders of the output ---------------------------------------------
     def table_dir(self, table: str, run_id: int) -> str:
@@ -105,16 +119,16 @@ class TableStore:
     def version(self, table: str, published: dict[str, list[int]] | None = None) -> Version:
         runs = (published if published is not None else self.published()).get(table, [])
         if not runs:
-            path = self.input_path(table)
-            if not fs.exists(self.spark, path):
+            path, df = self._open_input(table)
+            if df is None:
                 raise FileNotFoundError(f"input table {table!r} not found at {path}")
-            return Version(table, (path,), self.spark.read.parquet(path).schema, None)
+            return Version(table, (path,), df.schema, None, df)
         last = runs[-1]
-        kept = self.part_dir(table, last, False)
-        moved = self.part_dir(table, last, True)
-        schema = self.spark.read.parquet(moved).schema
-        if fs.exists(self.spark, kept):
-            return Version(table, (kept,), schema, last)
+        schema = self.spark.read.parquet(self.part_dir(table, last, True)).schema
+        kept = self.split_part_dir(table, last, False)
+        df = fs.try_parquet(self.spark, kept, schema)
+        if df is not None:
+            return Version(table, (kept,), schema, last, df)
         return Version(table, (), schema, last)  # every row moved
 
     def snapshot(self, tables: list[str], published: dict[str, list[int]] | None = None) -> dict[str, Version]:
@@ -129,6 +143,8 @@ class TableStore:
             return {t: f.result() for t, f in futures.items()}
 
     def read_version(self, v: Version) -> DataFrame:
+        if v.frame is not None:
+            return v.frame
         if v.empty:
             return self.spark.createDataFrame([], v.schema)
         return self.spark.read.schema(v.schema).parquet(*v.paths)
