@@ -71,6 +71,7 @@ class MoveCounts:
     rows_in_main: int
     rows_copied: int
     rows_deleted: int
+    notes: tuple[str, ...] = ()  # what the move wrote, for the log's note
 
     @property
     def ok(self) -> bool:

@@ -19,6 +19,7 @@ Stages (the reference's procedure, re-planned for Spark):
 
 from __future__ import annotations
 
+import dataclasses
 import threading
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -43,7 +44,7 @@ from ..operators.validate import (
 )
 from ..sources import fs
 from ..sources.catalog import session_info
-from ..sources.tables import TableStore, Version
+from ..sources.tables import NOTE_COMPACTED, NOTE_EMPTIED, TableStore, Version
 from .manifest import Manifest, Move
 
 
@@ -70,10 +71,15 @@ class RunResult:
     counts: list[MoveCounts] = field(default_factory=list)
     error: str | None = None
 
-    def log_lines(self, log_empty: bool = False) -> list[dict]:
-        return [dict(table_name=c.table, rows_in_main=c.rows_in_main, rows_copied=c.rows_copied,
-                     rows_deleted=c.rows_deleted, status="SUCCESS")
-                for c in self.counts if c.rows_copied > 0 or log_empty]
+    def log_lines(self, log_empty: bool = False, stamp: str | None = None) -> list[dict]:
+        out = []
+        for c in self.counts:
+            if c.rows_copied > 0 or log_empty:
+                note = "; ".join([*c.notes, *([stamp] if stamp else [])]) or None
+                out.append(dict(table_name=c.table, rows_in_main=c.rows_in_main,
+                                rows_copied=c.rows_copied, rows_deleted=c.rows_deleted,
+                                status="SUCCESS", note=note))
+        return out
 
 
 class _MoveError(Exception):
@@ -108,13 +114,13 @@ class Archiver:
                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, hooks: Hooks | None = None,
                  stale_after: timedelta = timedelta(hours=6),
                  target_file_bytes: int = 128 * 1024 * 1024, compact_min_files: int = 64,
-                 stamp_session: bool = False):
+                 stamp_session: bool = False, input_layout: str = "auto"):
         manifest.check()
         if verify not in ("counts", "content"):
             raise ValueError("verify must be 'counts' or 'content'")
         self.spark = spark
         self.manifest = manifest
-        self.store = TableStore(spark, input_root, output_root)
+        self.store = TableStore(spark, input_root, output_root, input_layout)
         self.audit = self.store.audit
         self.collation, self.clients, self.log_empty = collation, clients, log_empty
         self.verify, self.parallelism = verify, max(1, parallelism)
@@ -227,13 +233,17 @@ class Archiver:
             counts = self.hooks.counts(counts)
         check_counts(counts)
 
-        if copied > 0:
-            self._compact_archived(mv.table, run_id, copied)
+        compacted = copied > 0 and self._compact_archived(mv.table, run_id, copied)
+        moved_path = (self.store.compact_dir(mv.table, run_id) if compacted
+                      else self.store.split_part_dir(mv.table, run_id, True))
+        notes = tuple(n for n, on in ((NOTE_COMPACTED, compacted), (NOTE_EMPTIED, retained == 0))
+                      if on)
+        counts = dataclasses.replace(counts, notes=notes)
 
         if self.verify == "content" and copied > 0:
-            parts = [spark.read.parquet(self.store.part_dir(mv.table, run_id, True))]
+            parts = [spark.read.parquet(moved_path)]
             if retained:
-                parts.append(spark.read.parquet(self.store.part_dir(mv.table, run_id, False)))
+                parts.append(spark.read.parquet(self.store.split_part_dir(mv.table, run_id, False)))
             both = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
             got = both.agg(*fingerprint_aggs(cols)).first()
             src = (int(m["src_rows"]), m["src_fingerprint"])
@@ -241,7 +251,7 @@ class Archiver:
                 raise FingerprintMismatch(mv.table, src, (got["rows"], got["fingerprint"]))
 
         if mv.pk and copied > 0:
-            moved = spark.read.parquet(self.store.part_dir(mv.table, run_id, True))
+            moved = spark.read.parquet(moved_path)
             hit = collisions(moved, mv.pk, self.store.archive(mv.table, published), copied,
                              self.max_rows)
             sample = [r["id"] for r in hit.limit(3).collect()] if hit is not None else []
@@ -249,7 +259,7 @@ class Archiver:
                 raise ArchiveCollision(mv.table, sample)
         return counts
 
-    def _compact_archived(self, table: str, run_id: int, copied: int) -> None:
+    def _compact_archived(self, table: str, run_id: int, copied: int) -> bool:
         """Sparse hits leave one small archived file per split task (hundreds of
         thousands on a large table). Rewrite the archived part into files of
         about ``target_file_bytes`` before the run is published; the cost is a
@@ -258,13 +268,14 @@ class Archiver:
         src = self.store.split_part_dir(table, run_id, True)
         n_files, n_bytes = fs.files(self.spark, src)
         if n_files < self.compact_min_files or n_bytes >= n_files * self.target_file_bytes // 2:
-            return
+            return False
         target = max(1, -(-n_bytes // self.target_file_bytes))
         (self.spark.read.parquet(src).coalesce(target)
          .write.mode("errorifexists").parquet(self.store.compact_dir(table, run_id)))
         written = self.spark.read.parquet(self.store.compact_dir(table, run_id)).count()
         if written != copied:
             raise CountMismatch(table, written, copied, "archived part changed while compacting")
+        return True
 
     # ---- the run ---------------------------------------------------------------
     def _size_shuffles(self, versions: dict[str, Version]) -> None:
@@ -310,12 +321,11 @@ class Archiver:
             keys, result.counts = self._keys_and_moves(run_id, versions, csv, published)
             result.keys = {k: v.rows for k, v in keys.items()}
             stage = "Finalizing"
-            lines = result.log_lines(self.log_empty)
-            if self.stamp_session and lines:
+            stamp = None
+            if self.stamp_session:
                 info = session_info(self.spark).first()
-                note = f"database={info['current_database']}; user={info['current_user']}"
-                lines = [{**ln, "note": note} for ln in lines]
-            self.audit.write_log(run_id, lines, first_log_id)
+                stamp = f"database={info['current_database']}; user={info['current_user']}"
+            self.audit.write_log(run_id, result.log_lines(self.log_empty, stamp), first_log_id)
             self.audit.close_run(run_id, csv, started, "SUCCESS")
             result.status = "SUCCESS"
             return result

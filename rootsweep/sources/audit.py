@@ -80,10 +80,11 @@ class Audit:
 
     # ---- A5: create if absent ---------------------------------------------
     def ensure(self) -> None:
+        """Create each audit table if absent (``mode("ignore")`` leaves an
+        existing one untouched and needs no probe)."""
         for path, schema in ((self.run_path, RUN_SCHEMA), (self.log_path, LOG_SCHEMA),
                              (self.purge_path, PURGE_SCHEMA)):
-            if not fs.exists(self.spark, path):
-                self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+            self.spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
 
     def _read(self, path: str, schema: StructType) -> DataFrame:
         df = fs.try_parquet(self.spark, path, schema)
@@ -130,6 +131,7 @@ class Audit:
         was abandoned (driver lost mid-run) and is recorded FAILED first. Its
         files were never published, so nothing else needs undoing. One small
         read serves both checks and the id."""
+        self.ensure()
         info = self.runs_raw().agg(
             F.max("run_id").alias("top"),
             F.collect_list(F.when(F.col("status") == "RUNNING",

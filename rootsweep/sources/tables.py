@@ -51,22 +51,40 @@ class Version:
         return not self.paths
 
 
+# Flags a run records in its log line's ``note`` about what it wrote, so that
+# readers never probe for folders that may be absent.
+NOTE_COMPACTED = "archived part compacted"
+NOTE_EMPTIED = "main emptied"
+
+
 class TableStore:
-    def __init__(self, spark: SparkSession, input_root: str, output_root: str | None = None):
+    """``input_layout``: ``"file"`` (``<root>/<t>.parquet``), ``"folder"``
+    (``<root>/<t>/``) or ``"auto"`` (try the file form, then the folder)."""
+
+    def __init__(self, spark: SparkSession, input_root: str, output_root: str | None = None,
+                 input_layout: str = "auto"):
+        if input_layout not in ("auto", "file", "folder"):
+            raise ValueError("input_layout must be 'auto', 'file' or 'folder'")
         self.spark = spark
         self.input_root = input_root
         self.output_root = output_root
+        self.input_layout = input_layout
         self.audit = Audit(spark, output_root) if output_root else None
+        self._notes: dict[tuple[str, int], str] | None = None  # filled by published()
 
     # ---- input tables ------------------------------------------------------
     def _open_input(self, table: str) -> tuple[str, DataFrame | None]:
         """``<root>/<t>.parquet`` (a file or folder), else ``<root>/<t>/``;
         opened by reading, so a large folder is listed once."""
         single = fs.join(self.input_root, f"{table}.parquet")
+        folder = fs.join(self.input_root, table)
+        if self.input_layout == "file":
+            return single, fs.try_parquet(self.spark, single)
+        if self.input_layout == "folder":
+            return folder, fs.try_parquet(self.spark, folder)
         df = fs.try_parquet(self.spark, single)
         if df is not None:
             return single, df
-        folder = fs.join(self.input_root, table)
         return folder, fs.try_parquet(self.spark, folder)
 
     def input_path(self, table: str) -> str:
@@ -82,13 +100,16 @@ class TableStore:
     def table_dir(self, table: str, run_id: int) -> str:
         return fs.join(self.output_root, "tables", table, f"run_id={run_id}")
 
+    def note(self, table: str, run_id: int) -> str:
+        if self._notes is None:
+            self.published()
+        return (self._notes or {}).get((table, run_id)) or ""
+
     def part_dir(self, table: str, run_id: int, archived: bool) -> str:
-        """Folder of one part of a run's split. The archived part may have been
-        compacted before the run was published; then the compacted copy is it."""
-        if archived:
-            compact = self.compact_dir(table, run_id)
-            if fs.exists(self.spark, compact):
-                return compact
+        """Folder of one part of a published run's split. An archived part
+        compacted before publishing (flagged in the log) is the compacted copy."""
+        if archived and NOTE_COMPACTED in self.note(table, run_id):
+            return self.compact_dir(table, run_id)
         return self.split_part_dir(table, run_id, archived)
 
     def split_part_dir(self, table: str, run_id: int, archived: bool) -> str:
@@ -110,10 +131,13 @@ class TableStore:
         ok = self.audit.runs_raw().filter(F.col("status") == "SUCCESS").select("run_id")
         rows = (self.audit.log_raw().filter(F.col("rows_copied") > 0)
                 .join(ok, "run_id", "left_semi")
-                .select("table_name", "run_id").distinct().collect())
-        out: dict[str, list[int]] = {}
+                .select("table_name", "run_id", "note").collect())
+        out: dict[str, set[int]] = {}
+        notes: dict[tuple[str, int], str] = {}
         for r in rows:
-            out.setdefault(r["table_name"], []).append(int(r["run_id"]))
+            out.setdefault(r["table_name"], set()).add(int(r["run_id"]))
+            notes[(r["table_name"], int(r["run_id"]))] = r["note"] or ""
+        self._notes = notes
         return {t: sorted(v) for t, v in out.items()}
 
     def version(self, table: str, published: dict[str, list[int]] | None = None) -> Version:
@@ -125,11 +149,10 @@ class TableStore:
             return Version(table, (path,), df.schema, None, df)
         last = runs[-1]
         schema = self.spark.read.parquet(self.part_dir(table, last, True)).schema
+        if NOTE_EMPTIED in self.note(table, last):
+            return Version(table, (), schema, last)  # every row moved
         kept = self.split_part_dir(table, last, False)
-        df = fs.try_parquet(self.spark, kept, schema)
-        if df is not None:
-            return Version(table, (kept,), schema, last, df)
-        return Version(table, (), schema, last)  # every row moved
+        return Version(table, (kept,), schema, last, self.spark.read.schema(schema).parquet(kept))
 
     def snapshot(self, tables: list[str], published: dict[str, list[int]] | None = None) -> dict[str, Version]:
         """Pin one version per table for a whole run (closure and split read the
@@ -160,7 +183,7 @@ class TableStore:
         # Two path-list reads (plain split parts, compacted parts); partition
         # discovery supplies run_id, so the plan stays two scans for any number of runs.
         base = fs.join(self.output_root, "tables", table)
-        compacted = {r for r in runs if fs.exists(self.spark, self.compact_dir(table, r))}
+        compacted = {r for r in runs if NOTE_COMPACTED in self.note(table, r)}
         reads = []
         plain = [self.split_part_dir(table, r, True) for r in runs if r not in compacted]
         if plain:

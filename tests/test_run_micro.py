@@ -12,11 +12,12 @@ from rootsweep.operators.validate import CountMismatch, KeyViolation
 
 
 def run(spark, inp, out, csv, **kw):
-    return archive(spark, MICRO, csv, inp, out, parallelism=kw.pop("parallelism", 4), **kw)
+    return archive(spark, MICRO, csv, inp, out, parallelism=kw.pop("parallelism", 4),
+                   input_layout="folder", **kw)
 
 
 def store(spark, inp, out):
-    return TableStore(spark, inp, out)
+    return TableStore(spark, inp, out, input_layout="folder")
 
 
 def test_m1_one_of_two_projects(spark, micro, scratch):
@@ -189,7 +190,7 @@ def test_m16_archive_collision(spark, micro, scratch):
         s.main(t).write.parquet(f"{inp2}/{t}")
     spark.read.parquet(restored).write.parquet(f"{inp2}/project")
     # point a fresh run at the same output (archive) but the restored input
-    arch = Archiver(spark, MICRO, inp2, out)
+    arch = Archiver(spark, MICRO, inp2, out, input_layout="folder")
     arch.store.snapshot = lambda tables, published=None: {t: arch.store.version(t, {}) for t in tables}
     with pytest.raises(Exception, match="already holds"):
         arch.run("A")
@@ -204,7 +205,7 @@ def test_m17_schema_differs(spark, micro, scratch):
     for t in ("client", "project", "encounter", "document", "code", "client_cfg"):
         s.main(t).write.parquet(f"{inp2}/{t}")
     s.main("code_map").select("code_id", "id").write.parquet(f"{inp2}/code_map")  # swapped
-    arch = Archiver(spark, MICRO, inp2, out)
+    arch = Archiver(spark, MICRO, inp2, out, input_layout="folder")
     arch.store.snapshot = lambda tables, published=None: {t: arch.store.version(t, {}) for t in tables}
     with pytest.raises(Exception, match="differs from its archive"):
         arch.run("B")
