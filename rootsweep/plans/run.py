@@ -129,6 +129,7 @@ class Archiver:
         self.stale_after = stale_after
         self.target_file_bytes, self.compact_min_files = target_file_bytes, compact_min_files
         self.stamp_session = stamp_session
+        self._sized = False
 
     # ---- stage 3: key sets ----------------------------------------------------
     def _levels(self) -> list[list]:
@@ -204,7 +205,9 @@ class Archiver:
         source = self.store.read_version(v)
         cols = list(v.schema.names)
         obs = Observation(f"split_{mv.table}_{run_id}")
-        aggs = [F.count(F.lit(1)).alias("n"), F.count_if(F.col("archived")).alias("hits")]
+        hit_task = F.when(F.col("archived"), F.spark_partition_id())
+        aggs = [F.count(F.lit(1)).alias("n"), F.count_if(F.col("archived")).alias("hits"),
+                F.min(hit_task).alias("task_lo"), F.max(hit_task).alias("task_hi")]
         if self.verify == "content":
             aggs += fingerprint_aggs(cols, prefix="src_")
         split = flag(source, mv.column, keys, self.max_rows).observe(obs, *aggs)
@@ -233,7 +236,10 @@ class Archiver:
             counts = self.hooks.counts(counts)
         check_counts(counts)
 
-        compacted = copied > 0 and self._compact_archived(mv.table, run_id, copied)
+        # archived files <= write tasks holding archived rows <= task id span
+        span = 0 if m["task_hi"] is None else int(m["task_hi"]) - int(m["task_lo"]) + 1
+        compacted = (copied > 0 and span >= self.compact_min_files
+                     and self._compact_archived(mv.table, run_id, copied))
         moved_path = (self.store.compact_dir(mv.table, run_id) if compacted
                       else self.store.split_part_dir(mv.table, run_id, True))
         notes = tuple(n for n, on in ((NOTE_COMPACTED, compacted), (NOTE_EMPTIED, retained == 0))
@@ -278,6 +284,14 @@ class Archiver:
         return True
 
     # ---- the run ---------------------------------------------------------------
+    def _size_if_needed(self, versions: dict[str, Version], keys: dict[str, Keys]) -> None:
+        """Shuffle sizing only matters once a key set is too big to broadcast
+        (its joins then shuffle whole tables); until then nothing is listed."""
+        if not self._sized and any(k.rows is not None and not k.small(self.max_rows)
+                                   for k in keys.values()):
+            self._sized = True
+            self._size_shuffles(versions)
+
     def _size_shuffles(self, versions: dict[str, Version]) -> None:
         """A join that cannot broadcast shuffles its table; with AQE the shuffle
         starts at ``initialPartitionNum`` partitions and is coalesced down, never
@@ -305,6 +319,7 @@ class Archiver:
 
     def run(self, csv: str | None) -> RunResult:
         self._writers()
+        self.audit.ensure()  # audit tables exist before anything reads them
         # Three small independent reads of the audit trail, overlapped: open the
         # run, resolve published versions, reserve log ids (one writer per root).
         with ThreadPoolExecutor(3, thread_name_prefix="rootsweep-open") as pool:
@@ -317,7 +332,7 @@ class Archiver:
         try:
             published, first_log_id = f_pub.result(), f_log.result()
             versions = self.store.snapshot(self.manifest.tables(), published)
-            self._size_shuffles(versions)
+            self._sized = False
             keys, result.counts = self._keys_and_moves(run_id, versions, csv, published)
             result.keys = {k: v.rows for k, v in keys.items()}
             stage = "Finalizing"
@@ -366,7 +381,8 @@ class Archiver:
 
         out: list[MoveCounts | None] = []
         if self.parallelism == 1:
-            self.build_keys(run_id, read, csv, keys)
+            self.build_keys(run_id, read, csv, keys,
+                            on_level=lambda names: self._size_if_needed(versions, keys))
             for mv in moves:
                 try:
                     out.append(one(mv))
@@ -378,6 +394,7 @@ class Archiver:
                 def release(names: set[str]) -> None:
                     if stop.is_set():
                         raise errors[0]  # abandon the remaining key sets
+                    self._size_if_needed(versions, keys)
                     for mv in moves:
                         if mv.keyset in names:
                             futures[mv.table] = pool.submit(one, mv)

@@ -14,6 +14,7 @@ Ids come from ``max + 1`` on the driver: one writer per output root.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -82,10 +83,15 @@ class Audit:
     def ensure(self) -> None:
         """Create each audit table if absent (``mode("ignore")`` leaves an
         existing one untouched and needs no probe)."""
-        for path, schema in ((self.run_path, RUN_SCHEMA), (self.log_path, LOG_SCHEMA),
-                             (self.purge_path, PURGE_SCHEMA)):
+        def create(path: str, schema: StructType) -> None:
             self.spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
 
+        with ThreadPoolExecutor(3, thread_name_prefix="rootsweep-audit") as pool:
+            for f in [pool.submit(create, p, sc) for p, sc in (
+                    (self.run_path, RUN_SCHEMA), (self.log_path, LOG_SCHEMA),
+                    (self.purge_path, PURGE_SCHEMA))]:
+                f.result()
+
     def _read(self, path: str, schema: StructType) -> DataFrame:
         df = fs.try_parquet(self.spark, path, schema)
         return df if df is not None else self.spark.createDataFrame([], schema)
@@ -131,7 +137,6 @@ class Audit:
         was abandoned (driver lost mid-run) and is recorded FAILED first. Its
         files were never published, so nothing else needs undoing. One small
         read serves both checks and the id."""
-        self.ensure()
         info = self.runs_raw().agg(
             F.max("run_id").alias("top"),
             F.collect_list(F.when(F.col("status") == "RUNNING",
