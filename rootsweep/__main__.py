@@ -5,6 +5,7 @@
   dry-run  --manifest tpch --csv ... --input IN [--output OUT]
   purge    --output OUT --runs 3,4
   runs     --output OUT            (audit: runs and log lines)
+  vacuum   --manifest tpch --input IN --output OUT [--apply]
   reach    --manifest tpch --root nation
 """
 
@@ -49,6 +50,11 @@ def _parser() -> argparse.ArgumentParser:
     u.add_argument("--runs", required=True, help="comma-separated run ids")
     r = sub.add_parser("runs", help="show the audit trail")
     r.add_argument("--output", required=True)
+    v = sub.add_parser("vacuum", help="list (or with --apply delete) superseded folders")
+    v.add_argument("--manifest", default="tpch", choices=sorted(MANIFESTS))
+    v.add_argument("--input", required=True)
+    v.add_argument("--output", required=True)
+    v.add_argument("--apply", action="store_true")
     g = sub.add_parser("reach", help="tables under a root, depth, moved or not")
     g.add_argument("--manifest", default="tpch", choices=sorted(MANIFESTS))
     g.add_argument("--root", required=True)
@@ -77,6 +83,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         a = Audit(spark, args.output)
         a.runs().orderBy("run_id").show(truncate=False)
         a.log().orderBy("id").show(truncate=False)
+    elif args.cmd == "vacuum":
+        store = TableStore(spark, args.input, args.output)
+        for p in store.vacuum(MANIFESTS[args.manifest].tables(), apply=args.apply):
+            print(("deleted " if args.apply else "would delete ") + p)
     elif args.cmd == "reach":
         m = MANIFESTS[args.manifest]
         coverage(spark, edges_frame(spark, m.edges()), args.root,

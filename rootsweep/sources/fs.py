@@ -85,3 +85,13 @@ def children(spark: SparkSession, path: str) -> list[str]:
 def join(*parts: str) -> str:
     head, *rest = parts
     return "/".join([head.rstrip("/"), *[r.strip("/") for r in rest]])
+
+
+def delete(spark: SparkSession, path: str) -> bool:
+    """Remove ``path`` recursively; False if it was absent. The DataFrame API
+    has no delete, so this goes through the session's Hadoop FileSystem
+    (classic sessions only); callers pass only folders they own."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fsys = p.getFileSystem(sc._jsc.hadoopConfiguration())
+    return bool(fsys.exists(p)) and bool(fsys.delete(p, True))

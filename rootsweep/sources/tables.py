@@ -199,6 +199,42 @@ class TableStore:
             return None
         return self.spark.read.parquet(self.part_dir(table, runs[-1], True)).schema
 
+    # ---- reclaiming space ----------------------------------------------------
+    def superseded(self, tables: list[str]) -> list[str]:
+        """Folders no reader will look at again, for ``tables``:
+
+        * the retained part of a published run that a later published run of
+          the same table replaced (the main moved on);
+        * the uncompacted archived part of a run whose archive was compacted;
+        * the split folders of runs that ended FAILED (never published).
+
+        Current mains, every archive, key sets (evidence) and the folders of a
+        RUNNING run are never listed."""
+        pub = self.published()
+        runs = {int(r["run_id"]): r["status"] for r in
+                self.audit.runs_raw().select("run_id", "status").collect()}
+        out: list[str] = []
+        for t in tables:
+            done = pub.get(t, [])
+            out += [self.split_part_dir(t, r, False) for r in done[:-1]]
+            out += [self.split_part_dir(t, r, True) for r in done
+                    if NOTE_COMPACTED in self.note(t, r)]
+            out += [self.table_dir(t, r) for r, st in sorted(runs.items()) if st == "FAILED"]
+            out += [self.compact_dir(t, r) for r, st in sorted(runs.items()) if st == "FAILED"]
+        return out
+
+    def vacuum(self, tables: list[str], apply: bool = False) -> list[str]:
+        """Delete ``superseded(tables)`` (or, by default, only list them).
+        Refuses while a run is RUNNING: one writer per output root, and a run in
+        flight may still read what it pinned."""
+        running = self.audit.runs_raw().filter(F.col("status") == "RUNNING").count()
+        if running:
+            raise RuntimeError("a run is RUNNING on this output root; vacuum later")
+        paths = self.superseded(tables)
+        if not apply:
+            return paths
+        return [p for p in paths if fs.delete(self.spark, p)]
+
     def reader(self, versions: dict[str, Version] | None = None):
         """``table -> DataFrame`` over pinned versions (or the input tables)."""
         if versions is None:

@@ -293,3 +293,30 @@ def test_missing_input_table_names_it(spark, micro, scratch):
         run(spark, inp, f"{scratch}/out", "A")
     (row,) = store(spark, inp, f"{scratch}/out").audit.runs().collect()
     assert row["status"] == "FAILED" and "code_map" in row["error_message"]
+
+
+def test_vacuum_removes_only_unreachable_folders(spark, micro, scratch):
+    """After two runs, the first run's retained parts are superseded; a failed
+    run's folders were never published. Vacuum removes exactly those, and the
+    current mains and the whole archive read the same afterwards."""
+    from rootsweep.sources import fs
+
+    inp, out = micro(), f"{scratch}/out"
+    run(spark, inp, out, "A")
+    with pytest.raises(RuntimeError):
+        run(spark, inp, out, "B", hooks=Hooks(before_move=lambda t: (_ for _ in ()).throw(
+            RuntimeError("injected")) if t == "client" else None))
+    run(spark, inp, out, "B")
+    s = store(spark, inp, out)
+    tables = [m.table for m in MICRO.moves]
+    before = {t: (sorted(ids(s.main(t))), sorted(ids(s.archive(t)))) for t in tables}
+    listed = s.vacuum(tables)  # dry run
+    assert s.split_part_dir("project", 1, False) in listed  # replaced by run 3
+    assert s.split_part_dir("project", 3, False) not in listed  # current main
+    assert not any("archived=true" in p and "run_id=1/" in p for p in listed)
+    assert any(p.endswith("run_id=2") for p in listed)  # the failed run
+    deleted = s.vacuum(tables, apply=True)
+    assert s.split_part_dir("project", 1, False) in deleted
+    assert not fs.exists(spark, s.split_part_dir("project", 1, False))
+    after = {t: (sorted(ids(s.main(t))), sorted(ids(s.archive(t)))) for t in tables}
+    assert after == before
