@@ -49,7 +49,7 @@ def live_refs(manifest: Manifest, ks: KeySet, tables: TableReader, parent: Keys,
 
 def derive(manifest: Manifest, ks: KeySet, tables: TableReader, known: dict[str, Keys],
            csv: str | None, collation: str | None = None, up_mode: str = "any",
-           max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+           max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, carry_root: bool = False) -> DataFrame:
     """Plan of one key set from its parent (not materialised).
 
     * root: ``SELECT id, name, <carried> FROM root WHERE FIND_IN_SET(name, csv)``
@@ -58,9 +58,17 @@ def derive(manifest: Manifest, ks: KeySet, tables: TableReader, known: dict[str,
       with ``up_mode="exclusive"`` parents still named by a live child stay.
     """
     if ks.kind == "root":
-        return select_roots(tables(ks.table), ks, csv, collation)
+        roots = select_roots(tables(ks.table), ks, csv, collation)
+        return roots.withColumn("root_id", F.col("id")) if carry_root else roots
     parent = known[ks.parent]
     if ks.kind == "down":
+        if carry_root and "root_id" in parent.df.columns:
+            # an inner join on the parent's ids (asserted unique) is the semi
+            # join that also carries each key's root
+            side = parent.df.select(F.col("id").alias("__rs_pid"), "root_id")
+            side = F.broadcast(side) if parent.small(max_rows) else side
+            return (tables(ks.table).join(side, F.col(ks.fk) == F.col("__rs_pid"), "inner")
+                    .select(F.col(ks.key).alias("id"), "root_id"))
         return semi(tables(ks.table), ks.fk, parent, max_rows).select(F.col(ks.key).alias("id"))
     refs = parent_refs(manifest, ks, tables, parent, max_rows)
     small = parent.small(max_rows)  # refs are at most as many as the parents

@@ -72,6 +72,7 @@ class MoveCounts:
     rows_copied: int
     rows_deleted: int
     notes: tuple[str, ...] = ()  # what the move wrote, for the log's note
+    by_root: tuple[tuple[int, int], ...] = ()  # (root id, rows archived), if asked
 
     @property
     def ok(self) -> bool:

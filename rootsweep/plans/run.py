@@ -71,7 +71,11 @@ class RunResult:
     counts: list[MoveCounts] = field(default_factory=list)
     error: str | None = None
 
-    def log_lines(self, log_empty: bool = False, stamp: str | None = None) -> list[dict]:
+    def log_lines(self, log_empty: bool = False, stamp: str | None = None,
+                  root_names: dict[int, str] | None = None) -> list[dict]:
+        """One line per moved table (the gate's counts); with ``root_names``
+        also one line per table and project, ``project_id``/``project_name``
+        set and ``note`` = ``by project``."""
         out = []
         for c in self.counts:
             if c.rows_copied > 0 or log_empty:
@@ -79,6 +83,11 @@ class RunResult:
                 out.append(dict(table_name=c.table, rows_in_main=c.rows_in_main,
                                 rows_copied=c.rows_copied, rows_deleted=c.rows_deleted,
                                 status="SUCCESS", note=note))
+                for rid, n in (c.by_root if root_names is not None else ()):
+                    out.append(dict(table_name=c.table, project_id=rid,
+                                    project_name=root_names.get(rid), rows_in_main=n,
+                                    rows_copied=n, rows_deleted=n, status="SUCCESS",
+                                    note="by project"))
         return out
 
 
@@ -103,6 +112,8 @@ class Archiver:
       * ``stale_after``: a RUNNING run older than this counts as abandoned;
       * ``stamp_session``: write ``database=..; user=..`` of the session into each
         log line's ``note``;
+      * ``log_by_project``: key sets under the root carry their root id, and the
+        log gets a line per table and project (shared parents excepted);
       * ``target_file_bytes``, ``compact_min_files``: an archived part written as
         at least ``compact_min_files`` files averaging under half the target is
         compacted to about ``bytes / target_file_bytes`` files before publishing.
@@ -114,7 +125,8 @@ class Archiver:
                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, hooks: Hooks | None = None,
                  stale_after: timedelta = timedelta(hours=6),
                  target_file_bytes: int = 128 * 1024 * 1024, compact_min_files: int = 64,
-                 stamp_session: bool = False, input_layout: str = "auto"):
+                 stamp_session: bool = False, input_layout: str = "auto",
+                 log_by_project: bool = False):
         manifest.check()
         if verify not in ("counts", "content"):
             raise ValueError("verify must be 'counts' or 'content'")
@@ -129,6 +141,7 @@ class Archiver:
         self.stale_after = stale_after
         self.target_file_bytes, self.compact_min_files = target_file_bytes, compact_min_files
         self.stamp_session = stamp_session
+        self.log_by_project = log_by_project
         self._sized = False
 
     # ---- stage 3: key sets ----------------------------------------------------
@@ -148,7 +161,8 @@ class Archiver:
         """Derive one key set, write it once (deduplicated, with multiplicity),
         and assert the key while writing: row count and violations are observed
         on the write itself, so no second job runs unless something is wrong."""
-        plan = derive(self.manifest, ks, read, known, csv, self.collation, self.clients, self.max_rows)
+        plan = derive(self.manifest, ks, read, known, csv, self.collation, self.clients,
+                      self.max_rows, carry_root=self.log_by_project)
         path = self.store.keys_dir(run_id, ks.name)
         bad_cond = (F.col("__rs_n") > 1) | F.col("id").isNull()
         obs = Observation(f"keys_{ks.name}_{run_id}")
@@ -244,7 +258,17 @@ class Archiver:
                       else self.store.split_part_dir(mv.table, run_id, True))
         notes = tuple(n for n, on in ((NOTE_COMPACTED, compacted), (NOTE_EMPTIED, retained == 0))
                       if on)
-        counts = dataclasses.replace(counts, notes=notes)
+        by_root = ()
+        if self.log_by_project and copied > 0 and "root_id" in keys.df.columns:
+            # archived rows per root: a join of the (small) archived part with
+            # the key set; one row per selected root comes back
+            side = keys.df.select(F.col("id").alias("__rs_kid"), "root_id")
+            per = (spark.read.parquet(moved_path).select(F.col(mv.column).alias("__rs_col"))
+                   .join(F.broadcast(side) if keys.small(self.max_rows) else side,
+                         F.col("__rs_col") == F.col("__rs_kid"))
+                   .groupBy("root_id").agg(F.count(F.lit(1)).alias("n")).collect())
+            by_root = tuple(sorted((int(r["root_id"]), int(r["n"])) for r in per))
+        counts = dataclasses.replace(counts, notes=notes, by_root=by_root)
 
         if self.verify == "content" and copied > 0:
             parts = [spark.read.parquet(moved_path)]
@@ -340,7 +364,12 @@ class Archiver:
             if self.stamp_session:
                 info = session_info(self.spark).first()
                 stamp = f"database={info['current_database']}; user={info['current_user']}"
-            self.audit.write_log(run_id, result.log_lines(self.log_empty, stamp), first_log_id)
+            names = None
+            if self.log_by_project:
+                root = keys[self.manifest.root.name].df.select("id", "name").collect()
+                names = {int(r["id"]): r["name"] for r in root}  # the selected roots only
+            self.audit.write_log(run_id, result.log_lines(self.log_empty, stamp, names),
+                                 first_log_id)
             self.audit.close_run(run_id, csv, started, "SUCCESS")
             result.status = "SUCCESS"
             return result

@@ -131,12 +131,13 @@ class TableStore:
         ok = self.audit.runs_raw().filter(F.col("status") == "SUCCESS").select("run_id")
         rows = (self.audit.log_raw().filter(F.col("rows_copied") > 0)
                 .join(ok, "run_id", "left_semi")
-                .select("table_name", "run_id", "note").collect())
+                .select("table_name", "run_id", "project_id", "note").collect())
         out: dict[str, set[int]] = {}
         notes: dict[tuple[str, int], str] = {}
         for r in rows:
             out.setdefault(r["table_name"], set()).add(int(r["run_id"]))
-            notes[(r["table_name"], int(r["run_id"]))] = r["note"] or ""
+            if r["project_id"] is None:  # the table's own line, not a per-project one
+                notes[(r["table_name"], int(r["run_id"]))] = r["note"] or ""
         self._notes = notes
         return {t: sorted(v) for t, v in out.items()}
 

@@ -124,3 +124,33 @@ def test_shuffle_start_is_raised_for_large_inputs(spark, scratch):
             assert int(spark.conf.get(key)) > 8
         finally:
             runmod.SHUFFLE_PARTITION_BYTES = old
+
+
+def test_log_by_project_lines_add_up(spark, scratch):
+    """Per-project log lines: down key sets carry their root; for each moved
+    table the project lines sum to the table line; shared parents (region) get
+    the table line only; compaction flags survive next to project lines."""
+    from rootsweep import Archiver
+
+    inp = f"{scratch}/in"
+    for t in ("nation", "region", "customer", "supplier", "orders", "events"):
+        spark.read.parquet(f"{SF001}/{t}.parquet").write.parquet(f"{inp}/{t}")
+    spark.read.parquet(f"{SF001}/lineitem.parquet").repartition(16).write.parquet(f"{inp}/lineitem")
+    out = f"{scratch}/out"
+    r = Archiver(spark, TPCH, inp, out, log_by_project=True, compact_min_files=4,
+                 input_layout="folder").run("NATION_1,NATION_7")
+    s = TableStore(spark, inp, out, input_layout="folder")
+    log = s.audit.log().collect()
+    table_lines = {x["table_name"]: x["rows_copied"] for x in log if x["project_id"] is None}
+    per = {}
+    for x in log:
+        if x["project_id"] is not None:
+            per.setdefault(x["table_name"], {})[x["project_name"]] = x["rows_copied"]
+    assert per["customer"] == {"NATION_1": 6, "NATION_7": 3}
+    for t, n in table_lines.items():
+        if t != "region":
+            assert sum(per[t].values()) == n, t
+    assert "region" not in per
+    # the lineitem archive was compacted; readers still find it
+    assert s.part_dir("lineitem", r.run_id, True) == s.compact_dir("lineitem", r.run_id)
+    assert s.archive("lineitem").count() == table_lines["lineitem"] == 319
