@@ -57,10 +57,12 @@ MAX_SHUFFLE_PARTITIONS = 65_536
 @dataclass
 class Hooks:
     """Test seams: ``before_move(table)`` may raise (failure injection);
-    ``counts(c) -> c`` may alter measured counts (mismatch injection)."""
+    ``counts(c) -> c`` may alter measured counts (mismatch injection);
+    ``split(table, df) -> df`` may wrap the split plan (task-failure injection)."""
 
     before_move: Callable[[str], None] | None = None
     counts: Callable[[MoveCounts], MoveCounts] | None = None
+    split: Callable[[str, DataFrame], DataFrame] | None = None  # wraps a table's split plan
 
 
 @dataclass
@@ -227,7 +229,10 @@ class Archiver:
                 F.min(hit_task).alias("task_lo"), F.max(hit_task).alias("task_hi")]
         if self.verify == "content":
             aggs += fingerprint_aggs(cols, prefix="src_")
-        split = flag(source, mv.column, keys, self.max_rows).observe(obs, *aggs)
+        split = flag(source, mv.column, keys, self.max_rows)
+        if self.hooks.split:
+            split = self.hooks.split(mv.table, split)
+        split = split.observe(obs, *aggs)
         out = self.store.table_dir(mv.table, run_id)
         with ThreadPoolExecutor(1, thread_name_prefix="rootsweep-count") as side:
             # the source's row count (Parquet footers, independent of the split)
