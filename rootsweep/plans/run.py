@@ -127,7 +127,7 @@ class Archiver:
                  *, collation: str | None = None, clients: str = "any", log_empty: bool = False,
                  verify: str = "counts", parallelism: int = 4,
                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, hooks: Hooks | None = None,
-                 stale_after: timedelta = timedelta(hours=6),
+                 stale_after: timedelta = timedelta(hours=24),
                  target_file_bytes: int = 128 * 1024 * 1024, compact_min_files: int = 64,
                  stamp_session: bool = False, input_layout: str = "auto",
                  log_by_project: bool = False, check_collisions: bool = True):

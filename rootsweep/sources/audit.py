@@ -1,8 +1,8 @@
 """Audit trail: ``archival_run`` (one header per run) and ``archival_log`` (one
 line per moved table), stored as append-only Parquet under ``<root>/audit``.
 
-* A run's state changes are appended rows; the latest state per ``run_id`` wins
-  (RUNNING < SUCCESS | FAILED).
+* A run's state changes are appended rows; the final state per ``run_id`` wins
+  (RUNNING < SUCCESS < FAILED).
 * Log lines of a run are written in one batch, before the run's SUCCESS row;
   the SUCCESS row is the act that publishes the run (see ``sources.tables``).
 * Purging a run appends a tombstone; audit views hide the run and its lines
@@ -100,7 +100,10 @@ class Audit:
     def runs_raw(self) -> DataFrame:
         """Latest state per run, purged runs included."""
         states = self._read(self.run_path, RUN_SCHEMA)
-        rank = F.when(F.col("status") == "RUNNING", 0).otherwise(1)
+        # RUNNING < SUCCESS < FAILED: a run another writer already declared
+        # abandoned stays unpublished even if it later writes SUCCESS
+        rank = (F.when(F.col("status") == "RUNNING", 0)
+                .when(F.col("status") == "SUCCESS", 1).otherwise(2))
         latest = states.groupBy("run_id").agg(
             F.max_by(F.struct(*[F.col(c) for c in RUN_SCHEMA.names]), rank).alias("s"))
         return latest.select("s.*")
@@ -129,7 +132,7 @@ class Audit:
         self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
 
     def open_run(self, project_list: str | None,
-                 stale_after: timedelta = timedelta(hours=6)) -> tuple[int, datetime]:
+                 stale_after: timedelta = timedelta(hours=24)) -> tuple[int, datetime]:
         """Allocate ``max + 1`` and append the RUNNING row.
 
         One writer per output root: a run still RUNNING that started less than

@@ -320,3 +320,15 @@ def test_vacuum_removes_only_unreachable_folders(spark, micro, scratch):
     assert not fs.exists(spark, s.split_part_dir("project", 1, False))
     after = {t: (sorted(ids(s.main(t))), sorted(ids(s.archive(t)))) for t in tables}
     assert after == before
+
+
+def test_failed_outranks_a_late_success(spark, micro, scratch):
+    """A run written off as abandoned that later closes SUCCESS stays unpublished."""
+    inp, out = micro(), f"{scratch}/out"
+    s = store(spark, inp, out)
+    s.audit.ensure()
+    rid, started = s.audit.open_run("A")
+    s.audit.close_run(rid, "A", started, "FAILED", "abandoned")
+    s.audit.close_run(rid, "A", started, "SUCCESS")
+    (row,) = s.audit.runs().collect()
+    assert row["status"] == "FAILED"
