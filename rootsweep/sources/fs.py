@@ -87,11 +87,21 @@ def join(*parts: str) -> str:
     return "/".join([head.rstrip("/"), *[r.strip("/") for r in rest]])
 
 
+def _hadoop(spark: SparkSession, path: str):
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(sc._jsc.hadoopConfiguration()), p
+
+
+def present(spark: SparkSession, path: str) -> bool:
+    """Existence through the session's Hadoop FileSystem (used by vacuum only)."""
+    fsys, p = _hadoop(spark, path)
+    return bool(fsys.exists(p))
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     """Remove ``path`` recursively; False if it was absent. The DataFrame API
     has no delete, so this goes through the session's Hadoop FileSystem
     (classic sessions only); callers pass only folders they own."""
-    sc = spark.sparkContext
-    p = sc._jvm.org.apache.hadoop.fs.Path(path)
-    fsys = p.getFileSystem(sc._jsc.hadoopConfiguration())
+    fsys, p = _hadoop(spark, path)
     return bool(fsys.exists(p)) and bool(fsys.delete(p, True))

@@ -231,7 +231,7 @@ class TableStore:
         running = self.audit.runs_raw().filter(F.col("status") == "RUNNING").count()
         if running:
             raise RuntimeError("a run is RUNNING on this output root; vacuum later")
-        paths = self.superseded(tables)
+        paths = [p for p in self.superseded(tables) if fs.present(self.spark, p)]
         if not apply:
             return paths
         return [p for p in paths if fs.delete(self.spark, p)]
