@@ -71,7 +71,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             opts["max_broadcast_rows"] = args.max_broadcast_rows
         r = Archiver(spark, MANIFESTS[args.manifest], args.input, args.output, **opts).run(args.csv)
         print(json.dumps({"run_id": r.run_id, "status": r.status, "keys": r.keys,
-                          "moved": {c.table: c.rows_copied for c in r.counts}}))
+                          "moved": {c.table: c.rows_copied for c in r.counts},
+                          "seconds": r.seconds}))
     elif args.cmd == "dry-run":
         m = MANIFESTS[args.manifest]
         store = TableStore(spark, args.input, args.output)

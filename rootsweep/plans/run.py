@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import dataclasses
 import threading
+import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -72,6 +73,7 @@ class RunResult:
     keys: dict[str, int] = field(default_factory=dict)
     counts: list[MoveCounts] = field(default_factory=list)
     error: str | None = None
+    seconds: dict[str, float] = field(default_factory=dict)  # "keys:<set>", "move:<table>", "run"
 
     def log_lines(self, log_empty: bool = False, stamp: str | None = None,
                   root_names: dict[int, str] | None = None) -> list[dict]:
@@ -148,6 +150,9 @@ class Archiver:
         self.log_by_project = log_by_project
         self.check_collisions = check_collisions
         self._sized = False
+        self._lock = threading.Lock()
+        self._seconds: dict[str, float] = {}
+        self._result: RunResult | None = None
 
     # ---- stage 3: key sets ----------------------------------------------------
     def _levels(self) -> list[list]:
@@ -161,8 +166,20 @@ class Archiver:
             levels[depth[ks.name]].append(ks)
         return levels
 
+    def _timed(self, label: str, fn, *args):
+        t0 = time.perf_counter()
+        try:
+            return fn(*args)
+        finally:
+            with self._lock:
+                self._seconds[label] = round(time.perf_counter() - t0, 3)
+
     def build_key(self, run_id: int, ks, read: Callable[[str], DataFrame], known: dict[str, Keys],
                   csv: str | None) -> Keys:
+        return self._timed(f"keys:{ks.name}", self._build_key, run_id, ks, read, known, csv)
+
+    def _build_key(self, run_id: int, ks, read: Callable[[str], DataFrame], known: dict[str, Keys],
+                   csv: str | None) -> Keys:
         """Derive one key set, write it once (deduplicated, with multiplicity),
         and assert the key while writing: row count and violations are observed
         on the write itself, so no second job runs unless something is wrong."""
@@ -214,6 +231,10 @@ class Archiver:
     # ---- stage 4/5: one move ----------------------------------------------------
     def move(self, run_id: int, mv: Move, v: Version, keys: Keys,
              published: dict[str, list[int]]) -> MoveCounts:
+        return self._timed(f"move:{mv.table}", self._move, run_id, mv, v, keys, published)
+
+    def _move(self, run_id: int, mv: Move, v: Version, keys: Keys,
+              published: dict[str, list[int]]) -> MoveCounts:
         spark = self.spark
         if self.hooks.before_move:
             self.hooks.before_move(mv.table)
@@ -354,6 +375,17 @@ class Archiver:
             self.spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "2")
 
     def run(self, csv: str | None) -> RunResult:
+        t_run = time.perf_counter()
+        self._seconds = {}
+        try:
+            return self._run(csv)
+        finally:
+            self._seconds["run"] = round(time.perf_counter() - t_run, 3)
+            if self._result is not None:
+                self._result.seconds = dict(self._seconds)
+
+    def _run(self, csv: str | None) -> RunResult:
+        self._result = None
         self._writers()
         self.audit.ensure()  # audit tables exist before anything reads them
         # Three small independent reads of the audit trail, overlapped: open the
@@ -364,7 +396,7 @@ class Archiver:
             f_log = pool.submit(self.audit.next_log_id)
             run_id, started = f_open.result()
         stage = "Temp ID Set Creation"
-        result = RunResult(run_id, "RUNNING")
+        result = self._result = RunResult(run_id, "RUNNING")
         try:
             published, first_log_id = f_pub.result(), f_log.result()
             versions = self.store.snapshot(self.manifest.tables(), published)

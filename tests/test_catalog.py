@@ -97,6 +97,8 @@ def test_command_line(spark, scratch, capsys):
                 spark=spark) == 0
     res = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert res["status"] == "SUCCESS" and res["moved"]["lineitem"] == 319
+    assert res["seconds"]["run"] > 0 and "move:lineitem" in res["seconds"]
+    assert "keys:documents" in res["seconds"]
     assert main(["dry-run", "--csv", "NATION_1,NATION_7", "--input", SF001, "--output", out],
                 spark=spark) == 0
     assert main(["runs", "--output", out], spark=spark) == 0
