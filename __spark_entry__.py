@@ -23,6 +23,14 @@ from rootsweep.plans.queries import (
     registry,
 )
 
+try:
+    from rootsweep.llm.queries import ORACLE_SQL as _LLM_SQL
+    from rootsweep.llm.queries import QUERIES as _LLM
+except ModuleNotFoundError as e:  # only where the subpackage itself is not there
+    if (e.name or "").split(".")[0] not in ("rootsweep", "corpus_pipeline"):
+        raise
+    _LLM, _LLM_SQL = {}, {}
+
 SF_SMOKE = "/root/testdata/sf0.001"
 
 
@@ -32,7 +40,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return registry()
+    return registry() | _LLM
 
 
 # ---------------------------------------------------------------------------
@@ -195,7 +203,7 @@ def oracle_sql() -> dict[str, str]:
     q["fk_reach"] = _fk_reach_sql()
     q["list_tables"] = _counts_sql(_TABLES)
     q["fingerprint"] = _with() + _fingerprint_sql()
-    return q
+    return q | _LLM_SQL
 
 
 def _fingerprint_sql() -> str:
