@@ -8,7 +8,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rootsweep.llm import decontaminate, language, token_count, toxicity
+import corpus_pipeline
+from rootsweep.llm import (
+    decontaminate,
+    katz,
+    language,
+    line_dedup,
+    ngram_join,
+    packing,
+    token_count,
+    toxicity,
+    vector_join,
+    warc,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +35,14 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("spans")
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(_table(spark, sf_dir, "pages")).drop("read_back")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -31,12 +51,40 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language(_table(spark, sf_dir, "documents"))
 
 
+def op7_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_join.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(_table(spark, sf_dir, "documents"))
+
+
+def op9_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.katz_scores(_table(spark, sf_dir, "documents"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: doc_id, n_lines, n_removed and the text that stays."""
+    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_token_counts,
         op2_decontaminate,
+        op3_packing,
+        op4_warc,
         op5_toxicity,
         op6_language,
+        op7_vector_join,
+        op8_ngram_join,
+        op9_katz,
+        op10_line_dedup,
+        pipeline,
     )
 }
 ORACLE_SQL: dict[str, str] = {}

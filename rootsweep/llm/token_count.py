@@ -29,13 +29,13 @@ from rootsweep.llm.common import own_columns
 #: Chunks whose counts a worker remembers before it starts over.
 CACHE = 400_000
 #: White space as \s has it, and the split pattern of byte-level BPE.
-_WS = "\t-\r \x85\xa0  -     　"
+_WS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Parts of a text that the split pattern never crosses.
 _CHUNK = re.compile(rf" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]")
 _SPLIT = regex.compile(_PATTERN)
 #: The same pattern for texts below U+0180, where classes are short enough to write out.
-_L, _N = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ſ", "0-9\xb2\xb3\xb9\xbc-\xbe"
+_L, _N = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u017f", "0-9\xb2\xb3\xb9\xbc-\xbe"
 _SPLIT_LATIN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_WS}{_L}{_N}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
 
 
@@ -100,7 +100,7 @@ class MergeCounter(dict):
         return size - merges
 
     def __missing__(self, chunk: str) -> int:
-        split = _SPLIT_LATIN if max(chunk) < "ƀ" else _SPLIT
+        split = _SPLIT_LATIN if max(chunk) < "\u0180" else _SPLIT
         n = sum(self.word(w.encode("utf-8")) for w in split.findall(chunk))
         if len(self) >= CACHE:
             self.clear()
