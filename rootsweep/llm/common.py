@@ -5,7 +5,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +19,20 @@ from pyspark.sql import functions as F
 STEP_BYTES = 1 << 20
 
 
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever the driver found it, as
+    ``--py-files`` would; once per Spark context."""
+    sc = spark.sparkContext
+    if not getattr(sc, "_rootsweep_shipped", False):
+        root = Path(__file__).resolve().parents[1]
+        out = Path(tempfile.mkdtemp(prefix="rootsweep-")) / "rootsweep.zip"
+        with zipfile.ZipFile(out, "w") as z:
+            for p in sorted(root.rglob("*.py")):
+                z.write(p, p.relative_to(root.parent))
+        sc.addPyFile(str(out))
+        sc._rootsweep_shipped = True
+
+
 # ---- scratch tables -----------------------------------------------------------
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir`` (a machine-local folder only

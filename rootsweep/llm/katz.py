@@ -60,21 +60,24 @@ class Discounts(NamedTuple):
 
 
 def good_turing(of_counts: dict[int, int]) -> Discounts:
-    """Katz's discounts from counts of counts; where these do not give ratios between
-    0 and 1 (small or odd corpora), r / (r + 1/2) stands in for all."""
-    n = [0] + [of_counts.get(r, 0) for r in range(1, GT_MAX + 2)]
-    ratio = np.ones(GT_MAX + 2)
+    """Katz's discounts from counts of counts. Where the raw ones do not give ratios
+    between 0 and 1, a line through their logarithms stands in for them (as in simple
+    Good-Turing); where that fails too (very small corpora), r / (r + 1/2)."""
     r = np.arange(1, GT_MAX + 1)
-    ok = all(n[1:])
-    if ok:
-        shared = (GT_MAX + 1) * n[GT_MAX + 1] / n[1]
-        ok = shared < 1
-    if ok:
-        star = np.array([(k + 1) * n[k + 1] / n[k] for k in r])
-        ratio[1:GT_MAX + 1] = (star / r - shared) / (1 - shared)
-        ok = bool(((ratio[1:GT_MAX + 1] > 0) & (ratio[1:GT_MAX + 1] < 1)).all())
-    if not ok:
-        ratio[1:GT_MAX + 1] = r / (r + 0.5)
+    raw = np.array([of_counts.get(k, 0) for k in range(1, GT_MAX + 2)], float)
+    tries = [raw] if raw.all() else []
+    k = np.flatnonzero(raw)
+    if len(k) > 1:
+        slope, _ = np.polyfit(np.log(k + 1), np.log(raw[k]), 1)
+        tries.append(np.arange(1, GT_MAX + 2) ** slope)
+    ratio = np.ones(GT_MAX + 2)
+    for n in tries:
+        shared = (GT_MAX + 1) * n[-1] / n[0]
+        got = ((r + 1) * n[1:] / n[:-1] / r - shared) / (1 - shared) if shared < 1 else np.zeros(1)
+        if ((got > 0) & (got < 1)).all():
+            ratio[1:GT_MAX + 1] = got
+            return Discounts(ratio)
+    ratio[1:GT_MAX + 1] = r / (r + 0.5)
     return Discounts(ratio)
 
 

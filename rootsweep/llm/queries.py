@@ -21,9 +21,11 @@ from rootsweep.llm import (
     vector_join,
     warc,
 )
+from rootsweep.llm.common import ship
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -69,6 +71,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     return corpus_pipeline.run(spark, sf_dir)
 
 

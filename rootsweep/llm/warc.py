@@ -123,7 +123,7 @@ def originals(archive: Archive) -> DataFrame:
 
 
 def _value(head: str, name: str) -> Column:
-    return F.regexp_extract(head, rf"(?m)^{name}: ([^\r\n]*)\r$", 1)
+    return F.regexp_extract(head, rf"(?m)^{name}: ([^\r\n]*)$", 1)
 
 
 def parse(records: DataFrame, record_col: str = "record") -> DataFrame:
@@ -138,15 +138,15 @@ def parse(records: DataFrame, record_col: str = "record") -> DataFrame:
     out = out.select(
         _value("warc", "WARC-Page-ID").alias("page"), F.decode(F.encode(_value("warc", "WARC-Target-URI"), "ISO-8859-1"), "UTF-8").alias("target_uri"),
         _value("warc", "WARC-Type").alias("record_type"),
-        F.regexp_extract("warc", r"(?m)^WARC-Payload-Digest: sha1:([A-Z2-7]+)\r$", 1).alias("payload_digest"),
-        _value("http", "Content-Length").cast("bigint").alias("payload_bytes"),
+        F.regexp_extract("warc", r"(?m)^WARC-Payload-Digest: sha1:([A-Z2-7]+)$", 1).alias("payload_digest"),
+        _value("http", "Content-Length").try_cast("bigint").alias("payload_bytes"),
         _value("warc", "WARC-Refers-To-Page").alias("refers"),
         F.expr("substring(record, at + 5, length(record) - at - 8)").alias("payload"))
     good = (F.col("record_type") == "revisit") | ((F.octet_length("payload") == F.col("payload_bytes"))
                                                  & (sha1_base32(F.col("payload")) == F.col("payload_digest")))
     stored_payload = F.when(good, F.when(F.col("record_type") == "response", F.col("payload"))).otherwise(
         F.raise_error(F.concat(F.lit("record is damaged: "), F.col("page"))).cast("binary"))
-    number = lambda c: F.when(F.col(c) != "", F.col(c).cast("bigint"))
+    number = lambda c: F.when(F.col(c) != "", F.col(c).try_cast("bigint"))
     return out.select(number("page").alias("page_id"), "target_uri", "record_type", "payload_digest", "payload_bytes",
                       number("refers").alias("refers_to"), stored_payload.alias("payload"))
 
