@@ -3,6 +3,7 @@ blobs, and connected components written as DataFrame rounds."""
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -47,9 +48,14 @@ def scratch(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to a scratch folder and read it back: cuts lineage,
     and a lost executor costs no recomputation of what came before."""
-    path = scratch(df.sparkSession, name)
+    spark, schema, path = df.sparkSession, df.schema, scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    del df
+    # Shuffle files of finished steps go when the driver collects its garbage, by
+    # default every 30 minutes: ask for it, or they pile up on the executors' disks.
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
 def own_columns(df: DataFrame, *names: str) -> DataFrame:
