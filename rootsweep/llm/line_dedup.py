@@ -1,24 +1,27 @@
 """Operator 10: fuzzy line deduplication by MinHash, in DataFrame operations only.
 
-A line (trimmed, lower-cased) has the set of its character shingles of ``SHINGLE``
-characters that begin at a word, or at any character of a script written without
-spaces; a line without such a place is one shingle. Its signature is the ``KEEP``
-smallest hashes; every two neighbours among them are a band, so two lines meet if two
-common shingles follow each other in the order of hashes: at a similarity of 0.75 that
-happens in about 98 % of cases, at 0.9 nearly always. In each band every line is paired
-with the smallest line and with the one before it. Pairs are verified by the exact
-Jaccard similarity of their sets (>= ``percent`` %). Connected components are found by
-rounds of joins; of each the first line (smallest id, then place) stays.
-
-Scale: equal lines are merged first, with partial aggregates; bands have a line once;
-no group is ever collected, and pairs per band are linear in its lines. The lines that
-a verification needs are found by a semi join, which broadcasts their keys up to
-``MAX_KEYS`` and shuffles beyond.
+A line (trimmed, lower-cased) has the set of its character shingles: the ``SHINGLE``
+characters from each start of a word (what follows a space); where characters take more
+than two bytes on average, as in scripts written without spaces, from each character
+(a line that is shorter is one shingle).
+Its signature is the ``KEEP``
+smallest hashes; every three neighbours among them are a band, so two lines meet if
+three common shingles follow each other in the order of hashes. For lines of up to 8
+shingles every two neighbours are a band (of 7 and 8: both), as few would be left. In
+each band every line is paired with the smallest line and with the one before it. Pairs
+are verified by the exact Jaccard similarity of their sets (>= ``percent`` %). Connected
+components are found by rounds of joins; of each the first line (smallest id, then
+place) stays.
+
+Scale: equal lines are merged first; bands have a line once; no group is ever
+collected, and pairs per band are linear in its lines. The lines that a verification
+needs are found by a semi join, which broadcasts their keys up to ``MAX_KEYS`` and
+shuffles beyond.
 
 Cases: a null text has no line and stays null; blank lines are kept and never compared;
 lines of any length are compared whole; repeated rows (same id and text) count as one
 document; a null id sorts first; an empty table gives an empty result; other columns
-are carried along. Lines are told apart by a 64-bit hash and their length.
+are carried along. Lines are told apart by a 64-bit hash of text and length.
 """
 
 from __future__ import annotations
@@ -29,10 +32,14 @@ from pyspark.sql import functions as F
 from rootsweep.llm.common import components, stored
 
 SHINGLE = 8
-KEEP = 8
+KEEP = 10
 PERCENT = 75
 MAX_KEYS = 1_000_000
-_ANCHOR = (r"(?s)(?:(?<![\\p{L}\\p{N}])(?=[\\p{L}\\p{N}])|(?=[\\u2E80-\\uD7FF\\uF900-\\uFAFF]))(?=(.{1,%d}))")
+#: A word with the spaces after it, or a character, with the shingle that begins there.
+_WORD, _CHAR = r"(?s)(?=(.{1,%d}))[^ ]+ *", r"(?s)(?=(.{%d}))."
+_PAIRS = "transform(sequence(0, size(low) - 2), i -> xxhash64(low[i], low[i + 1]))"
+_TRIPLES = "transform(sequence(0, size(low) - 3), i -> xxhash64(low[i], low[i + 1], low[i + 2]))"
+_BANDS = f"case when size(low) = 1 then low when size(low) < 7 then {_PAIRS} when size(low) < 9 then concat({_PAIRS}, {_TRIPLES}) else {_TRIPLES} end"
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -44,23 +51,22 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _with_shingles(lines: DataFrame, width: int) -> DataFrame:
     """Adds ``set``: the distinct hashed shingles of ``line``, ascending."""
-    found = lines.withColumn("found", F.expr(f"regexp_extract_all(line, '{_ANCHOR % width}', 1)"))
+    found = lines.withColumn("found", F.expr(
+        f"case when octet_length(line) > 2 * length(line) then regexp_extract_all(line, '{_CHAR % width}', 1) "
+        f"else regexp_extract_all(line, '{_WORD % width}', 1) end"))
     found = found.withColumn("found", F.when(F.size("found") > 0, F.col("found")).otherwise(F.array("line")))
     return found.withColumn("set", F.sort_array(F.array_distinct(F.expr("transform(found, x -> xxhash64(x))")))).drop("found")
 
 
 def line_components(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE, keep: int = KEEP,
                     id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(instances, classes): every line (key, id, th, no), and of every distinct line its
-    number, its first instance and its component."""
+    """Every line (key, id, th, no), and the component of every distinct line with links
+    (node, component)."""
     lines = _lines(docs, id_col, text_col).withColumn("key", F.xxhash64("line", F.length("line")))
     sign = _with_shingles(lines, width).select("key", "id", "th", "no", F.slice("set", 1, keep).alias("low"))
-    sign = stored(sign, "lines")
-    first = F.min(F.struct("id", "th", "no")).alias("first")
-    classes = stored(sign.groupBy("key").agg(F.count(F.lit(1)).alias("n"), first, F.first("low").alias("low")), "lines")
-
-    bands = classes.select("key", F.explode(F.expr(
-        "if(size(low) = 1, low, transform(sequence(0, size(low) - 2), i -> xxhash64(low[i], low[i + 1])))")).alias("band"))
+    sign = stored(sign.withColumn("bands", F.expr(_BANDS)).drop("low"), "lines")
+    classes = sign.groupBy("key").agg(F.first("bands").alias("bands"))
+    bands = classes.select("key", F.explode("bands").alias("band"))
     w = Window.partitionBy("band").orderBy("key")
     near = bands.select("key", F.lag("key").over(w).alias("before"), F.first("key").over(w).alias("smallest"))
     pairs = near.where("before is not null").select(
@@ -76,19 +82,20 @@ def line_components(docs: DataFrame, percent: int = PERCENT, width: int = SHINGL
     fits = (F.least(F.size("x"), F.size("y")) * 100 >= F.greatest(F.size("x"), F.size("y")) * percent)
     both = both.where(fits).withColumn("common", F.size(F.array_intersect("x", "y")))
     links = both.where(F.col("common") * 100 >= (F.size("x") + F.size("y") - F.col("common")) * percent).select("a", "b")
-    label = components(stored(links, "lines"))
-    named = classes.select("key", "n", "first").join(label, F.col("key") == F.col("node"), "left").select(
-        "key", "n", "first", F.coalesce("component", "key").alias("component"))
-    return sign.select("key", "id", "th", "no"), named
+    return sign.select("key", "id", "th", "no"), components(stored(links, "lines"))
 
 
 def removed_lines(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE, keep: int = KEEP,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, th, nos): places of the lines of each document that are not the first of their component."""
-    lines, classes = line_components(docs, percent, width, keep, id_col, text_col)
-    groups = classes.groupBy("component").agg(F.sum("n").alias("total"), F.min("first").alias("keep")).where("total > 1")
-    dropped = classes.select("key", "component").join(groups, "component").select("key", "keep")
-    gone = lines.join(dropped, "key").where(~F.struct("id", "th", "no").eqNullSafe(F.col("keep")))
+    lines, label = line_components(docs, percent, width, keep, id_col, text_col)
+    label = label.unionAll(label.select(F.col("component").alias("node"), "component")).distinct()  # the smallest too
+    many = lines.groupBy("key").agg(F.count(F.lit(1)).alias("n")).join(
+        label, F.col("key") == F.col("node"), "left").where("n > 1 or component is not null").select(
+        "key", F.coalesce("component", "key").alias("component"))
+    group = stored(lines.join(many, "key").drop("key"), "lines")  # lines that have another like them
+    first = group.groupBy("component").agg(F.min(F.struct("id", "th", "no")).alias("keep"))
+    gone = group.join(first, "component").where(~F.struct("id", "th", "no").eqNullSafe(F.col("keep")))
     return gone.groupBy("id", "th").agg(F.collect_set("no").alias("nos"))  # at most a document's own lines
 
 
