@@ -140,15 +140,18 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """Model learned from rows whose crc32(id) mod 4 is not 2 and whose lang is known."""
     src = own_columns(docs, id_col, lang_col, text_col).toDF("id", "lang", "text").where(
         "lang is not null and text is not null and id is not null and crc32(cast(id as string)) % 4 <> 2")
-    langs = [r.lang for r in src.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()]
-    if not langs:
+    counted = src.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
+    if not counted:
         return None
-    each = max(4, rows // len(langs))
-    ids = src.where(F.col("lang").isin(langs)).select("id", "lang", F.xxhash64("id").alias("order"))
-    # the smallest hashes of each language: a bounded top list per salted part, then of these
-    for part in ((F.pmod(F.hash("id", F.lit(7)), F.lit(64)),), ()):
-        w = Window.partitionBy("lang", *part).orderBy("order")
-        ids = ids.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= each).select("id", "lang", "order", "rank")
+    each = max(4, rows // len(counted))
+    # the smallest hashes of each language: a share of the hash range that holds about
+    # twice as many rows as wanted (all, if there are few), so that a few rows are ranked
+    top = F.create_map(*[x for r in counted for x in (
+        F.lit(r["lang"]), F.lit(min(2**63 - 1, -2**63 + 2**64 * 2 * (each + 32) // r["count"])))])
+    ids = src.where(F.col("lang").isin([r["lang"] for r in counted])).select("id", "lang", F.xxhash64("id").alias("order"))
+    ids = ids.where(F.col("order") <= F.element_at(top, F.col("lang")))
+    w = Window.partitionBy("lang").orderBy("order")
+    ids = ids.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= each).select("id", "lang", "order", "rank")
     ids = stored(ids, "language")  # bounded: about ``rows`` short rows
     picked = own_columns(docs, id_col, text_col).toDF("id", "text").join(F.broadcast(ids), "id").where("text is not null")
 
