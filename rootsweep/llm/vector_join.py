@@ -21,13 +21,13 @@ other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rootsweep.llm.common import components, own_columns, stored
@@ -105,30 +105,30 @@ def _blocks(nodes: DataFrame, axes: np.ndarray, eps: float, block: int) -> DataF
     placed = nodes.mapInArrow(cells, "node bigint, copies bigint, " + ", ".join(f"{c} int" for c in grid) + ", point binary")
     placed = placed.repartitionByRange(*grid, "node").sortWithinPartitions(*grid, "node")
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, k, held = TaskContext.get().partitionId(), 0, []
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, seq = TaskContext.get().partitionId(), 0
+        for b in batches:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(b.num_rows, part, np.int32)), pa.array(np.arange(seq, seq + b.num_rows)),
+                 b.column("node"), b.column("copies"), b.column("point")], ["part", "seq", "node", "copies", "point"])
+            seq += b.num_rows
 
-        def out(rows: pa.Table) -> pa.RecordBatch:
-            x = np.stack([np.frombuffer(p) for p in rows.column("point").to_pylist()])
-            cols = [[(part << 32) + k], [x.min(0).tolist()], [x.max(0).tolist()],
-                    [np.array(rows.column("node")).astype(np.int64).tobytes()],
-                    [np.array(rows.column("copies")).astype(np.int64).tobytes()], [x.tobytes()]]
-            kinds = [pa.int64(), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.binary(), pa.binary(), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)],
-                                              ["block", "lo", "hi", "nodes", "copies", "points"])
+    placed = stored(placed.mapInArrow(number, "part int, seq bigint, node bigint, copies bigint, point binary"), "vectors")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    offsets = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    ranked = placed.join(offsets, "part").select(((F.col("offset") + F.col("seq")) / block).cast("bigint").alias("block"), "node", "copies", "point")
 
-        for batch in batches:
-            held.append(batch.select(["node", "copies", "point"]))
-            rows = pa.Table.from_batches(held)
-            while len(rows) >= block:
-                yield out(rows.slice(0, block))
-                k += 1
-                rows = rows.slice(block)
-            held = rows.to_batches()
-        if held and sum(b.num_rows for b in held):
-            yield out(pa.Table.from_batches(held))
+    def cut(rows: pa.Table) -> pa.Table:
+        """One block: ``block`` consecutive vectors of the order."""
+        x = np.stack([np.frombuffer(p) for p in rows.column("point").to_pylist()])
+        cols = [rows.column("block")[:1], [x.min(0).tolist()], [x.max(0).tolist()], [rows.column("node").to_numpy().tobytes()],
+                [rows.column("copies").to_numpy().tobytes()], [x.tobytes()]]
+        kinds = [pa.int64(), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.binary(), pa.binary(), pa.binary()]
+        return pa.table([c if isinstance(c, pa.ChunkedArray) else pa.array(c, t) for c, t in zip(cols, kinds, strict=True)],
+                        names=["block", "lo", "hi", "nodes", "copies", "points"])
 
-    return placed.mapInArrow(cut, "block bigint, lo array<double>, hi array<double>, nodes binary, copies binary, points binary")
+    return ranked.groupBy("block").applyInArrow(
+        cut, "block bigint, lo array<double>, hi array<double>, nodes binary, copies binary, points binary")
 
 
 def _pairs(blocks: DataFrame, eps: float) -> DataFrame:
@@ -148,6 +148,18 @@ def _pairs(blocks: DataFrame, eps: float) -> DataFrame:
     return met.where(gap <= eps * eps * (1 + 1e-9)).select(F.col("block").alias("a"), "b").distinct()
 
 
+class _Pair(NamedTuple):
+    """Two blocks: their numbers, and the nodes, copies and points of each."""
+    a: int
+    b: int
+    an: bytes
+    ac: bytes
+    ap: bytes
+    bn: bytes
+    bc: bytes
+    bp: bytes
+
+
 class _Links:
     """Links of one pair of blocks: weighted counts and a forest."""
 
@@ -198,9 +210,10 @@ def _join(blocks: DataFrame, pairs: DataFrame, eps: float, cosine: float, d: int
     rows = pairs.join(data.toDF("a", "an", "ac", "ap"), "a").join(data.toDF("b", "bn", "bc", "bp"), "b").select(
         "a", "b", "an", "ac", "ap", "bn", "bc", "bp")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.itertuples(index=False):
+            for k in range(batch.num_rows):
+                r = _Pair(*(batch.column(i)[k].as_py() for i in range(8)))
                 x, nodes, copies = np.frombuffer(r.ap).reshape(-1, d), np.frombuffer(r.an, np.int64), np.frombuffer(r.ac, np.int64)
                 a = b = (0, len(x))
                 if r.a != r.b:
@@ -210,9 +223,10 @@ def _join(blocks: DataFrame, pairs: DataFrame, eps: float, cosine: float, d: int
                 links = _Links(len(x))
                 _recurse(x, a, b, eps, cosine, copies, links, {})
                 k = np.flatnonzero(links.count)
-                yield pd.DataFrame({"node": nodes[k], "links": links.count[k], "root": nodes[links.root[k]]})
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[k]), pa.array(links.count[k]), pa.array(nodes[links.root[k]])],
+                                                 ["node", "links", "root"])
 
-    return rows.mapInPandas(run, "node bigint, links bigint, root bigint")
+    return rows.mapInArrow(run, "node bigint, links bigint, root bigint")
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK,
