@@ -5,7 +5,7 @@
   dry-run  --manifest tpch --csv ... --input IN [--output OUT]
   purge    --output OUT --runs 3,4
   runs     --output OUT            (audit: runs and log lines)
-  vacuum   --manifest tpch --input IN --output OUT [--apply]
+  abandon  --output OUT --run 5    (declare a RUNNING run FAILED: its driver is lost)
   reach    --manifest tpch --root nation
 """
 
@@ -39,7 +39,7 @@ def _parser() -> argparse.ArgumentParser:
     a.add_argument("--verify", default="counts", choices=["counts", "content"])
     a.add_argument("--parallelism", type=int, default=4)
     a.add_argument("--log-empty", action="store_true")
-    a.add_argument("--max-broadcast-rows", type=int, default=None)
+    a.add_argument("--max-broadcast-bytes", type=int, default=None)
     d = sub.add_parser("dry-run", help="rows each move would archive; nothing written")
     d.add_argument("--manifest", default="tpch", choices=sorted(MANIFESTS))
     d.add_argument("--csv", required=True)
@@ -50,11 +50,9 @@ def _parser() -> argparse.ArgumentParser:
     u.add_argument("--runs", required=True, help="comma-separated run ids")
     r = sub.add_parser("runs", help="show the audit trail")
     r.add_argument("--output", required=True)
-    v = sub.add_parser("vacuum", help="list (or with --apply delete) superseded folders")
-    v.add_argument("--manifest", default="tpch", choices=sorted(MANIFESTS))
-    v.add_argument("--input", required=True)
+    v = sub.add_parser("abandon", help="declare a RUNNING run FAILED, as its driver is lost")
     v.add_argument("--output", required=True)
-    v.add_argument("--apply", action="store_true")
+    v.add_argument("--run", required=True, type=int)
     g = sub.add_parser("reach", help="tables under a root, depth, moved or not")
     g.add_argument("--manifest", default="tpch", choices=sorted(MANIFESTS))
     g.add_argument("--root", required=True)
@@ -67,8 +65,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if args.cmd == "archive":
         opts = dict(clients=args.clients, collation=args.collation, verify=args.verify,
                     parallelism=args.parallelism, log_empty=args.log_empty)
-        if args.max_broadcast_rows is not None:
-            opts["max_broadcast_rows"] = args.max_broadcast_rows
+        if args.max_broadcast_bytes is not None:
+            opts["max_broadcast_bytes"] = args.max_broadcast_bytes
         r = Archiver(spark, MANIFESTS[args.manifest], args.input, args.output, **opts).run(args.csv)
         print(json.dumps({"run_id": r.run_id, "status": r.status, "keys": r.keys,
                           "moved": {c.table: c.rows_copied for c in r.counts},
@@ -84,10 +82,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         a = Audit(spark, args.output)
         a.runs().orderBy("run_id").show(truncate=False)
         a.log().orderBy("id").show(truncate=False)
-    elif args.cmd == "vacuum":
-        store = TableStore(spark, args.input, args.output)
-        for p in store.vacuum(MANIFESTS[args.manifest].tables(), apply=args.apply):
-            print(("deleted " if args.apply else "would delete ") + p)
+    elif args.cmd == "abandon":
+        Audit(spark, args.output).abandon(args.run)
     elif args.cmd == "reach":
         m = MANIFESTS[args.manifest]
         coverage(spark, edges_frame(spark, m.edges()), args.root,

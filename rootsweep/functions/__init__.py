@@ -1,19 +1 @@
 """Column-level helpers: list membership, row fingerprints, error text."""
-
-from .expr import (
-    FIND_IN_SET_MAX_ITEMS,
-    csv_items,
-    error_text,
-    fingerprint_aggs,
-    in_csv,
-    row_hash,
-)
-
-__all__ = [
-    "FIND_IN_SET_MAX_ITEMS",
-    "csv_items",
-    "error_text",
-    "fingerprint_aggs",
-    "in_csv",
-    "row_hash",
-]

@@ -7,12 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-
-# Above this many names, root selection switches from ``find_in_set`` (a scan of
-# the csv string per row) to a broadcast semi join on the split list; the list
-# is driver-side text, so its size is known before it is broadcast.
-FIND_IN_SET_MAX_ITEMS = 64
-
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -40,23 +35,37 @@ def in_csv(c: str | Column, csv: str | None, collation: str | None = None) -> Co
     return F.coalesce(F.find_in_set(left, right) > 0, F.lit(False))
 
 
-def row_hash(cols: list[str]) -> Column:
-    """64-bit content hash of a row over ``cols``, null positions included (so
-    ``(1, NULL)`` and ``(NULL, 1)`` differ)."""
-    if not cols:
+def hashable(c: Column, kind: DataType) -> Column:
+    """``c`` in a form that can be hashed: maps, also nested ones, as entries in key order."""
+    if isinstance(kind, MapType):
+        entries = F.array_sort(F.map_entries(c))
+        return F.transform(entries, lambda e: F.struct(e["key"].alias("key"), hashable(e["value"], kind.valueType).alias("value")))
+    if isinstance(kind, ArrayType):
+        return F.transform(c, lambda e: hashable(e, kind.elementType)) if "map<" in kind.simpleString() else c
+    if isinstance(kind, StructType) and "map<" in kind.simpleString():
+        fields = [hashable(c.getField(f.name), f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(c.isNotNull(), F.struct(*fields))
+    return c
+
+
+def row_hash(schema: StructType) -> Column:
+    """64-bit content hash of a row, null positions included (so ``(1, NULL)`` and
+    ``(NULL, 1)`` differ)."""
+    if not schema.fields:
         return F.lit(0).cast("bigint")
-    mask = F.concat(*[F.when(F.col(c).isNull(), F.lit("1")).otherwise(F.lit("0")) for c in cols])
-    return F.xxhash64(*[F.col(c) for c in cols], mask)
+    cols = [(F.col("`" + f.name.replace("`", "``") + "`"), f.dataType) for f in schema.fields]
+    mask = F.concat(*[F.when(c.isNull(), F.lit("1")).otherwise(F.lit("0")) for c, _ in cols])
+    return F.xxhash64(*[hashable(c, t) for c, t in cols], mask)
 
 
-def fingerprint_aggs(cols: list[str], prefix: str = "") -> list[Column]:
+def fingerprint_aggs(schema: StructType, prefix: str = "") -> list[Column]:
     """(row count, order-free sum of row hashes) as aggregate columns.
 
     The sum is taken in ``decimal(38,0)`` so it cannot overflow; equal multisets
     of rows give equal pairs, independent of partitioning and order."""
     return [
         F.count(F.lit(1)).alias(f"{prefix}rows"),
-        F.coalesce(F.sum(row_hash(cols).cast("decimal(28,0)")), F.lit(0).cast("decimal(38,0)"))
+        F.coalesce(F.sum(row_hash(schema).cast("decimal(28,0)")), F.lit(0).cast("decimal(38,0)"))
         .cast("decimal(38,0)")
         .alias(f"{prefix}fingerprint"),
     ]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.manifest import KeySet, Manifest
-from .joins import DEFAULT_MAX_BROADCAST_ROWS, Keys, anti, semi
+from .joins import DEFAULT_MAX_BROADCAST_BYTES, Keys, anti, semi
 from .select import select_roots
 
 TableReader = Callable[[str], DataFrame]
@@ -25,7 +25,7 @@ def ref_column(manifest: Manifest, ks: KeySet) -> str:
 
 
 def parent_refs(manifest: Manifest, ks: KeySet, tables: TableReader, parent: Keys,
-                max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Distinct non-null values that the selected parents hold in the ref column.
     Distinct first: map-side partial aggregation collapses a hot value before the
     shuffle, so a client shared by a third of all rows costs one row per task."""
@@ -33,23 +33,23 @@ def parent_refs(manifest: Manifest, ks: KeySet, tables: TableReader, parent: Key
         refs = parent.df.select(F.col(ks.ref).alias("__rs_ref"))
     else:
         par = manifest.keyset(ks.parent)
-        refs = semi(tables(par.table), par.key, parent, max_rows).select(
+        refs = semi(tables(par.table), par.key, parent, max_bytes).select(
             F.col(ref_column(manifest, ks)).alias("__rs_ref"))
     return refs.filter(F.col("__rs_ref").isNotNull()).distinct()
 
 
 def live_refs(manifest: Manifest, ks: KeySet, tables: TableReader, parent: Keys,
-              max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+              max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Distinct ref values held by parents that are *not* selected (still live)."""
     par = manifest.keyset(ks.parent)
-    return (anti(tables(par.table), par.key, parent, max_rows)
+    return (anti(tables(par.table), par.key, parent, max_bytes)
             .select(F.col(ref_column(manifest, ks)).alias("__rs_ref"))
             .filter(F.col("__rs_ref").isNotNull()).distinct())
 
 
 def derive(manifest: Manifest, ks: KeySet, tables: TableReader, known: dict[str, Keys],
            csv: str | None, collation: str | None = None, up_mode: str = "any",
-           max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, carry_root: bool = False) -> DataFrame:
+           max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, carry_root: bool = False) -> DataFrame:
     """Plan of one key set from its parent (not materialised).
 
     * root: ``SELECT id, name, <carried> FROM root WHERE FIND_IN_SET(name, csv)``
@@ -66,16 +66,16 @@ def derive(manifest: Manifest, ks: KeySet, tables: TableReader, known: dict[str,
             # an inner join on the parent's ids (asserted unique) is the semi
             # join that also carries each key's root
             side = parent.df.select(F.col("id").alias("__rs_pid"), "root_id")
-            side = F.broadcast(side) if parent.small(max_rows) else side
+            side = F.broadcast(side) if parent.small(max_bytes) else side
             return (tables(ks.table).join(side, F.col(ks.fk) == F.col("__rs_pid"), "inner")
                     .select(F.col(ks.key).alias("id"), "root_id"))
-        return semi(tables(ks.table), ks.fk, parent, max_rows).select(F.col(ks.key).alias("id"))
-    refs = parent_refs(manifest, ks, tables, parent, max_rows)
-    small = parent.small(max_rows)  # refs are at most as many as the parents
+        return semi(tables(ks.table), ks.fk, parent, max_bytes).select(F.col(ks.key).alias("id"))
+    refs = parent_refs(manifest, ks, tables, parent, max_bytes)
+    small = parent.small(max_bytes)  # refs are at most as many as the parents
     cands = tables(ks.table).join(F.broadcast(refs) if small else refs,
                                   F.col(ks.key) == F.col("__rs_ref"), "left_semi")
     if up_mode == "exclusive":
-        cands = cands.join(live_refs(manifest, ks, tables, parent, max_rows),
+        cands = cands.join(live_refs(manifest, ks, tables, parent, max_bytes),
                            F.col(ks.key) == F.col("__rs_ref"), "left_anti")
     elif up_mode != "any":
         raise ValueError(f"up_mode must be 'any' or 'exclusive', not {up_mode!r}")
@@ -84,12 +84,12 @@ def derive(manifest: Manifest, ks: KeySet, tables: TableReader, known: dict[str,
 
 def close_lazy(manifest: Manifest, tables: TableReader, csv: str | None,
                collation: str | None = None, up_mode: str = "any",
-               max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> dict[str, Keys]:
+               max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> dict[str, Keys]:
     """All key sets as lazy plans (for queries and dry runs). Catalyst sees the
     whole chain and may fuse it; sizes are left to its estimates and AQE."""
     known: dict[str, Keys] = {}
     for ks in manifest.keysets:
-        df = derive(manifest, ks, tables, known, csv, collation, up_mode, max_rows)
+        df = derive(manifest, ks, tables, known, csv, collation, up_mode, max_bytes)
         known[ks.name] = Keys(ks.name, df)
     return known
 

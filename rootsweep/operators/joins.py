@@ -2,75 +2,101 @@
 
 Every join here is a single-column equi join of a (possibly huge) table against
 a key set of distinct ids. The join side is broadcast only when the key set's
-exact row count is known and under ``max_broadcast_rows``; otherwise the join is
-left to Catalyst/AQE (shuffle join, AQE skew splitting of hot FK values, runtime
-switch to broadcast when the materialised side turns out small).
+size in memory is known and under ``max_bytes``. Otherwise the join shuffles: NULL
+foreign keys, which match nothing, are spread over all partitions, and so are the
+foreign-key values measured as heavy (the few key rows they match are repeated).
+Lazy key sets of unknown size are left to Catalyst and AQE.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# 8-byte ids; 10M keys are ~80 MB raw and ~250 MB as a hashed relation, well
-# below spark.sql.maxBroadcastTableSize (8 GB) and safe for 1000 executors.
-DEFAULT_MAX_BROADCAST_ROWS = 10_000_000
+#: Bytes of key sets in memory that one move may broadcast.
+DEFAULT_MAX_BROADCAST_BYTES = 256 << 20
+#: Parts over which the rows of a NULL or heavy key are spread in a shuffle join.
+SALTS = 64
 
 _KEY = "__rs_key"
 _HIT = "__rs_hit"
+_SALT = "__rs_salt"
 
 
 @dataclass(frozen=True)
 class Keys:
     """A key set: DataFrame with an ``id`` column (plus carried columns).
 
-    ``rows`` is the exact row count when known (materialised key sets), which
-    is what makes a broadcast safe. ``distinct`` says ids are known unique."""
+    ``rows`` and ``size`` (bytes in memory) are known for materialised key sets;
+    the latter is what makes a broadcast safe. ``distinct`` says ids are known
+    unique, ``heavy`` names values that many rows of the joined table hold."""
 
     name: str
     df: DataFrame
     rows: int | None = None
     distinct: bool = False
+    size: int | None = None
+    heavy: tuple = ()
 
-    def with_df(self, df: DataFrame, rows: int | None = None, distinct: bool | None = None) -> "Keys":
-        return replace(self, df=df, rows=rows, distinct=self.distinct if distinct is None else distinct)
+    def small(self, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
+        return self.size is not None and self.size <= max_bytes
 
-    def small(self, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-        return self.rows is not None and self.rows <= max_rows
-
-    def side(self, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, flag: bool = False) -> DataFrame:
-        """The key column renamed to a private name, broadcast if proven small."""
+    def side(self, flag: bool = False) -> DataFrame:
+        """The key column under a private name."""
         side = self.df.select(F.col("id").alias(_KEY))
         if flag:
             if not self.distinct:
                 side = side.distinct()  # an outer join must not multiply rows
             side = side.withColumn(_HIT, F.lit(True))
-        return F.broadcast(side) if self.small(max_rows) else side
+        return side
+
+
+def quoted(name: str) -> Column:
+    """The column of exactly this name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def _join(df: DataFrame, column: str, keys: Keys, max_bytes: int, how: str, flag: bool = False) -> DataFrame:
+    side, fk = keys.side(flag), quoted(column)
+    if keys.small(max_bytes):
+        return df.join(F.broadcast(side), fk == F.col(_KEY), how)
+    if keys.size is None:
+        return df.join(side, fk == F.col(_KEY), how)
+    hashable = [quoted(f.name) for f in df.schema.fields if not any(x in f.dataType.simpleString() for x in ("map<", "variant"))]
+    spread = F.pmod(F.xxhash64(*hashable), F.lit(SALTS))
+    apart = fk.isNull() | fk.isin(*keys.heavy) if keys.heavy else fk.isNull()
+    salted = df.withColumn(_SALT, F.when(F.coalesce(apart, F.lit(False)), spread).otherwise(F.lit(0)))
+    copies = F.when(F.col(_KEY).isin(*keys.heavy), F.lit(SALTS - 1)).otherwise(F.lit(0)) if keys.heavy else F.lit(0)
+    side = side.withColumn("__rs_s", F.explode(F.sequence(F.lit(0), copies)))
+    return salted.join(side, (fk == F.col(_KEY)) & (F.col(_SALT) == F.col("__rs_s")), how).drop(_SALT, "__rs_s")
 
 
-def _cond(column: str | Column) -> Column:
-    c = F.col(column) if isinstance(column, str) else column
-    return c == F.col(_KEY)
+def heavy_values(df: DataFrame, column: str, rows: int = 1_000_000, most: int = 256) -> tuple:
+    """Values of ``column`` held by at least ``rows`` rows, the ``most`` heaviest (others
+    are joined all the same, only not spread). Reads one column, partial counts."""
+    top = (df.select(quoted(column).alias("v")).where("v is not null").groupBy("v").count()
+           .where(F.col("count") >= rows).orderBy(F.desc("count"), "v").limit(most).collect())
+    return tuple(r["v"] for r in top)
 
 
-def semi(df: DataFrame, column: str, keys: Keys, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def semi(df: DataFrame, column: str, keys: Keys, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Rows of ``df`` whose ``column`` is in the key set (``INSERT ... SELECT t.*
     ... JOIN k``). A NULL never matches."""
-    return df.join(keys.side(max_rows), _cond(column), "left_semi")
+    return _join(df, column, keys, max_bytes, "left_semi")
 
 
-def anti(df: DataFrame, column: str, keys: Keys, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def anti(df: DataFrame, column: str, keys: Keys, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Rows of ``df`` whose ``column`` is not in the key set (what a ``DELETE t
     FROM t JOIN k`` leaves). NULL keys are retained, unlike ``NOT IN``."""
-    return df.join(keys.side(max_rows), _cond(column), "left_anti")
+    return _join(df, column, keys, max_bytes, "left_anti")
 
 
-def flag(df: DataFrame, column: str, keys: Keys, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+def flag(df: DataFrame, column: str, keys: Keys, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
          name: str = "archived") -> DataFrame:
     """All rows of ``df`` plus a boolean ``name``: the single-pass form of the
     semi + anti pair (one scan, one write for both parts)."""
-    joined = df.join(keys.side(max_rows, flag=True), _cond(column), "left")
-    return joined.select(*[F.col(c) for c in df.columns],
+    joined = _join(df, column, keys, max_bytes, "left", flag=True)
+    return joined.select(*[quoted(c) for c in df.columns],
                          F.coalesce(F.col(_HIT), F.lit(False)).alias(name))

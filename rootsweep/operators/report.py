@@ -8,45 +8,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.manifest import KeySet, Manifest
-from .closure import TableReader, live_refs, parent_refs, ref_column
-from .joins import DEFAULT_MAX_BROADCAST_ROWS, Keys, anti, semi
+from .closure import TableReader, parent_refs, ref_column
+from .joins import DEFAULT_MAX_BROADCAST_BYTES, Keys, anti, semi
 
 
 def shared_parents(manifest: Manifest, ks: KeySet, tables: TableReader, parent: Keys,
-                   max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                   max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Parents in an up key set that a live (unselected) child still names:
     ``(id, live_children)``. Archiving them leaves those children orphaned."""
     if ks.kind != "up":
         raise ValueError(f"{ks.name!r} is not an upward key set")
     par = manifest.keyset(ks.parent)
-    chosen = parent_refs(manifest, ks, tables, parent, max_rows)
+    chosen = parent_refs(manifest, ks, tables, parent, max_bytes)
     # Count live children per ref: aggregate first (partial agg absorbs hot refs),
     # then keep the chosen ones.
-    live = (anti(tables(par.table), par.key, parent, max_rows)
+    live = (anti(tables(par.table), par.key, parent, max_bytes)
             .select(F.col(ref_column(manifest, ks)).alias("id"))
             .filter(F.col("id").isNotNull())
             .groupBy("id").agg(F.count(F.lit(1)).alias("live_children")))
     return live.join(chosen, F.col("id") == F.col("__rs_ref"), "left_semi")
 
 
-def exclusive_parents(manifest: Manifest, ks: KeySet, tables: TableReader, parent: Keys,
-                      max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Parents named only by selected children: the ``exclusive`` key set."""
-    chosen = parent_refs(manifest, ks, tables, parent, max_rows)
-    live = live_refs(manifest, ks, tables, parent, max_rows)
-    return (tables(ks.table)
-            .join(chosen, F.col(ks.key) == F.col("__rs_ref"), "left_semi")
-            .join(live, F.col(ks.key) == F.col("__rs_ref"), "left_anti")
-            .select(F.col(ks.key).alias("id")))
-
-
 def dry_run_counts(manifest: Manifest, tables: TableReader, keys: dict[str, Keys],
-                   max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                   max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Rows each move would archive, in manifest order:
     ``(step, table_name, rows_to_move)``. Nothing is written."""
     parts = []
     for i, mv in enumerate(manifest.moves, start=1):
-        hit = semi(tables(mv.table), mv.column, keys[mv.keyset], max_rows)
+        hit = semi(tables(mv.table), mv.column, keys[mv.keyset], max_bytes)
         parts.append(hit.agg(F.count(F.lit(1)).alias("rows_to_move"))
                      .select(F.lit(i).alias("step"), F.lit(mv.table).alias("table_name"),
                              "rows_to_move"))

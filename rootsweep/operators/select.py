@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.expr import FIND_IN_SET_MAX_ITEMS, csv_items, in_csv
+from ..functions.expr import csv_items
 from ..plans.manifest import KeySet
 
 
@@ -27,12 +27,8 @@ def _names_frame(spark: SparkSession, csv: str | None) -> DataFrame:
 def select_roots(df: DataFrame, ks: KeySet, csv: str | None, collation: str | None = None) -> DataFrame:
     """Rows of the root table named in ``csv``: ``(id, name, <carried>)``.
 
-    Short lists use ``find_in_set`` (a filter fused into the scan); long lists
-    use a broadcast semi join on the split list, whose size is the number of
-    items, known on the driver."""
-    items = csv_items(csv)
-    if len(items) <= FIND_IN_SET_MAX_ITEMS:
-        return df.filter(in_csv(ks.name_col, csv, collation)).select(*_root_columns(ks))
+    A broadcast semi join on the split list (driver-side text, so its size is
+    known); an item list that is empty or NULL selects nothing."""
     names = _names_frame(df.sparkSession, csv).select(F.col("name").alias("__rs_name")).distinct()
     left, right = F.col(ks.name_col), F.col("__rs_name")
     if collation:
@@ -53,9 +49,9 @@ def unmatched_names(df: DataFrame, name_col: str, csv: str | None,
         return x == y
 
     # The list is tiny and its size known: filter the (possibly large) root
-    # table by a broadcast of it, then anti join the list against the hits,
-    # which are at most as many as the items.
+    # table by a broadcast of it, then anti join the list against the hits
+    # (under a collation every spelling is a hit, so these are not broadcast).
     listed = F.broadcast(names.select(F.col("name").alias("__rs_item")).distinct())
     hits = (df.select(F.col(name_col).alias("__rs_name"))
             .join(listed, eq("__rs_name", "__rs_item"), "left_semi").distinct())
-    return names.join(F.broadcast(hits), eq("name", "__rs_name"), "left_anti")
+    return names.join(hits, eq("name", "__rs_name"), "left_anti")

@@ -9,8 +9,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.expr import fingerprint_aggs
-from .joins import DEFAULT_MAX_BROADCAST_ROWS, Keys, semi
+from .joins import DEFAULT_MAX_BROADCAST_BYTES, Keys, flag, quoted, semi
+
+
+#: Partition columns of the archive's folders; no table may have a column of these names.
+RUN, PART = "__rs_run", "__rs_part"
+PRIVATE = (RUN, PART)
 
 
 class ArchivalError(RuntimeError):
@@ -59,7 +63,7 @@ class FingerprintMismatch(ArchivalError):
 class MoveCounts:
     """Counts of one move, each from its own source so they check each other.
 
-    * ``rows_before``: the source's row count (Parquet footers);
+    * ``rows_before``: rows of the files that hold archived rows (counted by itself);
     * ``rows_in_main``: rows of the source matching the key set, observed during
       the single split pass;
     * ``rows_copied``: rows read back from the written archived part;
@@ -72,7 +76,6 @@ class MoveCounts:
     rows_copied: int
     rows_deleted: int
     notes: tuple[str, ...] = ()  # what the move wrote, for the log's note
-    by_root: tuple[tuple[int, int], ...] = ()  # (root id, rows archived), if asked
 
     @property
     def ok(self) -> bool:
@@ -91,42 +94,35 @@ def check_counts(c: MoveCounts) -> None:
 
 def check_schema(table: str, main: StructType, archive: StructType | None) -> None:
     """Archive and main must agree on names, types and order (a positional
-    ``INSERT ... SELECT t.*`` would swap same-typed columns silently)."""
+    ``INSERT ... SELECT t.*`` would swap same-typed columns silently). A table with
+    a column of the archive's own private names is refused."""
+    if any(f.name in PRIVATE for f in main.fields):
+        raise SchemaMismatch(table, main, StructType())
     if archive is None:
         return
-    strip = [(f.name, f.dataType) for f in archive.fields if f.name not in ("run_id", "archived")]
+    strip = [(f.name, f.dataType) for f in archive.fields if f.name not in PRIVATE]
     if [(f.name, f.dataType) for f in main.fields] != strip:
         raise SchemaMismatch(table, main, archive)
 
 
-def assert_counts(counts: DataFrame) -> DataFrame:
-    """The gate inside a query: ``counts`` with columns ``table_name``,
-    ``rows_copied``, ``rows_deleted``; evaluating the result raises
-    ``Count mismatch`` on the executors for the first bad row."""
-    bad = F.col("rows_copied") != F.col("rows_deleted")
-    return counts.withColumn("gate", F.when(bad, F.raise_error(F.concat(
-        F.lit("Count mismatch: "), F.col("table_name"), F.lit(" copied "),
-        F.col("rows_copied").cast("string"), F.lit(", deleted "),
-        F.col("rows_deleted").cast("string")))).otherwise(F.lit(None)).isNull())
-
-
-def fingerprint(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """One row ``(rows, fingerprint)``: row count and order-free content hash."""
-    return df.agg(*fingerprint_aggs(cols or df.columns))
-
-
 def collisions(archived: DataFrame, pk: str, existing: DataFrame | None,
-               archived_rows: int | None = None,
-               max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame | None:
+               archived_size: int | None = None,
+               max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame | None:
     """Keys about to be archived that the archive already holds."""
     if existing is None:
         return None
-    new_keys = Keys("new", archived.select(F.col(pk).alias("id")), rows=archived_rows)
-    return semi(existing.select(F.col(pk).alias("id")), "id", new_keys, max_rows)
-
-
-def orphans(child: DataFrame, child_col: str, archived_parents: Keys,
-            max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Retained child rows whose parent was archived (FK checks were off in the
-    reference; here the outcome is audited instead)."""
-    return semi(child, child_col, archived_parents, max_rows)
+    new_keys = Keys("new", archived.select(quoted(pk).alias("id")), size=archived_size)
+    return semi(existing.select(quoted(pk).alias("id")), "id", new_keys, max_bytes)
+
+
+def orphans(child: DataFrame, edges: list[tuple[str, Keys]],
+            max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """Retained child rows whose parent was archived, for all edges of a child table in
+    one scan (FK checks were off in the reference; here the outcome is audited):
+    ``(child_col, orphan_rows)``. ``edges``: (child column, archived parent keys)."""
+    flags = child.select(*[quoted(c).alias(f"v{i}") for i, (c, _) in enumerate(edges)])
+    for i, (_, keys) in enumerate(edges):
+        flags = flag(flags, f"v{i}", keys, max_bytes, name=f"f{i}")
+    counts = flags.agg(*[F.count_if(F.col(f"f{i}")).alias(f"n{i}") for i in range(len(edges))])
+    rows = F.array(*[F.struct(F.lit(c).alias("child_col"), F.col(f"n{i}").alias("orphan_rows")) for i, (c, _) in enumerate(edges)])
+    return counts.select(F.inline(rows))

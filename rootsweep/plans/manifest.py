@@ -296,7 +296,9 @@ def _reference_moves() -> tuple[Move, ...]:
     out = []
     for line in _REFERENCE_STEPS.strip().splitlines():
         table, column, keyset = line.split()
-        out.append(Move(table, column, keyset, pk="id"))
+        # a primary key is known only for the tables that key sets are built from
+        own = any(ks.table == table for ks in _REFERENCE_KEYSETS)
+        out.append(Move(table, column, keyset, pk="id" if own else None))
     return tuple(out)
 
 

@@ -14,11 +14,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.expr import fingerprint_aggs
 from ..operators.closure import close_lazy, key_violations
 from ..operators.joins import Keys, anti, flag, semi
 from ..operators.report import dry_run_by_root, dry_run_counts, shared_parents
 from ..operators.select import unmatched_names
+from ..operators.validate import orphans
 from ..sources import fs
 from ..sources.tables import TableStore
 from .graph import edges_frame, fk_reach
@@ -118,32 +118,24 @@ def _docs_move(table, part):
 
 
 # ---- counts, gate, audit shape ------------------------------------------------
-def _merge(parts: list[DataFrame], key: str) -> DataFrame:
-    """One row per ``key`` from partial one-row aggregates with disjoint
-    columns (a union and a tiny group-by, not a cross join)."""
-    cols = [c for p in parts for c in p.columns if c != key]
-    u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return u.groupBy(key).agg(*[F.max(c).alias(c) for c in dict.fromkeys(cols)])
-
-
 def validate_counts(spark, d):
-    """Per moved table: rows before, rows matching the key set (semi join),
-    rows in the archived part and rows removed (before - retained part) of the
-    single-pass split, and the gate."""
+    """Per moved table: rows of the table, rows matching the key set (semi join), rows
+    archived (flag join) and rows removed (table minus anti join), and the gate. The
+    three joins are independent, so one that loses or multiplies rows shows; they share
+    one scan of the table, as rows per foreign-key value."""
     c = Ctx(spark, d)
     parts = []
     for i, mv in enumerate(TPCH.moves, start=1):
         k = c.keys[mv.keyset]
-        t = c.table(mv.table)
-        name = F.lit(mv.table).alias("table_name")
-        parts.append(flag(t, mv.column, k).agg(
-            F.count(F.lit(1)).alias("rows_before"),
-            F.count_if(F.col("archived")).alias("rows_copied"),
-            F.count_if(~F.col("archived")).alias("rows_retained"))
-            .select(name, F.lit(i).alias("step"), "*"))
-        parts.append(semi(t, mv.column, k).agg(F.count(F.lit(1)).alias("rows_in_main"))
-                     .select(name, "*"))
-    m = _merge(parts, "table_name")
+        per = c.table(mv.table).groupBy(F.col(mv.column).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        sides = {"rows_before": per, "rows_in_main": semi(per, "v", k),
+                 "rows_copied": flag(per, "v", k).where("archived"), "rows_retained": anti(per, "v", k)}
+        for name, rows in sides.items():
+            parts.append(rows.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select(
+                F.lit(i).alias("step"), F.lit(mv.table).alias("table_name"), F.lit(name).alias("what"), "n"))
+    m = reduce(DataFrame.unionByName, parts).groupBy("step", "table_name").agg(
+        *[F.max(F.when(F.col("what") == w, F.col("n"))).alias(w)
+          for w in ("rows_before", "rows_in_main", "rows_copied", "rows_retained")])
     return m.select(
         "step", "table_name", "rows_before", "rows_in_main", "rows_copied",
         (F.col("rows_before") - F.col("rows_retained")).alias("rows_deleted"),
@@ -224,20 +216,46 @@ def archive_collisions(spark, d):
 
 
 def fk_edges(spark, d):
-    """Every manifest edge with its child row count and orphan count (non-null
-    child values with no parent row), one pass over each child table."""
+    """Every manifest edge with its child row count and orphan count (non-null child
+    values with no parent row). One scan of each child and parent table: rows per edge
+    and value, so a value that many rows hold is one row before the join."""
+    c, edges = Ctx(spark, d), TPCH.edges()
+
+    def values(of, name):
+        """(edge, value, n) of all columns of a table that edges name."""
+        by_table: dict[str, list] = {}
+        for i, e in enumerate(edges):
+            by_table.setdefault(getattr(e, of), []).append(F.struct(
+                F.lit(i).alias("edge"), F.col(getattr(e, name)).cast("bigint").alias("v")))
+        return reduce(DataFrame.unionByName, [
+            c.table(t).select(F.inline(F.array(*cols))).groupBy("edge", "v").agg(F.count(F.lit(1)).alias("n"))
+            for t, cols in by_table.items()])
+
+    parents = values("parent_table", "parent_col").select(F.col("edge").alias("e"), F.col("v").alias("p"))
+    child = values("child_table", "child_col")
+    found = child.join(parents, (F.col("edge") == F.col("e")) & (F.col("v") == F.col("p")), "left")
+    lost = F.col("v").isNotNull() & F.col("p").isNull()
+    counts = found.groupBy("edge").agg(F.sum("n").alias("child_rows"),
+                                       F.sum(F.when(lost, F.col("n")).otherwise(0)).alias("orphan_rows"))
+    names = spark.createDataFrame([(i, e.child_table, e.child_col, e.parent_table, e.parent_col)
+                                   for i, e in enumerate(edges)],
+                                  "edge int, child_table string, child_col string, parent_table string, parent_col string")
+    return names.join(counts, "edge", "left").select(
+        "child_table", "child_col", "parent_table", "parent_col",
+        F.coalesce("child_rows", F.lit(0)).alias("child_rows"), F.coalesce("orphan_rows", F.lit(0)).alias("orphan_rows"))
+
+
+def orphan_audit(spark, d):
+    """Every manifest edge whose parent table has a key set: child rows that stay though
+    their parent is archived."""
     c = Ctx(spark, d)
+    home = {ks.table: ks.name for ks in TPCH.keysets}
     parts = []
-    for e in TPCH.edges():
-        parent = Keys(e.parent_table, c.table(e.parent_table).select(F.col(e.parent_col).alias("id")))
-        tagged = flag(c.table(e.child_table).select(F.col(e.child_col).alias("v")), "v", parent,
-                      name="found")
-        parts.append(tagged.agg(
-            F.count(F.lit(1)).alias("child_rows"),
-            F.count_if(F.col("v").isNotNull() & ~F.col("found")).alias("orphan_rows"))
-            .select(F.lit(e.child_table).alias("child_table"), F.lit(e.child_col).alias("child_col"),
-                    F.lit(e.parent_table).alias("parent_table"),
-                    F.lit(e.parent_col).alias("parent_col"), "child_rows", "orphan_rows"))
+    for table in dict.fromkeys(e.child_table for e in TPCH.edges()):
+        edges = [e for e in TPCH.edges() if e.child_table == table and e.parent_table in home]
+        kept = c.move_parts(table)[1]
+        found = orphans(kept, [(e.child_col, c.keys[home[e.parent_table]]) for e in edges])
+        parts.append(found.select(F.lit(table).alias("child_table"), "child_col", "orphan_rows"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -266,20 +284,24 @@ def fk_reach_nation(spark, d):
 
 
 def fingerprint_moves(spark, d):
-    """Per moved table: content fingerprint of the source against archived +
-    retained parts (equal when the split neither loses nor invents rows)."""
+    """Per moved table: rows and content sums of the archived and the retained part of
+    the split (one scan). The content of a row is the first 32 bits of the MD5 of its
+    integer and string columns."""
     c = Ctx(spark, d)
     parts = []
     for mv in TPCH.moves:
-        t = c.table(mv.table)
-        a, r = c.move_parts(mv.table)
-        name = F.lit(mv.table).alias("table_name")
-        parts.append(t.agg(*fingerprint_aggs(t.columns, "src_")).select(name, "*"))
-        parts.append(a.unionByName(r).agg(*fingerprint_aggs(t.columns, "split_")).select(name, "*"))
-    m = _merge(parts, "table_name")
-    return m.select("table_name", F.col("src_rows").alias("rows"),
-                    ((F.col("src_rows") == F.col("split_rows"))
-                     & (F.col("src_fingerprint") == F.col("split_fingerprint"))).alias("equal"))
+        t = flag(c.table(mv.table), mv.column, c.keys[mv.keyset])
+        exact = [f.name for f in t.schema.fields if f.dataType.simpleString() in ("int", "bigint", "string")]
+        text = F.concat_ws("|", *[F.coalesce(F.col(n).cast("string"), F.lit("~")) for n in exact])
+        value = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+        both = t.select("archived", value.alias("value"))
+        side = lambda cond, x: F.coalesce(F.sum(F.when(cond, x)), F.lit(0))
+        gone = F.col("archived")
+        parts.append(both.agg(
+            F.count(F.lit(1)).alias("rows"), side(gone, F.lit(1)).alias("archived_rows"),
+            side(~gone, F.lit(1)).alias("retained_rows"), side(gone, F.col("value")).alias("archived_sum"),
+            side(~gone, F.col("value")).alias("retained_sum")).select(F.lit(mv.table).alias("table_name"), "*"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -318,6 +340,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dry_run_by_project_lineitem": _by_project("lineitem"),
         "archive_collisions": archive_collisions,
         "fk_edges": fk_edges,
+        "orphan_audit": orphan_audit,
         "fk_reach": fk_reach_nation,
         "list_tables": list_tables,
         "fingerprint": fingerprint_moves,

@@ -3,17 +3,20 @@ into archived / retained rows, validate, publish all or nothing, audit.
 
 Stages (the reference's procedure, re-planned for Spark):
 
-1. open run: a RUNNING row in ``archival_run``;
+1. open run: a RUNNING row in ``archival_run``, and only then
 2. pin one version of every table (one snapshot for closure and split);
 3. key sets: each derived from its parent, written once to the run folder and
    read back (cuts lineage, gives exact sizes for broadcast decisions), then
    asserted unique and non-null;
-4. moves: one single-pass split per table (left join to the key set, a boolean
-   ``archived``, ``partitionBy("archived")``), several in flight at once;
-   tables whose key set is empty are skipped (no rewrite);
+4. moves: per table, find the files that hold rows of the key set (a pass over its
+   FK column only), then split those files in a single pass (a left join to the key
+   set, ``partitionBy`` on the outcome), several in flight at once; other files stay
+   as they are, and tables whose key set is empty are skipped;
 5. counts from independent sources are compared (the count gate), optionally
-   the content fingerprint, the archive-collision and schema guards;
-6. publish: log lines, then the SUCCESS row. Any failure writes FAILED with the
+   the content fingerprint, the archive-collision and schema guards; retained rows
+   whose parent was archived are counted (the orphan audit);
+6. publish: log lines, then the SUCCESS row, between two looks at the run's own
+   state and at the versions it is based on. Any failure writes FAILED with the
    table in the message and re-raises; the run's files stay unreferenced.
 """
 
@@ -25,15 +28,16 @@ import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.expr import error_text, fingerprint_aggs
 from ..operators.closure import dedup_for_write, derive
-from ..operators.joins import DEFAULT_MAX_BROADCAST_ROWS, Keys, flag, semi
+from ..operators.joins import DEFAULT_MAX_BROADCAST_BYTES, Keys, anti, flag, heavy_values, quoted, semi
 from ..operators.validate import (
+    PART,
     ArchiveCollision,
     CountMismatch,
     FingerprintMismatch,
@@ -42,17 +46,20 @@ from ..operators.validate import (
     check_counts,
     check_schema,
     collisions,
+    orphans,
 )
 from ..sources import fs
 from ..sources.catalog import session_info
-from ..sources.tables import NOTE_COMPACTED, NOTE_EMPTIED, TableStore, Version
+from ..sources.audit import RunAbandoned
+from ..sources.tables import FILE, NOTE_COMPACTED, NOTE_EMPTIED, TableStore, Version
 from .manifest import Manifest, Move
 
 
 # Shuffle sizing for joins that cannot broadcast: ~256 MB of Parquet input per
-# initial partition, at most 65,536 partitions (AQE coalesces small shuffles).
+# initial partition (AQE coalesces small shuffles).
 SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 65_536
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 
 
 @dataclass
@@ -74,24 +81,18 @@ class RunResult:
     counts: list[MoveCounts] = field(default_factory=list)
     error: str | None = None
     seconds: dict[str, float] = field(default_factory=dict)  # "keys:<set>", "move:<table>", "run"
+    orphans: dict[tuple[str, str], int] = field(default_factory=dict)  # (table, column) -> retained rows
 
-    def log_lines(self, log_empty: bool = False, stamp: str | None = None,
-                  root_names: dict[int, str] | None = None) -> list[dict]:
-        """One line per moved table (the gate's counts); with ``root_names``
-        also one line per table and project, ``project_id``/``project_name``
-        set and ``note`` = ``by project``."""
+    def log_lines(self, log_empty: bool = False, stamp: str | None = None) -> list[dict]:
+        """One line per moved table (the gate's counts), with its orphans in the note."""
         out = []
         for c in self.counts:
             if c.rows_copied > 0 or log_empty:
-                note = "; ".join([*c.notes, *([stamp] if stamp else [])]) or None
+                left = [f"{n} rows orphaned by {col}" for (t, col), n in sorted(self.orphans.items()) if t == c.table and n]
+                note = "; ".join([*c.notes, *left, *([stamp] if stamp else [])]) or None
                 out.append(dict(table_name=c.table, rows_in_main=c.rows_in_main,
                                 rows_copied=c.rows_copied, rows_deleted=c.rows_deleted,
                                 status="SUCCESS", note=note))
-                for rid, n in (c.by_root if root_names is not None else ()):
-                    out.append(dict(table_name=c.table, project_id=rid,
-                                    project_name=root_names.get(rid), rows_in_main=n,
-                                    rows_copied=n, rows_deleted=n, status="SUCCESS",
-                                    note="by project"))
         return out
 
 
@@ -112,12 +113,14 @@ class Archiver:
       * ``verify``: ``"counts"`` (the gate) or ``"content"`` (gate + fingerprint
         of source vs. archived + retained, one extra read of the written data);
       * ``parallelism``: moves in flight at once (independent Spark jobs);
-      * ``max_broadcast_rows``: key sets up to this many rows are broadcast;
-      * ``stale_after``: a RUNNING run older than this counts as abandoned;
+      * ``max_broadcast_bytes``: key sets up to this size in memory are broadcast,
+        all moves in flight together;
       * ``stamp_session``: write ``database=..; user=..`` of the session into each
         log line's ``note``;
-      * ``log_by_project``: key sets under the root carry their root id, and the
-        log gets a line per table and project (shared parents excepted);
+      * ``log_by_project``: key sets under the root carry their root id, and a line
+        per table and project is written to a table of its own (shared parents
+        excepted);
+      * ``check_orphans``: count retained rows whose parent was archived, per edge;
       * ``check_collisions``: the archive-collision guard (a semi join of the new
         archived keys against the key column of the table's whole archive);
       * ``target_file_bytes``, ``compact_min_files``: an archived part written as
@@ -128,11 +131,11 @@ class Archiver:
     def __init__(self, spark: SparkSession, manifest: Manifest, input_root: str, output_root: str,
                  *, collation: str | None = None, clients: str = "any", log_empty: bool = False,
                  verify: str = "counts", parallelism: int = 4,
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, hooks: Hooks | None = None,
-                 stale_after: timedelta = timedelta(hours=24),
+                 max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, hooks: Hooks | None = None,
                  target_file_bytes: int = 128 * 1024 * 1024, compact_min_files: int = 64,
                  stamp_session: bool = False, input_layout: str = "auto",
-                 log_by_project: bool = False, check_collisions: bool = True):
+                 log_by_project: bool = False, check_collisions: bool = True,
+                 check_orphans: bool = True):
         manifest.check()
         if verify not in ("counts", "content"):
             raise ValueError("verify must be 'counts' or 'content'")
@@ -142,9 +145,9 @@ class Archiver:
         self.audit = self.store.audit
         self.collation, self.clients, self.log_empty = collation, clients, log_empty
         self.verify, self.parallelism = verify, max(1, parallelism)
-        self.max_rows = max_broadcast_rows
+        self.max_bytes = max_broadcast_bytes // self.parallelism
         self.hooks = hooks or Hooks()
-        self.stale_after = stale_after
+        self.check_orphans = check_orphans
         self.target_file_bytes, self.compact_min_files = target_file_bytes, compact_min_files
         self.stamp_session = stamp_session
         self.log_by_project = log_by_project
@@ -184,12 +187,13 @@ class Archiver:
         and assert the key while writing: row count and violations are observed
         on the write itself, so no second job runs unless something is wrong."""
         plan = derive(self.manifest, ks, read, known, csv, self.collation, self.clients,
-                      self.max_rows, carry_root=self.log_by_project)
+                      self.max_bytes, carry_root=self.log_by_project)
         path = self.store.keys_dir(run_id, ks.name)
         bad_cond = (F.col("__rs_n") > 1) | F.col("id").isNull()
         obs = Observation(f"keys_{ks.name}_{run_id}")
         (dedup_for_write(plan)
-         .observe(obs, F.count(F.lit(1)).alias("rows"), F.count_if(bad_cond).alias("bad"))
+         .observe(obs, F.count(F.lit(1)).alias("rows"), F.count_if(bad_cond).alias("bad"),
+                  F.sum(F.octet_length(F.col("id").cast("string"))).alias("chars"))
          .write.mode("errorifexists").parquet(path))
         written = self.spark.read.parquet(path)
         rows, bad = int(obs.get["rows"]), int(obs.get["bad"])
@@ -199,7 +203,8 @@ class Archiver:
             if sample:
                 raise KeyViolation(ks.name, [(r["id"], r["__rs_n"]) for r in sample])
             rows = written.count()
-        return Keys(ks.name, written.drop("__rs_n"), rows=rows, distinct=True)
+        size = 32 * rows + int(obs.get["chars"] or 0)  # of a hashed relation: a row's frame and its id
+        return Keys(ks.name, written.drop("__rs_n"), rows=rows, distinct=True, size=size)
 
     def build_keys(self, run_id: int, read: Callable[[str], DataFrame], csv: str | None,
                    known: dict[str, Keys] | None = None,
@@ -242,38 +247,47 @@ class Archiver:
             return MoveCounts(mv.table, None, 0, 0, 0)
         check_schema(mv.table, v.schema, self.store.archive_schema(mv.table, published))
 
-        source = self.store.read_version(v)
-        cols = list(v.schema.names)
+        whole = self.store.read_version(v, with_file=True)
+        if not keys.small(self.max_bytes):
+            keys = dataclasses.replace(keys, heavy=heavy_values(whole, mv.column))
+        # files with rows to archive, by a pass over the FK column alone
+        replaced = self.store.replaced_dir(mv.table, run_id)
+        (semi(whole.select(quoted(mv.column), FILE), mv.column, keys, self.max_bytes)
+         .select(FILE).distinct().write.mode("errorifexists").parquet(replaced))
+        touched = spark.read.schema(f"{FILE} string").parquet(replaced)
+        source = whole.join(touched, FILE, "left_semi").drop(FILE)
         obs = Observation(f"split_{mv.table}_{run_id}")
-        hit_task = F.when(F.col("archived"), F.spark_partition_id())
-        aggs = [F.count(F.lit(1)).alias("n"), F.count_if(F.col("archived")).alias("hits"),
+        hit_task = F.when(F.col(PART) == "archived", F.spark_partition_id())
+        aggs = [F.count(F.lit(1)).alias("n"), F.count_if(F.col(PART) == "archived").alias("hits"),
                 F.min(hit_task).alias("task_lo"), F.max(hit_task).alias("task_hi")]
         if self.verify == "content":
-            aggs += fingerprint_aggs(cols, prefix="src_")
-        split = flag(source, mv.column, keys, self.max_rows)
+            aggs += fingerprint_aggs(v.schema, prefix="src_")
+        split = flag(source, mv.column, keys, self.max_bytes, name=PART).withColumn(
+            PART, F.when(F.col(PART), "archived").otherwise("retained"))
         if self.hooks.split:
             split = self.hooks.split(mv.table, split)
         split = split.observe(obs, *aggs)
         out = self.store.table_dir(mv.table, run_id)
         with ThreadPoolExecutor(1, thread_name_prefix="rootsweep-count") as side:
-            # the source's row count (Parquet footers, independent of the split)
+            # the row count of the files to be replaced (no data column is read)
             # runs as its own small job while the split is written
             before = side.submit(source.count)
-            split.write.mode("errorifexists").partitionBy("archived").parquet(out)  # see _writers()
+            split.write.mode("errorifexists").partitionBy(PART).parquet(out)  # see _writers()
             rows_before = before.result()
 
         # Read back what was written: both parts in one job over the run folder.
-        # (partition discovery may type the folder value as string or boolean)
-        written = {str(r["part"]).lower() == "true": int(r["n"]) for r in
-                   spark.read.parquet(out).groupBy(F.col("archived").cast("string").alias("part"))
-                   .agg(F.count(F.lit(1)).alias("n")).collect()}
-        copied, retained = written.get(True, 0), written.get(False, 0)
+        written: dict[str, int] = {}
+        if rows_before:
+            written = {r["part"]: int(r["n"]) for r in
+                       spark.read.parquet(out).groupBy(F.col(PART).alias("part"))
+                       .agg(F.count(F.lit(1)).alias("n")).collect()}
+        copied, retained = written.get("archived", 0), written.get("retained", 0)
         m = obs.get
         in_main = int(m["hits"])
         if in_main != copied or int(m["n"]) != rows_before:
             # Observed metrics can double count when a stage is re-run after an
             # executor loss; recount independently before judging.
-            in_main = semi(source, mv.column, keys, self.max_rows).count()
+            in_main = semi(whole, mv.column, keys, self.max_bytes).count()
         counts = MoveCounts(mv.table, rows_before, in_main, copied, rows_before - retained)
         if self.hooks.counts:
             counts = self.hooks.counts(counts)
@@ -287,36 +301,25 @@ class Archiver:
                       else self.store.split_part_dir(mv.table, run_id, True))
         notes = tuple(n for n, on in ((NOTE_COMPACTED, compacted), (NOTE_EMPTIED, retained == 0))
                       if on)
-        by_root = ()
-        if self.log_by_project and copied > 0 and "root_id" in keys.df.columns:
-            # archived rows per root: a join of the (small) archived part with
-            # the key set; one row per selected root comes back
-            side = keys.df.select(F.col("id").alias("__rs_kid"), "root_id")
-            per = (spark.read.parquet(moved_path).select(F.col(mv.column).alias("__rs_col"))
-                   .join(F.broadcast(side) if keys.small(self.max_rows) else side,
-                         F.col("__rs_col") == F.col("__rs_kid"))
-                   .groupBy("root_id").agg(F.count(F.lit(1)).alias("n")).collect())
-            by_root = tuple(sorted((int(r["root_id"]), int(r["n"])) for r in per))
-        counts = dataclasses.replace(counts, notes=notes, by_root=by_root)
+        counts = dataclasses.replace(counts, notes=notes)
 
         if self.verify == "content" and copied > 0:
             parts = [spark.read.parquet(moved_path)]
             if retained:
                 parts.append(spark.read.parquet(self.store.split_part_dir(mv.table, run_id, False)))
             both = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-            got = both.agg(*fingerprint_aggs(cols)).first()
+            got = both.agg(*fingerprint_aggs(v.schema)).first()
             src = (int(m["src_rows"]), m["src_fingerprint"])
             if (int(got["rows"]), got["fingerprint"]) != src:
                 # observed metrics may repeat after a re-run stage: recompute
-                again = source.agg(*fingerprint_aggs(cols)).first()
+                again = source.agg(*fingerprint_aggs(v.schema)).first()
                 src = (int(again["rows"]), again["fingerprint"])
             if (int(got["rows"]), got["fingerprint"]) != src:
                 raise FingerprintMismatch(mv.table, src, (got["rows"], got["fingerprint"]))
 
         if self.check_collisions and mv.pk and copied > 0:
             moved = spark.read.parquet(moved_path)
-            hit = collisions(moved, mv.pk, self.store.archive(mv.table, published), copied,
-                             self.max_rows)
+            hit = collisions(moved, mv.pk, self.store.archive(mv.table, published), None, self.max_bytes)
             sample = [r["id"] for r in hit.limit(3).collect()] if hit is not None else []
             if sample:
                 raise ArchiveCollision(mv.table, sample)
@@ -344,7 +347,7 @@ class Archiver:
     def _size_if_needed(self, versions: dict[str, Version], keys: dict[str, Keys]) -> None:
         """Shuffle sizing only matters once a key set is too big to broadcast
         (its joins then shuffle whole tables); until then nothing is listed."""
-        if not self._sized and any(k.rows is not None and not k.small(self.max_rows)
+        if not self._sized and any(k.rows is not None and not k.small(self.max_bytes)
                                    for k in keys.values()):
             self._sized = True
             self._size_shuffles(versions)
@@ -354,32 +357,34 @@ class Archiver:
         starts at ``initialPartitionNum`` partitions and is coalesced down, never
         split up (except skew). Raise that start to about one partition per
         ``SHUFFLE_PARTITION_BYTES`` of the largest input (file sizes, metadata
-        only), capped; never lower a cluster's own setting."""
+        only); never lower a cluster's own setting."""
         conf = self.spark.conf
         if conf.get("spark.sql.adaptive.enabled", "true").lower() != "true":
             return
         sizes = fs.total_bytes(self.spark, [p for v in versions.values() for p in v.paths])
         largest = max((sum(sizes[p] for p in v.paths) for v in versions.values()), default=0)
-        need = min(MAX_SHUFFLE_PARTITIONS, -(-largest // SHUFFLE_PARTITION_BYTES))
-        key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-        current = conf.get(key, None) or conf.get("spark.sql.shuffle.partitions", "200")
+        need = -(-largest // SHUFFLE_PARTITION_BYTES)
+        current = conf.get(INITIAL_PARTITIONS, None) or conf.get("spark.sql.shuffle.partitions", "200")
         if need > int(current):
-            conf.set(key, str(need))
+            conf.set(INITIAL_PARTITIONS, str(need))
 
     def _writers(self) -> None:
         """A split writes two partition values per task. With concurrent output
         writers Spark keeps both files open instead of sorting every task's rows
         by ``archived`` first (a sort that spills on large partitions). Only set
         when the session leaves it at its default (0)."""
-        if self.spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0") == "0":
-            self.spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", "2")
+        if self.spark.conf.get(WRITERS, "0") == "0":
+            self.spark.conf.set(WRITERS, "2")
 
     def run(self, csv: str | None) -> RunResult:
         t_run = time.perf_counter()
         self._seconds = {}
+        self._session = {k: self.spark.conf.get(k, None) for k in (INITIAL_PARTITIONS, WRITERS)}
         try:
             return self._run(csv)
         finally:
+            for key, value in self._session.items():  # the caller's settings come back
+                self.spark.conf.set(key, value) if value is not None else self.spark.conf.unset(key)
             self._seconds["run"] = round(time.perf_counter() - t_run, 3)
             if self._result is not None:
                 self._result.seconds = dict(self._seconds)
@@ -388,17 +393,15 @@ class Archiver:
         self._result = None
         self._writers()
         self.audit.ensure()  # audit tables exist before anything reads them
-        # Three small independent reads of the audit trail, overlapped: open the
-        # run, resolve published versions, reserve log ids (one writer per root).
-        with ThreadPoolExecutor(3, thread_name_prefix="rootsweep-open") as pool:
-            f_open = pool.submit(self.audit.open_run, csv, self.stale_after)
-            f_pub = pool.submit(self.store.published)
-            f_log = pool.submit(self.audit.next_log_id)
-            run_id, started = f_open.result()
+        # The RUNNING row first: what is published is looked up only once no other
+        # run can open, so no version of a run declared failed is ever pinned.
+        run_id, started = self.audit.open_run(csv)
         stage = "Temp ID Set Creation"
         result = self._result = RunResult(run_id, "RUNNING")
         try:
-            published, first_log_id = f_pub.result(), f_log.result()
+            with ThreadPoolExecutor(2, thread_name_prefix="rootsweep-open") as pool:
+                f_pub, f_log = pool.submit(self.store.published), pool.submit(self.audit.next_log_id)
+                published, first_log_id = f_pub.result(), f_log.result()
             versions = self.store.snapshot(self.manifest.tables(), published)
             self._sized = False
             keys, result.counts = self._keys_and_moves(run_id, versions, csv, published)
@@ -408,25 +411,79 @@ class Archiver:
             if self.stamp_session:
                 info = session_info(self.spark).first()
                 stamp = f"database={info['current_database']}; user={info['current_user']}"
-            names = None
+            if self.check_orphans:
+                result.orphans = self._orphans(versions, keys)
             if self.log_by_project:
-                root = keys[self.manifest.root.name].df.select("id", "name").collect()
-                names = {int(r["id"]): r["name"] for r in root}  # the selected roots only
-            self.audit.write_log(run_id, result.log_lines(self.log_empty, stamp, names),
-                                 first_log_id)
+                self._log_by_project(result, keys, first_log_id)
+            self._still_valid(run_id, "RUNNING", published)
+            self.audit.write_log(run_id, result.log_lines(self.log_empty, stamp), first_log_id)
             self.audit.close_run(run_id, csv, started, "SUCCESS")
+            self._still_valid(run_id, "SUCCESS", published)
             result.status = "SUCCESS"
             return result
         except BaseException as exc:  # record, then re-raise (the caller must see it)
             table, cause = (exc.table, exc.cause) if isinstance(exc, _MoveError) else (stage, exc)
             result.status, result.error = "FAILED", error_text(cause, table)
             try:
-                self.audit.close_run(run_id, csv, started, "FAILED", result.error)
+                if not isinstance(exc, RunAbandoned):  # there the FAILED row exists
+                    self.audit.close_run(run_id, csv, started, "FAILED", result.error)
             finally:
                 if isinstance(exc, _MoveError):
                     raise cause from None
                 raise
 
+    def _still_valid(self, run_id: int, state: str, published: dict[str, list[int]]) -> None:
+        """This run's state is as it should be, and all runs it builds on are published."""
+        if self.audit.state(run_id) != state:
+            raise RunAbandoned(f"run {run_id} was declared FAILED by another command; nothing is published")
+        now = self.store.published()
+        for table, runs in published.items():
+            if not set(runs) <= set(now.get(table, [])):
+                raise CountMismatch(table, 0, 0, "a version this run builds on is no longer published")
+
+    def _orphans(self, versions: dict[str, Version], keys: dict[str, Keys]) -> dict[tuple[str, str], int]:
+        """Retained rows whose parent row was archived, per child column: one pass over
+        each child table with an edge besides the one it is split by."""
+        out: dict[tuple[str, str], int] = {}
+        home = {ks.table: ks for ks in self.manifest.keysets}
+        by_child: dict[str, list] = {}
+        for e in self.manifest.edges():
+            parent = home.get(e.parent_table)
+            if parent is not None and parent.key == e.parent_col and keys[parent.name].rows and e.child_table in versions:
+                by_child.setdefault(e.child_table, []).append((e.child_col, keys[parent.name]))
+        moved = {mv.table: mv for mv in self.manifest.moves}
+        for table, edges in by_child.items():
+            mv, rows = moved.get(table), self.store.read_version(versions[table])
+            if mv is not None:
+                edges = [(c, k) for c, k in edges if (c, k.name) != (mv.column, mv.keyset)]
+                if keys[mv.keyset].rows:
+                    rows = anti(rows, mv.column, keys[mv.keyset], self.max_bytes)
+            if edges:
+                for r in orphans(rows, edges, self.max_bytes).collect():  # one row per edge
+                    out[(table, r["child_col"])] = int(r["orphan_rows"])
+        return out
+
+    def _log_by_project(self, result: RunResult, keys: dict[str, Keys], first_id: int) -> None:
+        """Archived rows per root of every moved table, written by the executors: a join
+        of the (small) archived part with the key set that carries each key's root."""
+        root = keys[self.manifest.root.name].df.select(F.col("id").alias("root_id"), F.col("name").alias("root_name"))
+        parts = []
+        for mv in self.manifest.moves:
+            c = next((c for c in result.counts if c.table == mv.table), None)
+            k = keys[mv.keyset]
+            if c is None or not c.rows_copied or "root_id" not in k.df.columns:
+                continue
+            path = (self.store.compact_dir if NOTE_COMPACTED in c.notes else
+                    lambda t, r: self.store.split_part_dir(t, r, True))(mv.table, result.run_id)
+            side = k.df.select(F.col("id").alias("__rs_kid"), "root_id")
+            parts.append(self.spark.read.parquet(path).select(quoted(mv.column).alias("__rs_col"))
+                         .join(F.broadcast(side) if k.small(self.max_bytes) else side, F.col("__rs_col") == F.col("__rs_kid"))
+                         .groupBy("root_id").agg(F.count(F.lit(1)).alias("rows"))
+                         .select(F.lit(mv.table).alias("table_name"), "root_id", "rows"))
+        if parts:
+            lines = reduce(DataFrame.unionByName, parts).join(root, "root_id")
+            self.audit.write_project_log(result.run_id, lines, first_id)
+
     def _keys_and_moves(self, run_id: int, versions: dict[str, Version], csv: str | None,
                         published: dict[str, list[int]]) -> tuple[dict[str, Keys], list[MoveCounts]]:
         """Key sets, then moves. In parallel mode a table's move starts as soon

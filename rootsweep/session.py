@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "rootsweep",
                   checkpoint_dir: str | None = None) -> SparkSession:
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]").appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
@@ -24,20 +24,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         # moves run as concurrent jobs; FAIR lets a small table's move finish
         # while a large one is still writing
         .config("spark.scheduler.mode", "FAIR")
-        .getOrCreate()
     )
+    if checkpoint_dir:  # tests and bench; a cluster names its own
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark, checkpoint_dir)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession, default: str | None) -> str | None:
-    """The shared checkpoint folder the cluster names; set ``default`` only
-    where none is configured (tests, local bench)."""
-    current = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        return current
-    if default:
-        spark.sparkContext.setCheckpointDir(default)
-        return default
-    return None

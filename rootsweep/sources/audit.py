@@ -15,7 +15,7 @@ Ids come from ``max + 1`` on the driver: one writer per output root.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,6 +67,10 @@ class ConcurrentRun(RuntimeError):
     """Another run on the same output root has not finished."""
 
 
+class RunAbandoned(RuntimeError):
+    """This run was declared FAILED meanwhile; nothing of it is published."""
+
+
 def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
@@ -77,6 +81,7 @@ class Audit:
         self.root = fs.join(output_root, "audit")
         self.run_path = fs.join(self.root, "archival_run")
         self.log_path = fs.join(self.root, "archival_log")
+        self.project_log_path = fs.join(self.root, "archival_log_by_project")
         self.purge_path = fs.join(self.root, "purged_runs")
 
     # ---- A5: create if absent ---------------------------------------------
@@ -131,33 +136,41 @@ class Audit:
     def _append(self, rows: list[tuple], schema: StructType, path: str) -> None:
         self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
 
-    def open_run(self, project_list: str | None,
-                 stale_after: timedelta = timedelta(hours=24)) -> tuple[int, datetime]:
+    def open_run(self, project_list: str | None) -> tuple[int, datetime]:
         """Allocate ``max + 1`` and append the RUNNING row.
 
-        One writer per output root: a run still RUNNING that started less than
-        ``stale_after`` ago blocks the new one (``ConcurrentRun``); an older one
-        was abandoned (driver lost mid-run) and is recorded FAILED first. Its
-        files were never published, so nothing else needs undoing. One small
-        read serves both checks and the id."""
+        One writer per output root: a run still RUNNING blocks the new one
+        (``ConcurrentRun``), however long ago it began. Whether its driver is
+        lost only an operator can tell: ``abandon(run_id)`` says so."""
         info = self.runs_raw().agg(
             F.max("run_id").alias("top"),
             F.collect_list(F.when(F.col("status") == "RUNNING",
                                   F.struct("run_id", "project_list", "started_at"))).alias("open"),
         ).first()
         now = _now()
-        live = [r for r in (info["open"] or []) if now - r["started_at"] < stale_after]
-        if live:
-            raise ConcurrentRun(f"run {live[0]['run_id']} started at {live[0]['started_at']} is "
-                                "still RUNNING; one writer per output root")
-        rows = [(r["run_id"], r["project_list"], r["started_at"], now, "FAILED",
-                 "abandoned: the run ended without a final state") for r in (info["open"] or [])]
+        for r in info["open"] or []:
+            raise ConcurrentRun(f"run {r['run_id']} started at {r['started_at']} is still RUNNING; one "
+                                "writer per output root (if its driver is gone, abandon it by its id)")
         run_id = int(info["top"] or 0) + 1
-        rows.append((run_id, project_list if project_list is not None else "", now, None,
-                     "RUNNING", None))
-        self._append(rows, RUN_SCHEMA, self.run_path)
+        self._append([(run_id, project_list if project_list is not None else "", now, None,
+                       "RUNNING", None)], RUN_SCHEMA, self.run_path)
         return run_id, now
 
+    def state(self, run_id: int) -> str | None:
+        """The run's state as readers see it (FAILED outranks SUCCESS)."""
+        row = self.runs_raw().where(F.col("run_id") == run_id).select("status").first()
+        return row["status"] if row else None
+
+    def abandon(self, run_id: int) -> None:
+        """Declare a RUNNING run FAILED (its driver is lost). Its files were never
+        published, so nothing needs undoing; should it still be alive, it finds
+        this row before or after its own SUCCESS and raises ``RunAbandoned``."""
+        row = self.runs_raw().where(F.col("run_id") == run_id).first()
+        if row is None or row["status"] != "RUNNING":
+            raise ValueError(f"run {run_id} is {row['status'] if row else 'unknown'}, not RUNNING")
+        self.close_run(run_id, row["project_list"], row["started_at"], "FAILED",
+                       "abandoned: the run ended without a final state")
+
     def close_run(self, run_id: int, project_list: str | None, started: datetime,
                   status: str, error_message: str | None = None) -> None:
         if status not in RUN_STATUSES[1:]:
@@ -170,8 +183,8 @@ class Audit:
         return self._next(self.log_path, LOG_SCHEMA, "id")
 
     def write_log(self, run_id: int, lines: list[dict], first_id: int | None = None) -> None:
-        """All log lines of a run in one write; ids from ``first_id`` (read
-        earlier by the single writer) or ``max + 1``."""
+        """All table lines of a run in one write (one per moved table); ids from
+        ``first_id`` (read earlier by the single writer) or ``max + 1``."""
         if not lines:
             return
         first = first_id if first_id is not None else self.next_log_id()
@@ -186,15 +199,25 @@ class Audit:
                          int(ln["rows_deleted"]), status, ln.get("note"), now, None))
         self._append(rows, LOG_SCHEMA, self.log_path)
 
+    def write_project_log(self, run_id: int, lines: DataFrame, first_id: int) -> None:
+        """Lines per table and root, written by the executors to a table of their own:
+        ``lines`` has table_name, root_id, root_name, rows. There may be as many as
+        roots, so none passes the driver; ids only need to be unique."""
+        now = F.lit(_now()).cast("timestamp")
+        (lines.select(
+            (F.lit(first_id) + F.monotonically_increasing_id()).alias("id"), F.lit(run_id).cast("bigint").alias("run_id"),
+            F.col("root_id").cast("string").alias("project_id"), F.col("root_name").cast("string").alias("project_name"),
+            "table_name", F.col("rows").alias("rows_in_main"), F.col("rows").alias("rows_copied"),
+            F.col("rows").alias("rows_deleted"), F.lit("SUCCESS").alias("status"), F.lit("by project").alias("note"),
+            now.alias("created_at")).write.mode("append").parquet(self.project_log_path))
+
+    def project_log(self) -> DataFrame | None:
+        """Per-project lines of published runs; None if none was ever written."""
+        df = fs.try_parquet(self.spark, self.project_log_path)
+        ok = self.runs().filter(F.col("status") == "SUCCESS").select("run_id")
+        return None if df is None else df.join(ok, "run_id", "left_semi")
+
     # ---- A11: delete a run with its log lines --------------------------------
     def purge(self, run_ids: list[int]) -> None:
         now = _now()
         self._append([(int(r), now) for r in run_ids], PURGE_SCHEMA, self.purge_path)
-
-
-def purge_view(runs: DataFrame, log: DataFrame, purged_ids: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Runs and log lines left after deleting ``purged_ids`` (column ``run_id``),
-    the log following its run (cascade)."""
-    keep_runs = runs.join(purged_ids.select("run_id"), "run_id", "left_anti")
-    keep_log = log.join(keep_runs.select("run_id"), "run_id", "left_semi")
-    return keep_runs, keep_log

@@ -7,7 +7,6 @@ tables and main versions are opened by reading them (one listing, reused)."""
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -73,13 +72,13 @@ def total_bytes(spark: SparkSession, paths: list[str]) -> dict[str, int]:
 
 
 def children(spark: SparkSession, path: str) -> list[str]:
-    """Names directly under ``path`` that hold data files; [] if absent."""
-    lst = listing(spark, path, recursive=True)
-    if lst is None:
+    """Names directly under ``path`` (hidden ones excluded), by one non-recursive
+    listing through the session's Hadoop FileSystem; [] if absent."""
+    fsys, p = _hadoop(spark, path)
+    if not fsys.exists(p):
         return []
-    base = re.escape(path.rstrip("/").split("/")[-1])
-    names = lst.select(F.regexp_extract("path", f"/{base}/([^/]+)", 1).alias("n")).distinct()
-    return sorted(r["n"] for r in names.collect() if r["n"])
+    names = (s.getPath().getName() for s in fsys.listStatus(p))
+    return sorted(n for n in names if not n.startswith(("_", ".")))
 
 
 def join(*parts: str) -> str:
@@ -91,17 +90,3 @@ def _hadoop(spark: SparkSession, path: str):
     sc = spark.sparkContext
     p = sc._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(sc._jsc.hadoopConfiguration()), p
-
-
-def present(spark: SparkSession, path: str) -> bool:
-    """Existence through the session's Hadoop FileSystem (used by vacuum only)."""
-    fsys, p = _hadoop(spark, path)
-    return bool(fsys.exists(p))
-
-
-def delete(spark: SparkSession, path: str) -> bool:
-    """Remove ``path`` recursively; False if it was absent. The DataFrame API
-    has no delete, so this goes through the session's Hadoop FileSystem
-    (classic sessions only); callers pass only folders they own."""
-    fsys, p = _hadoop(spark, path)
-    return bool(fsys.exists(p)) and bool(fsys.delete(p, True))

@@ -2,24 +2,25 @@
 
 Layout under ``output_root``::
 
-    keys/run_id=<r>/<key set>/                  materialised key sets (evidence)
-    tables/<t>/run_id=<r>/archived=true/         rows archived by run r
-    tables/<t>/run_id=<r>/archived=false/        the table's next main version
-    tables/<t>/compacted/run_id=<r>/             archived part rewritten into fewer files
-    audit/...                                    see ``sources.audit``
-
-One split write fills both ``archived`` folders. Only runs whose latest state
-is SUCCESS are read, so a failed run's files are never looked at (all or
-nothing without a transaction):
-
-* **main** of ``t`` = ``archived=false`` of the newest published run that
-  rewrote ``t`` (empty with the known schema if every row moved), else the
-  input table;
-* **archive** of ``t`` = ``archived=true`` of every published run, with the
-  run as a ``run_id`` column.
+    keys/run_id=<r>/<key set>/                       materialised key sets (evidence)
+    tables/<t>/__rs_run=<r>/__rs_part=archived/       rows archived by run r
+    tables/<t>/__rs_run=<r>/__rs_part=retained/       other rows of the files that held them
+    replaced/<t>/__rs_run=<r>/                        list of those files
+    tables/<t>/compacted/__rs_run=<r>/                archived part in fewer files (layout only)
+    audit/...                                         see ``sources.audit``
+
+One split write fills both parts. Only runs whose latest state is SUCCESS are
+read, so a failed run's files are never looked at (all or nothing without a
+transaction):
+
+* **main** of ``t`` = the input table and the retained parts of all published runs,
+  without the files that a published run has replaced. A run thus rewrites only
+  files that hold archived rows; the list of replaced files is a Parquet table;
+* **archive** of ``t`` = the archived parts of every published run, with the run
+  as column ``__rs_run``.
 
 Where the catalogue offers row-level ``DELETE`` (a table format), the same
-plan can issue it instead; on plain Parquet a touched table is rewritten.
+plan can issue it instead.
 """
 
 from __future__ import annotations
@@ -31,30 +32,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.joins import quoted
+from ..operators.validate import PART, RUN
 from . import fs
 from .audit import Audit
 
 
 @dataclass(frozen=True)
 class Version:
-    """One pinned version of a main table: where to read it and its schema
-    (``frame`` keeps the opened DataFrame, so its file listing is reused)."""
+    """One pinned version of a main table: where to read it, its schema, and the runs
+    whose retained parts and replaced files make it up."""
 
     table: str
     paths: tuple[str, ...]
     schema: StructType
-    run_id: int | None  # None = the input table
+    runs: tuple[int, ...] = ()  # () = the input table as it is
     frame: DataFrame | None = field(default=None, compare=False, repr=False)
 
     @property
-    def empty(self) -> bool:
-        return not self.paths
+    def run_id(self) -> int | None:
+        return self.runs[-1] if self.runs else None
 
 
-# Flags a run records in its log line's ``note`` about what it wrote, so that
-# readers never probe for folders that may be absent.
+#: Flags a run records in its log line's ``note`` about what it wrote, so that
+#: readers never probe for folders that may be absent.
 NOTE_COMPACTED = "archived part compacted"
-NOTE_EMPTIED = "main emptied"
+NOTE_EMPTIED = "nothing retained"
+#: Column with the file of each row, where a run asks for it.
+FILE = "__rs_file"
 
 
 class TableStore:
@@ -98,7 +103,10 @@ class TableStore:
 
     # ---- folders of the output ---------------------------------------------
     def table_dir(self, table: str, run_id: int) -> str:
-        return fs.join(self.output_root, "tables", table, f"run_id={run_id}")
+        return fs.join(self.output_root, "tables", table, f"{RUN}={run_id}")
+
+    def replaced_dir(self, table: str, run_id: int) -> str:
+        return fs.join(self.output_root, "replaced", table, f"{RUN}={run_id}")
 
     def note(self, table: str, run_id: int) -> str:
         if self._notes is None:
@@ -113,47 +121,41 @@ class TableStore:
         return self.split_part_dir(table, run_id, archived)
 
     def split_part_dir(self, table: str, run_id: int, archived: bool) -> str:
-        return fs.join(self.table_dir(table, run_id), f"archived={'true' if archived else 'false'}")
+        return fs.join(self.table_dir(table, run_id), f"{PART}={'archived' if archived else 'retained'}")
 
     def compact_dir(self, table: str, run_id: int) -> str:
-        return fs.join(self.output_root, "tables", table, "compacted", f"run_id={run_id}")
+        return fs.join(self.output_root, "tables", table, "compacted", f"{RUN}={run_id}")
 
     def keys_dir(self, run_id: int, keyset: str) -> str:
         return fs.join(self.output_root, "keys", f"run_id={run_id}", keyset)
 
     # ---- published versions --------------------------------------------------
     def published(self) -> dict[str, list[int]]:
-        """Table -> runs that rewrote it and were published (ascending).
+        """Table -> runs that moved rows of it and were published (ascending).
 
-        Reads two small audit tables (one row per run / per moved table)."""
+        Reads two small audit tables (one row per run / per run and moved table;
+        lines per project are in a table of their own)."""
         if self.audit is None:
             return {}
         ok = self.audit.runs_raw().filter(F.col("status") == "SUCCESS").select("run_id")
         rows = (self.audit.log_raw().filter(F.col("rows_copied") > 0)
                 .join(ok, "run_id", "left_semi")
-                .select("table_name", "run_id", "project_id", "note").collect())
+                .select("table_name", "run_id", "note").collect())
         out: dict[str, set[int]] = {}
         notes: dict[tuple[str, int], str] = {}
         for r in rows:
             out.setdefault(r["table_name"], set()).add(int(r["run_id"]))
-            if r["project_id"] is None:  # the table's own line, not a per-project one
-                notes[(r["table_name"], int(r["run_id"]))] = r["note"] or ""
+            notes[(r["table_name"], int(r["run_id"]))] = r["note"] or ""
         self._notes = notes
         return {t: sorted(v) for t, v in out.items()}
 
     def version(self, table: str, published: dict[str, list[int]] | None = None) -> Version:
-        runs = (published if published is not None else self.published()).get(table, [])
-        if not runs:
-            path, df = self._open_input(table)
-            if df is None:
-                raise FileNotFoundError(f"input table {table!r} not found at {path}")
-            return Version(table, (path,), df.schema, None, df)
-        last = runs[-1]
-        schema = self.spark.read.parquet(self.part_dir(table, last, True)).schema
-        if NOTE_EMPTIED in self.note(table, last):
-            return Version(table, (), schema, last)  # every row moved
-        kept = self.split_part_dir(table, last, False)
-        return Version(table, (kept,), schema, last, self.spark.read.schema(schema).parquet(kept))
+        runs = tuple((published if published is not None else self.published()).get(table, []))
+        path, df = self._open_input(table)
+        if df is None:
+            raise FileNotFoundError(f"input table {table!r} not found at {path}")
+        kept = tuple(self.split_part_dir(table, r, False) for r in runs if NOTE_EMPTIED not in self.note(table, r))
+        return Version(table, (path, *kept), df.schema, runs, df)
 
     def snapshot(self, tables: list[str], published: dict[str, list[int]] | None = None) -> dict[str, Version]:
         """Pin one version per table for a whole run (closure and split read the
@@ -166,29 +168,41 @@ class TableStore:
             futures = {t: pool.submit(self.version, t, pub) for t in tables}
             return {t: f.result() for t, f in futures.items()}
 
-    def read_version(self, v: Version) -> DataFrame:
-        if v.frame is not None:
-            return v.frame
-        if v.empty:
-            return self.spark.createDataFrame([], v.schema)
-        return self.spark.read.schema(v.schema).parquet(*v.paths)
+    def read_version(self, v: Version, with_file: bool = False) -> DataFrame:
+        """The rows of a version, optionally with the file that each is in (``FILE``)."""
+        at = F.col("_metadata.file_path").alias(FILE)
+        out = v.frame if v.frame is not None else self.spark.read.schema(v.schema).parquet(v.paths[0])
+        if not v.runs and not with_file:
+            return out
+        names = [quoted(c) for c in v.schema.names]
+        out = out.select(*names, at)
+        if len(v.paths) > 1:
+            out = out.unionByName(self.spark.read.schema(v.schema).parquet(*v.paths[1:]).select(*names, at))
+        if v.runs:
+            out = out.join(self.replaced(v), FILE, "left_anti")
+        return out.select(*names, FILE) if with_file else out.select(*names)
+
+    def replaced(self, v: Version) -> DataFrame:
+        """Files of a version's base that its runs have replaced (one row per file)."""
+        dirs = [self.replaced_dir(v.table, r) for r in v.runs]
+        return self.spark.read.schema(f"{FILE} string").parquet(*dirs)
 
     def main(self, table: str) -> DataFrame:
         return self.read_version(self.version(table))
 
     def archive(self, table: str, published: dict[str, list[int]] | None = None) -> DataFrame | None:
-        """Every archived row of ``table`` with its ``run_id``; None if never archived."""
+        """Every archived row of ``table`` with its run (``__rs_run``); None if never archived."""
         runs = (published if published is not None else self.published()).get(table, [])
         if not runs:
             return None
         # Two path-list reads (plain split parts, compacted parts); partition
-        # discovery supplies run_id, so the plan stays two scans for any number of runs.
+        # discovery supplies the run, so the plan stays two scans for any number of runs.
         base = fs.join(self.output_root, "tables", table)
         compacted = {r for r in runs if NOTE_COMPACTED in self.note(table, r)}
         reads = []
         plain = [self.split_part_dir(table, r, True) for r in runs if r not in compacted]
         if plain:
-            reads.append(self.spark.read.option("basePath", base).parquet(*plain).drop("archived"))
+            reads.append(self.spark.read.option("basePath", base).parquet(*plain).drop(PART))
         if compacted:
             reads.append(self.spark.read.option("basePath", fs.join(base, "compacted"))
                          .parquet(*[self.compact_dir(table, r) for r in sorted(compacted)]))
@@ -200,42 +214,6 @@ class TableStore:
             return None
         return self.spark.read.parquet(self.part_dir(table, runs[-1], True)).schema
 
-    # ---- reclaiming space ----------------------------------------------------
-    def superseded(self, tables: list[str]) -> list[str]:
-        """Folders no reader will look at again, for ``tables``:
-
-        * the retained part of a published run that a later published run of
-          the same table replaced (the main moved on);
-        * the uncompacted archived part of a run whose archive was compacted;
-        * the split folders of runs that ended FAILED (never published).
-
-        Current mains, every archive, key sets (evidence) and the folders of a
-        RUNNING run are never listed."""
-        pub = self.published()
-        runs = {int(r["run_id"]): r["status"] for r in
-                self.audit.runs_raw().select("run_id", "status").collect()}
-        out: list[str] = []
-        for t in tables:
-            done = pub.get(t, [])
-            out += [self.split_part_dir(t, r, False) for r in done[:-1]]
-            out += [self.split_part_dir(t, r, True) for r in done
-                    if NOTE_COMPACTED in self.note(t, r)]
-            out += [self.table_dir(t, r) for r, st in sorted(runs.items()) if st == "FAILED"]
-            out += [self.compact_dir(t, r) for r, st in sorted(runs.items()) if st == "FAILED"]
-        return out
-
-    def vacuum(self, tables: list[str], apply: bool = False) -> list[str]:
-        """Delete ``superseded(tables)`` (or, by default, only list them).
-        Refuses while a run is RUNNING: one writer per output root, and a run in
-        flight may still read what it pinned."""
-        running = self.audit.runs_raw().filter(F.col("status") == "RUNNING").count()
-        if running:
-            raise RuntimeError("a run is RUNNING on this output root; vacuum later")
-        paths = [p for p in self.superseded(tables) if fs.present(self.spark, p)]
-        if not apply:
-            return paths
-        return [p for p in paths if fs.delete(self.spark, p)]
-
     def reader(self, versions: dict[str, Version] | None = None):
         """``table -> DataFrame`` over pinned versions (or the input tables)."""
         if versions is None:

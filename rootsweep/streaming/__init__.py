@@ -1,0 +1,5 @@
+"""Streaming.
+
+The archival job is a batch job: no streams, watermarks or windows exist in
+what it rebuilds, so no streaming operator is provided here (see README).
+"""

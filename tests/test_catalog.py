@@ -6,7 +6,7 @@ from conftest import SF001
 
 from rootsweep import TPCH
 from rootsweep.plans.graph import coverage, edges_frame
-from rootsweep.sources.audit import LOG_SCHEMA, RUN_SCHEMA, Audit, purge_view
+from rootsweep.sources.audit import LOG_SCHEMA, RUN_SCHEMA, Audit
 from rootsweep.sources.catalog import EDGES_SQL, list_tables, session_info
 
 
@@ -32,14 +32,6 @@ def test_audit_tables_created_empty(spark, scratch):
     assert spark.read.parquet(a.log_path).schema.names == LOG_SCHEMA.names
 
 
-def test_purge_view_cascades(spark):
-    runs = spark.createDataFrame([(1,), (2,)], "run_id bigint")
-    log = spark.createDataFrame([(10, 1), (11, 1), (12, 2)], "id bigint, run_id bigint")
-    keep_runs, keep_log = purge_view(runs, log, spark.createDataFrame([(1,)], "run_id bigint"))
-    assert [r["run_id"] for r in keep_runs.collect()] == [2]
-    assert [r["id"] for r in keep_log.collect()] == [12]
-
-
 def test_manifest_coverage(spark):
     cov = {r["table_name"]: (r["depth"], r["moved"]) for r in
            coverage(spark, edges_frame(spark, TPCH.edges()), "nation",
@@ -50,32 +42,6 @@ def test_manifest_coverage(spark):
     assert partial["lineitem"] is False and partial["nation"] is True
 
 
-def test_exclusive_parents_report_equals_exclusive_key_set(spark):
-    from rootsweep.operators.closure import close_lazy
-    from rootsweep.operators.report import exclusive_parents
-    from rootsweep.sources.tables import TableStore
-
-    store = TableStore(spark, SF001)
-    csv2 = "NATION_1,NATION_3,NATION_8,NATION_13,NATION_18,NATION_23"
-    keys = close_lazy(TPCH, store.read_input, csv2)
-    rep = {r["id"] for r in exclusive_parents(TPCH, TPCH.keyset("clients"), store.read_input,
-                                              keys["projects"]).collect()}
-    excl = close_lazy(TPCH, store.read_input, csv2, up_mode="exclusive")
-    assert rep == {r["id"] for r in excl["clients"].df.collect()} == {3}
-
-
-def test_in_query_gate_raises_on_mismatch(spark):
-    import pytest
-
-    from rootsweep.operators.validate import assert_counts
-
-    ok = spark.createDataFrame([("a", 3, 3)], "table_name string, rows_copied long, rows_deleted long")
-    assert [r["gate"] for r in assert_counts(ok).collect()] == [True]
-    bad = spark.createDataFrame([("b", 3, 4)], "table_name string, rows_copied long, rows_deleted long")
-    with pytest.raises(Exception, match="Count mismatch: b copied 3, deleted 4"):
-        assert_counts(bad).collect()
-
-
 def test_session_stamped_in_note(spark, scratch):
     from conftest import MICRO, base_rows, write_tables
 

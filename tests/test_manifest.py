@@ -85,11 +85,16 @@ def test_fk_reach_depths(spark):
     assert reach == {"nation": 0, "customer": 1, "supplier": 1, "orders": 2, "events": 2, "lineitem": 3}
 
 
-def test_fk_reach_self_reference_ends_at_bound(spark):
-    edges = edges_frame(spark, [Edge("emp", "manager_id", "emp", "id"),
-                                Edge("task", "emp_id", "emp", "id")])
-    reach = {r["table_name"]: r["depth"] for r in fk_reach(spark, edges, "emp", max_depth=5).collect()}
-    assert reach == {"emp": 5, "task": 5}
+def test_fk_reach_with_cycles(spark):
+    """A self-edge does not deepen anything; a table on a cycle is reported as such."""
+    ddl = "child_table string, child_col string, parent_table string, parent_col string"
+    rows = [("emp", "boss", "emp", "id")] + [(f"t{i}", "e", "emp", "id") for i in range(120)]
+    reach = {r["table_name"]: (r["depth"], r["in_cycle"]) for r in fk_reach(spark, spark.createDataFrame(rows, ddl), "emp").collect()}
+    assert reach["emp"] == (0, True) and len(reach) == 121
+    assert all(v == (1, False) for k, v in reach.items() if k != "emp")
+    loop = [("b", "x", "a", "id"), ("a", "y", "b", "id"), ("c", "z", "b", "id")]
+    reach = {r["table_name"]: (r["depth"], r["in_cycle"]) for r in fk_reach(spark, spark.createDataFrame(loop, ddl), "a").collect()}
+    assert reach == {"a": (0, True), "b": (1, True), "c": (2, False)}
 
 
 def test_docs_family_run_moves_whole_texts(spark, scratch):
@@ -103,7 +108,7 @@ def test_docs_family_run_moves_whole_texts(spark, scratch):
     s = TableStore(spark, SF001, out)
     src = spark.read.parquet(f"{SF001}/documents.parquet")
     chosen = src.filter(F.col("source").isin("src0", "src7"))
-    moved = s.archive("documents").drop("run_id")
+    moved = s.archive("documents").drop("__rs_run")
     assert moved.exceptAll(chosen).count() == 0 and chosen.exceptAll(moved).count() == 0
     assert s.main("documents").count() + moved.count() == src.count()
     assert {x["table_name"] for x in s.audit.log().collect()} == {"labels", "documents"}

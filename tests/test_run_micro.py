@@ -93,11 +93,8 @@ def test_m9_shared_client(spark, micro, scratch):
     run(spark, inp, f"{scratch}/any", "A")
     assert ids(s1.archive("client")) == {7} and ids(s1.archive("client_cfg")) == {900}
     # B is left pointing at an archived client: the orphan report finds it
-    from rootsweep.operators.joins import Keys
-    from rootsweep.operators.validate import orphans
-
-    gone = Keys("c", s1.archive("client").select("id"))
-    assert ids(orphans(s1.main("project"), "client_id", gone)) == {2}
+    (line,) = s1.audit.log().where("table_name = 'project'").collect()
+    assert line["note"] == "1 rows orphaned by client_id"
     # exclusive mode keeps a client that still owns live projects
     s2 = store(spark, inp, f"{scratch}/excl")
     r = run(spark, inp, f"{scratch}/excl", "A", clients="exclusive")
@@ -183,7 +180,7 @@ def test_m16_archive_collision(spark, micro, scratch):
     s = store(spark, inp, out)
     v = s.version("project")
     restored = f"{scratch}/restored"
-    (s.main("project").unionByName(s.archive("project").drop("run_id"))
+    (s.main("project").unionByName(s.archive("project").drop("__rs_run"))
      .write.parquet(restored))
     inp2 = f"{scratch}/in2"
     for t in ("client", "encounter", "document", "code", "code_map", "client_cfg"):
@@ -269,21 +266,118 @@ def test_key_sets_are_kept_as_evidence(spark, micro, scratch):
     assert got.filter(F.col("id").isNull()).count() == 0
 
 
-def test_abandoned_run_is_failed_by_the_next(spark, micro, scratch):
+def test_abandoned_only_by_command(spark, micro, scratch):
     inp, out = micro(), f"{scratch}/out"
     s = store(spark, inp, out)
     rid, _ = s.audit.open_run("A")  # a driver that died right after opening
-    from datetime import timedelta
 
     from rootsweep.sources.audit import ConcurrentRun
-    with pytest.raises(ConcurrentRun):  # recent: treated as a live writer
+    with pytest.raises(ConcurrentRun):  # however old it is
         run(spark, inp, out, "A")
-    run(spark, inp, out, "A", stale_after=timedelta(0))
+    s.audit.abandon(rid)
+    with pytest.raises(ValueError, match="not RUNNING"):
+        s.audit.abandon(rid)
+    run(spark, inp, out, "A")
     runs = {r["run_id"]: r for r in s.audit.runs().collect()}
     assert runs[rid]["status"] == "FAILED" and "abandoned" in runs[rid]["error_message"]
     assert runs[rid + 1]["status"] == "SUCCESS"
 
 
+def test_abandoned_run_that_lives_publishes_nothing_and_loses_no_row(spark, micro, scratch):
+    """Run 1 is abandoned while it works, run 2 archives B meanwhile; run 1 then
+    ends: it raises, and every row is either in main or in the archive."""
+    from rootsweep.sources.audit import RunAbandoned
+
+    inp, out = micro(), f"{scratch}/out"
+    s = store(spark, inp, out)
+
+    def meanwhile(table):
+        if table == "code_map":
+            s.audit.abandon(1)
+            run(spark, inp, out, "B", parallelism=1)
+
+    with pytest.raises(RunAbandoned):
+        run(spark, inp, out, "A", parallelism=1, hooks=Hooks(before_move=meanwhile))
+    s = store(spark, inp, out)
+    assert {r["run_id"]: r["status"] for r in s.audit.runs().collect()} == {1: "FAILED", 2: "SUCCESS"}
+    assert ids(s.main("project")) == {1} and ids(s.archive("project")) == {2}
+    assert ids(s.main("code_map")) == {7000, 7001} and ids(s.archive("code_map")) == {8000}
+
+
+def test_late_success_of_an_abandoned_run_raises(spark, micro, scratch):
+    """Abandoned between its last look and its SUCCESS row: found right after."""
+    from rootsweep.sources.audit import RunAbandoned
+
+    inp, out = micro(), f"{scratch}/out"
+    arch = Archiver(spark, MICRO, inp, out, input_layout="folder")
+    close = arch.audit.close_run
+
+    def late(run_id, *rest):
+        arch.audit.close_run = close
+        arch.audit.abandon(run_id)
+        close(run_id, *rest)
+
+    arch.audit.close_run = late
+    with pytest.raises(RunAbandoned):
+        arch.run("A")
+    s = store(spark, inp, out)
+    assert s.archive("project") is None and ids(s.main("project")) == {1, 2}
+
+
+def test_columns_named_like_ours(spark, scratch):
+    """Columns run_id, archived and one with a dot pass unchanged; only the archive's
+    private names are refused."""
+    from rootsweep.operators.validate import SchemaMismatch
+    from rootsweep.plans.manifest import KeySet, Manifest, Move
+
+    m = Manifest(name="odd", keysets=(KeySet("roots", "root", name_col="name"),),
+                 moves=(Move("child", "root_id", "roots", pk="a.b"), Move("root", "id", "roots", pk="id")))
+    inp = f"{scratch}/in"
+    spark.createDataFrame([(1, "A"), (2, "B")], "id bigint, name string").write.parquet(f"{inp}/root")
+    rows = [(1, 111, True, 5, {"k": 1}), (2, 222, False, 6, {"k": 2}), (1, 333, None, 7, None)]
+    spark.createDataFrame(rows, "root_id bigint, run_id bigint, archived boolean, `a.b` bigint, m map<string,int>").write.parquet(f"{inp}/child")
+    for csv in ("A", "B"):
+        archive(spark, m, csv, inp, f"{scratch}/out", input_layout="folder", verify="content")
+    s = store(spark, inp, f"{scratch}/out")
+    got = {(r["root_id"], r["run_id"], r["archived"], r["a.b"], r["__rs_run"]) for r in s.archive("child").collect()}
+    assert got == {(1, 111, True, 5, 1), (1, 333, None, 7, 1), (2, 222, False, 6, 2)}
+    assert s.main("child").count() == 0
+    bad = f"{scratch}/bad"
+    spark.createDataFrame([(1, "A")], "id bigint, name string").write.parquet(f"{bad}/root")
+    spark.createDataFrame([(1, 9)], "root_id bigint, __rs_part bigint").write.parquet(f"{bad}/child")
+    with pytest.raises(SchemaMismatch):
+        archive(spark, Manifest(name="bad", keysets=m.keysets, moves=(Move("child", "root_id", "roots"), m.moves[1])),
+                "A", bad, f"{scratch}/out2", input_layout="folder")
+
+
+def test_only_files_with_hits_are_rewritten(spark, micro, scratch):
+    """Hits in one of four files: the others stay where they are, twice in a row."""
+    inp, out = f"{scratch}/in", f"{scratch}/out"
+    from conftest import base_rows, write_tables
+    rows = base_rows()
+    rows.pop("code_map")
+    write_tables(spark, inp, rows)
+    all_ids = set()
+    for k in range(4):
+        part = [(7000 + 10 * k + i, [5000, 6000, 9999, 9999][k]) for i in range(5)]
+        all_ids |= {p[0] for p in part}
+        extra = [(7900 + k, 9999)]
+        all_ids.add(7900 + k)
+        spark.createDataFrame(part + extra, "id bigint, code_id bigint").coalesce(1).write.mode("append").parquet(f"{inp}/code_map")
+    s = store(spark, inp, out)
+    run(spark, inp, out, "A", verify="content")
+    assert spark.read.parquet(s.replaced_dir("code_map", 1)).count() == 1
+    assert ids(spark.read.parquet(s.split_part_dir("code_map", 1, False))) == {7900}
+    gone = ids(s.archive("code_map"))
+    assert gone == {7000 + i for i in range(5)} and ids(s.main("code_map")) == all_ids - gone
+    run(spark, inp, out, "B", verify="content")
+    s = store(spark, inp, out)
+    assert spark.read.parquet(s.replaced_dir("code_map", 2)).count() == 1
+    gone = ids(s.archive("code_map"))
+    assert len(gone) == 10 and ids(s.main("code_map")) == all_ids - gone
+    assert s.main("code_map").count() == len(all_ids) - 10
+
+
 def test_missing_input_table_names_it(spark, micro, scratch):
     from conftest import base_rows, write_tables
     rows = base_rows()
@@ -295,33 +389,6 @@ def test_missing_input_table_names_it(spark, micro, scratch):
     assert row["status"] == "FAILED" and "code_map" in row["error_message"]
 
 
-def test_vacuum_removes_only_unreachable_folders(spark, micro, scratch):
-    """After two runs, the first run's retained parts are superseded; a failed
-    run's folders were never published. Vacuum removes exactly those, and the
-    current mains and the whole archive read the same afterwards."""
-    from rootsweep.sources import fs
-
-    inp, out = micro(), f"{scratch}/out"
-    run(spark, inp, out, "A")
-    with pytest.raises(RuntimeError):
-        run(spark, inp, out, "B", hooks=Hooks(before_move=lambda t: (_ for _ in ()).throw(
-            RuntimeError("injected")) if t == "client" else None))
-    run(spark, inp, out, "B")
-    s = store(spark, inp, out)
-    tables = [m.table for m in MICRO.moves]
-    before = {t: (sorted(ids(s.main(t))), sorted(ids(s.archive(t)))) for t in tables}
-    listed = s.vacuum(tables)  # dry run
-    assert s.split_part_dir("project", 1, False) in listed  # replaced by run 3
-    assert s.split_part_dir("project", 3, False) not in listed  # current main
-    assert not any("archived=true" in p and "run_id=1/" in p for p in listed)
-    assert any(p.endswith("run_id=2") for p in listed)  # the failed run
-    deleted = s.vacuum(tables, apply=True)
-    assert s.split_part_dir("project", 1, False) in deleted
-    assert not fs.exists(spark, s.split_part_dir("project", 1, False))
-    after = {t: (sorted(ids(s.main(t))), sorted(ids(s.archive(t)))) for t in tables}
-    assert after == before
-
-
 def test_failed_outranks_a_late_success(spark, micro, scratch):
     """A run written off as abandoned that later closes SUCCESS stays unpublished."""
     inp, out = micro(), f"{scratch}/out"

@@ -43,7 +43,7 @@ def test_shuffle_path_run_equals_broadcast_run(spark, scratch):
     csv = "NATION_1,NATION_7"
     a = archive(spark, TPCH, csv, SF001, f"{scratch}/bc")
     with conf(spark, **NO_BROADCAST):
-        b = archive(spark, TPCH, csv, SF001, f"{scratch}/sh", max_broadcast_rows=0)
+        b = archive(spark, TPCH, csv, SF001, f"{scratch}/sh", max_broadcast_bytes=0)
     assert [(c.table, c.rows_copied, c.rows_deleted) for c in a.counts] == \
            [(c.table, c.rows_copied, c.rows_deleted) for c in b.counts]
     sa, sb = TableStore(spark, SF001, f"{scratch}/bc"), TableStore(spark, SF001, f"{scratch}/sh")
@@ -64,9 +64,9 @@ def _skewed(spark, root):
 
 def test_hot_key_is_split_by_aqe_and_results_are_exact(spark, scratch):
     big, keys = _skewed(spark, scratch)
-    k = Keys("docs", keys, rows=1500, distinct=True)
+    k = Keys("docs", keys, rows=1500, distinct=True, size=48_000)
     with conf(spark, **SKEW):
-        df = flag(big, "doc_id", k, max_rows=0).groupBy("archived").count()
+        df = flag(big, "doc_id", k, max_bytes=0).groupBy("archived").count()
         got = {r["archived"]: r["count"] for r in df.collect()}
         plan = df._jdf.queryExecution().executedPlan().toString()
         s, a = semi(big, "doc_id", k, 0).count(), anti(big, "doc_id", k, 0).count()
@@ -78,14 +78,14 @@ def test_hot_key_is_split_by_aqe_and_results_are_exact(spark, scratch):
 
 
 def test_broadcast_only_with_known_small_count(spark):
-    small = Keys("k", spark.range(10), rows=10)
+    small = Keys("k", spark.range(10), rows=10, size=320)
     unknown = Keys("k", spark.range(10))
-    big = Keys("k", spark.range(10), rows=10)
+    big = Keys("k", spark.range(10), rows=10, size=320)
     t = spark.range(100).select(F.col("id").alias("fk"))
     with conf(spark, **NO_BROADCAST):
         assert "BroadcastHashJoin" in semi(t, "fk", small)._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" not in semi(t, "fk", unknown)._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" not in semi(t, "fk", big, max_rows=5)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in semi(t, "fk", big, max_bytes=50)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_sparse_hits_archived_part_is_compacted(spark, scratch):
@@ -107,7 +107,7 @@ def test_sparse_hits_archived_part_is_compacted(spark, scratch):
     assert fs.files(spark, cdir)[0] == 1
     assert s.archive("lineitem").count() == 319
     plain = spark.read.parquet(s.split_part_dir("lineitem", r.run_id, True))
-    assert s.archive("lineitem").drop("run_id").exceptAll(plain).count() == 0
+    assert s.archive("lineitem").drop("__rs_run").exceptAll(plain).count() == 0
 
 
 def test_shuffle_start_is_raised_for_large_inputs(spark, scratch):
@@ -141,11 +141,10 @@ def test_log_by_project_lines_add_up(spark, scratch):
                  input_layout="folder").run("NATION_1,NATION_7")
     s = TableStore(spark, inp, out, input_layout="folder")
     log = s.audit.log().collect()
-    table_lines = {x["table_name"]: x["rows_copied"] for x in log if x["project_id"] is None}
+    table_lines = {x["table_name"]: x["rows_copied"] for x in log}
     per = {}
-    for x in log:
-        if x["project_id"] is not None:
-            per.setdefault(x["table_name"], {})[x["project_name"]] = x["rows_copied"]
+    for x in s.audit.project_log().collect():
+        per.setdefault(x["table_name"], {})[x["project_name"]] = x["rows_copied"]
     assert per["customer"] == {"NATION_1": 6, "NATION_7": 3}
     for t, n in table_lines.items():
         if t != "region":
