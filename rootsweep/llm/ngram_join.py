@@ -1,24 +1,29 @@
 """Operator 8: Jaccard self-join on word shingles with token-combination prefixes.
 
-A text's set is its distinct 5-word shingles. Equal sets are one node. Shingles are
-ordered by document frequency, rarest first; two similar sets share a shingle in their
-prefixes (the first |x| - ceil(t |x|) + 1), and two shingles in prefixes one longer.
-Rare shingles are indexed alone; shingles of the frequent class in combinations of two
-from the longer prefix. Candidates are verified by their exact overlap.
+A text's set is its distinct 5-word shingles. Equal sets are one node. Shingles that
+occur in exactly the same nodes form a class, which counts as often as it has shingles.
+Classes are ordered by document frequency, rarest first. Two similar sets share a
+shingle in their prefixes (the first |x| - ceil(t |x|) + 1 shingles), and two shingles
+in prefixes one longer. So rare classes are indexed alone; a class that is frequent
+needs a combination of two shingles: with itself if it has two, else with each later
+class of the longer prefix. A position filter drops pairs of which too few shingles are
+left from the first common class on. Candidates are verified by their exact overlap.
 
 Steps: (1) an inverted index: each task sends its texts' shingles, packed, by shingle
 range; only shingles in two nodes or more go on, so most texts end here. (2) Sets of
-nodes that can still reach the threshold. (3) Every prefix shingle links its nodes to
-the smallest of them; these few pairs are verified and give first components. (4) Only
-for shingles whose nodes are then in several components, pairs across components are
-made (singly or by combinations) and verified. Pairs within a component would change
-nothing, so a group of any number of near copies costs a few pairs per copy.
+nodes that can still reach the threshold, as classes. (3) Every class in a short prefix
+pairs its nodes with a centre, the first in one of a few random orders; these pairs, a
+few per node, are verified and give first components. (4) Only for classes whose nodes are then in several components, pairs
+across components are made (singly or by combinations) and verified. Pairs within a
+component would change nothing, so a group of any number of near copies costs a few
+pairs per copy.
 
 Cases: null, empty or wordless texts have no shingle and link with nothing; a text of
 1 to 4 words has its whole sequence as the one shingle; texts are read whole; repeated
 rows are copies of each other; a null id takes part, the component id is the smallest
 id that is not null; an empty table gives an empty result; other columns are ignored.
-Shingles are compared by 48-bit hashes, nodes by 64-bit hashes of the whole set.
+Shingles are compared by 48-bit hashes, nodes and classes by 64-bit hashes of the whole
+set of shingles, or of nodes.
 """
 
 from __future__ import annotations
@@ -48,6 +53,8 @@ WORDS = 5
 PERCENT = 75
 #: A shingle in more nodes than this is of the frequent class.
 FREQUENT = 32
+#: Orders of nodes from which the centres of classes are taken.
+CENTRES = 8
 #: Bytes of text for one partition of the index; shingles a task holds before it sends them.
 PART_BYTES = 16 << 20
 HELD = 4_000_000
@@ -141,14 +148,24 @@ def _part(tokens: np.ndarray, parts: int) -> np.ndarray:
     return ((tokens >> np.uint64(16)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
-_SHARED = pa.schema([("home", pa.int32()), ("part", pa.int32()), ("nodes", pa.binary()), ("sizes", pa.binary()),
-                     ("lengths", pa.binary()), ("tokens", pa.binary()), ("df", pa.binary())])
+_SHARED = pa.schema([("home", pa.int32()), ("nodes", pa.binary()), ("sizes", pa.binary()), ("lengths", pa.binary()),
+                     ("places", pa.binary()), ("weights", pa.binary()), ("classes", pa.binary()), ("df", pa.binary())])
+
+
+def _edges(*columns: np.ndarray) -> np.ndarray:
+    """Where a run of equal rows begins."""
+    new = np.zeros(len(columns[0]), bool)
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    new[:1] = True
+    return np.flatnonzero(new)
 
 
 def _shared(postings: DataFrame, parts: int) -> DataFrame:
-    """Per range of shingles: those in two nodes or more, by the nodes' home partition."""
+    """Per range of shingles: classes of those in two nodes or more, by the nodes' home
+    partition, with how many of the range's shingles a class has."""
     def run(table: pa.Table) -> pa.Table:
-        part, got = table.column("part")[0].as_py(), []
+        got = []
         for t, r, k, z in zip(*(table.column(c).to_pylist() for c in ("tokens", "refs", "nodes", "sizes")), strict=True):
             place = unpack(r).astype(np.int64)
             got.append((unpack_sorted(t), unpack_sorted(k).view(np.int64)[place], unpack(z)[place]))
@@ -156,119 +173,133 @@ def _shared(postings: DataFrame, parts: int) -> DataFrame:
         del got
         order = np.lexsort((nodes, tokens))
         tokens, nodes, sizes = tokens[order], nodes[order], sizes[order]
-        new = np.concatenate(([True], (tokens[1:] != tokens[:-1]) | (nodes[1:] != nodes[:-1])))
+        new = _edges(tokens, nodes)
         tokens, nodes, sizes = tokens[new], nodes[new], sizes[new]
-        first = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
+        first = _edges(tokens)
         df = np.diff(np.append(first, len(tokens)))
+        same = mix(np.add.reduceat(mix(nodes.view(np.uint64)), first) + df.astype(np.uint64)) if len(first) else tokens
         many = np.repeat(df > 1, df)
-        rank = np.repeat(np.cumsum(df > 1) - 1, df)[many]  # numbers the shared shingles of this range
-        df = np.repeat(df, df)[many]
+        same, df = np.repeat(same, df)[many], np.repeat(df, df)[many]
         nodes, sizes = nodes[many], sizes[many]
         home = (nodes.view(np.uint64) % np.uint64(parts)).astype(np.int64)
-        order = np.lexsort((rank, nodes, home))
-        home, nodes, sizes, rank, df = home[order], nodes[order], sizes[order], rank[order], df[order]
+        order = np.lexsort((same, nodes, home))
+        home, nodes, sizes, same, df = home[order], nodes[order], sizes[order], same[order], df[order]
+        new = _edges(nodes, same)
+        weights = np.diff(np.append(new, len(nodes)))
+        home, nodes, sizes, same, df = home[new], nodes[new], sizes[new], same[new], df[new]
         edges = np.searchsorted(home, np.arange(parts + 1))
         out = []
         for p in range(parts):
             s, e = edges[p], edges[p + 1]
             if s < e:
-                at = np.flatnonzero(np.concatenate(([True], nodes[s + 1:e] != nodes[s:e - 1])))
+                at = _edges(nodes[s:e])
                 own = nodes[s:e][at]
-                out.append((p, part, pack(np.diff(own, prepend=np.int64(0)).astype(np.uint64)), pack(sizes[s:e][at]),
-                            pack(np.diff(np.append(at, e - s))), pack(rank[s:e]), pack(df[s:e])))
+                classes, one, place = np.unique(same[s:e], return_index=True, return_inverse=True)
+                out.append((p, pack(np.diff(own, prepend=np.int64(0)).astype(np.uint64)), pack(sizes[s:e][at]),
+                            pack(np.diff(np.append(at, e - s))), pack(place), pack(weights[s:e]), pack_sorted(classes), pack(df[s:e][one])))
         cols = list(zip(*out, strict=True)) or [()] * len(_SHARED)
         return pa.table([pa.array(c, f.type) for c, f in zip(cols, _SHARED, strict=True)], schema=_SHARED)
 
     return postings.groupBy("part").applyInArrow(
-        run, "home int, part int, nodes binary, sizes binary, lengths binary, tokens binary, df binary")
+        run, "home int, nodes binary, sizes binary, lengths binary, places binary, weights binary, classes binary, df binary")
+
+
+_PREFIX = "array<struct<class: bigint, at: bigint, short: boolean, frequent: boolean, twice: boolean>>"
 
 
 def _node_sets(shared: DataFrame, percent: int) -> DataFrame:
-    """Nodes that can reach the threshold: size, shared shingles (ascending, packed), and
-    the prefix: shingles, whether each is in the short prefix, whether it is frequent."""
+    """Nodes that can reach the threshold: size, classes (ascending) and weights, packed, and
+    the classes of the longer prefix in order: where each begins among the node's shingles,
+    whether in the short prefix, whether frequent, whether of two shingles or more."""
     def run(table: pa.Table) -> pa.Table:
         got = []
         for row in table.to_pylist():
-            lengths = unpack(row["lengths"]).astype(np.int64)
+            lengths, place = unpack(row["lengths"]).astype(np.int64), unpack(row["places"]).astype(np.int64)
             got.append((np.repeat(unpack_sorted(row["nodes"]).view(np.int64), lengths), np.repeat(unpack(row["sizes"]).astype(np.int64), lengths),
-                        unpack(row["tokens"]) + (np.uint64(row["part"]) << np.uint64(32)), unpack(row["df"]).astype(np.int64)))
-        nodes, sizes, tokens, df = (np.concatenate([g[i] for g in got]) for i in range(4))
+                        unpack_sorted(row["classes"])[place], unpack(row["weights"]).astype(np.int64), unpack(row["df"]).astype(np.int64)[place]))
+        nodes, sizes, same, weights, df = (np.concatenate([g[i] for g in got]) for i in range(5))
         del got
-        order = np.argsort(nodes, kind="stable")
-        nodes, sizes, tokens, df = nodes[order], sizes[order], tokens[order], df[order]
-        edges = np.flatnonzero(np.concatenate(([True], nodes[1:] != nodes[:-1], [True])))
+        order = np.lexsort((same, nodes))
+        nodes, sizes, same, weights, df = nodes[order], sizes[order], same[order], weights[order], df[order]
+        new = _edges(nodes, same)
+        weights = np.add.reduceat(weights, new) if len(new) else weights
+        nodes, sizes, same, df = nodes[new], sizes[new], same[new], df[new]
+        edges = np.append(_edges(nodes), len(nodes))
         out = []
         for s, e in zip(edges[:-1], edges[1:], strict=True):
-            n = int(sizes[s])
+            n, total = int(sizes[s]), int(weights[s:e].sum())
             need = int(least_overlap(np.int64(n), percent))
-            if e - s < need:
+            if total < need:
                 continue  # too few shingles that any other set has
-            t, d = tokens[s:e], df[s:e]
-            take = n - need + 1 - (n - (e - s))  # the shingles of this node alone come first
-            order = np.lexsort((t, d))[:take + 1]
-            out.append((int(nodes[s]), n, pack_sorted(np.sort(t)), t[order].view(np.int64).tolist(),
-                        [True] * take + [False] * (len(order) - take), (d[order] > FREQUENT).tolist()))
-        schema = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("tokens", pa.binary()), ("prefix", pa.list_(pa.int64())),
-                            ("short", pa.list_(pa.bool_())), ("frequent", pa.list_(pa.bool_()))])
+            c, w, d = same[s:e], weights[s:e], df[s:e]
+            order = np.lexsort((c, d))
+            at = n - total + np.cumsum(w[order]) - w[order]  # the shingles of this node alone come first
+            order, at = order[at <= n - need + 1], at[at <= n - need + 1]
+            prefix = [{"class": int(k), "at": int(p), "short": bool(p <= n - need), "frequent": bool(f), "twice": bool(t)}
+                      for k, p, f, t in zip(c[order].view(np.int64), at, d[order] > FREQUENT, w[order] > 1, strict=True)]
+            out.append((int(nodes[s]), n, pack_sorted(c), pack(w), prefix))
+        entry = pa.struct([("class", pa.int64()), ("at", pa.int64()), ("short", pa.bool_()), ("frequent", pa.bool_()), ("twice", pa.bool_())])
+        schema = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("classes", pa.binary()), ("weights", pa.binary()), ("prefix", pa.list_(entry))])
         cols = list(zip(*out, strict=True)) or [()] * len(schema)
         return pa.table([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
-    return shared.groupBy("home").applyInArrow(
-        run, "node bigint, n bigint, tokens binary, prefix array<bigint>, short array<boolean>, frequent array<boolean>")
+    return shared.groupBy("home").applyInArrow(run, f"node bigint, n bigint, classes binary, weights binary, prefix {_PREFIX}")
 
 
 # ---- candidates ------------------------------------------------------------------------
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes whose sets reach the threshold."""
-    s = sets.select("node", "n", "tokens")
-    rows = pairs.join(s.toDF("b", "bn", "bt"), "b").join(s.toDF("a", "an", "at"), "a").select("a", "b", "an", "bn", "at", "bt")
+    s = sets.select("node", "n", "classes", "weights")
+    rows = pairs.join(s.toDF("b", "bn", "bc", "bw"), "b").join(s.drop("weights").toDF("a", "an", "ac"), "a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep, last = [], (None, None)
-            for i, (a, an, bn, at, bt) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("a", "an", "bn", "at", "bt")), strict=True)):
+            for i, (a, an, bn, ac, bc, bw) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("a", "an", "bn", "ac", "bc", "bw")), strict=True)):
                 if last[0] != a:
-                    last = (a, unpack_sorted(at))
-                x, y = last[1], unpack_sorted(bt)
+                    last = (a, unpack_sorted(ac))
+                x, y = last[1], unpack_sorted(bc)
                 k = np.minimum(np.searchsorted(x, y), len(x) - 1)
-                common = int((x[k] == y).sum())
+                common = int(unpack(bw)[x[k] == y].sum())
                 if 100 * common >= percent * (an + bn - common):
                     keep.append(i)
             yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
-    return rows.mapInArrow(run, "a bigint, b bigint")
+    return rows.select("a", "b", "an", "bn", "ac", "bc", "bw").mapInArrow(run, "a bigint, b bigint")
 
 
 def _links(sets: DataFrame, percent: int) -> DataFrame:
     """Links that connect every two nodes that a chain of similar pairs connects."""
-    index = stored(sets.select("node", "n", F.explode(F.arrays_zip("prefix", "short", "frequent")).alias("p")).select(
-        F.col("p.prefix").alias("token"), F.col("p.short").alias("short"), F.col("p.frequent").alias("frequent"), "node", "n"), "ngram")
-    fits = (F.col("n") * 100 >= F.col("m") * percent) & (F.col("m") * 100 >= F.col("n") * percent)
-    short = index.where("short")
-    centre = short.groupBy("token").agg(F.min(F.struct("node", "n")).alias("c")).select(
-        "token", F.col("c.node").alias("a"), F.col("c.n").alias("m"))
-    stars = short.join(centre, "token").where((F.col("node") > F.col("a")) & fits).select("a", F.col("node").alias("b")).distinct()
+    index = stored(sets.select("node", "n", F.explode("prefix").alias("p")).select("node", "n", "p.*"), "ngram")
+    # sizes that can be similar, and enough shingles left from the common class on
+    fits = ((F.col("n") * 100 >= F.col("m") * percent) & (F.col("m") * 100 >= F.col("n") * percent)
+            & (F.least(F.col("n") - F.col("at"), F.col("m") - F.col("at2")) * (100 + percent) >= (F.col("n") + F.col("m")) * percent))
+    short = index.where("short").select("class", "node", "n", "at")
+    order = F.xxhash64("node", F.pmod(F.col("class"), F.lit(CENTRES)))
+    centre = short.groupBy("class").agg(F.min(F.struct(order.alias("order"), "node", "n", "at")).alias("c")).select(
+        "class", F.col("c.node").alias("c"), F.col("c.n").alias("m"), F.col("c.at").alias("at2"))
+    stars = short.join(centre, "class").where((F.col("node") != F.col("c")) & fits).select(
+        F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct()
+    stars = stored(stars, "ngram")
     first = stored(verify(stars, sets, percent), "ngram")
 
     named = index.join(components(first), "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = stored(named, "ngram")
-    several = named.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
-    left = stored(named.join(several, "token"), "ngram")
-
-    def across(keyed: DataFrame) -> DataFrame:
-        other = keyed.select(*[F.col(c) for c in keyed.columns if c not in ("node", "n", "component")],
-                             F.col("node").alias("b"), F.col("n").alias("m"), F.col("component").alias("d"))
-        by = [c for c in keyed.columns if c not in ("node", "n", "component")]
-        return keyed.join(other, by).where((F.col("node") < F.col("b")) & (F.col("component") != F.col("d")) & fits).select(
+    several = named.groupBy("class").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("class")
+    left = stored(named.join(several, "class"), "ngram")
+
+    def across(keyed: DataFrame, *by: str) -> DataFrame:
+        one = keyed.select(*by, "node", "n", "at", "component")
+        other = keyed.select(*by, F.col("node").alias("b"), F.col("n").alias("m"), F.col("at").alias("at2"), F.col("component").alias("d"))
+        return one.join(other, list(by)).where((F.col("node") < F.col("b")) & (F.col("component") != F.col("d")) & fits).select(
             F.col("node").alias("a"), "b")
 
-    rare = across(left.where("short and not frequent").select("token", "node", "n", "component"))
-    mine = left.where("frequent").groupBy("node", "n", "component").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("token"), "short"))).alias("ts"))  # at most a prefix
-    combos = mine.select("node", "n", "component", F.explode(F.expr(
-        "flatten(transform(ts, (x, i) -> transform(filter(slice(ts, i + 2, size(ts)), y -> x.short or y.short), "
-        "y -> struct(x.token as t1, y.token as t2))))")).alias("k")).select("k.t1", "k.t2", "node", "n", "component")
-    more = rare.unionByName(across(combos)).distinct().join(stars, ["a", "b"], "left_anti")
+    rare = left.where("short and not frequent")
+    twice = left.where("short and frequent and twice")
+    once = left.where("short and frequent and not twice").alias("x").join(
+        left.where("frequent").select(F.col("node"), F.col("class").alias("then"), F.col("at").alias("later")), "node").where("later > at")
+    more = across(rare, "class").unionByName(across(twice, "class")).unionByName(across(once, "class", "then"))
+    more = stored(more.distinct().join(stars, ["a", "b"], "left_anti"), "ngram")
     return first.unionByName(stored(verify(more, sets, percent), "ngram"))
 
 
