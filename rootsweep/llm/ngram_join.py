@@ -299,7 +299,8 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     once = left.where("short and frequent and not twice").alias("x").join(
         left.where("frequent").select(F.col("node"), F.col("class").alias("then"), F.col("at").alias("later")), "node").where("later > at")
     more = across(rare, "class").unionByName(across(twice, "class")).unionByName(across(once, "class", "then"))
-    more = stored(more.distinct().join(stars, ["a", "b"], "left_anti"), "ngram")
+    more = stored(more.distinct(), "ngram")  # written first, or the anti join would run before the distinct
+    more = more.join(stars, ["a", "b"], "left_anti")
     return first.unionByName(stored(verify(more, sets, percent), "ngram"))
 
 
