@@ -22,6 +22,7 @@ from rootsweep.llm import (
     warc,
 )
 from rootsweep.llm.common import ship
+from rootsweep.llm.oracle import ORACLE_SQL  # noqa: F401
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,4 +91,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         pipeline,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
