@@ -164,7 +164,7 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """Distinct keys, ascending, with the sum of their counts."""
     if not len(keys):
         return keys, counts
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys = keys[order]
     first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
     return keys[first], np.add.reduceat(counts[order], first)
@@ -235,43 +235,55 @@ def _lexicon(rows: list[dict], parts: int) -> Lexicon:
 
 
 # ---- bigrams --------------------------------------------------------------------------------
-def _tokens(texts: pa.Array, lexicon: Lexicon) -> Iterator[tuple]:
-    """Rows, bounds, places of the words in the lexicon, and of the history before each."""
-    start = np.searchsorted(lexicon.words, START)
-    for i, j, h, b in _words(texts):
-        w = np.searchsorted(lexicon.words, h)
-        before = np.concatenate(([start], w[:-1]))
-        before[b[:-1]] = start
-        yield i, j, b, w, before
+class _Tokens(NamedTuple):
+    """A chunk's tokens in order: place in the lexicon of the word and of the history
+    before it; of each row: id, whether it is learned from, first token."""
+    words: np.ndarray
+    before: np.ndarray
+    ids: pa.Array
+    learn: np.ndarray
+    starts: np.ndarray
+
+
+def _tokens(texts: pa.ChunkedArray, lexicon: Lexicon) -> _Tokens:
+    words, starts, ids, learn, total = [], [], [], [], 0
+    for batch in _unbundle(texts):
+        for _, _, h, b in _words(batch.column("text")):
+            words.append(np.searchsorted(lexicon.words, h).astype(np.int32))
+            starts.append(b[:-1] + total)
+            total += len(h)
+        ids.append(batch.column("id"))
+        learn.append(batch.column("learn").to_numpy(zero_copy_only=False))
+    w, s = np.concatenate(words), np.concatenate(starts)
+    before = np.concatenate((w[:1], w[:-1]))
+    before[s] = np.searchsorted(lexicon.words, START)
+    return _Tokens(w, before, pa.chunked_array(ids).combine_chunks(), np.concatenate(learn), s)
 
 
 class _Pairs(NamedTuple):
-    """Distinct bigrams of a chunk in the order of asking: by partition, then number
-    (history in the high, word in the low 32 bits)."""
+    """Distinct bigrams (history in the high, word in the low 32 bits), ascending, how
+    often learned, the partition to ask, and of each token the bigram's place."""
     pairs: np.ndarray
     learned: np.ndarray
     part: np.ndarray
+    of_token: np.ndarray
 
 
-def _pairs(lexicon: Lexicon, before: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return lexicon.numbers[before] << np.uint64(32) | lexicon.numbers[w]
-
-
-def _distinct(texts: pa.ChunkedArray, lexicon: Lexicon, hot_from: int, parts: int) -> _Pairs:
+def _pairs(t: _Tokens, lexicon: Lexicon, hot_from: int, parts: int) -> _Pairs:
     """A bigram's partition follows its history, or both words where the history is hot."""
-    got = []
-    for batch in _unbundle(texts):
-        learn = batch.column("learn").to_numpy(zero_copy_only=False)
-        for i, j, b, w, before in _tokens(batch.column("text"), lexicon):
-            of = np.repeat(np.arange(i, j), np.diff(b))
-            got.append(_summed(_pairs(lexicon, before, w), learn[of].astype(np.uint64)))
-    pairs, learned = _summed(np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got]))
+    all_pairs = lexicon.numbers[t.before] << np.uint64(32) | lexicon.numbers[t.words]
+    order = np.argsort(all_pairs)
+    ranked = all_pairs[order]
+    new = np.concatenate(([True], ranked[1:] != ranked[:-1]))
+    of_token = np.empty(len(order), np.int32)
+    of_token[order] = np.cumsum(new) - 1
+    pairs = ranked[new]
+    row_tokens = np.diff(np.append(t.starts, len(t.words)))
+    learned = np.bincount(of_token, np.repeat(t.learn, row_tokens), len(pairs)).astype(np.uint64)
     h = lexicon.at_number(pairs >> np.uint64(32))
     hot = (lexicon.counts[h] >= hot_from) | (lexicon.words[h] == START)
-    key = mix(np.where(hot, pairs, pairs >> np.uint64(32)))
-    part = (key % np.uint64(parts)).astype(np.int64)
-    order = np.argsort(part, kind="stable")
-    return _Pairs(pairs[order], learned[order], part[order])
+    part = (mix(np.where(hot, pairs, pairs >> np.uint64(32))) % np.uint64(parts)).astype(np.int64)
+    return _Pairs(pairs, learned, part, of_token)
 
 
 def _ask_pairs(bundles: DataFrame, lexica: DataFrame, parts: int, hot_from: int) -> DataFrame:
@@ -282,12 +294,14 @@ def _ask_pairs(bundles: DataFrame, lexica: DataFrame, parts: int, hot_from: int)
         if not len(texts):
             return pa.Table.from_batches([_rows(schema, [])])
         lexicon = _lexicon(words.to_pylist(), parts)
-        c = _distinct(texts.column("texts"), lexicon, hot_from, parts)
+        c = _pairs(_tokens(texts.column("texts"), lexicon), lexicon, hot_from, parts)
         w = lexicon.counts[lexicon.at_number(c.pairs & np.uint64(0xFFFFFFFF))]
         chunk, out = texts.column("chunk")[0].as_py(), []
-        edges = np.flatnonzero(np.concatenate(([True], c.part[1:] != c.part[:-1], [True])))
-        for s, e in zip(edges[:-1], edges[1:], strict=True):
-            out.append((int(c.part[s]), chunk, pack_sorted(c.pairs[s:e]), pack(c.learned[s:e]), pack(w[s:e])))
+        order = np.argsort(c.part, kind="stable")  # by partition, then number
+        edges = np.searchsorted(c.part[order], np.arange(parts + 1))
+        for p in np.flatnonzero(np.diff(edges)):
+            k = order[edges[p]:edges[p + 1]]
+            out.append((int(p), chunk, pack_sorted(c.pairs[k]), pack(c.learned[k]), pack(w[k])))
         return pa.Table.from_batches([_rows(schema, out)])
 
     return bundles.groupBy("chunk").cogroup(lexica.groupBy("chunk")).applyInArrow(
@@ -392,24 +406,18 @@ def _score(bundles: DataFrame, found: DataFrame, uni: Unigrams, pairs: Discounts
         order = np.argsort(words)
         n = np.concatenate([unpack(back[r["part"]]["a"]) for r in ask])[order].astype(float)
         weight = np.concatenate([np.frombuffer(back[r["part"]]["b"]) for r in ask])[order]
-        c = _distinct(texts.column("texts"), lexicon, hot_from, parts)
-        counts = np.concatenate([unpack(r["a"]) for r in sorted((r for r in rows if r["kind"] == "pairs"), key=lambda r: r["part"])])
-        order = np.argsort(c.pairs)
-        number, counts = c.pairs[order], counts[order].astype(np.int64)
-        del c, rows, answers
+        t = _tokens(texts.column("texts"), lexicon)
+        c = _pairs(t, lexicon, hot_from, parts)
+        counts = np.empty(len(c.pairs), np.int64)
+        counts[np.argsort(c.part, kind="stable")] = np.concatenate(
+            [unpack(r["a"]) for r in sorted((r for r in rows if r["kind"] == "pairs"), key=lambda r: r["part"])])
         first = np.where(lexicon.counts > 0, uni.discounts.of(lexicon.counts) / uni.total, uni.unknown)
         base = np.log10((lexicon.counts + 1) / (uni.tokens + uni.distinct + 1))
-        out = []
-        for batch in _unbundle(texts.column("texts")):
-            cols = [np.zeros(batch.num_rows, t) for t in (np.int64, np.int64, float, float)]
-            for i, j, b, w, before in _tokens(batch.column("text"), lexicon):
-                k = counts[np.searchsorted(number, _pairs(lexicon, before, w))]
-                p = np.log10(np.where(k > 0, pairs.of(k) / n[before], weight[before] * first[w]))
-                for col, x in zip(cols, (np.ones(len(w), np.int64), lexicon.counts[w] > 0, base[w], p), strict=True):
-                    col[i:j] = np.add.reduceat(x.astype(col.dtype), b[:-1])  # no text is without a token
-            out.append(pa.RecordBatch.from_arrays([batch.column("id"), *map(pa.array, cols)],
-                                                  ["id", "n_tokens", "n_known", "base_score", "score"]))
-        return pa.Table.from_batches(out)
+        h, w = lexicon.at_number(c.pairs >> np.uint64(32)), lexicon.at_number(c.pairs & np.uint64(0xFFFFFFFF))
+        p = np.log10(np.where(counts > 0, pairs.of(counts) / n[h], weight[h] * first[w]))  # of each distinct bigram
+        each = [np.ones(len(t.words), np.int64), (lexicon.counts > 0).astype(np.int64)[t.words], base[t.words], p[c.of_token]]
+        return pa.table([t.ids, *(pa.array(np.add.reduceat(x, t.starts)) for x in each)],  # no text is without a token
+                        names=["id", "n_tokens", "n_known", "base_score", "score"])
 
     return bundles.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(
         run, f"id {kind}, n_tokens bigint, n_known bigint, base_score double, score double")
