@@ -20,6 +20,7 @@ piece; other columns are ignored.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -36,68 +37,114 @@ from rootsweep.llm.common import own_columns, scratch, stored
 
 WINDOW = 4096
 BIN, DEPTH = 16, 3
-CACHE = 300_000
-_ODD = re.compile("[\x1c-\x1f]")
-#: White space as the tokenizer's pattern has it.
-_WS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+#: Cut tails that are broadcast to find their ids; more are found by a shuffle.
+MAX_BROADCAST = 200_000
+#: Distinct pieces a worker remembers before it starts over; characters encoded together.
+CACHE, STEP_CHARS = 1_000_000, 4 << 20
 
 
 # ---- tokens ------------------------------------------------------------------------
-class WordIds(dict):
-    """Run of characters between white space -> its ids (little-endian 32 bits). The
-    tokenizer never joins across white space, so texts are encoded run by run, each
-    distinct run once while it is remembered."""
+#: The tokenizer's split pattern for lower-case Latin-1 text.
+_L, _N = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"
+_PIECE = re.compile(f"[{_L}]+|'s|'t|'re|'ve|'m|'ll|'d|[{_N}]|[^\t-\r \x85\xa0{_L}{_N}]+")
+
+
+class PieceIds(dict):
+    """Piece of text that the tokenizer never merges across -> its ids, little-endian.
+
+    Texts are split into pieces, and only pieces not met before go to the tokenizer, many
+    at a time: each piece ends with a token that ends a word, which tells them apart. This
+    holds for Latin-1 texts (which NFC leaves alone and where lower case is by character)
+    without special strings; others are encoded as a whole."""
 
     def __init__(self, path: str):
         super().__init__()
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode
+        self.tokenizer = Tokenizer.from_file(path)
+        vocab = self.tokenizer.get_vocab()
+        self.kind = "<u2" if max(vocab.values()) < 1 << 16 else "<u4"
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
 
-    def __missing__(self, run: str) -> bytes:
-        ids = np.array(self.encode(run, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self) >= CACHE:
-            self.clear()
-        if len(run) <= 64:
-            self[run] = ids
-        return ids
+    def _encode(self, *texts: str) -> np.ndarray:
+        found = self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
+        return np.array([i for e in found for i in e.ids], self.kind)
 
-    def text(self, text: str) -> bytes:
-        runs = _WS.split(text) if _ODD.search(text) else text.split()
-        return b"".join(map(self.__getitem__, runs))
+    def _learn(self, pieces: list[str]) -> None:
+        if len(self) + len(pieces) > CACHE:
+            self.clear()
+        ids = self._encode(*(" ".join(pieces[i:i + 200]) for i in range(0, len(pieces), 200)))
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) != len(pieces):  # never seen; then one by one
+            self.update((p, self._encode(p).tobytes()) for p in pieces)
+            return
+        raw, width = ids.tobytes(), ids.itemsize
+        at = [0, *(width * cuts).tolist()]
+        self.update(zip(pieces, map(raw.__getitem__, map(slice, at, at[1:])), strict=False))
+
+    def texts(self, texts: list[str]) -> list[bytes]:
+        pieces: list[list[str] | None] = []
+        for t in texts:
+            try:
+                t.encode("latin-1")
+                pieces.append(None if "<|" in t else _PIECE.findall(t.lower()))
+            except UnicodeEncodeError:
+                pieces.append(None)
+        used = set().union(*(p for p in pieces if p))
+        new = list(used.difference(self))
+        if new:
+            self._learn(new)
+            if len(self) < len(used):  # it had to start over
+                self._learn(list(used.difference(self)))
+        near = {p: self[p] for p in used}.__getitem__  # a small table is faster to look up
+        return [self._encode(t).tobytes() if p is None else b"".join(map(near, p)) for t, p in zip(texts, pieces, strict=True)]
 
 
 @lru_cache(maxsize=2)
-def _word_ids(path: str) -> WordIds:
-    return WordIds(path)
+def _piece_ids(path: str) -> PieceIds:
+    return PieceIds(path)
 
 
 _TOKENS = ("chunk int, row bigint, id {}, n bigint, full_before bigint, bin int, rank bigint, crcs array<bigint>, ids binary")
 
 
+def _runs(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+    """Rows of about STEP_CHARS characters together."""
+    start, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t or "")
+        if size >= STEP_CHARS:
+            yield start, i + 1
+            start, size = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
+
+
 def _tokenise(docs: DataFrame, tokenizer: str, end_id: int, kind: str) -> DataFrame:
     """Ids of each document, with what planning needs: its place in its chunk, the CRC of
     each full window and of the tail, and the tail's rank in its bin within the chunk."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end = _word_ids(tokenizer), np.array([end_id], "<u4").tobytes()
+        pieces = _piece_ids(tokenizer)
+        end, width = np.array([end_id], pieces.kind).tobytes(), np.dtype(pieces.kind).itemsize
         chunk, row, full, ranks = TaskContext.get().partitionId(), 0, 0, np.zeros(WINDOW // BIN + 1, np.int64)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            texts = batch.column(1).to_pylist()
+            for start, stop in _runs(texts):
                 out = []
-                for text in part.column(1).to_pylist():
-                    raw = (words.text(text) if text else b"") + end
-                    n, view = len(raw) // 4, memoryview(raw)
+                for raw in pieces.texts([t or "" for t in texts[start:stop]]):
+                    raw += end
+                    n, view = len(raw) // width, memoryview(np.frombuffer(raw, pieces.kind).astype("<u4").tobytes())
                     b = -(-(n % WINDOW) // BIN)
-                    crcs = [zlib.crc32(view[i:i + 4 * WINDOW]) for i in range(0, len(raw), 4 * WINDOW)]
-                    ids = np.frombuffer(raw, "<u4")
-                    out.append((row, n, full, b, ranks[b], crcs, ids.astype("<u2").tobytes() if ids.max() < 65536 else raw))
+                    crcs = [zlib.crc32(view[i:i + 4 * WINDOW]) for i in range(0, 4 * n, 4 * WINDOW)]
+                    out.append((row, n, full, b, ranks[b], crcs, raw))
                     ranks[b] += 1
                     row += 1
                     full += n // WINDOW
                 cols = list(zip(*out, strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk] * len(out), pa.int32()), pa.array(cols[0], pa.int64()), part.column(0),
+                    [pa.array([chunk] * len(out), pa.int32()), pa.array(cols[0], pa.int64()), batch.column(0).slice(start, stop - start),
                      pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int32()),
                      pa.array(cols[4], pa.int64()), pa.array(cols[5], pa.list_(pa.int64())), pa.array(cols[6], pa.binary())],
                     ["chunk", "row", "id", "n", "full_before", "bin", "rank", "crcs", "ids"])
@@ -256,7 +303,9 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, id_col: str
 def _cut(tokens: DataFrame, pieces: DataFrame, kind: str) -> DataFrame:
     """CRCs of the pieces of tails that a window boundary cuts: only these documents' ids move."""
     by_doc = pieces.groupBy("chunk", "row").agg(F.collect_list(F.struct("start", "length", "seq", "offset")).alias("pieces"))
-    rows = tokens.select("chunk", "row", "id", "n", "ids").join(by_doc, ["chunk", "row"]).select("id", "n", "ids", "pieces")
+    by_doc = stored(by_doc, "packing")  # at most one tail per window boundary
+    few = by_doc.count() <= MAX_BROADCAST
+    rows = tokens.select("chunk", "row", "id", "n", "ids").join(F.broadcast(by_doc) if few else by_doc, ["chunk", "row"]).select("id", "n", "ids", "pieces")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
