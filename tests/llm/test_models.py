@@ -196,7 +196,10 @@ def test_pipeline_of_empty_and_odd_documents(spark, tmp_path):
             (3, "", "en", "s", 0), (None, "a null id with a text of its own", None, None, 3)]
     spark.createDataFrame(rows, ddl).write.parquet(f"{tmp_path}/documents.parquet")
     got = C.run(spark, str(tmp_path)).collect()
-    assert sorted((str(r.doc_id), r.length == r.doc_tokens) for r in got) == sorted((str(i), True) for i in (1, 2, 3, None))
+    length = Counter()
+    for r in got:  # the last window is cut into powers of two
+        length[str(r.doc_id), r.doc_tokens] += r.length
+    assert sorted(i for i, _ in length) == ["1", "2", "3", "None"] and all(n == k[1] for k, n in length.items())
     spark.createDataFrame([], ddl).write.parquet(f"{tmp_path}/none/documents.parquet")
     for t in ("labels", "benchmark"):
         spark.read.parquet(f"{tmp_path}/{t}.parquet").write.parquet(f"{tmp_path}/none/{t}.parquet")
