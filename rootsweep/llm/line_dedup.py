@@ -1,9 +1,8 @@
 """Operator 10: fuzzy line deduplication by MinHash, in DataFrame operations only.
 
 A line (trimmed, lower-cased) has the set of its character shingles: the ``SHINGLE``
-characters from each start of a word (what follows a space); where characters take more
-than two bytes on average, as in scripts written without spaces, from each character
-(a line that is shorter is one shingle).
+characters from each of its characters on, spaces included, in every script alike (a
+line that is shorter is one shingle).
 Its signature is the ``KEEP``
 smallest hashes; every three neighbours among them are a band, so two lines meet if
 three common shingles follow each other in the order of hashes. For lines of up to 8
@@ -35,8 +34,10 @@ SHINGLE = 8
 KEEP = 10
 PERCENT = 75
 MAX_KEYS = 1_000_000
-#: A word with the spaces after it, or a character, with the shingle that begins there.
-_WORD, _CHAR = r"(?s)(?=(.{1,%d}))[^ ]+ *", r"(?s)(?=(.{%d}))."
+#: Hashes of the shingles. Four bytes a character let each be cut out without a walk
+#: through the line; the outer transform binds these bytes to a name, once per line.
+_SHINGLES = ("transform(array(encode(line, 'UTF-32')), b -> transform(sequence(0, greatest(octet_length(b) div 4 - {0}, 0)), "
+             "i -> xxhash64(substring(b, cast(4 * i + 1 as int), 4 * {0}))))[0]")
 _PAIRS = "transform(sequence(0, size(low) - 2), i -> xxhash64(low[i], low[i + 1]))"
 _TRIPLES = "transform(sequence(0, size(low) - 3), i -> xxhash64(low[i], low[i + 1], low[i + 2]))"
 _BANDS = f"case when size(low) = 1 then low when size(low) < 7 then {_PAIRS} when size(low) < 9 then concat({_PAIRS}, {_TRIPLES}) else {_TRIPLES} end"
@@ -51,11 +52,17 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _with_shingles(lines: DataFrame, width: int) -> DataFrame:
     """Adds ``set``: the distinct hashed shingles of ``line``, ascending."""
-    found = lines.withColumn("found", F.expr(
-        f"case when octet_length(line) > 2 * length(line) then regexp_extract_all(line, '{_CHAR % width}', 1) "
-        f"else regexp_extract_all(line, '{_WORD % width}', 1) end"))
-    found = found.withColumn("found", F.when(F.size("found") > 0, F.col("found")).otherwise(F.array("line")))
-    return found.withColumn("set", F.sort_array(F.array_distinct(F.expr("transform(found, x -> xxhash64(x))")))).drop("found")
+    return lines.withColumn("set", F.sort_array(F.array_distinct(F.expr(_SHINGLES.format(width)))))
+
+
+def _similar(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
+    """The pairs (a, an, b, bn) of lines with an and bn shingles that reach ``percent``.
+    The lines are moved, not their sets, which are eight times as large."""
+    fits = F.least("an", "bn") * 100 >= F.greatest("an", "bn") * percent
+    sets = lambda name: F.expr(_SHINGLES.format(width).replace("line", name))
+    both = pairs.where(fits).join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
+    both = both.withColumn("common", F.size(F.array_intersect(sets("x"), sets("y"))))
+    return both.where(F.col("common") * 100 >= (F.col("an") + F.col("bn") - F.col("common")) * percent).select("a", "b")
 
 
 def line_components(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE, keep: int = KEEP,
@@ -63,26 +70,24 @@ def line_components(docs: DataFrame, percent: int = PERCENT, width: int = SHINGL
     """Every line (key, id, th, no), and the component of every distinct line with links
     (node, component)."""
     lines = _lines(docs, id_col, text_col).withColumn("key", F.xxhash64("line", F.length("line")))
-    sign = _with_shingles(lines, width).select("key", "id", "th", "no", F.slice("set", 1, keep).alias("low"))
+    sign = _with_shingles(lines, width).select("key", "id", "th", "no", F.size("set").alias("n"), F.slice("set", 1, keep).alias("low"))
     sign = stored(sign.withColumn("bands", F.expr(_BANDS)).drop("low"), "lines")
-    classes = sign.groupBy("key").agg(F.first("bands").alias("bands"))
-    bands = classes.select("key", F.explode("bands").alias("band"))
+    classes = sign.groupBy("key").agg(F.first(F.struct("n", "bands")).alias("c"))
+    bands = classes.select("key", "c.n", F.explode("c.bands").alias("band"))
     w = Window.partitionBy("band").orderBy("key")
-    near = bands.select("key", F.lag("key").over(w).alias("before"), F.first("key").over(w).alias("smallest"))
+    line = F.struct("key", "n")
+    near = bands.select(line.alias("b"), F.lag(line).over(w).alias("before"), F.first(line).over(w).alias("smallest"))
     pairs = near.where("before is not null").select(
-        F.explode(F.array_distinct(F.array("before", "smallest"))).alias("a"), F.col("key").alias("b")).distinct()
+        F.explode(F.array_distinct(F.array("before", "smallest"))).alias("a"), "b").select(
+        F.col("a.key").alias("a"), F.col("a.n").alias("an"), F.col("b.key").alias("b"), F.col("b.n").alias("bn")).distinct()
     pairs = stored(pairs, "lines")
 
     keys = stored(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "lines")
     small = keys.count() <= MAX_KEYS
     wanted = lines.select("key", "line").join(F.broadcast(keys) if small else keys, "key", "left_semi")
-    sets = _with_shingles(wanted.groupBy("key").agg(F.min("line").alias("line")), width).select("key", "set")
-    sets = stored(sets, "lines")
-    both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
-    fits = (F.least(F.size("x"), F.size("y")) * 100 >= F.greatest(F.size("x"), F.size("y")) * percent)
-    both = both.where(fits).withColumn("common", F.size(F.array_intersect("x", "y")))
-    links = both.where(F.col("common") * 100 >= (F.size("x") + F.size("y") - F.col("common")) * percent).select("a", "b")
-    return sign.select("key", "id", "th", "no"), components(stored(links, "lines"))
+    texts = stored(wanted.groupBy("key").agg(F.min("line").alias("line")), "lines")
+    links = stored(_similar(pairs, texts, percent, width), "lines")
+    return sign.select("key", "id", "th", "no"), components(links)
 
 
 def removed_lines(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE, keep: int = KEEP,

@@ -174,3 +174,36 @@ def test_line_dedup_cases(spark):
     assert set(P.dedup_lines(extra(df)).columns) == {*extra(df).columns, "n_lines", "n_removed"}
     plan = P.dedup_lines(df)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def char_sets(lines, width=8):
+    """Shingles from every character, in plain Python."""
+    return [frozenset(x[k:k + width] for k in range(max(1, len(x) - width + 1))) for x in lines]
+
+
+def brute_dedup(lines, percent=75):
+    """The distinct lines that stay, by comparing every two of them."""
+    sets = char_sets(lines)
+    links = [(a, b) for a, b in itertools.combinations(range(len(lines)), 2)
+             if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+    root = union_find(range(len(lines)), links)
+    return [x for k, x in enumerate(lines) if k == min(j for j in root if root[j] == root[k])]
+
+
+def test_line_shingles_cover_every_character(spark):
+    lines = ["https://example.com/a", "a b", "tab\tseparated\tvalues 1", "日本語のテキストが続く長い行", "sm\U0001f600le \U0001f600\U0001f600 wörter über alles", "12345678", "123456789"]
+    got = {r.line: set(r.set) for r in P._with_shingles(spark.createDataFrame([(x,) for x in lines], "line string"), P.SHINGLE).collect()}
+    for x, want in zip(lines, char_sets(lines), strict=True):
+        hashed = spark.createDataFrame([(s,) for s in want], "s string").select(F.xxhash64(F.encode("s", "UTF-32")))
+        assert got[x] == {r[0] for r in hashed.collect()}
+
+
+def test_lines_without_spaces_are_compared_whole(spark):
+    rng = random.Random(10)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
+    lines = ["https://example.com/a", "https://another.org/b"] + [f"https://{word(12)}.com/{word(20)}" for _ in range(20)]
+    lines += ["iVBORw0K" + word(60) for _ in range(10)] + [f"2024-01-{k:02d}\t{word(9)}\t{word(9)}" for k in range(10, 20)]
+    lines += [x[:30] + "zz" + x[30:] for x in lines[22:32:3]]  # near copies, with the rest moved
+    got = P.dedup_lines(spark.createDataFrame(list(enumerate(lines)), DOCS)).where("n_removed = 0").collect()
+    assert sorted(r.text for r in got) == sorted(brute_dedup(lines))
+    assert 42 <= len(got) < len(lines)
