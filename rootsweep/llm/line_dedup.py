@@ -9,11 +9,15 @@ three common shingles follow each other in the order of hashes. For lines of up
 shingles every two neighbours are a band (of 7 and 8: both), as few would be left. In
 each band every line is paired with the smallest line and with the one before it. Pairs
 are verified by the exact Jaccard similarity of their sets (>= ``percent`` %). Connected
-components are found by rounds of joins; of each the first line (smallest id, then
-place) stays.
+components are found by rounds of joins. Bands whose lines are then in several
+components go on: ``ROUNDS`` times with another line of the band as the partner of those
+in other components, then with all pairs across components, so that in the end every
+two lines that share a band are verified or connected. Of each component the first line
+(smallest id, then place) stays.
 
 Scale: equal lines are merged first; bands have a line once; no group is ever
-collected, and pairs per band are linear in its lines. The lines that a verification
+collected. Pairs per band are linear in its lines but in the last round, where they are
+the square of the lines that are alike in a band and yet below ``percent``. The lines that a verification
 needs are found by a semi join, which broadcasts their keys up to ``MAX_KEYS`` and
 shuffles beyond.
 
@@ -25,7 +29,7 @@ are carried along. Lines are told apart by a 64-bit hash of text and length.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rootsweep.llm.common import components, stored
@@ -34,6 +38,8 @@ SHINGLE = 8
 KEEP = 10
 PERCENT = 75
 MAX_KEYS = 1_000_000
+#: Rounds of stars, before all pairs that are left.
+ROUNDS = 2
 #: Hashes of the shingles. Four bytes a character let each be cut out without a walk
 #: through the line; the outer transform binds these bytes to a name, once per line.
 _SHINGLES = ("transform(array(encode(line, 'UTF-32')), b -> transform(sequence(0, greatest(octet_length(b) div 4 - {0}, 0)), "
@@ -55,12 +61,16 @@ def _with_shingles(lines: DataFrame, width: int) -> DataFrame:
     return lines.withColumn("set", F.sort_array(F.array_distinct(F.expr(_SHINGLES.format(width)))))
 
 
+def _fits(n: str, m: str, percent: int) -> Column:
+    """Whether sets of n and m shingles can be similar enough."""
+    return F.least(n, m) * 100 >= F.greatest(n, m) * percent
+
+
 def _similar(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
     """The pairs (a, an, b, bn) of lines with an and bn shingles that reach ``percent``.
     The lines are moved, not their sets, which are eight times as large."""
-    fits = F.least("an", "bn") * 100 >= F.greatest("an", "bn") * percent
     sets = lambda name: F.expr(_SHINGLES.format(width).replace("line", name))
-    both = pairs.where(fits).join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
+    both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
     both = both.withColumn("common", F.size(F.array_intersect(sets("x"), sets("y"))))
     return both.where(F.col("common") * 100 >= (F.col("an") + F.col("bn") - F.col("common")) * percent).select("a", "b")
 
@@ -76,18 +86,49 @@ def line_components(docs: DataFrame, percent: int = PERCENT, width: int = SHINGL
     bands = classes.select("key", "c.n", F.explode("c.bands").alias("band"))
     w = Window.partitionBy("band").orderBy("key")
     line = F.struct("key", "n")
-    near = bands.select(line.alias("b"), F.lag(line).over(w).alias("before"), F.first(line).over(w).alias("smallest"))
-    pairs = near.where("before is not null").select(
-        F.explode(F.array_distinct(F.array("before", "smallest"))).alias("a"), "b").select(
-        F.col("a.key").alias("a"), F.col("a.n").alias("an"), F.col("b.key").alias("b"), F.col("b.n").alias("bn")).distinct()
-    pairs = stored(pairs, "lines")
+    near = bands.select("band", line.alias("b"), F.lag(line).over(w).alias("before"), F.first(line).over(w).alias("smallest"),
+                        F.lead("key").over(w).alias("after")).where("before is not null or after is not null")
+    near = stored(near, "lines")  # bands of several lines
+    pairs = near.where("before is not null").select(F.explode(F.array_distinct(F.array("before", "smallest"))).alias("a"), "b")
+    shared = near.select("band", "b.key", "b.n")
 
-    keys = stored(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "lines")
+    keys = stored(shared.select("key").distinct(), "lines")
     small = keys.count() <= MAX_KEYS
     wanted = lines.select("key", "line").join(F.broadcast(keys) if small else keys, "key", "left_semi")
     texts = stored(wanted.groupBy("key").agg(F.min("line").alias("line")), "lines")
-    links = stored(_similar(pairs, texts, percent, width), "lines")
-    return sign.select("key", "id", "th", "no"), components(links)
+    return sign.select("key", "id", "th", "no"), _linked(shared, pairs, texts, percent, width)
+
+
+def _linked(shared: DataFrame, pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
+    """Components after every two lines of a band are verified or already connected: first
+    ``pairs``, then stars around other lines of each band, then all that is left."""
+    done = links = label = None
+    for k in range(ROUNDS + 2):
+        if k:
+            label = label or components(links)
+            named = shared.join(label, F.col("key") == F.col("node"), "left").select(
+                "band", F.struct("key", "n", F.coalesce("component", "key").alias("component")).alias("b"))
+            several = named.groupBy("band").agg(F.min("b.component").alias("lo"), F.max("b.component").alias("hi"),
+                                                F.min_by("b", F.xxhash64("b.key", F.lit(k))).alias("a")).where("lo <> hi")
+            left = named.join(several.select("band", "a"), "band")
+            if k > ROUNDS:
+                left = left.drop("a")
+                left = left.join(left.withColumnRenamed("b", "a"), "band").where("a.key < b.key")
+            pairs = left.where((F.col("a.component") != F.col("b.component")) & _fits("a.n", "b.n", percent))
+        low, high = F.least("a.key", "b.key"), F.greatest("a.key", "b.key")
+        first = F.col("a.key") == low
+        pairs = pairs.select(low.alias("a"), F.when(first, F.col("a.n")).otherwise(F.col("b.n")).alias("an"),
+                             high.alias("b"), F.when(first, F.col("b.n")).otherwise(F.col("a.n")).alias("bn"))
+        pairs = pairs.where(_fits("an", "bn", percent)).distinct()
+        pairs = stored(pairs.join(done, ["a", "b"], "left_anti") if k else pairs, "lines")
+        if pairs.isEmpty():
+            found = pairs.select("a", "b")
+        else:
+            found = stored(_similar(pairs, texts, percent, width), "lines")
+            label = None
+        done = pairs.select("a", "b") if done is None else done.unionAll(pairs.select("a", "b"))
+        links = found if links is None else links.unionAll(found)
+    return label or components(links)
 
 
 def removed_lines(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE, keep: int = KEEP,

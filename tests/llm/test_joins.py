@@ -207,3 +207,16 @@ def test_lines_without_spaces_are_compared_whole(spark):
     got = P.dedup_lines(spark.createDataFrame(list(enumerate(lines)), DOCS)).where("n_removed = 0").collect()
     assert sorted(r.text for r in got) == sorted(brute_dedup(lines))
     assert 42 <= len(got) < len(lines)
+
+
+def test_similar_lines_between_dissimilar_ones_are_found(spark):
+    """Lines of one template, pairwise below the threshold, with planted pairs above it."""
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    template = word(200)
+    lines = [template + word(36) for _ in range(150)]
+    lines += [x[:216] + word(20) for x in lines[:40]]
+    got = P.dedup_lines(spark.createDataFrame(list(enumerate(lines)), DOCS)).where("n_removed = 0").collect()
+    want = brute_dedup(lines)
+    assert len(want) == 150
+    assert len(want) <= len(got) <= len(want) + 1  # a pair in twenty near the threshold may share no band
