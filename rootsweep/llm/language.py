@@ -8,9 +8,10 @@ product of a batch of presence vectors with the landmarks' presence matrix, then
 the kernel values with the weights. Letters are lower-cased, everything that is no
 letter is one space.
 
-Learning takes a bounded sample: ``LANDMARKS`` landmarks and ``ROWS`` rows, an equal
-number for each language, those with the smallest hash of the id; languages are
-counted over all rows, at most ``MAX_LANGS`` of the most frequent are learned.
+Learning takes a sample: ``LANDMARKS`` landmarks and ``ROWS`` rows, an equal number for
+each language, those with the smallest hash of the id; languages are counted over all
+rows and every one is learned. With many languages the sample grows with their number:
+at least ``LEAST_ROWS`` rows and ``LEAST_LANDMARKS`` landmarks for each.
 
 Cases: a null text, or one without letters, gives lang_pred ``und`` and score 0;
 texts of any length are read whole; a null lang is never learned from; repeated rows
@@ -34,7 +35,8 @@ from rootsweep.llm.common import own_columns, stored
 ORDERS = (1, 2, 3, 4)
 #: Hash bits of the n-grams of each order.
 ORDER_BITS = (12, 15, 16, 16)
-LANDMARKS, ROWS, MAX_LANGS = 96, 1_200, 64
+LANDMARKS, ROWS = 96, 1_200
+LEAST_LANDMARKS, LEAST_ROWS = 1, 18
 RIDGE = 0.01
 #: Characters hashed at a time.
 STEP = 1 << 18
@@ -96,7 +98,7 @@ def _fit(rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values(["rank", "lang", "order"], kind="stable").reset_index(drop=True)
     sets = [np.frombuffer(b, np.int32) for b in rows["grams"]]
     langs = sorted(set(rows["lang"]))
-    m = min(LANDMARKS, len(sets))
+    m = min(max(LANDMARKS, LEAST_LANDMARKS * len(langs)), len(sets))
     model = _with_landmarks(langs, sets[:m])
     k = np.concatenate([kernel(model, sets[i:i + 64]) for i in range(0, len(sets), 64)])
     y = np.where(rows["lang"].to_numpy()[:, None] == np.array(langs)[None, :], 1.0, 0.0)
@@ -140,19 +142,19 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """Model learned from rows whose crc32(id) mod 4 is not 2 and whose lang is known."""
     src = own_columns(docs, id_col, lang_col, text_col).toDF("id", "lang", "text").where(
         "lang is not null and text is not null and id is not null and crc32(cast(id as string)) % 4 <> 2")
-    counted = src.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
+    counted = src.groupBy("lang").count().collect()
     if not counted:
         return None
-    each = max(4, rows // len(counted))
+    each = max(LEAST_ROWS, rows // len(counted))
     # the smallest hashes of each language: a share of the hash range that holds about
     # twice as many rows as wanted (all, if there are few), so that a few rows are ranked
-    top = F.create_map(*[x for r in counted for x in (
-        F.lit(r["lang"]), F.lit(min(2**63 - 1, -2**63 + 2**64 * 2 * (each + 32) // r["count"])))])
-    ids = src.where(F.col("lang").isin([r["lang"] for r in counted])).select("id", "lang", F.xxhash64("id").alias("order"))
-    ids = ids.where(F.col("order") <= F.element_at(top, F.col("lang")))
+    top = docs.sparkSession.createDataFrame(
+        [(r["lang"], min(2**63 - 1, -2**63 + 2**64 * 2 * (each + 32) // r["count"])) for r in counted], "lang string, top bigint")
+    ids = src.select("id", "lang", F.xxhash64("id").alias("order")).join(F.broadcast(top), "lang")
+    ids = ids.where(F.col("order") <= F.col("top"))
     w = Window.partitionBy("lang").orderBy("order")
     ids = ids.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= each).select("id", "lang", "order", "rank")
-    ids = stored(ids, "language")  # bounded: about ``rows`` short rows
+    ids = stored(ids, "language")  # about ``rows`` short rows, or LEAST_ROWS for each language
     picked = own_columns(docs, id_col, text_col).toDF("id", "text").join(F.broadcast(ids), "id").where("text is not null")
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

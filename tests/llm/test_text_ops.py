@@ -164,3 +164,13 @@ def test_language_with_nothing_to_learn(spark, none):
 def test_smallest_tables(spark):
     docs, lab = (spark.read.parquet(f"{SF001}/{t}.parquet") for t in ("documents", "labels"))
     assert X.toxicity(docs, lab).count() == L.language(docs).count() == docs.count()
+
+
+def test_language_learns_every_language(spark):
+    rng = random.Random(6)
+    vocab = {f"l{k:02d}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(12)] for k in range(80)}
+    table = [(i, " ".join(rng.choice(vocab[lang]) for _ in range(30)), lang) for i, lang in enumerate([*vocab] * 12)]
+    df = spark.createDataFrame(table, "doc_id bigint, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in L.language(df).where("held_out").collect()}
+    right = sum(got[i] == lang for i, _, lang in table if i in got)
+    assert right > 0.95 * len(got)
