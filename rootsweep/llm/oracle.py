@@ -72,9 +72,37 @@ links AS MATERIALIZED (SELECT a, b FROM (
 {_components('SELECT id FROM w', _LINKS)}
 SELECT c.id AS doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id FROM comp c LEFT JOIN n ON n.id = c.id"""
 
+
+
+def _codes(scale: int = 4096, parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Lloyd rounds as one CTE each over (id, part, pos, x)."""
+    floor = f"CAST(floor({scale} * CAST(e AS DOUBLE)) AS BIGINT)"
+    sql = f"""
+WITH v AS MATERIALIZED (SELECT vec_id AS id, label, list_transform(embedding, lambda e: {floor}) AS x, len(embedding) // {parts} AS w
+    FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+p AS MATERIALIZED (SELECT id, i // w AS part, i % w AS pos, x[i + 1] AS x FROM (SELECT id, x, w, unnest(range(0, len(x))) AS i FROM v)),
+s AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS entry FROM v ORDER BY id LIMIT {entries}),
+b0 AS MATERIALIZED (SELECT part, entry, pos, x FROM p JOIN s USING (id))"""
+    for r in range(rounds + 1):
+        sql += f""",
+d{r} AS (SELECT p.id, p.part, b.entry, sum((p.x - b.x) * (p.x - b.x)) AS d FROM p JOIN b{r} b USING (part, pos) GROUP BY ALL),
+a{r} AS MATERIALIZED (SELECT id, part, entry, d FROM d{r} QUALIFY row_number() OVER (PARTITION BY id, part ORDER BY d, entry) = 1)"""
+        if r < rounds:
+            sql += f""",
+m{r} AS (SELECT part, entry, pos, sum(x) AS s, count(*) AS n FROM p JOIN a{r} USING (id, part) GROUP BY ALL),
+b{r + 1} AS MATERIALIZED (SELECT part, entry, pos, CAST(CASE WHEN n IS NULL THEN b.x WHEN s >= 0 THEN s // n
+    ELSE -((n - 1 - s) // n) END AS BIGINT) AS x FROM b{r} b LEFT JOIN m{r} m USING (part, entry, pos))"""
+    return sql + f""",
+r AS (SELECT id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY id),
+h AS (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, entry, pos)) AS codebooks_sha256 FROM b{rounds})
+SELECT id AS vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM r JOIN v USING (id), h"""
+
+
 ORACLE_SQL = {
     "op2_decontaminate": DECONTAMINATE,
     "op4_warc": WARC,
     "op7_vector_join": VECTORS,
     "op8_ngram_join": NGRAMS,
+    "op12_vector_codes": _codes(),
 }

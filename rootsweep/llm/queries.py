@@ -18,8 +18,10 @@ from rootsweep.llm import (
     packing,
     token_count,
     toxicity,
+    vector_codes,
     vector_join,
     warc,
+    whitening,
 )
 from rootsweep.llm.common import ship
 from rootsweep.llm.oracle import ORACLE_SQL  # noqa: F401
@@ -71,6 +73,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return corpus_pipeline.run(spark, sf_dir)
@@ -88,6 +98,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_ngram_join,
         op9_katz,
         op10_line_dedup,
+        op12_vector_codes,
+        op13_whitening,
         pipeline,
     )
 }
