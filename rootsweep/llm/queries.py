@@ -16,6 +16,7 @@ from rootsweep.llm import (
     line_dedup,
     ngram_join,
     packing,
+    personal_data,
     token_count,
     toxicity,
     vector_codes,
@@ -73,6 +74,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.digests(personal_data.personal_data(_table(spark, sf_dir, "documents")))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.vector_codes(_table(spark, sf_dir, "embeddings"))
 
@@ -98,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_ngram_join,
         op9_katz,
         op10_line_dedup,
+        op11_personal_data,
         op12_vector_codes,
         op13_whitening,
         pipeline,
