@@ -9,9 +9,10 @@ Stages (the reference's procedure, re-planned for Spark):
    read back (cuts lineage, gives exact sizes for broadcast decisions), then
    asserted unique and non-null;
 4. moves: per table, find the files that hold rows of the key set (a pass over its
-   FK column only), then split those files in a single pass (a left join to the key
-   set, ``partitionBy`` on the outcome), several in flight at once; other files stay
-   as they are, and tables whose key set is empty are skipped;
+   FK column only, which also counts the rows), then open those files alone and split
+   them in a single pass (a left join to the key set, ``partitionBy`` on the outcome),
+   several in flight at once; other files stay as they are, tables whose key set is
+   empty or without hits are skipped, and a table of one file is split right away;
 5. counts from independent sources are compared (the count gate), optionally
    the content fingerprint, the archive-collision and schema guards; retained rows
    whose parent was archived are counted (the orphan audit);
@@ -155,6 +156,7 @@ class Archiver:
         self._sized = False
         self._lock = threading.Lock()
         self._seconds: dict[str, float] = {}
+        self._replaced: dict[str, list] = {}  # table -> files that this run replaces
         self._result: RunResult | None = None
 
     # ---- stage 3: key sets ----------------------------------------------------
@@ -250,12 +252,17 @@ class Archiver:
         whole = self.store.read_version(v, with_file=True)
         if not keys.small(self.max_bytes):
             keys = dataclasses.replace(keys, heavy=heavy_values(whole, mv.column))
-        # files with rows to archive, by a pass over the FK column alone
-        replaced = self.store.replaced_dir(mv.table, run_id)
-        (semi(whole.select(quoted(mv.column), FILE), mv.column, keys, self.max_bytes)
-         .select(FILE).distinct().write.mode("errorifexists").parquet(replaced))
-        touched = spark.read.schema(f"{FILE} string").parquet(replaced)
-        source = whole.join(touched, FILE, "left_semi").drop(FILE)
+        touched = None
+        if self.store.one_file(v):
+            source = whole  # nothing to choose from
+        else:
+            # files with rows to archive, by a pass over the FK column alone; the split
+            # opens these and no other
+            touched = (semi(whole.select(quoted(mv.column), FILE), mv.column, keys, self.max_bytes)
+                       .groupBy(FILE).agg(F.count(F.lit(1)).alias("n")).select(f"{FILE}.*", "n").collect())
+            if not touched:
+                return MoveCounts(mv.table, 0, 0, 0, 0)
+            source = self.store.read_version(v, files=[r["name"] for r in touched])
         obs = Observation(f"split_{mv.table}_{run_id}")
         hit_task = F.when(F.col(PART) == "archived", F.spark_partition_id())
         aggs = [F.count(F.lit(1)).alias("n"), F.count_if(F.col(PART) == "archived").alias("hits"),
@@ -266,12 +273,14 @@ class Archiver:
             PART, F.when(F.col(PART), "archived").otherwise("retained"))
         if self.hooks.split:
             split = self.hooks.split(mv.table, split)
-        split = split.observe(obs, *aggs)
+        if touched is None:  # the one file, as the scan saw it
+            aggs += [F.max(f"{FILE}.{c}").alias(f"file_{c}") for c in ("name", "length", "modified")]
+        split = split.observe(obs, *aggs).drop(FILE)
         out = self.store.table_dir(mv.table, run_id)
         with ThreadPoolExecutor(1, thread_name_prefix="rootsweep-count") as side:
-            # the row count of the files to be replaced (no data column is read)
-            # runs as its own small job while the split is written
-            before = side.submit(source.count)
+            # the row count of the files to be replaced (from their footers) runs as its
+            # own small job while the split is written
+            before = side.submit(source.drop(FILE).count)
             split.write.mode("errorifexists").partitionBy(PART).parquet(out)  # see _writers()
             rows_before = before.result()
 
@@ -283,8 +292,8 @@ class Archiver:
                        .agg(F.count(F.lit(1)).alias("n")).collect()}
         copied, retained = written.get("archived", 0), written.get("retained", 0)
         m = obs.get
-        in_main = int(m["hits"])
-        if in_main != copied or int(m["n"]) != rows_before:
+        in_main = int(m["hits"]) if touched is None else sum(r["n"] for r in touched)
+        if touched is None and (in_main != copied or int(m["n"]) != rows_before):
             # Observed metrics can double count when a stage is re-run after an
             # executor loss; recount independently before judging.
             in_main = semi(whole, mv.column, keys, self.max_bytes).count()
@@ -292,6 +301,11 @@ class Archiver:
         if self.hooks.counts:
             counts = self.hooks.counts(counts)
         check_counts(counts)
+        if touched is None:
+            touched = [{c: m[f"file_{c}"] for c in ("name", "length", "modified")}]
+        if copied:
+            with self._lock:
+                self._replaced[mv.table] = touched
 
         # archived files <= write tasks holding archived rows <= task id span
         span = 0 if m["task_hi"] is None else int(m["task_hi"]) - int(m["task_lo"]) + 1
@@ -312,7 +326,7 @@ class Archiver:
             src = (int(m["src_rows"]), m["src_fingerprint"])
             if (int(got["rows"]), got["fingerprint"]) != src:
                 # observed metrics may repeat after a re-run stage: recompute
-                again = source.agg(*fingerprint_aggs(v.schema)).first()
+                again = source.drop(FILE).agg(*fingerprint_aggs(v.schema)).first()
                 src = (int(again["rows"]), again["fingerprint"])
             if (int(got["rows"]), got["fingerprint"]) != src:
                 raise FingerprintMismatch(mv.table, src, (got["rows"], got["fingerprint"]))
@@ -404,19 +418,21 @@ class Archiver:
                 published, first_log_id = f_pub.result(), f_log.result()
             versions = self.store.snapshot(self.manifest.tables(), published)
             self._sized = False
-            keys, result.counts = self._keys_and_moves(run_id, versions, csv, published)
+            self._replaced = {}
+            keys, result.counts, result.orphans = self._keys_and_moves(run_id, versions, csv, published)
             result.keys = {k: v.rows for k, v in keys.items()}
             stage = "Finalizing"
             stamp = None
             if self.stamp_session:
                 info = session_info(self.spark).first()
                 stamp = f"database={info['current_database']}; user={info['current_user']}"
-            if self.check_orphans:
-                result.orphans = self._orphans(versions, keys)
-            if self.log_by_project:
-                self._log_by_project(result, keys, first_log_id)
-            self._still_valid(run_id, "RUNNING", published)
-            self.audit.write_log(run_id, result.log_lines(self.log_empty, stamp), first_log_id)
+            with ThreadPoolExecutor(1, thread_name_prefix="rootsweep-replaced") as side:
+                listed = side.submit(self.store.write_replaced, run_id, self._replaced)
+                if self.log_by_project:
+                    self._log_by_project(result, keys, first_log_id)
+                self._still_valid(run_id, "RUNNING", published)
+                self.audit.write_log(run_id, result.log_lines(self.log_empty, stamp), first_log_id)
+                listed.result()
             self.audit.close_run(run_id, csv, started, "SUCCESS")
             self._still_valid(run_id, "SUCCESS", published)
             result.status = "SUCCESS"
@@ -434,9 +450,11 @@ class Archiver:
 
     def _still_valid(self, run_id: int, state: str, published: dict[str, list[int]]) -> None:
         """This run's state is as it should be, and all runs it builds on are published."""
-        if self.audit.state(run_id) != state:
+        with ThreadPoolExecutor(2, thread_name_prefix="rootsweep-valid") as pool:
+            f_state, f_now = pool.submit(self.audit.state, run_id), pool.submit(self.store.published)
+            found, now = f_state.result(), f_now.result()
+        if found != state:
             raise RunAbandoned(f"run {run_id} was declared FAILED by another command; nothing is published")
-        now = self.store.published()
         for table, runs in published.items():
             if not set(runs) <= set(now.get(table, [])):
                 raise CountMismatch(table, 0, 0, "a version this run builds on is no longer published")
@@ -485,8 +503,9 @@ class Archiver:
             self.audit.write_project_log(result.run_id, lines, first_id)
 
     def _keys_and_moves(self, run_id: int, versions: dict[str, Version], csv: str | None,
-                        published: dict[str, list[int]]) -> tuple[dict[str, Keys], list[MoveCounts]]:
-        """Key sets, then moves. In parallel mode a table's move starts as soon
+                        published: dict[str, list[int]]) -> tuple[dict[str, Keys], list[MoveCounts], dict[tuple[str, str], int]]:
+        """Key sets, then moves, and beside them the orphan audit (it needs the key sets
+        and the pinned snapshot only). In parallel mode a table's move starts as soon
         as its own key set is written (moves only read the pinned snapshot and
         write run-scoped folders, so the selection cannot be disturbed); deeper
         key sets keep building meanwhile. Serial mode keeps the strict order."""
@@ -510,6 +529,7 @@ class Archiver:
                 raise err
 
         out: list[MoveCounts | None] = []
+        left: dict[tuple[str, str], int] = {}
         if self.parallelism == 1:
             self.build_keys(run_id, read, csv, keys,
                             on_level=lambda names: self._size_if_needed(versions, keys))
@@ -518,8 +538,10 @@ class Archiver:
                     out.append(one(mv))
                 except _MoveError:
                     break
+            if self.check_orphans and not errors:
+                left = self._timed("orphans", self._orphans, versions, keys)
         else:
-            futures = {}
+            futures, audit = {}, None
             with ThreadPoolExecutor(self.parallelism, thread_name_prefix="rootsweep-move") as pool:
                 def release(names: set[str]) -> None:
                     if stop.is_set():
@@ -531,6 +553,8 @@ class Archiver:
 
                 try:
                     self.build_keys(run_id, read, csv, keys, on_level=release)
+                    if self.check_orphans:
+                        audit = pool.submit(self._timed, "orphans", self._orphans, versions, keys)
                 except BaseException:
                     stop.set()
                     raise  # leaving the block first waits for moves in flight
@@ -543,7 +567,9 @@ class Archiver:
             # report the failing step that comes first in manifest order
             order = {mv.table: i for i, mv in enumerate(moves)}
             raise min(errors, key=lambda e: order[e.table])
-        return keys, [c for c in out if c is not None]
+        if self.parallelism > 1 and audit is not None:
+            left = audit.result()
+        return keys, [c for c in out if c is not None], left
 
 
 def archive(spark: SparkSession, manifest: Manifest, csv: str | None, input_root: str,

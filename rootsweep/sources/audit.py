@@ -9,7 +9,8 @@ line per moved table), stored as append-only Parquet under ``<root>/audit``.
   (the reference's ``ON DELETE CASCADE``). Version resolution of data tables
   reads the raw records, so purging history never un-archives data.
 
-Ids come from ``max + 1`` on the driver: one writer per output root.
+Run ids are claimed: ``max + 1`` is taken by creating ``claims/<id>``, which the file
+system lets only one opener do. One run at a time per output root.
 """
 
 from __future__ import annotations
@@ -83,18 +84,19 @@ class Audit:
         self.log_path = fs.join(self.root, "archival_log")
         self.project_log_path = fs.join(self.root, "archival_log_by_project")
         self.purge_path = fs.join(self.root, "purged_runs")
+        self.claims_path = fs.join(self.root, "claims")
 
     # ---- A5: create if absent ---------------------------------------------
     def ensure(self) -> None:
-        """Create each audit table if absent (``mode("ignore")`` leaves an
-        existing one untouched and needs no probe)."""
+        """Create each audit table if absent (``mode("ignore")`` leaves one untouched that
+        another writer creates meanwhile)."""
         def create(path: str, schema: StructType) -> None:
             self.spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
 
         with ThreadPoolExecutor(3, thread_name_prefix="rootsweep-audit") as pool:
             for f in [pool.submit(create, p, sc) for p, sc in (
                     (self.run_path, RUN_SCHEMA), (self.log_path, LOG_SCHEMA),
-                    (self.purge_path, PURGE_SCHEMA))]:
+                    (self.purge_path, PURGE_SCHEMA)) if not fs.present(self.spark, p)]:
                 f.result()
 
     def _read(self, path: str, schema: StructType) -> DataFrame:
@@ -137,11 +139,12 @@ class Audit:
         self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
 
     def open_run(self, project_list: str | None) -> tuple[int, datetime]:
-        """Allocate ``max + 1`` and append the RUNNING row.
+        """Claim ``max + 1`` and append the RUNNING row.
 
         One writer per output root: a run still RUNNING blocks the new one
-        (``ConcurrentRun``), however long ago it began. Whether its driver is
-        lost only an operator can tell: ``abandon(run_id)`` says so."""
+        (``ConcurrentRun``), however long ago it began, and so does an id that another
+        opener has claimed but not yet recorded. Whether its driver is lost only an
+        operator can tell: ``abandon(run_id)`` says so."""
         info = self.runs_raw().agg(
             F.max("run_id").alias("top"),
             F.collect_list(F.when(F.col("status") == "RUNNING",
@@ -152,6 +155,8 @@ class Audit:
             raise ConcurrentRun(f"run {r['run_id']} started at {r['started_at']} is still RUNNING; one "
                                 "writer per output root (if its driver is gone, abandon it by its id)")
         run_id = int(info["top"] or 0) + 1
+        if not fs.claim(self.spark, fs.join(self.claims_path, str(run_id)), now.isoformat()):
+            raise ConcurrentRun(f"run {run_id} is being opened by another writer (if its driver is gone, abandon it by its id)")
         self._append([(run_id, project_list if project_list is not None else "", now, None,
                        "RUNNING", None)], RUN_SCHEMA, self.run_path)
         return run_id, now
@@ -166,6 +171,8 @@ class Audit:
         published, so nothing needs undoing; should it still be alive, it finds
         this row before or after its own SUCCESS and raises ``RunAbandoned``."""
         row = self.runs_raw().where(F.col("run_id") == run_id).first()
+        if row is None and fs.present(self.spark, fs.join(self.claims_path, str(run_id))):
+            row = {"status": "RUNNING", "project_list": None, "started_at": _now()}  # claimed, never recorded
         if row is None or row["status"] != "RUNNING":
             raise ValueError(f"run {run_id} is {row['status'] if row else 'unknown'}, not RUNNING")
         self.close_run(run_id, row["project_list"], row["started_at"], "FAILED",

@@ -7,7 +7,9 @@ tables and main versions are opened by reading them (one listing, reused)."""
 
 from __future__ import annotations
 
+import os
 from functools import reduce
+from urllib.parse import unquote, urlsplit
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -71,6 +73,56 @@ def total_bytes(spark: SparkSession, paths: list[str]) -> dict[str, int]:
     return out
 
 
+def file_rows(spark: SparkSession, paths: list[str]) -> list:
+    """(name, length, modified) of the files under ``paths``: the name as a scan's
+    ``_metadata.file_path`` spells it, the time in milliseconds."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    return reader.load(paths).select(F.col("_metadata.file_path").alias("name"), "length",
+                                     F.unix_millis("modificationTime").alias("modified")).collect()
+
+
+def base_path(spark: SparkSession, root: str) -> str:
+    """The path part of a root, without scheme and authority."""
+    fsys, p = _hadoop(spark, root)
+    return fsys.makeQualified(p).toUri().getPath().rstrip("/")
+
+
+def below(base: str, name: str) -> str | None:
+    """A file's path relative to a base path, or None if it is elsewhere."""
+    path = unquote(urlsplit(name).path)
+    return path[len(base) + 1:] if path.startswith(base + "/") else None
+
+
+def claim(spark: SparkSession, path: str, text: str) -> bool:
+    """Create ``path`` with ``text`` if it is absent; False if another one has it. The
+    file system decides: its exclusive create (a shared mount: ``O_EXCL``)."""
+    fsys, p = _hadoop(spark, path)
+    fsys.mkdirs(p.getParent())
+    p = fsys.makeQualified(p)
+    if fsys.getScheme() == "file":
+        try:
+            fd = os.open(p.toUri().getPath(), os.O_CREAT | os.O_EXCL | os.O_WRONLY)
+        except FileExistsError:
+            return False
+        os.write(fd, text.encode())
+        os.close(fd)
+        return True
+    try:
+        out = fsys.create(p, False)
+    except Exception as exc:  # of the gateway: its Java cause tells
+        if fsys.exists(p):
+            return False
+        raise exc
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def present(spark: SparkSession, path: str) -> bool:
+    fsys, p = _hadoop(spark, path)
+    return bool(fsys.exists(p))
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names directly under ``path`` (hidden ones excluded), by one non-recursive
     listing through the session's Hadoop FileSystem; [] if absent."""

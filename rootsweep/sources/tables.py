@@ -5,7 +5,7 @@ Layout under ``output_root``::
     keys/run_id=<r>/<key set>/                       materialised key sets (evidence)
     tables/<t>/__rs_run=<r>/__rs_part=archived/       rows archived by run r
     tables/<t>/__rs_run=<r>/__rs_part=retained/       other rows of the files that held them
-    replaced/<t>/__rs_run=<r>/                        list of those files
+    replaced/__rs_run=<r>/table=<t>/                  list of those files (see below)
     tables/<t>/compacted/__rs_run=<r>/                archived part in fewer files (layout only)
     audit/...                                         see ``sources.audit``
 
@@ -15,7 +15,11 @@ transaction):
 
 * **main** of ``t`` = the input table and the retained parts of all published runs,
   without the files that a published run has replaced. A run thus rewrites only
-  files that hold archived rows; the list of replaced files is a Parquet table;
+  files that hold archived rows. A replaced file is known by its path below the input
+  or output root, its length and its modification time, so a version is the same
+  through another mount, scheme or link; one that is missing or changed raises
+  ``StaleBase``. Reads leave replaced files out by a literal filter on the file name,
+  which Spark applies to its listing: they are never opened;
 * **archive** of ``t`` = the archived parts of every published run, with the run
   as column ``__rs_run``.
 
@@ -28,25 +32,36 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.joins import quoted
-from ..operators.validate import PART, RUN
+from ..operators.validate import PART, RUN, ArchivalError
 from . import fs
 from .audit import Audit
 
 
+def file_of_row() -> Column:
+    return F.struct(F.col(NAME).alias("name"), F.col("_metadata.file_size").alias("length"),
+                    F.unix_millis("_metadata.file_modification_time").alias("modified")).alias(FILE)
+
+
+class StaleBase(ArchivalError):
+    """A file that a published run replaced is missing or changed: the input is not the
+    one that the run worked on."""
+
+
 @dataclass(frozen=True)
 class Version:
-    """One pinned version of a main table: where to read it, its schema, and the runs
-    whose retained parts and replaced files make it up."""
+    """One pinned version of a main table: where to read it, its schema, the runs whose
+    retained parts make it up, and the names of the files that they replaced."""
 
     table: str
     paths: tuple[str, ...]
     schema: StructType
     runs: tuple[int, ...] = ()  # () = the input table as it is
+    gone: tuple[str, ...] = field(default=(), repr=False)
     frame: DataFrame | None = field(default=None, compare=False, repr=False)
 
     @property
@@ -58,22 +73,28 @@ class Version:
 #: readers never probe for folders that may be absent.
 NOTE_COMPACTED = "archived part compacted"
 NOTE_EMPTIED = "nothing retained"
-#: Column with the file of each row, where a run asks for it.
+#: Column with the file of each row (name, length, modified), where a run asks for it.
 FILE = "__rs_file"
+NAME = "_metadata.file_path"
+REPLACED = "base string, path string, length bigint, modified bigint"
 
 
 class TableStore:
     """``input_layout``: ``"file"`` (``<root>/<t>.parquet``), ``"folder"``
-    (``<root>/<t>/``) or ``"auto"`` (try the file form, then the folder)."""
+    (``<root>/<t>/``) or ``"auto"`` (try the file form, then the folder).
+    ``check_times=False`` accepts replaced files with another modification time (an
+    input that was copied without keeping them); path and length must agree all the same."""
 
     def __init__(self, spark: SparkSession, input_root: str, output_root: str | None = None,
-                 input_layout: str = "auto"):
+                 input_layout: str = "auto", check_times: bool = True):
         if input_layout not in ("auto", "file", "folder"):
             raise ValueError("input_layout must be 'auto', 'file' or 'folder'")
         self.spark = spark
         self.input_root = input_root
         self.output_root = output_root
         self.input_layout = input_layout
+        self.check_times = check_times
+        self._bases: dict[str, str] = {}
         self.audit = Audit(spark, output_root) if output_root else None
         self._notes: dict[tuple[str, int], str] | None = None  # filled by published()
 
@@ -106,7 +127,7 @@ class TableStore:
         return fs.join(self.output_root, "tables", table, f"{RUN}={run_id}")
 
     def replaced_dir(self, table: str, run_id: int) -> str:
-        return fs.join(self.output_root, "replaced", table, f"{RUN}={run_id}")
+        return fs.join(self.output_root, "replaced", f"{RUN}={run_id}", f"table={table}")
 
     def note(self, table: str, run_id: int) -> str:
         if self._notes is None:
@@ -155,7 +176,42 @@ class TableStore:
         if df is None:
             raise FileNotFoundError(f"input table {table!r} not found at {path}")
         kept = tuple(self.split_part_dir(table, r, False) for r in runs if NOTE_EMPTIED not in self.note(table, r))
-        return Version(table, (path, *kept), df.schema, runs, df)
+        gone = self._gone(table, runs, [path, *kept]) if runs else ()
+        return Version(table, (path, *kept), df.schema, runs, gone, df)
+
+    # ---- replaced files --------------------------------------------------------
+    def _base(self, kind: str) -> str:
+        if kind not in self._bases:
+            self._bases[kind] = fs.base_path(self.spark, self.input_root if kind == "input" else self.output_root)
+        return self._bases[kind]
+
+    def place(self, name: str) -> tuple[str, str]:
+        """(base, path below it) of a file: the same for every spelling of the roots."""
+        for kind in ("output", "input"):
+            path = fs.below(self._base(kind), name)
+            if path is not None:
+                return kind, path
+        raise ValueError(f"{name} is neither below {self.input_root} nor {self.output_root}")
+
+    def write_replaced(self, run_id: int, files: dict[str, list]) -> None:
+        """Per table the files (name, length, modified) that a run replaces: one write."""
+        rows = [(t, *self.place(f["name"]), f["length"], f["modified"]) for t, found in files.items() for f in found]
+        if rows:
+            (self.spark.createDataFrame(rows, f"table string, {REPLACED}").coalesce(1).write.mode("errorifexists")
+             .partitionBy("table").parquet(fs.join(self.output_root, "replaced", f"{RUN}={run_id}")))
+
+    def _gone(self, table: str, runs: tuple[int, ...], paths: list[str]) -> tuple[str, ...]:
+        """Names, as scans of ``paths`` spell them, of the files that ``runs`` replaced;
+        each must be there as it was. (The driver lists these files in any case.)"""
+        dirs = [self.replaced_dir(table, r) for r in runs]
+        want = {(r["base"], r["path"]): r for r in self.spark.read.schema(REPLACED).parquet(*dirs).collect()}
+        have = {self.place(f["name"]): f for f in fs.file_rows(self.spark, paths)}
+        for key, was in want.items():
+            now = have.get(key)
+            if now is None or now["length"] != was["length"] or (self.check_times and now["modified"] != was["modified"]):
+                raise StaleBase(f"file {key[1]!r} of {table!r}, replaced by an earlier run, is "
+                                f"{'missing' if now is None else 'changed'} below the {key[0]} root")
+        return tuple(sorted(have[key]["name"] for key in want))
 
     def snapshot(self, tables: list[str], published: dict[str, list[int]] | None = None) -> dict[str, Version]:
         """Pin one version per table for a whole run (closure and split read the
@@ -168,24 +224,26 @@ class TableStore:
             futures = {t: pool.submit(self.version, t, pub) for t in tables}
             return {t: f.result() for t, f in futures.items()}
 
-    def read_version(self, v: Version, with_file: bool = False) -> DataFrame:
-        """The rows of a version, optionally with the file that each is in (``FILE``)."""
-        at = F.col("_metadata.file_path").alias(FILE)
-        out = v.frame if v.frame is not None else self.spark.read.schema(v.schema).parquet(v.paths[0])
-        if not v.runs and not with_file:
-            return out
-        names = [quoted(c) for c in v.schema.names]
-        out = out.select(*names, at)
+    def read_version(self, v: Version, with_file: bool = False, files: list[str] | None = None) -> DataFrame:
+        """The rows of a version, optionally with the file that each is in (``FILE``), or
+        only those of the named ``files``."""
+        parts = [v.frame if v.frame is not None else self.spark.read.schema(v.schema).parquet(v.paths[0])]
         if len(v.paths) > 1:
-            out = out.unionByName(self.spark.read.schema(v.schema).parquet(*v.paths[1:]).select(*names, at))
-        if v.runs:
-            out = out.join(self.replaced(v), FILE, "left_anti")
-        return out.select(*names, FILE) if with_file else out.select(*names)
-
-    def replaced(self, v: Version) -> DataFrame:
-        """Files of a version's base that its runs have replaced (one row per file)."""
-        dirs = [self.replaced_dir(v.table, r) for r in v.runs]
-        return self.spark.read.schema(f"{FILE} string").parquet(*dirs)
+            parts.append(self.spark.read.schema(v.schema).parquet(*v.paths[1:]))
+        names = [quoted(c) for c in v.schema.names]
+        out = None
+        for part in parts:
+            if files is not None:
+                part = part.where(F.col(NAME).isin(files))
+            elif v.gone:
+                part = part.where(~F.col(NAME).isin(list(v.gone)))
+            part = part.select(*names, file_of_row()) if with_file else part.select(*names)
+            out = part if out is None else out.unionByName(part)
+        return out
+
+    def one_file(self, v: Version) -> bool:
+        """Whether the version is a single file (from the listing that its frame holds)."""
+        return not v.runs and v.frame is not None and len(v.frame._jdf.inputFiles()) == 1
 
     def main(self, table: str) -> DataFrame:
         return self.read_version(self.version(table))
