@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rootsweep.plans import live
 from rootsweep.plans.manifest import TPCH
 from rootsweep.plans.queries import (
     CSV,
@@ -26,9 +27,7 @@ from rootsweep.plans.queries import (
 try:
     from rootsweep.llm.queries import ORACLE_SQL as _LLM_SQL
     from rootsweep.llm.queries import QUERIES as _LLM
-except ModuleNotFoundError as e:  # only where the subpackage itself is not there
-    if (e.name or "").split(".")[0] not in ("rootsweep", "corpus_pipeline"):
-        raise
+except ImportError:  # the subpackage, or a library that only it needs, is not there
     _LLM, _LLM_SQL = {}, {}
 
 SF_SMOKE = "/root/testdata/sf0.001"
@@ -47,14 +46,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # Oracle SQL (DuckDB). Key sets as CTEs, written the way the reference
 # procedure builds them (IN-subqueries); deletes as NOT EXISTS.
 # ---------------------------------------------------------------------------
-def _keysets(csv: str) -> str:
+def _keysets(csv: str, p: str = "") -> str:
     return f"""
-projects AS (SELECT n_nationkey AS id, n_name AS name, n_regionkey AS client_id FROM nation
+{p}projects AS (SELECT n_nationkey AS id, n_name AS name, n_regionkey AS client_id FROM nation
              WHERE list_contains(string_split('{csv}', ','), n_name)),
-clients AS (SELECT r_regionkey AS id FROM region WHERE r_regionkey IN (SELECT client_id FROM projects)),
-encounters AS (SELECT c_custkey AS id FROM customer WHERE c_nationkey IN (SELECT id FROM projects)),
-configurations AS (SELECT s_suppkey AS id FROM supplier WHERE s_nationkey IN (SELECT id FROM projects)),
-documents AS (SELECT o_orderkey AS id FROM orders WHERE o_custkey IN (SELECT id FROM encounters))"""
+{p}clients AS (SELECT r_regionkey AS id FROM region WHERE r_regionkey IN (SELECT client_id FROM {p}projects)),
+{p}encounters AS (SELECT c_custkey AS id FROM customer WHERE c_nationkey IN (SELECT id FROM {p}projects)),
+{p}configurations AS (SELECT s_suppkey AS id FROM supplier WHERE s_nationkey IN (SELECT id FROM {p}projects)),
+{p}documents AS (SELECT o_orderkey AS id FROM orders WHERE o_custkey IN (SELECT id FROM {p}encounters))"""
 
 
 def _with(csv: str = CSV, extra: str = "") -> str:
@@ -204,7 +203,58 @@ def oracle_sql() -> dict[str, str]:
     q["fk_reach"] = _fk_reach_sql()
     q["list_tables"] = _counts_sql(_TABLES)
     q["fingerprint"] = _with() + _fingerprint_sql()
-    return q | _LLM_SQL
+    q["dry_run_by_project_all"] = _with(extra=(
+        "pairs AS (SELECT 'projects' AS ks, id AS kid, id AS root_id FROM projects "
+        "UNION ALL SELECT DISTINCT 'clients', client_id, id FROM projects WHERE client_id IN (SELECT r_regionkey FROM region) "
+        "UNION ALL SELECT 'encounters', c_custkey, c_nationkey FROM customer WHERE c_nationkey IN (SELECT id FROM projects) "
+        "UNION ALL SELECT 'configurations', s_suppkey, s_nationkey FROM supplier WHERE s_nationkey IN (SELECT id FROM projects) "
+        "UNION ALL SELECT 'documents', o_orderkey, c_nationkey FROM orders JOIN customer ON o_custkey = c_custkey "
+        "WHERE c_nationkey IN (SELECT id FROM projects))")) + "\nUNION ALL ".join(
+        f"SELECT {i} AS step, '{t}' AS table_name, p.root_id, r.name AS root_name, count(*) AS rows_to_move FROM {t} t "
+        f"JOIN pairs p ON p.ks = '{ks}' AND p.kid = t.{col} JOIN projects r ON r.id = p.root_id GROUP BY ALL"
+        for i, (t, col, ks) in enumerate(_MOVES, start=1))
+    return q | _live_sql() | _LLM_SQL
+
+
+# ---- the same facts as the published results of real runs (plans.live) -----------
+def _run_of(col: str, ks: str) -> str:
+    """Which of the two stacked runs archives a row (of those that one does)."""
+    return f"CAST(CASE WHEN {col} IN (SELECT id FROM p_{ks}) THEN 1 ELSE 2 END AS BIGINT)"
+
+
+def _live_sql() -> dict[str, str]:
+    stacked = "WITH " + _keysets(",".join(live.RUNS)) + "," + _keysets(live.RUNS[0], "p_")
+    lines = ",\nlines AS (" + "\nUNION ALL ".join(
+        f"SELECT {_run_of(col, ks)} AS run_id, {i} AS step, '{t}' AS table_name, count(*) AS n FROM {t} "
+        f"WHERE {col} IN (SELECT id FROM {ks}) GROUP BY ALL" for i, (t, col, ks) in enumerate(_MOVES, start=1)) + ")\n"
+    q = {}
+    for t, col, ks in _MOVES:
+        q[f"run_main_{t}"] = _with(",".join(live.RUNS)) + _retained(t, col, ks)
+        q[f"run_archive_{t}"] = stacked + f"\nSELECT *, {_run_of(col, ks)} AS run_id FROM {t} WHERE {col} IN (SELECT id FROM {ks})"
+    q["run_fingerprint_buckets"] = "\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, CAST('0x' || substr(md5(coalesce(CAST({col} AS VARCHAR), '~')), 1, 4) AS BIGINT) % {live.BUCKETS} AS bucket, "
+        f"count(*) AS rows, CAST(sum({_content(t)}) AS BIGINT) AS content FROM {t} GROUP BY ALL" for t, col, _ in _MOVES)
+    runs = ", ".join(f"({i}, '{csv}')" for i, csv in enumerate(live.RUNS, start=1))
+    q["run_audit_runs"] = stacked + lines + (
+        "SELECT CAST(r.run_id AS BIGINT) AS run_id, project_list, 'SUCCESS' AS status, CAST(NULL AS VARCHAR) AS error_message, true AS ended, "
+        f"count(l.n) AS tables_moved, CAST(coalesce(sum(l.n), 0) AS BIGINT) AS rows_moved FROM (VALUES {runs}) r(run_id, project_list) "
+        "LEFT JOIN lines l ON l.run_id = r.run_id GROUP BY ALL")
+    q["run_audit_log"] = stacked + lines + (
+        "SELECT row_number() OVER (ORDER BY run_id, step) AS id, run_id, table_name, 'SUCCESS' AS status, n AS rows_in_main, "
+        "n AS rows_copied, n AS rows_deleted FROM lines")
+    q["run_failed"] = "\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS main_rows, 0 AS archived_parts, 'FAILED' AS status, "
+        f"'ERROR RuntimeError (HY000) processing table `{live.FAILING}`: {live.FAILURE}' AS error_message, CAST(0 AS BIGINT) AS log_lines FROM {t}"
+        for t, _, _ in _MOVES)
+    q["run_failed_main_lineitem"] = "SELECT * FROM lineitem"
+    first, second = live.DOC_RUNS
+    hits = {t: f"SELECT count(*) AS n FROM {t} WHERE doc_id IN (SELECT doc_id FROM documents WHERE source = '{second}')" for t in ("labels", "documents")}
+    q["run_purged"] = "\nUNION ALL ".join(
+        f"SELECT CAST(2 AS BIGINT) AS run_id, '{second}' AS project_list, 'SUCCESS' AS status, '{t}' AS table_name, "
+        f"n AS rows_in_main, n AS rows_copied, n AS rows_deleted FROM ({sql}) WHERE n > 0" for t, sql in hits.items())
+    q["run_purged_archive_documents"] = (
+        f"SELECT *, CAST(CASE source WHEN '{first}' THEN 1 ELSE 2 END AS BIGINT) AS run_id FROM documents WHERE source IN ('{first}', '{second}')")
+    return q
 
 
 #: Integer and string columns of the moved tables, in order.
@@ -219,12 +269,16 @@ _EXACT = {
 }
 
 
+def _content(t: str) -> str:
+    text = "concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in _EXACT[t]) + ")"
+    return f"CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT)"
+
+
 def _fingerprint_sql() -> str:
     """Rows and content sums of both parts of each split."""
     parts = []
     for t, col, ks in _MOVES:
-        text = "concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in _EXACT[t]) + ")"
-        value = f"CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT)"
+        value = _content(t)
         a, r = _archived(t, col, ks), _retained(t, col, ks, "r")
         parts.append(
             f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS rows, "

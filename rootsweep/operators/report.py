@@ -44,20 +44,43 @@ def dry_run_counts(manifest: Manifest, tables: TableReader, keys: dict[str, Keys
 
 def keys_by_root(manifest: Manifest, tables: TableReader, keys: dict[str, Keys],
                  keyset: str) -> DataFrame:
-    """``(id, root_id)`` for a down key set: which root each key hangs from.
-    Each hop is a many-to-one join on a unique parent id, so rows never
-    multiply; a hot root is just a value, not a partition."""
+    """``(id, root_id)``: the roots that each key hangs from, one row for each. Down a
+    foreign key a child has its parent's roots; up, a parent has those of all children
+    that name it (distinct pairs, combined before the shuffle), so a shared parent counts
+    for each. A hot root is just a value, not a partition."""
     ks = manifest.keyset(keyset)
     if ks.kind == "root":
         return keys[keyset].df.select("id", F.col("id").alias("root_id"))
-    if ks.kind != "down":
-        raise ValueError(f"keys_by_root follows down edges only, not {ks.name!r}")
     up = keys_by_root(manifest, tables, keys, ks.parent).select(
         F.col("id").alias("__rs_pid"), "root_id")
+    if ks.kind == "up":
+        par = manifest.keyset(ks.parent)
+        named = tables(par.table).select(F.col(par.key).alias("__rs_id"), F.col(ref_column(manifest, ks)).alias("id"))
+        pairs = named.join(up, F.col("__rs_id") == F.col("__rs_pid")).where("id is not null").select("id", "root_id").distinct()
+        return pairs.join(tables(ks.table).select(F.col(ks.key).alias("__rs_key")), F.col("id") == F.col("__rs_key"), "left_semi")
     child = tables(ks.table).select(F.col(ks.key).alias("id"), F.col(ks.fk).alias("__rs_fk"))
     return child.join(up, F.col("__rs_fk") == F.col("__rs_pid"), "inner").select("id", "root_id")
 
 
+def dry_run_by_roots(manifest: Manifest, tables: TableReader, keys: dict[str, Keys]) -> DataFrame:
+    """Rows of every moved table that a run would archive, per root, in manifest order:
+    ``(step, table_name, root_id, root_name, rows_to_move)``. Rows of a shared parent
+    count for each of its roots. A table is counted per key value before the join."""
+    roots = keys[manifest.root.name].df.select(F.col("id").alias("root_id"), F.col("name").alias("root_name"))
+    parts = []
+    for i, mv in enumerate(manifest.moves, start=1):
+        by_root = keys_by_root(manifest, tables, keys, mv.keyset).select(F.col("id").alias("__rs_kid"), "root_id")
+        if (ks := manifest.keyset(mv.keyset)).table == mv.table and ks.key == mv.column:
+            hits = by_root.select("root_id", F.lit(1).alias("n"))  # the key set is the table's own: its pairs are the rows
+        else:
+            per = tables(mv.table).select(F.col(mv.column).alias("__rs_col")).where("__rs_col is not null").groupBy("__rs_col").agg(F.count(F.lit(1)).alias("n"))
+            hits = per.join(by_root, F.col("__rs_col") == F.col("__rs_kid")).select("root_id", "n")
+        parts.append(hits.groupBy("root_id").agg(F.sum("n").alias("rows_to_move"))
+                     .select(F.lit(i).alias("step"), F.lit(mv.table).alias("table_name"), "root_id", "rows_to_move"))
+    return (reduce(DataFrame.unionByName, parts).join(roots, "root_id")
+            .select("step", "table_name", "root_id", "root_name", "rows_to_move"))
+
+
 def dry_run_by_root(manifest: Manifest, tables: TableReader, keys: dict[str, Keys],
                     table: str) -> DataFrame:
     """Rows of ``table`` a run would archive, per root:

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -115,6 +115,42 @@ def collisions(archived: DataFrame, pk: str, existing: DataFrame | None,
     return semi(existing.select(quoted(pk).alias("id")), "id", new_keys, max_bytes)
 
 
+def _content(df: DataFrame) -> Column:
+    """A row's integer and string columns as 32 bits of their MD5 (the same in any engine)."""
+    exact = [f.name for f in df.schema.fields if f.dataType.simpleString() in ("int", "bigint", "string")]
+    text = F.concat_ws("|", *[F.coalesce(quoted(n).cast("string"), F.lit("~")) for n in exact])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+
+
+def _bucket(key: str, buckets: int) -> Column:
+    text = F.coalesce(quoted(key).cast("string"), F.lit("~"))
+    return F.pmod(F.conv(F.substring(F.md5(text), 1, 4), 16, 10).cast("bigint"), F.lit(buckets))
+
+
+def bucket_fingerprints(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """Order-free content sums per bucket of ``key`` values: ``(bucket, rows, content)``.
+    Their totals are the table's fingerprint, so two tables are compared top down: totals,
+    then buckets, then the rows of the buckets that differ (``locate_changes``). Partial
+    sums; a hot key is one row per task."""
+    return (df.select(_bucket(key, buckets).alias("bucket"), _content(df).alias("c")).groupBy("bucket")
+            .agg(F.count(F.lit(1)).alias("rows"), F.sum("c").alias("content")))
+
+
+def locate_changes(before: DataFrame, after: DataFrame, key: str, buckets: int = 256) -> DataFrame | None:
+    """Rows that only one of two tables holds (column ``side``: ``before`` or ``after``, with
+    how many more, ``n``); None if all buckets agree. Only rows of buckets that differ are
+    compared; at most ``buckets`` sums reach the driver."""
+    a, b = (bucket_fingerprints(t, key, buckets) for t in (before, after))
+    differ = [r["bucket"] for r in a.join(b.withColumnsRenamed({"rows": "rows2", "content": "content2"}), "bucket", "full").where(
+        "not (rows <=> rows2 and content <=> content2)").select("bucket").collect()]
+    if not differ:
+        return None
+    mine, theirs = (t.where(_bucket(key, buckets).isin(differ)) for t in (before, after))
+    names = [quoted(c) for c in before.columns]
+    counted = mine.withColumn("__rs_n", F.lit(1)).unionByName(theirs.withColumn("__rs_n", F.lit(-1))).groupBy(*names).agg(F.sum("__rs_n").alias("__rs_n"))
+    return counted.where("__rs_n <> 0").select(*names, F.when(F.col("__rs_n") > 0, "before").otherwise("after").alias("side"), F.abs("__rs_n").alias("n"))
+
+
 def orphans(child: DataFrame, edges: list[tuple[str, Keys]],
             max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Retained child rows whose parent was archived, for all edges of a child table in

@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 
 from ..operators.closure import close_lazy, key_violations
 from ..operators.joins import Keys, anti, flag, semi
-from ..operators.report import dry_run_by_root, dry_run_counts, shared_parents
+from ..operators.report import dry_run_by_root, dry_run_by_roots, dry_run_counts, shared_parents
 from ..operators.select import unmatched_names
 from ..operators.validate import orphans
 from ..sources import fs
 from ..sources.tables import TableStore
+from . import live
 from .graph import edges_frame, fk_reach
 from .manifest import DOCS, TPCH, Manifest
 
@@ -119,23 +120,22 @@ def _docs_move(table, part):
 
 # ---- counts, gate, audit shape ------------------------------------------------
 def validate_counts(spark, d):
-    """Per moved table: rows of the table, rows matching the key set (semi join), rows
-    archived (flag join) and rows removed (table minus anti join), and the gate. The
-    three joins are independent, so one that loses or multiplies rows shows; they share
-    one scan of the table, as rows per foreign-key value."""
+    """Per moved table: rows of the table, rows matching the key set, rows archived and
+    rows removed, and the gate. A table is one aggregate by foreign-key value; its values
+    are joined twice to the key set, and each count has its own join and condition, so a
+    join that loses or multiplies rows shows."""
     c = Ctx(spark, d)
     parts = []
     for i, mv in enumerate(TPCH.moves, start=1):
         k = c.keys[mv.keyset]
         per = c.table(mv.table).groupBy(F.col(mv.column).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-        sides = {"rows_before": per, "rows_in_main": semi(per, "v", k),
-                 "rows_copied": flag(per, "v", k).where("archived"), "rows_retained": anti(per, "v", k)}
-        for name, rows in sides.items():
-            parts.append(rows.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select(
-                F.lit(i).alias("step"), F.lit(mv.table).alias("table_name"), F.lit(name).alias("what"), "n"))
-    m = reduce(DataFrame.unionByName, parts).groupBy("step", "table_name").agg(
-        *[F.max(F.when(F.col("what") == w, F.col("n"))).alias(w)
-          for w in ("rows_before", "rows_in_main", "rows_copied", "rows_retained")])
+        both = flag(flag(per, "v", k, name="copied"), "v", k, name="matched")
+        total = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0))
+        parts.append(both.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("rows_before"), total(F.col("matched")).alias("rows_in_main"),
+            total(F.col("copied")).alias("rows_copied"), total(~F.col("matched")).alias("rows_retained")).select(
+                F.lit(i).alias("step"), F.lit(mv.table).alias("table_name"), "*"))
+    m = reduce(DataFrame.unionByName, parts)
     return m.select(
         "step", "table_name", "rows_before", "rows_in_main", "rows_copied",
         (F.col("rows_before") - F.col("rows_retained")).alias("rows_deleted"),
@@ -206,6 +206,12 @@ def _by_project(table):
     return q
 
 
+def dry_run_by_project_all(spark, d):
+    """Rows of all moved tables per root, shared regions for each of theirs."""
+    c = Ctx(spark, d)
+    return dry_run_by_roots(TPCH, c.table, c.keys)
+
+
 def archive_collisions(spark, d):
     """Keys of this run's customer archive that an earlier run (csv
     ``NATION_1``) already archived: the collision guard's finding."""
@@ -217,32 +223,21 @@ def archive_collisions(spark, d):
 
 def fk_edges(spark, d):
     """Every manifest edge with its child row count and orphan count (non-null child
-    values with no parent row). One scan of each child and parent table: rows per edge
-    and value, so a value that many rows hold is one row before the join."""
-    c, edges = Ctx(spark, d), TPCH.edges()
-
-    def values(of, name):
-        """(edge, value, n) of all columns of a table that edges name."""
-        by_table: dict[str, list] = {}
-        for i, e in enumerate(edges):
-            by_table.setdefault(getattr(e, of), []).append(F.struct(
-                F.lit(i).alias("edge"), F.col(getattr(e, name)).cast("bigint").alias("v")))
-        return reduce(DataFrame.unionByName, [
-            c.table(t).select(F.inline(F.array(*cols))).groupBy("edge", "v").agg(F.count(F.lit(1)).alias("n"))
-            for t, cols in by_table.items()])
-
-    parents = values("parent_table", "parent_col").select(F.col("edge").alias("e"), F.col("v").alias("p"))
-    child = values("child_table", "child_col")
-    found = child.join(parents, (F.col("edge") == F.col("e")) & (F.col("v") == F.col("p")), "left")
-    lost = F.col("v").isNotNull() & F.col("p").isNull()
-    counts = found.groupBy("edge").agg(F.sum("n").alias("child_rows"),
-                                       F.sum(F.when(lost, F.col("n")).otherwise(0)).alias("orphan_rows"))
-    names = spark.createDataFrame([(i, e.child_table, e.child_col, e.parent_table, e.parent_col)
-                                   for i, e in enumerate(edges)],
-                                  "edge int, child_table string, child_col string, parent_table string, parent_col string")
-    return names.join(counts, "edge", "left").select(
-        "child_table", "child_col", "parent_table", "parent_col",
-        F.coalesce("child_rows", F.lit(0)).alias("child_rows"), F.coalesce("orphan_rows", F.lit(0)).alias("orphan_rows"))
+    values with no parent row). Per edge one column of the child, as rows per value
+    (a hot value is one row), anti-joined to the parent's key column; row counts come
+    from file footers."""
+    c, parts = Ctx(spark, d), []
+    for e in TPCH.edges():
+        child = c.table(e.child_table).select(F.col(e.child_col).alias("v"))
+        parent = c.table(e.parent_table).select(F.col(e.parent_col).alias("p"))
+        lost = (child.where("v is not null").groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+                .join(parent, F.col("v") == F.col("p"), "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")))
+        for what, counted in (("child_rows", child.agg(F.count(F.lit(1)).alias("n"))), ("orphan_rows", lost)):
+            parts.append(counted.select(*[F.lit(x).alias(n) for n, x in (
+                ("child_table", e.child_table), ("child_col", e.child_col), ("parent_table", e.parent_table), ("parent_col", e.parent_col),
+                ("what", what))], "n"))
+    return reduce(DataFrame.unionByName, parts).groupBy("child_table", "child_col", "parent_table", "parent_col").agg(
+        *[F.max(F.when(F.col("what") == w, F.col("n"))).alias(w) for w in ("child_rows", "orphan_rows")])
 
 
 def orphan_audit(spark, d):
@@ -338,6 +333,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dry_run_counts": dry_run,
         "dry_run_by_project": _by_project("customer"),
         "dry_run_by_project_lineitem": _by_project("lineitem"),
+        "dry_run_by_project_all": dry_run_by_project_all,
         "archive_collisions": archive_collisions,
         "fk_edges": fk_edges,
         "orphan_audit": orphan_audit,
@@ -345,4 +341,4 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "list_tables": list_tables,
         "fingerprint": fingerprint_moves,
     })
-    return q
+    return q | live.registry()

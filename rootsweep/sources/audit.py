@@ -130,6 +130,14 @@ class Audit:
         ok = self.runs().filter(F.col("status") == "SUCCESS").select("run_id")
         return self.log_raw().join(ok, "run_id", "left_semi")
 
+    def trail(self) -> DataFrame:
+        """Runs with the log lines of those that published, one row per line (or per run
+        without lines); purged runs and their lines are left out, in one query."""
+        state = self.runs()
+        shown = F.when(F.col("status") == "SUCCESS", F.col("run_id"))
+        lines = self.log_raw().select(F.col("run_id").alias("of"), "id", "table_name", "rows_in_main", "rows_copied", "rows_deleted", "note")
+        return state.join(lines, shown == F.col("of"), "left").drop("of")
+
     # ---- A6/A7/A8/A9: run lifecycle -----------------------------------------
     def _next(self, path: str, schema: StructType, col: str) -> int:
         top = self._read(path, schema).agg(F.max(col).alias("m")).first()["m"]
