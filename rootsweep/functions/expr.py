@@ -9,9 +9,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
-def _col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
 
 def csv_items(csv: str | None) -> list[str]:
     """Items of a csv list exactly as ``FIND_IN_SET`` sees them: split on ``,``,
@@ -22,19 +19,6 @@ def csv_items(csv: str | None) -> list[str]:
     return csv.split(",")
 
 
-def in_csv(c: str | Column, csv: str | None, collation: str | None = None) -> Column:
-    """``FIND_IN_SET(c, csv) > 0`` with the empty-list guard.
-
-    ``collation`` (e.g. ``"UTF8_LCASE"``) changes how names compare; default is
-    binary. A name holding a comma never matches, a NULL name never matches."""
-    if not csv_items(csv):
-        return F.lit(False)
-    left, right = _col(c), F.lit(csv)
-    if collation:
-        left, right = F.collate(left, collation), F.collate(right, collation)
-    return F.coalesce(F.find_in_set(left, right) > 0, F.lit(False))
-
-
 def hashable(c: Column, kind: DataType) -> Column:
     """``c`` in a form that can be hashed: maps, also nested ones, as entries in key order."""
     if isinstance(kind, MapType):

@@ -31,7 +31,8 @@ class Keys:
 
     ``rows`` and ``size`` (bytes in memory) are known for materialised key sets;
     the latter is what makes a broadcast safe. ``distinct`` says ids are known
-    unique, ``heavy`` names values that many rows of the joined table hold."""
+    unique, ``heavy`` names values that many rows of the joined table hold, ``low`` and
+    ``high`` are the smallest and largest id where measured."""
 
     name: str
     df: DataFrame
@@ -39,6 +40,8 @@ class Keys:
     distinct: bool = False
     size: int | None = None
     heavy: tuple = ()
+    low: int | str | None = None
+    high: int | str | None = None
 
     def small(self, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
         return self.size is not None and self.size <= max_bytes

@@ -4,6 +4,7 @@ orphans left behind, schema agreement."""
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -105,14 +106,25 @@ def check_schema(table: str, main: StructType, archive: StructType | None) -> No
         raise SchemaMismatch(table, main, archive)
 
 
+#: Up to so many new keys are looked up by value.
+LISTED = 1000
+
+
 def collisions(archived: DataFrame, pk: str, existing: DataFrame | None,
                archived_size: int | None = None,
                max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame | None:
-    """Keys about to be archived that the archive already holds."""
+    """Keys about to be archived that the archive already holds. Few new keys are a
+    literal list, which Parquet checks against the Bloom filters and ranges that every
+    run writes with its key column: row groups of past runs that cannot hold one are not
+    read. Many are a semi join of the row groups within their range."""
     if existing is None:
         return None
-    new_keys = Keys("new", archived.select(quoted(pk).alias("id")), size=archived_size)
-    return semi(existing.select(quoted(pk).alias("id")), "id", new_keys, max_bytes)
+    new, old = archived.select(quoted(pk).alias("id")), existing.select(quoted(pk).alias("id"))
+    some = [r["id"] for r in new.where("id is not null").limit(LISTED + 1).collect()]
+    if len(some) <= LISTED:
+        return old.where(F.col("id").isin(some))
+    low, high = new.agg(F.min("id"), F.max("id")).first()
+    return semi(old.where(F.col("id").between(low, high)), "id", Keys("new", new, size=archived_size), max_bytes)
 
 
 def _content(df: DataFrame) -> Column:
@@ -155,7 +167,11 @@ def orphans(child: DataFrame, edges: list[tuple[str, Keys]],
             max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Retained child rows whose parent was archived, for all edges of a child table in
     one scan (FK checks were off in the reference; here the outcome is audited):
-    ``(child_col, orphan_rows)``. ``edges``: (child column, archived parent keys)."""
+    ``(child_col, orphan_rows)``. ``edges``: (child column, archived parent keys). Only
+    row groups of the child within the range of some edge's keys are read, if known."""
+    within = [quoted(c).between(k.low, k.high) for c, k in edges if k.low is not None]
+    if len(within) == len(edges):
+        child = child.where(reduce(Column.__or__, within))
     flags = child.select(*[quoted(c).alias(f"v{i}") for i, (c, _) in enumerate(edges)])
     for i, (_, keys) in enumerate(edges):
         flags = flag(flags, f"v{i}", keys, max_bytes, name=f"f{i}")

@@ -122,8 +122,9 @@ class Archiver:
         per table and project is written to a table of its own (shared parents
         excepted);
       * ``check_orphans``: count retained rows whose parent was archived, per edge;
-      * ``check_collisions``: the archive-collision guard (a semi join of the new
-        archived keys against the key column of the table's whole archive);
+      * ``check_collisions``: the archive-collision guard (the new archived keys are
+        looked up in the key column of the table's archive, through its Bloom filters
+        and ranges);
       * ``target_file_bytes``, ``compact_min_files``: an archived part written as
         at least ``compact_min_files`` files averaging under half the target is
         compacted to about ``bytes / target_file_bytes`` files before publishing.
@@ -193,9 +194,11 @@ class Archiver:
         path = self.store.keys_dir(run_id, ks.name)
         bad_cond = (F.col("__rs_n") > 1) | F.col("id").isNull()
         obs = Observation(f"keys_{ks.name}_{run_id}")
+        ranged = dict(plan.dtypes)["id"] in ("int", "bigint", "string")
         (dedup_for_write(plan)
          .observe(obs, F.count(F.lit(1)).alias("rows"), F.count_if(bad_cond).alias("bad"),
-                  F.sum(F.octet_length(F.col("id").cast("string"))).alias("chars"))
+                  F.sum(F.octet_length(F.col("id").cast("string"))).alias("chars"),
+                  *([F.min("id").alias("low"), F.max("id").alias("high")] if ranged else []))
          .write.mode("errorifexists").parquet(path))
         written = self.spark.read.parquet(path)
         rows, bad = int(obs.get["rows"]), int(obs.get["bad"])
@@ -206,7 +209,8 @@ class Archiver:
                 raise KeyViolation(ks.name, [(r["id"], r["__rs_n"]) for r in sample])
             rows = written.count()
         size = 32 * rows + int(obs.get["chars"] or 0)  # of a hashed relation: a row's frame and its id
-        return Keys(ks.name, written.drop("__rs_n"), rows=rows, distinct=True, size=size)
+        return Keys(ks.name, written.drop("__rs_n"), rows=rows, distinct=True, size=size,
+                    low=obs.get.get("low"), high=obs.get.get("high"))
 
     def build_keys(self, run_id: int, read: Callable[[str], DataFrame], csv: str | None,
                    known: dict[str, Keys] | None = None,
@@ -281,7 +285,10 @@ class Archiver:
             # the row count of the files to be replaced (from their footers) runs as its
             # own small job while the split is written
             before = side.submit(source.drop(FILE).count)
-            split.write.mode("errorifexists").partitionBy(PART).parquet(out)  # see _writers()
+            writer = split.write.mode("errorifexists").partitionBy(PART)  # see _writers()
+            if self.check_collisions and mv.pk:  # later runs look their new keys up here
+                writer = writer.option(f"parquet.bloom.filter.enabled#{mv.pk}", "true")
+            writer.parquet(out)
             rows_before = before.result()
 
         # Read back what was written: both parts in one job over the run folder.
@@ -476,7 +483,7 @@ class Archiver:
                 edges = [(c, k) for c, k in edges if (c, k.name) != (mv.column, mv.keyset)]
                 if keys[mv.keyset].rows:
                     rows = anti(rows, mv.column, keys[mv.keyset], self.max_bytes)
-            if edges:
+            if edges:  # the range filter of orphans() passes the anti join down to the scan
                 for r in orphans(rows, edges, self.max_bytes).collect():  # one row per edge
                     out[(table, r["child_col"])] = int(r["orphan_rows"])
         return out
