@@ -5,7 +5,6 @@ from __future__ import annotations
 
 import gc
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Iterator
 from pathlib import Path
@@ -16,6 +15,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rootsweep.session import shared_folder
+
 #: Bytes of text that one vectorised step works on.
 STEP_BYTES = 1 << 20
 
@@ -36,13 +37,8 @@ def ship(spark: SparkSession) -> None:
 
 # ---- scratch tables -----------------------------------------------------------
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir`` (a machine-local folder only
-    where that setting is missing, as in tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="rootsweep-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+    """A fresh folder below ``spark.checkpoint.dir``."""
+    return shared_folder(spark, f"llm/{name}")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -142,7 +142,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """Model learned from rows whose crc32(id) mod 4 is not 2 and whose lang is known."""
     src = own_columns(docs, id_col, lang_col, text_col).toDF("id", "lang", "text").where(
         "lang is not null and text is not null and id is not null and crc32(cast(id as string)) % 4 <> 2")
-    counted = src.groupBy("lang").count().collect()
+    # rows that repeat an id are one row of the sample
+    counted = src.groupBy("lang").agg(F.greatest(F.lit(1), F.approx_count_distinct("id")).alias("count")).collect()
     if not counted:
         return None
     each = max(LEAST_ROWS, rows // len(counted))
@@ -151,7 +152,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     top = docs.sparkSession.createDataFrame(
         [(r["lang"], min(2**63 - 1, -2**63 + 2**64 * 2 * (each + 32) // r["count"])) for r in counted], "lang string, top bigint")
     ids = src.select("id", "lang", F.xxhash64("id").alias("order")).join(F.broadcast(top), "lang")
-    ids = ids.where(F.col("order") <= F.col("top"))
+    ids = ids.where(F.col("order") <= F.col("top")).select("id", "lang", "order").distinct()
     w = Window.partitionBy("lang").orderBy("order")
     ids = ids.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= each).select("id", "lang", "order", "rank")
     ids = stored(ids, "language")  # about ``rows`` short rows, or LEAST_ROWS for each language

@@ -39,7 +39,8 @@ WINDOW = 4096
 BIN, DEPTH = 16, 3
 #: Cut tails that are broadcast to find their ids; more are found by a shuffle.
 MAX_BROADCAST = 200_000
-#: Distinct pieces a worker remembers before it starts over; characters encoded together.
+#: Distinct pieces a worker remembers before it starts over (or those of one step, where
+#: they are more); characters encoded together.
 CACHE, STEP_CHARS = 1_000_000, 4 << 20
 
 
@@ -73,8 +74,6 @@ class PieceIds(dict):
         return np.array([i for e in found for i in e.ids], self.kind)
 
     def _learn(self, pieces: list[str]) -> None:
-        if len(self) + len(pieces) > CACHE:
-            self.clear()
         ids = self._encode(*(" ".join(pieces[i:i + 200]) for i in range(0, len(pieces), 200)))
         cuts = np.flatnonzero(self.ends[ids]) + 1
         if len(cuts) != len(pieces):  # never seen; then one by one
@@ -93,11 +92,12 @@ class PieceIds(dict):
             except UnicodeEncodeError:
                 pieces.append(None)
         used = set().union(*(p for p in pieces if p))
-        new = list(used.difference(self))
+        new = used.difference(self)
+        if len(self) + len(new) > CACHE:  # start over; a step's own pieces always stay
+            self.clear()
+            new = used
         if new:
-            self._learn(new)
-            if len(self) < len(used):  # it had to start over
-                self._learn(list(used.difference(self)))
+            self._learn(list(new))
         near = {p: self[p] for p in used}.__getitem__  # a small table is faster to look up
         return [self._encode(t).tobytes() if p is None else b"".join(map(near, p)) for t, p in zip(texts, pieces, strict=True)]
 

@@ -11,8 +11,9 @@ smallest page_id is the response, the others are revisits that name it (the firs
 stored, where an id repeats). Shorter payloads are responses all.
 
 Cases: a null html is an empty payload; a null url is an empty target; control
-characters and spaces in a url are written as %20; a null page_id is larger than any other and
-is written as an empty field (null again when read); repeated rows are records of
+characters and spaces in a url are written as %20; page ids of any type are written as
+percent-encoded text and read back as that type; a null page_id is larger than any other and
+is written as ``()`` (null again when read); repeated rows are records of
 their own; an empty table gives empty archives; other columns are ignored.
 """
 
@@ -27,6 +28,8 @@ from rootsweep.llm.common import own_columns, stored
 
 CRLF = "\r\n"
 DATE = "2024-01-01T00:00:00Z"
+#: A null page id (percent-encoded text has no parentheses).
+NO_ID = "()"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Digits of radix 32 and of base32 (fixed values).
 _RADIX, _BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -71,8 +74,7 @@ def write(pages: DataFrame, min_bytes: int = 0, id_col: str = "page_id", url_col
         "sha256", "size", F.col("m.page_id").alias("first_id"), F.col("m.row").alias("first_row"))
     out = kept.join(first, ["sha256", "size"]).withColumn(
         "revisit", (F.col("size") >= min_bytes) & (F.col("row") != F.col("first_row")))
-    page = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
-    first_page = F.coalesce(F.col("first_id").cast("string"), F.lit(""))
+    page, first_page = (F.coalesce(F.url_encode(F.col(c).cast("string")), F.lit(NO_ID)) for c in ("page_id", "first_id"))
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}"),
                     _field("Content-Length", F.col("size").cast("string")), F.lit(CRLF))
     target = F.regexp_replace("url", "[\\x00-\\x20\\x7F]", "%20")
@@ -126,8 +128,8 @@ def _value(head: str, name: str) -> Column:
     return F.regexp_extract(head, rf"(?m)^{name}: ([^\r\n]*)$", 1)
 
 
-def parse(records: DataFrame, record_col: str = "record") -> DataFrame:
-    """Fields of WARC records: page_id, target_uri, record_type, payload_digest,
+def parse(records: DataFrame, record_col: str = "record", id_type: str = "bigint") -> DataFrame:
+    """Fields of WARC records (page ids as ``id_type``): page_id, target_uri, record_type, payload_digest,
     payload_bytes, refers_to, payload (null for revisits). The digest and size of a
     stored payload are checked against its headers."""
     text = F.decode(F.col(record_col), "ISO-8859-1")  # bytes as characters: offsets stay
@@ -146,13 +148,13 @@ def parse(records: DataFrame, record_col: str = "record") -> DataFrame:
                                                  & (sha1_base32(F.col("payload")) == F.col("payload_digest")))
     stored_payload = F.when(good, F.when(F.col("record_type") == "response", F.col("payload"))).otherwise(
         F.raise_error(F.concat(F.lit("record is damaged: "), F.col("page"))).cast("binary"))
-    number = lambda c: F.when(F.col(c) != "", F.col(c).try_cast("bigint"))
-    return out.select(number("page").alias("page_id"), "target_uri", "record_type", "payload_digest", "payload_bytes",
-                      number("refers").alias("refers_to"), stored_payload.alias("payload"))
+    page_id = lambda c: F.when(F.col(c) != NO_ID, F.url_decode(c).try_cast(id_type))
+    return out.select(page_id("page").alias("page_id"), "target_uri", "record_type", "payload_digest", "payload_bytes",
+                      F.when(F.col("record_type") == "revisit", page_id("refers")).alias("refers_to"), stored_payload.alias("payload"))
 
 
 def archived_pages(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """Write an archive of all pages, read its records back and report each."""
-    return parse(records(write(pages, min_bytes))).select(
+    return parse(records(write(pages, min_bytes)), id_type=dict(pages.dtypes)["page_id"]).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to",
         (F.octet_length("payload").isNull() == (F.col("record_type") == "revisit")).alias("read_back"))
