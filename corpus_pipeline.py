@@ -9,6 +9,8 @@ stages judge them alike, the third keeps one of them.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,16 +19,22 @@ from rootsweep.llm import decontaminate, line_dedup, ngram_join, packing, toxici
 from rootsweep.llm.common import stored
 
 
+def _apart(docs: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A stage with the documents' other columns under names that it does not use."""
+    inner = [c if c in ("doc_id", "text") else f"__column_{i}" for i, c in enumerate(docs.columns)]
+    return stage(docs.toDF(*inner)).select(*inner).toDF(*docs.columns)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go (predicted 1)."""
     weights = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, weights).where("predicted = 0").select(*docs.columns)
+    return _apart(docs, lambda own: toxicity.score(own, weights).where("predicted = 0"))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of similar lines the first stays; a document all of whose lines go is dropped."""
-    out = line_dedup.dedup_lines(docs).where("n_removed = 0 or n_removed < n_lines")
-    return out.withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+    kept = _apart(docs, lambda own: line_dedup.dedup_lines(own).where("n_removed = 0 or n_removed < n_lines"))
+    return kept.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in docs.columns else kept
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,15 +42,18 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     found = stored(ngram_join.ngram_components(docs), "pipeline")
     ids = found.where("doc_id <=> component_id").groupBy("doc_id").agg((F.count(F.lit(1)) > 1).alias("many"))
     ids = ids.withColumnRenamed("doc_id", "kept_id")
-    kept = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("kept_id")))
-    once = kept.where("not many").select(*docs.columns)
-    return once.unionByName(kept.where("many").dropDuplicates(["doc_id", "text"]).select(*docs.columns))
+    def one_each(own: DataFrame) -> DataFrame:
+        kept = own.join(ids, F.col("doc_id").eqNullSafe(F.col("kept_id")))
+        once = kept.where("not many").select(*own.columns)
+        return once.unionByName(kept.where("many").dropDuplicates(["doc_id", "text"]).select(*own.columns))
+
+    return _apart(docs, one_each)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with too many words in benchmark windows go."""
-    judged = decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), carry=True)
-    return judged.where("not contaminated").select(*docs.columns)
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return _apart(docs, lambda own: decontaminate.decontaminate(own, benchmark, carry=True).where("not contaminated"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
