@@ -11,13 +11,16 @@ each band every line is paired with the smallest line and with the one before it
 are verified by the exact Jaccard similarity of their sets (>= ``percent`` %). Connected
 components are found by rounds of joins. Bands whose lines are then in several
 components go on: ``ROUNDS`` times with another line of the band as the partner of those
-in other components, then with all pairs across components, so that in the end every
-two lines that share a band are verified or connected. Of each component the first line
+in other components, then by blocks: the lines left in a band are dealt to blocks of
+about ``BLOCK``, and a row per two blocks makes each line's set once and compares all
+lines of the one with all of the other (a pair that shares several bands in the smallest
+of them), so that in the end every two lines that share a band are verified or connected. Of each component the first line
 (smallest id, then place) stays.
 
 Scale: equal lines are merged first; bands have a line once; no group is ever
-collected. Pairs per band are linear in its lines but in the last round, where they are
-the square of the lines that are alike in a band and yet below ``percent``. The lines that a verification
+collected. Pairs per band are linear in its lines; in the last round the rows are pairs of
+blocks, the comparisons within them the square of the lines that are alike in a band and
+yet below ``percent``, and only links come out. The lines that a verification
 needs are found by a semi join, which broadcasts their keys up to ``MAX_KEYS`` and
 shuffles beyond.
 
@@ -38,8 +41,8 @@ SHINGLE = 8
 KEEP = 10
 PERCENT = 75
 MAX_KEYS = 1_000_000
-#: Rounds of stars, before all pairs that are left.
-ROUNDS = 2
+#: Rounds of stars, before all that is left is compared by blocks of so many lines.
+ROUNDS, BLOCK = 2, 128
 #: Hashes of the shingles. Four bytes a character let each be cut out without a walk
 #: through the line; the outer transform binds these bytes to a name, once per line.
 _SHINGLES = ("transform(array(encode(line, 'UTF-32')), b -> transform(sequence(0, greatest(octet_length(b) div 4 - {0}, 0)), "
@@ -75,6 +78,30 @@ def _similar(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> Da
     return both.where(F.col("common") * 100 >= (F.col("an") + F.col("bn") - F.col("common")) * percent).select("a", "b")
 
 
+#: Lines of two blocks (p.l and p.r) that are similar and in different components, each
+#: pair in the smallest band that both have.
+_BLOCK_SET = "transform({0}, x -> struct(x.key, x.n, x.component, x.bands, array_distinct({1}) as set))"
+_BLOCK_LINKS = """transform(array(struct({left} as l, {right} as r)), p -> flatten(transform(p.l, a -> transform(filter(p.r, b ->
+    a.component <> b.component and (i < j or a.key < b.key) and least(a.n, b.n) * 100 >= greatest(a.n, b.n) * {percent}
+    and array_min(array_intersect(a.bands, b.bands)) = band
+    and exists(array(size(array_intersect(a.set, b.set))), c -> c * 100 >= (a.n + b.n - c) * {percent})),
+    b -> struct(least(a.key, b.key) as a, greatest(a.key, b.key) as b)))))[0]"""
+
+
+def _by_blocks(left: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
+    """Links (a, b) among the lines (band, key, n, component) of each band."""
+    bands = left.groupBy("key").agg(F.collect_set("band").alias("bands"))  # at most a line's own bands
+    many = left.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    lines = left.join(bands.join(texts, "key"), "key").join(many, "band")
+    blocks = stored(lines.select("band", "blocks", F.pmod(F.xxhash64("key"), "blocks").cast("int").alias("i"),
+                                 F.struct("key", "n", "component", "bands", "line").alias("x"))
+                    .groupBy("band", "blocks", "i").agg(F.collect_list("x").alias("l")), "lines")
+    pairs = blocks.withColumn("j", F.explode(F.sequence(F.col("i"), F.col("blocks") - 1))).join(
+        blocks.select("band", F.col("i").alias("j"), F.col("l").alias("r")), ["band", "j"])
+    sets = [_BLOCK_SET.format(side, _SHINGLES.format(width).replace("line", "x.line")) for side in ("l", "r")]
+    return pairs.select(F.expr(f"inline({_BLOCK_LINKS.format(left=sets[0], right=sets[1], percent=percent)})")).distinct()
+
+
 def line_components(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE, keep: int = KEEP,
                     id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Every line (key, id, th, no), and the component of every distinct line with links
@@ -101,7 +128,7 @@ def line_components(docs: DataFrame, percent: int = PERCENT, width: int = SHINGL
 
 def _linked(shared: DataFrame, pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
     """Components after every two lines of a band are verified or already connected: first
-    ``pairs``, then stars around other lines of each band, then all that is left."""
+    ``pairs``, then stars around other lines of each band, then what is left by blocks."""
     done = links = label = None
     for k in range(ROUNDS + 2):
         if k:
@@ -112,8 +139,8 @@ def _linked(shared: DataFrame, pairs: DataFrame, texts: DataFrame, percent: int,
                                                 F.min_by("b", F.xxhash64("b.key", F.lit(k))).alias("a")).where("lo <> hi")
             left = named.join(several.select("band", "a"), "band")
             if k > ROUNDS:
-                left = left.drop("a")
-                left = left.join(left.withColumnRenamed("b", "a"), "band").where("a.key < b.key")
+                rest = stored(_by_blocks(left.select("band", "b.*"), texts, percent, width), "lines")
+                return label if rest.isEmpty() else components(links.unionAll(rest))
             pairs = left.where((F.col("a.component") != F.col("b.component")) & _fits("a.n", "b.n", percent))
         low, high = F.least("a.key", "b.key"), F.greatest("a.key", "b.key")
         first = F.col("a.key") == low
@@ -128,7 +155,6 @@ def _linked(shared: DataFrame, pairs: DataFrame, texts: DataFrame, percent: int,
             label = None
         done = pairs.select("a", "b") if done is None else done.unionAll(pairs.select("a", "b"))
         links = found if links is None else links.unionAll(found)
-    return label or components(links)
 
 
 def removed_lines(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE, keep: int = KEEP,

@@ -129,10 +129,10 @@ def test_vector_join_of_nothing(spark):
     assert same(V.near_duplicates(spark.createDataFrame([(1, None), (2, [0.0])], ddl)).collect(), [(1, 0, 1, True), (2, 0, 2, True)])
 
 
-def brute_lines(spark, df, percent=75):
+def brute_lines(df, percent=75):
     """Lines that go, by comparing every two distinct lines' sets."""
-    lines = [(r.id, r.no, r.line, frozenset(r.set)) for r in
-             P._with_shingles(P._lines(df, "doc_id", "text"), P.SHINGLE).select("id", "no", "line", "set").collect()]
+    lines = [(r.doc_id, no, line) for r in df.collect() if r.text is not None for no, raw in enumerate(r.text.split("\n")) if (line := raw.strip(" ").lower())]
+    lines = [(*x, s) for x, s in zip(lines, char_sets([x[2] for x in lines]), strict=True)]
     reps: dict = {}
     links = [(reps.setdefault(x[2], k), k) for k, x in enumerate(lines)]
     inv: dict = {}
@@ -152,7 +152,7 @@ def brute_lines(spark, df, percent=75):
 
 def test_line_dedup_recall_and_precision(spark):
     df = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
-    gone, n = brute_lines(spark, df)
+    gone, n = brute_lines(df)
     text = {r.doc_id: r.text for r in df.collect()}
     got = P.dedup_lines(df).collect()
     kept = {r.doc_id: r.text for r in got}
@@ -220,3 +220,19 @@ def test_similar_lines_between_dissimilar_ones_are_found(spark):
     want = brute_dedup(lines)
     assert len(want) == 150
     assert len(want) <= len(got) <= len(want) + 1  # a pair in twenty near the threshold may share no band
+
+
+@pytest.mark.parametrize("block", [1, 7, 128])
+def test_blocks_link_what_the_pairs_of_a_band_link(spark, monkeypatch, block):
+    """All lines in two bands, each its own component: every similar pair once."""
+    monkeypatch.setattr(P, "BLOCK", block)
+    rng = random.Random(4)
+    base = "".join(rng.choice("abcdefghij klmnop") for _ in range(120))
+    lines = [base[:100 - k] + "".join(rng.choice("xyzw") for _ in range(4)) for k in range(25)]
+    left = spark.createDataFrame([(b, k, len(s), k) for k, s in enumerate(char_sets(lines)) for b in (10, 20)], "band bigint, key bigint, n int, component bigint")
+    texts = spark.createDataFrame(list(enumerate(lines)), "key bigint, line string")
+    sets = char_sets(lines)
+    want = {(a, b) for a, b in itertools.combinations(range(25), 2) if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    got = [tuple(r) for r in P._by_blocks(left, texts, 75, P.SHINGLE).collect()]
+    assert len(got) == len(want) > 20 and set(got) == want
+    assert P._by_blocks(left.withColumn("component", F.lit(1)), texts, 75, P.SHINGLE).count() == 0
