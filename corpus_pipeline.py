@@ -19,6 +19,9 @@ from rootsweep.llm import decontaminate, line_dedup, ngram_join, packing, toxici
 from rootsweep.llm.common import stored
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def _apart(docs: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """A stage with the documents' other columns under names that it does not use."""
     inner = [c if c in ("doc_id", "text") else f"__column_{i}" for i, c in enumerate(docs.columns)]
@@ -26,7 +29,11 @@ def _apart(docs: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFram
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go (predicted 1)."""
+    """Documents that the classifier rejects go (predicted 1). Documents are long: where
+    the session leaves Spark's default of 10,000 rows an Arrow batch, it is 1,000, which
+    holds a tenth of the memory in both processes of a task."""
+    if spark.conf.get(BATCH) == "10000":
+        spark.conf.set(BATCH, "1000")
     weights = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return _apart(docs, lambda own: toxicity.score(own, weights).where("predicted = 0"))
 
