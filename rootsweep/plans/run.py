@@ -262,7 +262,10 @@ class Archiver:
         else:
             # files with rows to archive, by a pass over the FK column alone; the split
             # opens these and no other
-            touched = (semi(whole.select(quoted(mv.column), FILE), mv.column, keys, self.max_bytes)
+            slim = whole.select(quoted(mv.column), FILE)
+            if keys.low is not None:  # row groups beyond the keys' range are not read
+                slim = slim.where(quoted(mv.column).between(keys.low, keys.high))
+            touched = (semi(slim, mv.column, keys, self.max_bytes)
                        .groupBy(FILE).agg(F.count(F.lit(1)).alias("n")).select(f"{FILE}.*", "n").collect())
             if not touched:
                 return MoveCounts(mv.table, 0, 0, 0, 0)
