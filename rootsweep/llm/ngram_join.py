@@ -13,8 +13,10 @@ Steps: (1) an inverted index: each task sends its texts' shingles, packed, by sh
 range; only shingles in two nodes or more go on, so most texts end here. (2) Sets of
 nodes that can still reach the threshold, as classes. (3) Every class in a short prefix
 pairs its nodes with a centre, the first in one of a few random orders; these pairs, a
-few per node, are verified and give first components. (4) Only for classes whose nodes are then in several components, pairs
-across components are made (singly or by combinations) and verified. Pairs within a
+few per node, are verified and give first components. (4) Only for classes whose nodes are
+then in several components, nodes of different components are compared: a rare class
+gives pairs (it has at most ``FREQUENT`` nodes), a frequent one pairs of blocks of nodes
+(``ngram_blocks``), in which the combinations are formed and verified. Pairs within a
 component would change nothing, so a group of any number of near copies costs a few
 pairs per copy.
 
@@ -48,6 +50,7 @@ from rootsweep.llm.common import (
     unpack_sorted,
     word_steps,
 )
+from rootsweep.llm.ngram_blocks import block_links, blocks_of
 
 WORDS = 5
 PERCENT = 75
@@ -285,23 +288,18 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
 
     named = index.join(components(first), "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = stored(named, "ngram")
-    several = named.groupBy("class").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("class")
+    several = named.groupBy("class").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                         blocks_of("n", "short and frequent").alias("blocks")).where("lo <> hi").select("class", "blocks")
     left = stored(named.join(several, "class"), "ngram")
 
-    def across(keyed: DataFrame, *by: str) -> DataFrame:
-        one = keyed.select(*by, "node", "n", "at", "component")
-        other = keyed.select(*by, F.col("node").alias("b"), F.col("n").alias("m"), F.col("at").alias("at2"), F.col("component").alias("d"))
-        return one.join(other, list(by)).where((F.col("node") < F.col("b")) & (F.col("component") != F.col("d")) & fits).select(
-            F.col("node").alias("a"), "b")
-
-    rare = left.where("short and not frequent")
-    twice = left.where("short and frequent and twice")
-    once = left.where("short and frequent and not twice").alias("x").join(
-        left.where("frequent").select(F.col("node"), F.col("class").alias("then"), F.col("at").alias("later")), "node").where("later > at")
-    more = across(rare, "class").unionByName(across(twice, "class")).unionByName(across(once, "class", "then"))
+    rare = left.where("short and not frequent").select("class", "node", "n", "at", "component")
+    other = rare.select("class", F.col("node").alias("b"), F.col("n").alias("m"), F.col("at").alias("at2"), F.col("component").alias("d"))
+    more = rare.join(other, "class").where((F.col("node") < F.col("b")) & (F.col("component") != F.col("d")) & fits).select(
+        F.col("node").alias("a"), "b")
     more = stored(more.distinct(), "ngram")  # written first, or the anti join would run before the distinct
     more = more.join(stars, ["a", "b"], "left_anti")
-    return first.unionByName(stored(verify(more, sets, percent), "ngram"))
+    found = first.unionByName(stored(verify(more, sets, percent), "ngram"))
+    return found.unionByName(stored(block_links(left.where("short and frequent"), sets, percent), "ngram"))
 
 
 def ngram_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, part_bytes: int = PART_BYTES,

@@ -11,6 +11,7 @@ from llm_helpers import DOCS, SF001, docs, extra, none, rows, same, space_words,
 from pyspark.sql import functions as F
 
 from rootsweep.llm import line_dedup as P
+from rootsweep.llm import ngram_blocks as B
 from rootsweep.llm import ngram_join as N
 from rootsweep.llm import vector_join as V
 from rootsweep.llm.common import components
@@ -74,15 +75,32 @@ def _copies(seed=2):
     return [(10 * k, " ".join(w)) for k, w in enumerate(out)]
 
 
-@pytest.mark.parametrize("frequent", [2, 32])
-def test_ngram_components_equal_brute_force(spark, rows, frequent, monkeypatch):
+@pytest.mark.parametrize(("frequent", "block"), [(2, 8 * B.NODE), (32, B.BLOCK)])
+def test_ngram_components_equal_brute_force(spark, rows, frequent, block, monkeypatch):
     all_rows = _copies() + rows
     df = spark.createDataFrame(all_rows, DOCS)
     monkeypatch.setattr(N, "FREQUENT", frequent)
+    monkeypatch.setattr(B, "BLOCK", block)
     got = N.ngram_components(extra(df), part_bytes=20_000)
     assert same(got.collect(), brute_components(all_rows))
 
 
+def test_overlaps_and_forests_equal_plain_loops(monkeypatch):
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(B, "COLUMNS", 7)
+    weight = rng.integers(1, 9, 60)
+    xs, ys = ([np.sort(rng.choice(60, k, replace=False)).astype(np.uint64) for k in rng.integers(0, 40, m)] for m in (9, 12))
+    got = B.overlaps(xs, [weight[x.astype(int)] for x in xs], ys)
+    assert (got == [[sum(weight[int(v)] for v in set(x) & set(y)) for y in ys] for x in xs]).all()
+    assert (B.overlaps(xs, None, ys) == [[len(set(x) & set(y)) for y in ys] for x in xs]).all()
+    assert B.overlaps([xs[0][:0]], None, [ys[0][:0]]).tolist() == [[0]]
+    a, b = rng.integers(0, 50, (2, 40))
+    keep = B.forest(a, b, 50)
+    links = list(zip(a.tolist(), b.tolist(), strict=True))
+    assert union_find(range(50), [links[k] for k in keep]) == union_find(range(50), links)
+    assert len(keep) == 50 - len(set(union_find(range(50), links).values()))
+
+
 def test_ngram_components_of_nothing(none, spark):
     assert N.ngram_components(none).collect() == []
     assert same(N.ngram_components(spark.createDataFrame([(1, None), (2, " ")], DOCS)).collect(), [(1, 0, 1), (2, 0, 2)])
