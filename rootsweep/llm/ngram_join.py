@@ -60,7 +60,7 @@ FREQUENT = 32
 CENTRES = 8
 #: Bytes of text for one partition of the index; shingles a task holds before it sends them.
 PART_BYTES = 16 << 20
-HELD = 4_000_000
+HELD = 1_000_000
 _BITS = np.uint64(48)
 
 
@@ -172,12 +172,14 @@ def _shared(postings: DataFrame, parts: int) -> DataFrame:
         for t, r, k, z in zip(*(table.column(c).to_pylist() for c in ("tokens", "refs", "nodes", "sizes")), strict=True):
             place = unpack(r).astype(np.int64)
             got.append((unpack_sorted(t), unpack_sorted(k).view(np.int64)[place], unpack(z)[place]))
-        tokens, nodes, sizes = (np.concatenate([g[i] for g in got]) for i in range(3))
+        rows = [np.concatenate([g[i] for g in got]) for i in range(3)]
         del got
-        order = np.lexsort((nodes, tokens))
-        tokens, nodes, sizes = tokens[order], nodes[order], sizes[order]
-        new = _edges(tokens, nodes)
-        tokens, nodes, sizes = tokens[new], nodes[new], sizes[new]
+        for cut in (lambda t, k: np.lexsort((k, t)), _edges):  # sorted, then without repeats
+            at = cut(rows[0], rows[1])
+            for i in range(3):  # one column at a time, so that only one is held twice
+                rows[i] = rows[i][at]
+        tokens, nodes, sizes = rows
+        del rows, at
         first = _edges(tokens)
         df = np.diff(np.append(first, len(tokens)))
         same = mix(np.add.reduceat(mix(nodes.view(np.uint64)), first) + df.astype(np.uint64)) if len(first) else tokens
