@@ -4,7 +4,9 @@ A line (trimmed, lower-cased) has the set of its character shingles: the ``SHING
 characters from each of its characters on, spaces included, in every script alike (a
 line that is shorter is one shingle).
 Its signature is the ``KEEP``
-smallest hashes; every three neighbours among them are a band, so two lines meet if
+smallest hashes (shingles are rows, of which only those below a bound that about
+``NEAR_KEEP`` of a line's shingles stay under are gathered; a line where fewer than
+``KEEP`` different ones do is hashed whole); every three neighbours among them are a band, so two lines meet if
 three common shingles follow each other in the order of hashes. For lines of up to 8
 shingles every two neighbours are a band (of 7 and 8: both), as few would be left. In
 each band every line is paired with the smallest line and with the one before it. Pairs
@@ -17,7 +19,7 @@ lines of the one with all of the other (a pair that shares several bands in the
 of them), so that in the end every two lines that share a band are verified or connected. Of each component the first line
 (smallest id, then place) stays.
 
-Scale: equal lines are merged first; bands have a line once; no group is ever
+Scale: the normalised lines are written once; equal lines are merged first; bands have a line once; no group is ever
 collected. Pairs per band are linear in its lines; in the last round the rows are pairs of
 blocks, the comparisons within them the square of the lines that are alike in a band and
 yet below ``percent``, and only links come out. The lines that a verification
@@ -32,7 +34,7 @@ are carried along. Lines are told apart by a 64-bit hash of text and length.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rootsweep.llm.common import components, stored
@@ -41,12 +43,15 @@ SHINGLE = 8
 KEEP = 10
 PERCENT = 75
 MAX_KEYS = 1_000_000
+#: About so many hashes of a line are gathered to find its smallest: of lines with as many
+#: different shingles as places, fewer than 10 of 24 in 1 of 2,000.
+NEAR_KEEP = 24
 #: Rounds of stars, before all that is left is compared by blocks of so many lines.
 ROUNDS, BLOCK = 2, 128
-#: Hashes of the shingles. Four bytes a character let each be cut out without a walk
-#: through the line; the outer transform binds these bytes to a name, once per line.
-_SHINGLES = ("transform(array(encode(line, 'UTF-32')), b -> transform(sequence(0, greatest(octet_length(b) div 4 - {0}, 0)), "
-             "i -> xxhash64(substring(b, cast(4 * i + 1 as int), 4 * {0}))))[0]")
+#: Hashes of the shingles of a whole line. Four bytes a character let each be cut out
+#: without a walk through the line; the outer transform binds these bytes to a name.
+_SHINGLES = ("transform(array(encode(line, 'UTF-32')), b -> transform(sequence(1, greatest(octet_length(b) - 4 * {0} + 1, 1), 4), "
+             "i -> xxhash64(substring(b, i, 4 * {0}))))[0]")
 _PAIRS = "transform(sequence(0, size(low) - 2), i -> xxhash64(low[i], low[i + 1]))"
 _TRIPLES = "transform(sequence(0, size(low) - 3), i -> xxhash64(low[i], low[i + 1], low[i + 2]))"
 _BANDS = f"case when size(low) = 1 then low when size(low) < 7 then {_PAIRS} when size(low) < 9 then concat({_PAIRS}, {_TRIPLES}) else {_TRIPLES} end"
@@ -64,37 +69,58 @@ def _with_shingles(lines: DataFrame, width: int) -> DataFrame:
     return lines.withColumn("set", F.sort_array(F.array_distinct(F.expr(_SHINGLES.format(width)))))
 
 
-def _fits(n: str, m: str, percent: int) -> Column:
-    """Whether sets of n and m shingles can be similar enough."""
-    return F.least(n, m) * 100 >= F.greatest(n, m) * percent
+def _signatures(lines: DataFrame, width: int, keep: int) -> DataFrame:
+    """(key, n_lines, low): the ``keep`` smallest distinct hashes of every distinct line's
+    shingles, ascending, and how many lines are this one."""
+    gather = max(NEAR_KEEP, 2 * keep + 4)
+    places = lines.select("key", F.encode("line", "UTF-32").alias("b")).select(
+        "key", "b", F.expr(f"greatest(cast(octet_length(b) div 4 as int) - {width - 1}, 1)").alias("m"))
+    grams = places.select("key", "b", "m", F.explode(F.expr("sequence(1, 4 * m - 3, 4)")).alias("i")).select(
+        "key", "m", (F.col("i") == 1).alias("first"), F.expr(f"xxhash64(substring(b, i, {4 * width}))").alias("h"))
+    bound = F.expr(f"case when m <= {gather} then 9223372036854775807 else "
+                   f"cast(-9.223372036854775E18D + 1.844674407370955E19D * ({gather}.0D / m) as bigint) end")
+    found = grams.where((F.col("h") <= bound) | F.col("first")).groupBy("key").agg(  # about ``gather`` a line
+        F.sort_array(F.collect_set("h")).alias("set"), F.first("m").alias("m"), F.count_if("first").alias("n_lines"))
+    whole = (F.col("m") <= gather) | ((F.size("set") >= keep) & F.coalesce(F.get("set", F.lit(keep - 1)) <= bound, F.lit(False)))
+    found = stored(found.select("key", "n_lines", whole.alias("whole"), F.slice("set", 1, keep).alias("low")), "lines")
+    few = found.where("not whole").select("key", "n_lines")
+    n = few.count()
+    if not n:
+        return found.select("key", "n_lines", "low")
+    texts = lines.select("key", "line").join(F.broadcast(few) if n <= MAX_KEYS else few, "key").groupBy("key", "n_lines").agg(
+        F.min("line").alias("line"))
+    return found.where("whole").select("key", "n_lines", "low").unionAll(
+        stored(_with_shingles(texts, width).select("key", "n_lines", F.slice("set", 1, keep).alias("low")), "lines"))
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
-    """The pairs (a, an, b, bn) of lines with an and bn shingles that reach ``percent``.
-    The lines are moved, not their sets, which are eight times as large."""
-    sets = lambda name: F.expr(_SHINGLES.format(width).replace("line", name))
+    """The pairs (a, b) of lines that reach ``percent``. The lines are moved, not their
+    sets, which are eight times as large."""
     both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
-    both = both.withColumn("common", F.size(F.array_intersect(sets("x"), sets("y"))))
-    return both.where(F.col("common") * 100 >= (F.col("an") + F.col("bn") - F.col("common")) * percent).select("a", "b")
+    sets = [f"array_distinct({_SHINGLES.format(width).replace('line', side)})" for side in ("x", "y")]
+    # inline keeps the sets from being made again for the condition
+    both = both.select("a", "b", F.expr(f"inline(array(struct({sets[0]} as p, {sets[1]} as q)))"))
+    common = F.size(F.array_intersect("p", "q"))
+    return both.where(common * (100 + percent) >= (F.size("p") + F.size("q")) * percent).select("a", "b")
 
 
 #: Lines of two blocks (p.l and p.r) that are similar and in different components, each
 #: pair in the smallest band that both have.
-_BLOCK_SET = "transform({0}, x -> struct(x.key, x.n, x.component, x.bands, array_distinct({1}) as set))"
+_BLOCK_SET = "transform({0}, x -> struct(x.key, x.component, x.bands, array_distinct({1}) as set))"
 _BLOCK_LINKS = """transform(array(struct({left} as l, {right} as r)), p -> flatten(transform(p.l, a -> transform(filter(p.r, b ->
-    a.component <> b.component and (i < j or a.key < b.key) and least(a.n, b.n) * 100 >= greatest(a.n, b.n) * {percent}
+    a.component <> b.component and (i < j or a.key < b.key) and least(size(a.set), size(b.set)) * 100 >= greatest(size(a.set), size(b.set)) * {percent}
     and array_min(array_intersect(a.bands, b.bands)) = band
-    and exists(array(size(array_intersect(a.set, b.set))), c -> c * 100 >= (a.n + b.n - c) * {percent})),
+    and size(array_intersect(a.set, b.set)) * (100 + {percent}) >= (size(a.set) + size(b.set)) * {percent}),
     b -> struct(least(a.key, b.key) as a, greatest(a.key, b.key) as b)))))[0]"""
 
 
 def _by_blocks(left: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
-    """Links (a, b) among the lines (band, key, n, component) of each band."""
+    """Links (a, b) among the lines (band, key, component) of each band."""
     bands = left.groupBy("key").agg(F.collect_set("band").alias("bands"))  # at most a line's own bands
     many = left.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     lines = left.join(bands.join(texts, "key"), "key").join(many, "band")
     blocks = stored(lines.select("band", "blocks", F.pmod(F.xxhash64("key"), "blocks").cast("int").alias("i"),
-                                 F.struct("key", "n", "component", "bands", "line").alias("x"))
+                                 F.struct("key", "component", "bands", "line").alias("x"))
                     .groupBy("band", "blocks", "i").agg(F.collect_list("x").alias("l")), "lines")
     pairs = blocks.withColumn("j", F.explode(F.sequence(F.col("i"), F.col("blocks") - 1))).join(
         blocks.select("band", F.col("i").alias("j"), F.col("l").alias("r")), ["band", "j"])
@@ -103,27 +129,24 @@ def _by_blocks(left: DataFrame, texts: DataFrame, percent: int, width: int) -> D
 
 
 def line_components(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE, keep: int = KEEP,
-                    id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Every line (key, id, th, no), and the component of every distinct line with links
-    (node, component)."""
-    lines = _lines(docs, id_col, text_col).withColumn("key", F.xxhash64("line", F.length("line")))
-    sign = _with_shingles(lines, width).select("key", "id", "th", "no", F.size("set").alias("n"), F.slice("set", 1, keep).alias("low"))
-    sign = stored(sign.withColumn("bands", F.expr(_BANDS)).drop("low"), "lines")
-    classes = sign.groupBy("key").agg(F.first(F.struct("n", "bands")).alias("c"))
-    bands = classes.select("key", "c.n", F.explode("c.bands").alias("band"))
+                    id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Every line (key, id, th, no), every distinct line (key, n_lines), and the component
+    of every distinct line with links (node, component)."""
+    lines = stored(_lines(docs, id_col, text_col).withColumn("key", F.xxhash64("line", F.length("line"))), "lines")
+    sign = _signatures(lines, width, keep)
+    bands = sign.select("key", F.explode(F.expr(_BANDS)).alias("band"))
     w = Window.partitionBy("band").orderBy("key")
-    line = F.struct("key", "n")
-    near = bands.select("band", line.alias("b"), F.lag(line).over(w).alias("before"), F.first(line).over(w).alias("smallest"),
+    near = bands.select("band", F.col("key").alias("b"), F.lag("key").over(w).alias("before"), F.first("key").over(w).alias("smallest"),
                         F.lead("key").over(w).alias("after")).where("before is not null or after is not null")
     near = stored(near, "lines")  # bands of several lines
     pairs = near.where("before is not null").select(F.explode(F.array_distinct(F.array("before", "smallest"))).alias("a"), "b")
-    shared = near.select("band", "b.key", "b.n")
+    shared = near.select("band", F.col("b").alias("key"))
 
     keys = stored(shared.select("key").distinct(), "lines")
     small = keys.count() <= MAX_KEYS
     wanted = lines.select("key", "line").join(F.broadcast(keys) if small else keys, "key", "left_semi")
     texts = stored(wanted.groupBy("key").agg(F.min("line").alias("line")), "lines")
-    return sign.select("key", "id", "th", "no"), _linked(shared, pairs, texts, percent, width)
+    return lines.select("key", "id", "th", "no"), sign.select("key", "n_lines"), _linked(shared, pairs, texts, percent, width)
 
 
 def _linked(shared: DataFrame, pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
@@ -134,36 +157,31 @@ def _linked(shared: DataFrame, pairs: DataFrame, texts: DataFrame, percent: int,
         if k:
             label = label or components(links)
             named = shared.join(label, F.col("key") == F.col("node"), "left").select(
-                "band", F.struct("key", "n", F.coalesce("component", "key").alias("component")).alias("b"))
+                "band", F.struct("key", F.coalesce("component", "key").alias("component")).alias("b"))
             several = named.groupBy("band").agg(F.min("b.component").alias("lo"), F.max("b.component").alias("hi"),
                                                 F.min_by("b", F.xxhash64("b.key", F.lit(k))).alias("a")).where("lo <> hi")
             left = named.join(several.select("band", "a"), "band")
             if k > ROUNDS:
                 rest = stored(_by_blocks(left.select("band", "b.*"), texts, percent, width), "lines")
                 return label if rest.isEmpty() else components(links.unionAll(rest))
-            pairs = left.where((F.col("a.component") != F.col("b.component")) & _fits("a.n", "b.n", percent))
-        low, high = F.least("a.key", "b.key"), F.greatest("a.key", "b.key")
-        first = F.col("a.key") == low
-        pairs = pairs.select(low.alias("a"), F.when(first, F.col("a.n")).otherwise(F.col("b.n")).alias("an"),
-                             high.alias("b"), F.when(first, F.col("b.n")).otherwise(F.col("a.n")).alias("bn"))
-        pairs = pairs.where(_fits("an", "bn", percent)).distinct()
+            pairs = left.where("a.component <> b.component").select(F.col("a.key").alias("a"), F.col("b.key").alias("b"))
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = stored(pairs.join(done, ["a", "b"], "left_anti") if k else pairs, "lines")
         if pairs.isEmpty():
-            found = pairs.select("a", "b")
+            found = pairs
         else:
             found = stored(_similar(pairs, texts, percent, width), "lines")
             label = None
-        done = pairs.select("a", "b") if done is None else done.unionAll(pairs.select("a", "b"))
+        done = pairs if done is None else done.unionAll(pairs)
         links = found if links is None else links.unionAll(found)
 
 
 def removed_lines(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE, keep: int = KEEP,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, th, nos): places of the lines of each document that are not the first of their component."""
-    lines, label = line_components(docs, percent, width, keep, id_col, text_col)
+    lines, counts, label = line_components(docs, percent, width, keep, id_col, text_col)
     label = label.unionAll(label.select(F.col("component").alias("node"), "component")).distinct()  # the smallest too
-    many = lines.groupBy("key").agg(F.count(F.lit(1)).alias("n")).join(
-        label, F.col("key") == F.col("node"), "left").where("n > 1 or component is not null").select(
+    many = counts.join(label, F.col("key") == F.col("node"), "left").where("n_lines > 1 or component is not null").select(
         "key", F.coalesce("component", "key").alias("component"))
     group = stored(lines.join(many, "key").drop("key"), "lines")  # lines that have another like them
     first = group.groupBy("component").agg(F.min(F.struct("id", "th", "no")).alias("keep"))
