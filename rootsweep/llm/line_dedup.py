@@ -4,9 +4,8 @@ A line (trimmed, lower-cased) has the set of its character shingles: the ``SHING
 characters from each of its characters on, spaces included, in every script alike (a
 line that is shorter is one shingle).
 Its signature is the ``KEEP``
-smallest hashes (shingles are rows, of which only those below a bound that about
-``NEAR_KEEP`` of a line's shingles stay under are gathered; a line where fewer than
-``KEEP`` different ones do is hashed whole); every three neighbours among them are a band, so two lines meet if
+smallest hashes (only those below a bound that about ``NEAR_KEEP`` of a line's shingles stay
+under are sorted, or all where fewer than ``KEEP`` different ones do); every three neighbours among them are a band, so two lines meet if
 three common shingles follow each other in the order of hashes. For lines of up to 8
 shingles every two neighbours are a band (of 7 and 8: both), as few would be left. In
 each band every line is paired with the smallest line and with the one before it. Pairs
@@ -19,7 +18,7 @@ lines of the one with all of the other (a pair that shares several bands in the
 of them), so that in the end every two lines that share a band are verified or connected. Of each component the first line
 (smallest id, then place) stays.
 
-Scale: the normalised lines are written once; equal lines are merged first; bands have a line once; no group is ever
+Scale: equal lines are merged first; bands have a line once; no group is ever
 collected. Pairs per band are linear in its lines; in the last round the rows are pairs of
 blocks, the comparisons within them the square of the lines that are alike in a band and
 yet below ``percent``, and only links come out. The lines that a verification
@@ -43,7 +42,7 @@ SHINGLE = 8
 KEEP = 10
 PERCENT = 75
 MAX_KEYS = 1_000_000
-#: About so many hashes of a line are gathered to find its smallest: of lines with as many
+#: About so many hashes of a line are sorted to find its smallest: of lines with as many
 #: different shingles as places, fewer than 10 of 24 in 1 of 2,000.
 NEAR_KEEP = 24
 #: Rounds of stars, before all that is left is compared by blocks of so many lines.
@@ -69,28 +68,14 @@ def _with_shingles(lines: DataFrame, width: int) -> DataFrame:
     return lines.withColumn("set", F.sort_array(F.array_distinct(F.expr(_SHINGLES.format(width)))))
 
 
-def _signatures(lines: DataFrame, width: int, keep: int) -> DataFrame:
-    """(key, n_lines, low): the ``keep`` smallest distinct hashes of every distinct line's
-    shingles, ascending, and how many lines are this one."""
-    gather = max(NEAR_KEEP, 2 * keep + 4)
-    places = lines.select("key", F.encode("line", "UTF-32").alias("b")).select(
-        "key", "b", F.expr(f"greatest(cast(octet_length(b) div 4 as int) - {width - 1}, 1)").alias("m"))
-    grams = places.select("key", "b", "m", F.explode(F.expr("sequence(1, 4 * m - 3, 4)")).alias("i")).select(
-        "key", "m", (F.col("i") == 1).alias("first"), F.expr(f"xxhash64(substring(b, i, {4 * width}))").alias("h"))
-    bound = F.expr(f"case when m <= {gather} then 9223372036854775807 else "
-                   f"cast(-9.223372036854775E18D + 1.844674407370955E19D * ({gather}.0D / m) as bigint) end")
-    found = grams.where((F.col("h") <= bound) | F.col("first")).groupBy("key").agg(  # about ``gather`` a line
-        F.sort_array(F.collect_set("h")).alias("set"), F.first("m").alias("m"), F.count_if("first").alias("n_lines"))
-    whole = (F.col("m") <= gather) | ((F.size("set") >= keep) & F.coalesce(F.get("set", F.lit(keep - 1)) <= bound, F.lit(False)))
-    found = stored(found.select("key", "n_lines", whole.alias("whole"), F.slice("set", 1, keep).alias("low")), "lines")
-    few = found.where("not whole").select("key", "n_lines")
-    n = few.count()
-    if not n:
-        return found.select("key", "n_lines", "low")
-    texts = lines.select("key", "line").join(F.broadcast(few) if n <= MAX_KEYS else few, "key").groupBy("key", "n_lines").agg(
-        F.min("line").alias("line"))
-    return found.where("whole").select("key", "n_lines", "low").unionAll(
-        stored(_with_shingles(texts, width).select("key", "n_lines", F.slice("set", 1, keep).alias("low")), "lines"))
+def _lowest(width: int, keep: int) -> str:
+    """The ``keep`` smallest distinct hashes of the shingles of ``line``, ascending."""
+    near = max(NEAR_KEEP, 2 * keep + 4)
+    bound = (f"case when size(h) <= {near} then 9223372036854775807 else "
+             f"cast(-9.223372036854775E18D + 1.844674407370955E19D * ({near}.0D / size(h)) as bigint) end")
+    return (f"slice(transform(array({_SHINGLES.format(width)}), h -> transform(array({bound}), t -> transform("
+            f"array(array_distinct(filter(h, x -> x <= t))), s -> sort_array(case when size(h) <= {near} or size(s) >= {keep} "
+            f"then s else array_distinct(h) end))[0])[0])[0], 1, {keep})")
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
@@ -104,10 +89,10 @@ def _similar(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> Da
     return both.where(common * (100 + percent) >= (F.size("p") + F.size("q")) * percent).select("a", "b")
 
 
-#: Lines of two blocks (p.l and p.r) that are similar and in different components, each
+#: Lines of two blocks (p.l and p.r, null for a block with itself) that are similar and in different components, each
 #: pair in the smallest band that both have.
 _BLOCK_SET = "transform({0}, x -> struct(x.key, x.component, x.bands, array_distinct({1}) as set))"
-_BLOCK_LINKS = """transform(array(struct({left} as l, {right} as r)), p -> flatten(transform(p.l, a -> transform(filter(p.r, b ->
+_BLOCK_LINKS = """transform(array(struct({left} as l, case when i <> j then {right} end as r)), p -> flatten(transform(p.l, a -> transform(filter(coalesce(p.r, p.l), b ->
     a.component <> b.component and (i < j or a.key < b.key) and least(size(a.set), size(b.set)) * 100 >= greatest(size(a.set), size(b.set)) * {percent}
     and array_min(array_intersect(a.bands, b.bands)) = band
     and size(array_intersect(a.set, b.set)) * (100 + {percent}) >= (size(a.set) + size(b.set)) * {percent}),
@@ -129,12 +114,13 @@ def _by_blocks(left: DataFrame, texts: DataFrame, percent: int, width: int) -> D
 
 
 def line_components(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE, keep: int = KEEP,
-                    id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Every line (key, id, th, no), every distinct line (key, n_lines), and the component
-    of every distinct line with links (node, component)."""
-    lines = stored(_lines(docs, id_col, text_col).withColumn("key", F.xxhash64("line", F.length("line"))), "lines")
-    sign = _signatures(lines, width, keep)
-    bands = sign.select("key", F.explode(F.expr(_BANDS)).alias("band"))
+                    id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Every line (key, id, th, no), and the component of every distinct line with links
+    (node, component)."""
+    lines = _lines(docs, id_col, text_col).withColumn("key", F.xxhash64("line", F.length("line")))
+    sign = lines.select("key", "id", "th", "no", F.expr(_lowest(width, keep)).alias("low"))
+    sign = stored(sign.withColumn("bands", F.expr(_BANDS)).drop("low"), "lines")
+    bands = sign.groupBy("key").agg(F.first("bands").alias("bands")).select("key", F.explode("bands").alias("band"))
     w = Window.partitionBy("band").orderBy("key")
     near = bands.select("band", F.col("key").alias("b"), F.lag("key").over(w).alias("before"), F.first("key").over(w).alias("smallest"),
                         F.lead("key").over(w).alias("after")).where("before is not null or after is not null")
@@ -146,7 +132,7 @@ def line_components(docs: DataFrame, percent: int = PERCENT, width: int = SHINGL
     small = keys.count() <= MAX_KEYS
     wanted = lines.select("key", "line").join(F.broadcast(keys) if small else keys, "key", "left_semi")
     texts = stored(wanted.groupBy("key").agg(F.min("line").alias("line")), "lines")
-    return lines.select("key", "id", "th", "no"), sign.select("key", "n_lines"), _linked(shared, pairs, texts, percent, width)
+    return sign.select("key", "id", "th", "no"), _linked(shared, pairs, texts, percent, width)
 
 
 def _linked(shared: DataFrame, pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
@@ -179,9 +165,10 @@ def _linked(shared: DataFrame, pairs: DataFrame, texts: DataFrame, percent: int,
 def removed_lines(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE, keep: int = KEEP,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, th, nos): places of the lines of each document that are not the first of their component."""
-    lines, counts, label = line_components(docs, percent, width, keep, id_col, text_col)
+    lines, label = line_components(docs, percent, width, keep, id_col, text_col)
     label = label.unionAll(label.select(F.col("component").alias("node"), "component")).distinct()  # the smallest too
-    many = counts.join(label, F.col("key") == F.col("node"), "left").where("n_lines > 1 or component is not null").select(
+    many = lines.groupBy("key").agg(F.count(F.lit(1)).alias("n")).join(
+        label, F.col("key") == F.col("node"), "left").where("n > 1 or component is not null").select(
         "key", F.coalesce("component", "key").alias("component"))
     group = stored(lines.join(many, "key").drop("key"), "lines")  # lines that have another like them
     first = group.groupBy("component").agg(F.min(F.struct("id", "th", "no")).alias("keep"))
