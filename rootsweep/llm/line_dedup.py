@@ -10,20 +10,19 @@ three common shingles follow each other in the order of hashes. For lines of up
 shingles every two neighbours are a band (of 7 and 8: both), as few would be left. In
 each band every line is paired with the smallest line and with the one before it. Pairs
 are verified by the exact Jaccard similarity of their sets (>= ``percent`` %). Connected
-components are found by rounds of joins. Bands whose lines are then in several
-components go on: ``ROUNDS`` times with another line of the band as the partner of those
-in other components, then by blocks: the lines left in a band are dealt to blocks of
-about ``BLOCK``, and a row per two blocks makes each line's set once and compares all
+components are found by rounds of joins. In bands of up to ``PAIRED`` lines these were all
+pairs. Larger ones whose lines are then in several components go on by blocks: the lines of
+a band are dealt to blocks of about ``BLOCK``, and a row per two blocks makes each line's set once and compares all
 lines of the one with all of the other (a pair that shares several bands in the smallest
 of them), so that in the end every two lines that share a band are verified or connected. Of each component the first line
 (smallest id, then place) stays.
 
 Scale: equal lines are merged first; bands have a line once; no group is ever
-collected. Pairs per band are linear in its lines; in the last round the rows are pairs of
+collected. Pairs per band are linear in its lines; in the second round the rows are pairs of
 blocks, the comparisons within them the square of the lines that are alike in a band and
-yet below ``percent``, and only links come out. The lines that a verification
-needs are found by a semi join, which broadcasts their keys up to ``MAX_KEYS`` and
-shuffles beyond.
+yet below ``percent``, and only links come out. The bands that several lines have, and
+the lines that a verification needs, are found by semi joins, which broadcast up to
+``MAX_KEYS`` keys and shuffle beyond.
 
 Cases: a null text has no line and stays null; blank lines are kept and never compared;
 lines of any length are compared whole; repeated rows (same id and text) count as one
@@ -45,8 +44,10 @@ MAX_KEYS = 1_000_000
 #: About so many hashes of a line are sorted to find its smallest: of lines with as many
 #: different shingles as places, fewer than 10 of 24 in 1 of 2,000.
 NEAR_KEEP = 24
-#: Rounds of stars, before all that is left is compared by blocks of so many lines.
-ROUNDS, BLOCK = 2, 128
+#: In a band of up to so many lines the smallest and the line before make every pair.
+PAIRED = 3
+#: What is left in larger bands is compared by blocks of so many lines.
+BLOCK = 128
 #: Hashes of the shingles of a whole line. Four bytes a character let each be cut out
 #: without a walk through the line; the outer transform binds these bytes to a name.
 _SHINGLES = ("transform(array(encode(line, 'UTF-32')), b -> transform(sequence(1, greatest(octet_length(b) - 4 * {0} + 1, 1), 4), "
@@ -82,11 +83,14 @@ def _similar(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> Da
     """The pairs (a, b) of lines that reach ``percent``. The lines are moved, not their
     sets, which are eight times as large."""
     both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
-    sets = [f"array_distinct({_SHINGLES.format(width).replace('line', side)})" for side in ("x", "y")]
-    # inline keeps the sets from being made again for the condition
-    both = both.select("a", "b", F.expr(f"inline(array(struct({sets[0]} as p, {sets[1]} as q)))"))
-    common = F.size(F.array_intersect("p", "q"))
-    return both.where(common * (100 + percent) >= (F.size("p") + F.size("q")) * percent).select("a", "b")
+    hashes = [_SHINGLES.format(width).replace("line", side) for side in ("x", "y")]
+    # inline keeps the hashes, and what they share, from being made again for the condition
+    both = both.select("a", "b", F.expr(f"inline(array(struct({hashes[0]} as p, {hashes[1]} as q)))"))
+    both = both.select("a", "b", F.expr("inline(array(struct(p, q, size(array_intersect(p, q)) as common)))"))
+    enough = "common * {0} >= (size({1}) + size({2})) * {3}"
+    # enough for all places is enough for the different shingles among them
+    return both.where(enough.format(100 + percent, "p", "q", percent) + " or " + enough.format(
+        100 + percent, "array_distinct(p)", "array_distinct(q)", percent)).select("a", "b")
 
 
 #: Lines of two blocks (p.l and p.r, null for a block with itself) that are similar and in different components, each
@@ -96,11 +100,16 @@ _BLOCK_LINKS = """transform(array(struct({left} as l, case when i <> j then {rig
     a.component <> b.component and (i < j or a.key < b.key) and least(size(a.set), size(b.set)) * 100 >= greatest(size(a.set), size(b.set)) * {percent}
     and array_min(array_intersect(a.bands, b.bands)) = band
     and size(array_intersect(a.set, b.set)) * (100 + {percent}) >= (size(a.set) + size(b.set)) * {percent}),
-    b -> struct(least(a.key, b.key) as a, greatest(a.key, b.key) as b)))))[0]"""
+    b -> struct(least(a.key, b.key) as a, greatest(a.key, b.key) as b, a.component as c, b.component as d)))))[0]"""
 
 
 def _by_blocks(left: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
     """Links (a, b) among the lines (band, key, component) of each band."""
+    return _block_links(left, texts, percent, width).select("a", "b")
+
+
+def _block_links(left: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
+    """The same with the components (c, d) that each links."""
     bands = left.groupBy("key").agg(F.collect_set("band").alias("bands"))  # at most a line's own bands
     many = left.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     lines = left.join(bands.join(texts, "key"), "key").join(many, "band")
@@ -113,6 +122,11 @@ def _by_blocks(left: DataFrame, texts: DataFrame, percent: int, width: int) -> D
     return pairs.select(F.expr(f"inline({_BLOCK_LINKS.format(left=sets[0], right=sets[1], percent=percent)})")).distinct()
 
 
+def _among(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+    """The rows whose ``column`` is in the stored ``keys``."""
+    return rows.join(F.broadcast(keys) if keys.count() <= MAX_KEYS else keys, column, "left_semi")
+
+
 def line_components(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE, keep: int = KEEP,
                     id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Every line (key, id, th, no), and the component of every distinct line with links
@@ -120,46 +134,37 @@ def line_components(docs: DataFrame, percent: int = PERCENT, width: int = SHINGL
     lines = _lines(docs, id_col, text_col).withColumn("key", F.xxhash64("line", F.length("line")))
     sign = lines.select("key", "id", "th", "no", F.expr(_lowest(width, keep)).alias("low"))
     sign = stored(sign.withColumn("bands", F.expr(_BANDS)).drop("low"), "lines")
-    bands = sign.groupBy("key").agg(F.first("bands").alias("bands")).select("key", F.explode("bands").alias("band"))
+    bands = sign.select("key", F.explode("bands").alias("band"))
+    several = stored(bands.groupBy("band").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo <> hi").select("band"), "lines")
+    shared = stored(_among(bands, several, "band").distinct(), "lines")  # bands of several lines
     w = Window.partitionBy("band").orderBy("key")
-    near = bands.select("band", F.col("key").alias("b"), F.lag("key").over(w).alias("before"), F.first("key").over(w).alias("smallest"),
-                        F.lead("key").over(w).alias("after")).where("before is not null or after is not null")
-    near = stored(near, "lines")  # bands of several lines
+    near = shared.select("band", F.col("key").alias("b"), F.lag("key").over(w).alias("before"), F.first("key").over(w).alias("smallest"))
     pairs = near.where("before is not null").select(F.explode(F.array_distinct(F.array("before", "smallest"))).alias("a"), "b")
-    shared = near.select("band", F.col("b").alias("key"))
 
     keys = stored(shared.select("key").distinct(), "lines")
-    small = keys.count() <= MAX_KEYS
-    wanted = lines.select("key", "line").join(F.broadcast(keys) if small else keys, "key", "left_semi")
+    wanted = _among(lines.select("key", "line"), keys, "key")
     texts = stored(wanted.groupBy("key").agg(F.min("line").alias("line")), "lines")
     return sign.select("key", "id", "th", "no"), _linked(shared, pairs, texts, percent, width)
 
 
 def _linked(shared: DataFrame, pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
     """Components after every two lines of a band are verified or already connected: first
-    ``pairs``, then stars around other lines of each band, then what is left by blocks."""
-    done = links = label = None
-    for k in range(ROUNDS + 2):
-        if k:
-            label = label or components(links)
-            named = shared.join(label, F.col("key") == F.col("node"), "left").select(
-                "band", F.struct("key", F.coalesce("component", "key").alias("component")).alias("b"))
-            several = named.groupBy("band").agg(F.min("b.component").alias("lo"), F.max("b.component").alias("hi"),
-                                                F.min_by("b", F.xxhash64("b.key", F.lit(k))).alias("a")).where("lo <> hi")
-            left = named.join(several.select("band", "a"), "band")
-            if k > ROUNDS:
-                rest = stored(_by_blocks(left.select("band", "b.*"), texts, percent, width), "lines")
-                return label if rest.isEmpty() else components(links.unionAll(rest))
-            pairs = left.where("a.component <> b.component").select(F.col("a.key").alias("a"), F.col("b.key").alias("b"))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = stored(pairs.join(done, ["a", "b"], "left_anti") if k else pairs, "lines")
-        if pairs.isEmpty():
-            found = pairs
-        else:
-            found = stored(_similar(pairs, texts, percent, width), "lines")
-            label = None
-        done = pairs if done is None else done.unionAll(pairs)
-        links = found if links is None else links.unionAll(found)
+    ``pairs``, then by blocks what is left of bands that have lines besides these."""
+    pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "lines")
+    label = components(_similar(pairs, texts, percent, width))
+    named = shared.join(label, F.col("key") == F.col("node"), "left").select(
+        "band", "key", F.coalesce("component", "key").alias("component"))
+    several = named.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                        F.count(F.lit(1)).alias("n")).where(f"lo <> hi and n > {PAIRED}")
+    left = stored(named.join(several.select("band"), "band", "left_semi"), "lines")
+    rest = stored(_block_links(left, texts, percent, width).select("a", "b", "c", "d"), "lines")
+    if rest.isEmpty():
+        return label
+    # components of components: few, so their rounds are short
+    joined = components(rest.select("c", "d")).toDF("was", "now")
+    nodes = label.unionAll(rest.select(F.explode(F.array("c", "d")).alias("node"), F.col("node").alias("component"))).distinct()
+    return nodes.join(joined, F.col("component") == F.col("was"), "left").select(
+        "node", F.coalesce("now", "component").alias("component")).where("node <> component")
 
 
 def removed_lines(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE, keep: int = KEEP,

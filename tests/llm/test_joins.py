@@ -240,6 +240,20 @@ def test_similar_lines_between_dissimilar_ones_are_found(spark):
     assert len(want) <= len(got) <= len(want) + 1  # a pair in twenty near the threshold may share no band
 
 
+def test_only_bands_with_unpaired_lines_go_to_blocks(spark, monkeypatch):
+    """The first pairs settle bands of up to three lines; components are found twice at most."""
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    lines = [head + word(40) for head in (word(60) for _ in range(20)) for _ in range(3)]
+    lines += [x + word(12) for x in lines[:12]]  # bands of four and more, in several components
+    calls, sizes, blocks, found = [], [], P._by_blocks.__globals__["_block_links"], P.components
+    monkeypatch.setattr(P, "components", lambda e: calls.append(1) or found(e))
+    monkeypatch.setattr(P, "_block_links", lambda left, *a: sizes.extend(r["count"] for r in left.groupBy("band").count().collect()) or blocks(left, *a))
+    got = P.dedup_lines(spark.createDataFrame(list(enumerate(lines)), DOCS)).where("n_removed = 0").collect()
+    assert sorted(r.text for r in got) == sorted(brute_dedup(lines))
+    assert sizes and min(sizes) > P.PAIRED == 3 and len(calls) <= 2
+
+
 @pytest.mark.parametrize("block", [1, 7, 128])
 def test_blocks_link_what_the_pairs_of_a_band_link(spark, monkeypatch, block):
     """All lines in two bands, each its own component: every similar pair once."""
