@@ -11,7 +11,7 @@ from oracle_check import compare, duck
 from pyspark.sql import functions as F
 
 from __spark_entry__ import entry, oracle_sql, queries
-from rootsweep.functions.expr import fingerprint_aggs
+from rootsweep.functions.expr import fingerprint_aggs, row_hash
 from rootsweep.operators.closure import close_lazy
 from rootsweep.operators.joins import anti, flag, semi
 from rootsweep.plans.manifest import TPCH
@@ -84,6 +84,18 @@ def test_gate_fails_when_a_join_drops_rows(spark, monkeypatch):
     assert not rows["lineitem"] and not rows["customer"]
 
 
+def test_fingerprint_is_the_sum_of_row_hashes(spark):
+    """Put together from bigint sums (no decimal per row), null positions told apart."""
+    rows = [(1, None), (None, 1), (5, 7), (5, 7), (-3, None), (None, None)]
+    t = spark.createDataFrame(rows, "a bigint, b bigint")
+    hashes = [r[0] for r in t.select(row_hash(t.schema)).collect()]
+    found = t.agg(*fingerprint_aggs(t.schema))
+    assert tuple(found.first()) == (6, sum(hashes)) and len(set(hashes)) == 5
+    assert tuple(t.where("false").agg(*fingerprint_aggs(t.schema)).first()) == (0, 0)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "sum(cast(xxhash64" not in plan
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_split_invariants_random_lists(spark, seed):
     """archived + retained = source as multisets; archived all hit the key set;
