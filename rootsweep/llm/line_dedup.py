@@ -9,7 +9,8 @@ under are sorted, or all where fewer than ``KEEP`` different ones do); every thr
 three common shingles follow each other in the order of hashes. For lines of up to 8
 shingles every two neighbours are a band (of 7 and 8: both), as few would be left. In
 each band every line is paired with the smallest line and with the one before it. Pairs
-are verified by the exact Jaccard similarity of their sets (>= ``percent`` %). Connected
+are verified by the exact Jaccard similarity of their sets (>= ``percent`` %); pairs whose
+marks (parity bits of their shingles) prove them below it are left out before. Connected
 components are found by rounds of joins. In bands of up to ``PAIRED`` lines these were all
 pairs. Larger ones whose lines are then in several components go on by blocks: the lines of
 a band are dealt to blocks of about ``BLOCK``, and a row per two blocks makes each line's set once and compares all
@@ -48,6 +49,8 @@ NEAR_KEEP = 24
 PAIRED = 3
 #: What is left in larger bands is compared by blocks of so many lines.
 BLOCK = 128
+#: 64-bit words of a line's marks (a power of two): 1,024 bits.
+MARKS = 16
 #: Hashes of the shingles of a whole line. Four bytes a character let each be cut out
 #: without a walk through the line; the outer transform binds these bytes to a name.
 _SHINGLES = ("transform(array(encode(line, 'UTF-32')), b -> transform(sequence(1, greatest(octet_length(b) - 4 * {0} + 1, 1), 4), "
@@ -79,47 +82,63 @@ def _lowest(width: int, keep: int) -> str:
             f"then s else array_distinct(h) end))[0])[0])[0], 1, {keep})")
 
 
-def _similar(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
+def _marked(texts: DataFrame, width: int) -> DataFrame:
+    """(key, size, marks) of lines (key, line): how many different shingles a line has, and
+    bits, each set if an odd number of them falls on it. So two lines' marks differ in no
+    more bits than there are shingles that only one of the two has."""
+    rows = texts.select("key", F.explode(F.array_distinct(F.expr(_SHINGLES.format(width)))).alias("h"))
+    bit = "case when (shiftright(h, 6) & {1}) = {0} then shiftleft(1L, cast(h & 63 as int)) else 0L end"
+    words = [F.bit_xor(F.expr(bit.format(i, MARKS - 1))) for i in range(MARKS)]
+    return rows.groupBy("key").agg(F.count(F.lit(1)).cast("int").alias("size"), F.array(*words).alias("marks"))
+
+
+def _may_reach(percent: int, a: str, b: str) -> str:
+    """False only for lines ``a`` and ``b`` (prefixes of size and marks) below ``percent``."""
+    return (f"least({a}size, {b}size) * 100 >= greatest({a}size, {b}size) * {percent} and aggregate(zip_with({a}marks, {b}marks, "
+            f"(u, v) -> bit_count(u ^ v)), 0, (s, u) -> s + u) * {100 + percent} <= ({a}size + {b}size) * {100 - percent}")
+
+
+def _similar(pairs: DataFrame, texts: DataFrame, marks: DataFrame, percent: int, width: int) -> DataFrame:
     """The pairs (a, b) of lines that reach ``percent``. The lines are moved, not their
-    sets, which are eight times as large."""
-    both = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
+    sets, which are eight times as large, and only for pairs that the marks leave open."""
+    for side in ("a", "b"):
+        pairs = pairs.join(marks.toDF(side, f"{side}_size", f"{side}_marks"), side)
+    able = pairs.where(_may_reach(percent, "a_", "b_")).select("a", "b", (F.col("a_size") + F.col("b_size")).alias("sizes"))
+    both = able.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
     hashes = [_SHINGLES.format(width).replace("line", side) for side in ("x", "y")]
-    # inline keeps the hashes, and what they share, from being made again for the condition
-    both = both.select("a", "b", F.expr(f"inline(array(struct({hashes[0]} as p, {hashes[1]} as q)))"))
-    both = both.select("a", "b", F.expr("inline(array(struct(p, q, size(array_intersect(p, q)) as common)))"))
-    enough = "common * {0} >= (size({1}) + size({2})) * {3}"
-    # enough for all places is enough for the different shingles among them
-    return both.where(enough.format(100 + percent, "p", "q", percent) + " or " + enough.format(
-        100 + percent, "array_distinct(p)", "array_distinct(q)", percent)).select("a", "b")
+    # inline keeps the hashes from being made again for the condition
+    both = both.select("a", "b", "sizes", F.expr(f"inline(array(struct({hashes[0]} as p, {hashes[1]} as q)))"))
+    return both.where(f"size(array_intersect(p, q)) * {100 + percent} >= sizes * {percent}").select("a", "b")
 
 
 #: Lines of two blocks (p.l and p.r, null for a block with itself) that are similar and in different components, each
-#: pair in the smallest band that both have.
-_BLOCK_SET = "transform({0}, x -> struct(x.key, x.component, x.bands, array_distinct({1}) as set))"
+#: pair in the smallest band that both have. The sets are compared only where the marks leave it open.
+_BLOCK_SET = "transform({0}, x -> struct(x.key, x.component, x.bands, x.size, x.marks, array_distinct({1}) as set))"
 _BLOCK_LINKS = """transform(array(struct({left} as l, case when i <> j then {right} end as r)), p -> flatten(transform(p.l, a -> transform(filter(coalesce(p.r, p.l), b ->
-    a.component <> b.component and (i < j or a.key < b.key) and least(size(a.set), size(b.set)) * 100 >= greatest(size(a.set), size(b.set)) * {percent}
+    a.component <> b.component and (i < j or a.key < b.key) and {may_reach}
     and array_min(array_intersect(a.bands, b.bands)) = band
-    and size(array_intersect(a.set, b.set)) * (100 + {percent}) >= (size(a.set) + size(b.set)) * {percent}),
+    and size(array_intersect(a.set, b.set)) * (100 + {percent}) >= (a.size + b.size) * {percent}),
     b -> struct(least(a.key, b.key) as a, greatest(a.key, b.key) as b, a.component as c, b.component as d)))))[0]"""
 
 
 def _by_blocks(left: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
     """Links (a, b) among the lines (band, key, component) of each band."""
-    return _block_links(left, texts, percent, width).select("a", "b")
+    return _block_links(left, texts, _marked(texts, width), percent, width).select("a", "b")
 
 
-def _block_links(left: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
+def _block_links(left: DataFrame, texts: DataFrame, marks: DataFrame, percent: int, width: int) -> DataFrame:
     """The same with the components (c, d) that each links."""
     bands = left.groupBy("key").agg(F.collect_set("band").alias("bands"))  # at most a line's own bands
     many = left.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    lines = left.join(bands.join(texts, "key"), "key").join(many, "band")
+    lines = left.select("band", "key", "component").join(bands.join(texts, "key").join(marks, "key"), "key").join(many, "band")
     blocks = stored(lines.select("band", "blocks", F.pmod(F.xxhash64("key"), "blocks").cast("int").alias("i"),
-                                 F.struct("key", "component", "bands", "line").alias("x"))
+                                 F.struct("key", "component", "bands", "size", "marks", "line").alias("x"))
                     .groupBy("band", "blocks", "i").agg(F.collect_list("x").alias("l")), "lines")
     pairs = blocks.withColumn("j", F.explode(F.sequence(F.col("i"), F.col("blocks") - 1))).join(
         blocks.select("band", F.col("i").alias("j"), F.col("l").alias("r")), ["band", "j"])
     sets = [_BLOCK_SET.format(side, _SHINGLES.format(width).replace("line", "x.line")) for side in ("l", "r")]
-    return pairs.select(F.expr(f"inline({_BLOCK_LINKS.format(left=sets[0], right=sets[1], percent=percent)})")).distinct()
+    links = _BLOCK_LINKS.format(left=sets[0], right=sets[1], may_reach=_may_reach(percent, "a.", "b."), percent=percent)
+    return pairs.select(F.expr(f"inline({links})")).distinct()
 
 
 def _among(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
@@ -151,13 +170,14 @@ def _linked(shared: DataFrame, pairs: DataFrame, texts: DataFrame, percent: int,
     """Components after every two lines of a band are verified or already connected: first
     ``pairs``, then by blocks what is left of bands that have lines besides these."""
     pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "lines")
-    label = components(_similar(pairs, texts, percent, width))
+    marks = stored(_marked(texts, width), "lines")
+    label = components(_similar(pairs, texts, marks, percent, width))
     named = shared.join(label, F.col("key") == F.col("node"), "left").select(
         "band", "key", F.coalesce("component", "key").alias("component"))
     several = named.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
                                         F.count(F.lit(1)).alias("n")).where(f"lo <> hi and n > {PAIRED}")
     left = stored(named.join(several.select("band"), "band", "left_semi"), "lines")
-    rest = stored(_block_links(left, texts, percent, width).select("a", "b", "c", "d"), "lines")
+    rest = stored(_block_links(left, texts, marks, percent, width).select("a", "b", "c", "d"), "lines")
     if rest.isEmpty():
         return label
     # components of components: few, so their rounds are short

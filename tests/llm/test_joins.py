@@ -268,3 +268,23 @@ def test_blocks_link_what_the_pairs_of_a_band_link(spark, monkeypatch, block):
     got = [tuple(r) for r in P._by_blocks(left, texts, 75, P.SHINGLE).collect()]
     assert len(got) == len(want) > 20 and set(got) == want
     assert P._by_blocks(left.withColumn("component", F.lit(1)), texts, 75, P.SHINGLE).count() == 0
+
+
+@pytest.mark.parametrize("percent", [75, 90])
+def test_marks_rule_out_only_lines_below_the_threshold(spark, percent):
+    """Few pairs of one template are left for the sets, every similar pair among them."""
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("abcdefghijk lmnopqrstuvwxyz") for _ in range(n))
+    template = word(200)
+    lines = [template + word(60) for _ in range(40)] + ["ab" * 90, "ab" * 90 + "c", "日本語のテキスト" * 3 + "が続く", "x", "12345678"]
+    lines += [x[:k] + word(3) + x[k:] for x in lines[:8] for k in (30, 120, 240)]  # near copies
+    lines += [x + x[:99] for x in lines[:4]]  # shingles that repeat
+    sets = char_sets(lines)
+    marked = P._marked(spark.createDataFrame(list(enumerate(lines)), "key bigint, line string"), P.SHINGLE)
+    assert {r.key: r["size"] for r in marked.collect()} == {k: len(s) for k, s in enumerate(sets)}
+    a, b = (marked.toDF(f"{x}_key", f"{x}_size", f"{x}_marks") for x in "ab")
+    left = {tuple(r) for r in a.join(b, F.col("a_key") < F.col("b_key")).where(P._may_reach(percent, "a_", "b_")).select("a_key", "b_key").collect()}
+    pairs = list(itertools.combinations(range(len(lines)), 2))
+    want = {(x, y) for x, y in pairs if 100 * len(sets[x] & sets[y]) >= percent * len(sets[x] | sets[y])}
+    assert want <= left and len(want) > 10
+    assert len(left - want) < len(pairs) / 20
