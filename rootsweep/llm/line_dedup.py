@@ -4,8 +4,9 @@ A line (trimmed, lower-cased) has the set of its character shingles: the ``SHING
 characters from each of its characters on, spaces included, in every script alike (a
 line that is shorter is one shingle).
 Its signature is the ``KEEP``
-smallest hashes (only those below a bound that about ``NEAR_KEEP`` of a line's shingles stay
-under are sorted, or all where fewer than ``KEEP`` different ones do); every three neighbours among them are a band, so two lines meet if
+smallest hashes (shingles are hashed as rows, of which only those are gathered by line that
+are below a bound that about ``NEAR_KEEP`` of them stay under; lines where too few different
+ones do are hashed again and sorted whole); every three neighbours among them are a band, so two lines meet if
 three common shingles follow each other in the order of hashes. For lines of up to 8
 shingles every two neighbours are a band (of 7 and 8: both), as few would be left. In
 each band every line is paired with the smallest line and with the one before it. Pairs
@@ -13,9 +14,9 @@ are verified by the exact Jaccard similarity of their sets (>= ``percent`` %); p
 marks (parity bits of their shingles) prove them below it are left out before. Connected
 components are found by rounds of joins. In bands of up to ``PAIRED`` lines these were all
 pairs. Larger ones whose lines are then in several components go on by blocks: the lines of
-a band are dealt to blocks of about ``BLOCK``, and a row per two blocks makes each line's set once and compares all
+a band are dealt to blocks of about ``BLOCK``, and a row per two blocks compares all
 lines of the one with all of the other (a pair that shares several bands in the smallest
-of them), so that in the end every two lines that share a band are verified or connected. Of each component the first line
+of them), with a set, made once, for each line that the marks leave in a pair, so that in the end every two lines that share a band are verified or connected. Of each component the first line
 (smallest id, then place) stays.
 
 Scale: equal lines are merged first; bands have a line once; no group is ever
@@ -43,7 +44,7 @@ KEEP = 10
 PERCENT = 75
 MAX_KEYS = 1_000_000
 #: About so many hashes of a line are sorted to find its smallest: of lines with as many
-#: different shingles as places, fewer than 10 of 24 in 1 of 2,000.
+#: different shingles as places, no more than 10 of 24 in 1 of 900.
 NEAR_KEEP = 24
 #: In a band of up to so many lines the smallest and the line before make every pair.
 PAIRED = 3
@@ -57,14 +58,15 @@ _SHINGLES = ("transform(array(encode(line, 'UTF-32')), b -> transform(sequence(1
              "i -> xxhash64(substring(b, i, 4 * {0}))))[0]")
 _PAIRS = "transform(sequence(0, size(low) - 2), i -> xxhash64(low[i], low[i + 1]))"
 _TRIPLES = "transform(sequence(0, size(low) - 3), i -> xxhash64(low[i], low[i + 1], low[i + 2]))"
-_BANDS = f"case when size(low) = 1 then low when size(low) < 7 then {_PAIRS} when size(low) < 9 then concat({_PAIRS}, {_TRIPLES}) else {_TRIPLES} end"
+#: The same as ``_TRIPLES`` for ``KEEP`` hashes, without a lambda.
+_FULL = f"array({', '.join(f'xxhash64(low[{i}], low[{i + 1}], low[{i + 2}])' for i in range(KEEP - 2))})"
+_BANDS = f"case when size(low) = {KEEP} then {_FULL} when size(low) = 1 then low when size(low) < 7 then {_PAIRS} when size(low) < 9 then concat({_PAIRS}, {_TRIPLES}) else {_TRIPLES} end"
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, th, no, line): non-blank lines, normalised; ``th`` is the hash of the text."""
-    src = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("th"), F.col(f"`{text_col}`").alias("text"))
-    return src.select("id", "th", F.posexplode(F.split("text", "\n")).alias("no", "raw")).select(
-        "id", "th", "no", F.lower(F.trim("raw")).alias("line")).where("line <> ''")
+def _split(src: DataFrame, *names: str) -> DataFrame:
+    """The named columns of ``src`` for each non-blank line of its ``text``, with (no, line, key)."""
+    rows = src.select(*names, F.posexplode(F.split(F.lower("text"), "\n")).alias("no", "raw")).where("trim(raw) <> ''")
+    return rows.select(*names, "no", F.trim("raw").alias("line")).withColumn("key", F.xxhash64("line", F.octet_length("line")))
 
 
 def _with_shingles(lines: DataFrame, width: int) -> DataFrame:
@@ -72,14 +74,36 @@ def _with_shingles(lines: DataFrame, width: int) -> DataFrame:
     return lines.withColumn("set", F.sort_array(F.array_distinct(F.expr(_SHINGLES.format(width)))))
 
 
-def _lowest(width: int, keep: int) -> str:
-    """The ``keep`` smallest distinct hashes of the shingles of ``line``, ascending."""
+def _lowest(hashes: str, keep: int) -> str:
+    """The ``keep`` smallest distinct ``hashes``, ascending."""
+    return f"slice(sort_array(array_distinct({hashes})), 1, {keep})"
+
+
+def _signed(docs: DataFrame, width: int, keep: int, id_col: str, text_col: str) -> DataFrame:
+    """(key, id, th, no, bands) of every line; ``th`` is the hash of the text. Shingles are
+    hashed as rows (the hashes of ``_SHINGLES``), and gathered by line where their document
+    is, without a shuffle. A line's first shingle stays even if above the bound."""
     near = max(NEAR_KEEP, 2 * keep + 4)
-    bound = (f"case when size(h) <= {near} then 9223372036854775807 else "
-             f"cast(-9.223372036854775E18D + 1.844674407370955E19D * ({near}.0D / size(h)) as bigint) end")
-    return (f"slice(transform(array({_SHINGLES.format(width)}), h -> transform(array({bound}), t -> transform("
-            f"array(array_distinct(filter(h, x -> x <= t))), s -> sort_array(case when size(h) <= {near} or size(s) >= {keep} "
-            f"then s else array_distinct(h) end))[0])[0])[0], 1, {keep})")
+    bound = f"cast(-9.223372036854775E18D + 1.844674407370955E19D * ({near}.0D / n) as bigint)"
+    src = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).where("text is not null")
+    src = src.withColumn("th", F.xxhash64("text"))
+    once = src.groupBy("id", "th").agg(F.first("text").alias("text"))
+    lines = _split(once, "id", "th").withColumn("b", F.encode("line", "UTF-32")).drop("line")
+    lines = lines.withColumn("n", F.expr(f"greatest(octet_length(b) div 4 - {width - 1}, 1)")).withColumn("whole", F.expr(f"n <= {near}"))
+    names = ["id", "th", "no", "key", "whole"]
+    rows = lines.select(*names, "b", F.expr(f"case when not whole then {bound} end").alias("most"), F.explode(F.expr("sequence(1, cast(4 * n as int), 4)")).alias("i"))
+    rows = rows.select(*names, "most", "i", F.expr(f"xxhash64(substring(b, i, 4 * {width}))").alias("h")).where("whole or h <= most or i = 1")
+    low = rows.groupBy(*names).agg(F.collect_list("h").alias("h")).withColumn("low", F.expr(_lowest("h", keep + 1)))
+    low = low.withColumn("low", F.expr(f"case when whole or size(low) > {keep} then slice(low, 1, {keep}) end"))
+    sign = stored(low.select("key", "id", "th", "no", F.expr(f"case when low is not null then {_BANDS} end").alias("bands")), "lines")
+    few = stored(sign.where("bands is null").select("key", "th").distinct(), "lines")
+    if few.isEmpty():
+        return sign
+    again = _among(src.select("th", "text"), few.select("th").distinct(), "th")
+    again = _among(_split(again, "th"), few.select("key").distinct(), "key").groupBy("key").agg(F.min("line").alias("line"))
+    again = stored(again.select("key", F.expr(_lowest(_SHINGLES.format(width), keep)).alias("low")).select(
+        "key", F.expr(_BANDS).alias("bands")), "lines")
+    return sign.where("bands is not null").unionByName(sign.where("bands is null").drop("bands").join(again, "key"))
 
 
 def _marked(texts: DataFrame, width: int) -> DataFrame:
@@ -111,14 +135,16 @@ def _similar(pairs: DataFrame, texts: DataFrame, marks: DataFrame, percent: int,
     return both.where(f"size(array_intersect(p, q)) * {100 + percent} >= sizes * {percent}").select("a", "b")
 
 
-#: Lines of two blocks (p.l and p.r, null for a block with itself) that are similar and in different components, each
-#: pair in the smallest band that both have. The sets are compared only where the marks leave it open.
-_BLOCK_SET = "transform({0}, x -> struct(x.key, x.component, x.bands, x.size, x.marks, array_distinct({1}) as set))"
-_BLOCK_LINKS = """transform(array(struct({left} as l, case when i <> j then {right} end as r)), p -> flatten(transform(p.l, a -> transform(filter(coalesce(p.r, p.l), b ->
-    a.component <> b.component and (i < j or a.key < b.key) and {may_reach}
-    and array_min(array_intersect(a.bands, b.bands)) = band
-    and size(array_intersect(a.set, b.set)) * (100 + {percent}) >= (a.size + b.size) * {percent}),
-    b -> struct(least(a.key, b.key) as a, greatest(a.key, b.key) as b, a.component as c, b.component as d)))))[0]"""
+#: Lines of two blocks (p.l and p.r, of a block with itself the same) that are similar and in different components, each
+#: pair in the smallest band that both have: first the places (m, n) of those that the marks leave open, then the sets of
+#: lines in such pairs, then the comparison of these.
+_BLOCK_OPEN = """transform(array(transform(r, (b, n) -> struct(b, n))), y -> flatten(transform(l, (a, m) -> transform(filter(y, x ->
+    a.component <> x.b.component and (i < j or a.key < x.b.key) and array_min(array_intersect(a.bands, x.b.bands)) = band
+    and {may_reach}), x -> struct(m, x.n as n)))))[0]"""
+_BLOCK_SET = "transform({0}, (x, k) -> case when {1} then array_distinct({2}) end)"
+_BLOCK_LINKS = """transform(filter(array({open}), o -> size(o) > 0), o -> transform(array(struct({left} as ls, {right} as rs)), s ->
+    transform(filter(o, x -> size(array_intersect(s.ls[x.m], s.rs[x.n])) * (100 + {percent}) >= (l[x.m].size + r[x.n].size) * {percent}),
+    x -> struct(least(l[x.m].key, r[x.n].key) as a, greatest(l[x.m].key, r[x.n].key) as b, l[x.m].component as c, r[x.n].component as d)))[0])"""
 
 
 def _by_blocks(left: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
@@ -136,9 +162,9 @@ def _block_links(left: DataFrame, texts: DataFrame, marks: DataFrame, percent: i
                     .groupBy("band", "blocks", "i").agg(F.collect_list("x").alias("l")), "lines")
     pairs = blocks.withColumn("j", F.explode(F.sequence(F.col("i"), F.col("blocks") - 1))).join(
         blocks.select("band", F.col("i").alias("j"), F.col("l").alias("r")), ["band", "j"])
-    sets = [_BLOCK_SET.format(side, _SHINGLES.format(width).replace("line", "x.line")) for side in ("l", "r")]
-    links = _BLOCK_LINKS.format(left=sets[0], right=sets[1], may_reach=_may_reach(percent, "a.", "b."), percent=percent)
-    return pairs.select(F.expr(f"inline({links})")).distinct()
+    sets = [_BLOCK_SET.format(side, f"array_contains(o.{place}, k)", _SHINGLES.format(width).replace("line", "x.line")) for side, place in (("l", "m"), ("r", "n"))]
+    links = _BLOCK_LINKS.format(open=_BLOCK_OPEN.format(may_reach=_may_reach(percent, "a.", "x.b.")), left=sets[0], right=sets[1], percent=percent)
+    return pairs.select(F.expr(f"inline(flatten({links}))")).distinct()
 
 
 def _among(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
@@ -150,9 +176,7 @@ def line_components(docs: DataFrame, percent: int = PERCENT, width: int = SHINGL
                     id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Every line (key, id, th, no), and the component of every distinct line with links
     (node, component)."""
-    lines = _lines(docs, id_col, text_col).withColumn("key", F.xxhash64("line", F.length("line")))
-    sign = lines.select("key", "id", "th", "no", F.expr(_lowest(width, keep)).alias("low"))
-    sign = stored(sign.withColumn("bands", F.expr(_BANDS)).drop("low"), "lines")
+    sign = _signed(docs, width, keep, id_col, text_col)
     bands = sign.select("key", F.explode("bands").alias("band"))
     several = stored(bands.groupBy("band").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo <> hi").select("band"), "lines")
     shared = stored(_among(bands, several, "band").distinct(), "lines")  # bands of several lines
@@ -161,7 +185,7 @@ def line_components(docs: DataFrame, percent: int = PERCENT, width: int = SHINGL
     pairs = near.where("before is not null").select(F.explode(F.array_distinct(F.array("before", "smallest"))).alias("a"), "b")
 
     keys = stored(shared.select("key").distinct(), "lines")
-    wanted = _among(lines.select("key", "line"), keys, "key")
+    wanted = _among(_split(docs.select(F.col(f"`{text_col}`").alias("text"))).select("key", "line"), keys, "key")
     texts = stored(wanted.groupBy("key").agg(F.min("line").alias("line")), "lines")
     return sign.select("key", "id", "th", "no"), _linked(shared, pairs, texts, percent, width)
 
@@ -177,7 +201,7 @@ def _linked(shared: DataFrame, pairs: DataFrame, texts: DataFrame, percent: int,
     several = named.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
                                         F.count(F.lit(1)).alias("n")).where(f"lo <> hi and n > {PAIRED}")
     left = stored(named.join(several.select("band"), "band", "left_semi"), "lines")
-    rest = stored(_block_links(left, texts, marks, percent, width).select("a", "b", "c", "d"), "lines")
+    rest = stored(_block_links(left, texts, marks, percent, width), "lines")
     if rest.isEmpty():
         return label
     # components of components: few, so their rounds are short

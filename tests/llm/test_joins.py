@@ -288,3 +288,19 @@ def test_marks_rule_out_only_lines_below_the_threshold(spark, percent):
     want = {(x, y) for x, y in pairs if 100 * len(sets[x] & sets[y]) >= percent * len(sets[x] | sets[y])}
     assert want <= left and len(want) > 10
     assert len(left - want) < len(pairs) / 20
+
+
+def test_signatures_by_rows_are_the_smallest_hashes(spark):
+    """Every line's bands, also where too few hashes are below the bound and no shuffle gathers them."""
+    rng = random.Random(7)
+    word = lambda n: "".join(rng.choice("abcdefghijk lmnopqrstuvwxyz") for _ in range(n))
+    lines = [word(n) + "z" for n in (*range(0, 45), 200, 400, 3000) for _ in range(3)]
+    lines += ["x" * 500, "ab" * 300, "abc" * 200 + "d", (word(14) + "z") * 40, "日本語のテキストが続く" * 9 + "行", "\U0001f600" * 60, "ΑΣ wörter İ " * 12 + "ΟΔΟΣ"]
+    rows = [(k, "\n\n".join(lines[k:k + 5])) for k in range(0, len(lines), 5)]
+    df = spark.createDataFrame([*rows, rows[3], rows[3], (None, rows[-1][1]), (None, None), (900, " \n ")], DOCS)
+    got = {(r.id, r.no): r.bands for r in P._signed(df, P.SHINGLE, P.KEEP, "doc_id", "text").collect()}
+    flat = [(i, no, x.strip(" ").lower()) for i, t in {*rows, (None, rows[-1][1])} for no, x in enumerate(t.split("\n")) if x]
+    low = P._with_shingles(spark.createDataFrame(flat, "id bigint, no int, line string"), P.SHINGLE).withColumn("low", F.slice("set", 1, P.KEEP))
+    want = {(r.id, r.no): r.bands for r in low.withColumn("bands", F.expr(P._BANDS)).collect()}
+    assert got == want and len(want) == len(lines) + len(rows[-1][1].split("\n\n"))
+    assert want[(rows[-1][0], 0)] and P._signed(df.where("false"), P.SHINGLE, P.KEEP, "doc_id", "text").collect() == []
